@@ -1,0 +1,12 @@
+"""XML field extraction (N6), namespace-blind."""
+
+from __future__ import annotations
+
+from pyspark.sql import Column
+from pyspark.sql import functions as F
+
+
+def xml_field(xml_col, name: str) -> Column:
+    """Text of the first element named ``name`` in any namespace; missing -> null."""
+    c = F.col(xml_col) if isinstance(xml_col, str) else xml_col
+    return F.nullif(F.xpath_string(c, F.lit(f"//*[local-name()='{name}']")), F.lit(""))
