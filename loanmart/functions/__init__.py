@@ -1,7 +1,7 @@
 """Column expressions (built-in Spark functions only, no Python UDF)."""
 
 from loanmart.functions.text import (  # noqa: F401
-    blank_to_null, case_hash, clean_symbols, full_name, null_token_to_null,
+    blank_to_null, case_hash, clean_symbols, full_name, has_label, null_token_to_null,
     py_strip, recode, status_is, strip_quotes,
 )
 from loanmart.functions.numbers import (  # noqa: F401

@@ -79,3 +79,8 @@ def case_hash(loan_number, draw_id) -> Column:
     def part(c):
         return F.coalesce(_c(c).cast("string"), F.lit(HASH_NULL_TEXT))
     return F.sha2(F.concat(part(loan_number), F.lit(HASH_SEPARATOR), part(draw_id)), 256)
+
+
+def has_label(array_col, label: str) -> Column:
+    """F9 (Q25): membership in an array of labels; null array -> false."""
+    return F.coalesce(F.array_contains(_c(array_col), F.lit(label)), F.lit(False))

@@ -6,7 +6,9 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def xml_field(xml_col, name: str) -> Column:
-    """Text of the first element named ``name`` in any namespace; missing -> null."""
+def xml_field(xml_col, *path: str) -> Column:
+    """Text of the first element reached by the local-name ``path`` (any
+    namespace, any depth for the first step); missing -> null."""
     c = F.col(xml_col) if isinstance(xml_col, str) else xml_col
-    return F.nullif(F.xpath_string(c, F.lit(f"//*[local-name()='{name}']")), F.lit(""))
+    steps = "/".join(f"*[local-name()='{p}']" for p in path)
+    return F.nullif(F.xpath_string(c, F.lit(f"//{steps}")), F.lit(""))

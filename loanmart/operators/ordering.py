@@ -20,3 +20,8 @@ def top_k(df: DataFrame, order_col: str, k: int, descending: bool = True) -> Dat
     merge of k-per-task rows; no full sort."""
     c = F.col(order_col)
     return df.orderBy(c.desc_nulls_last() if descending else c.asc_nulls_last()).limit(k)
+
+
+def top_k_by(df: DataFrame, order, k: int) -> DataFrame:
+    """O2 with several keys (Columns with their direction); same plan."""
+    return df.orderBy(*order).limit(k)

@@ -14,7 +14,15 @@ import datetime as _dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loanmart.plans.reports import CASH_STATUS
+from loanmart.functions.dates import try_parse_timestamp
+from loanmart.functions.numbers import to_decimal_exact, to_number
+from loanmart.functions.text import blank_to_null
+from loanmart.operators.dedupe import keep_first
+from loanmart.operators.latest import last_match, latest_by_numeric_id
+from loanmart.operators.ordering import top_k_by
+from loanmart.operators.profile import extract_profile
+from loanmart.plans.lip import combine_lip
+from loanmart.plans.reports import CASH_STATUS, INVESTOR_PORTFOLIO, WATCHLIST
 from loanmart.plans.spec import apply_spec
 from loanmart.sources.tables import table
 
@@ -109,10 +117,371 @@ def _q01_sql() -> str:
     return "SELECT " + ",\n  ".join(sel) + "\nFROM orders"
 
 
+# ---------------------------------------------------------------- Q-02 ----
+# Watchlist report (R3: blank-removing clean C1, exact decimals C5) landed
+# from ``lineitem``.  Q3: blanks and commas vanish from names too.
+_Q02_PRICE = "CAST(l_extendedprice AS DECIMAL(18,2))"
+_Q02_NET = f"{_Q02_PRICE} * (1 - CAST(l_discount AS DECIMAL(4,2)))"
+
+
+def landed_watchlist(lineitem: DataFrame) -> DataFrame:
+    e = F.expr
+    return lineitem.select(
+        e("concat('LN-', l_orderkey, '-', l_linenumber)").alias("Loan Number"),
+        e("concat('Supplier ', l_suppkey)").alias("Borrower Full Name"),
+        F.lit(None).cast("string").alias("Co-Borrower 1 Full Name"),
+        e("l_returnflag").alias("Loan Originator"),
+        e("concat(l_partkey, ' Elm St, Unit ', l_linenumber)").alias("Property Address"),
+        F.lit("San Jose").alias("City"),
+        e("l_linestatus").alias("Investor"),
+        F.lit("Fix, Flip").alias("Loan Program"),
+        e("CAST(l_linenumber AS STRING)").alias("Loan Term in Months"),
+        e(f"concat('$ ', format_number({_Q02_PRICE}, 2))").alias("Current Loan Amount"),
+        e("concat('$', format_number(CAST(l_quantity AS DECIMAL(18,2)) * 100, 2))")
+        .alias("Loan amount Disbursed excluding Interest Reserve"),
+        F.lit("").alias("Total Principal Loan Paydown"),
+        e(f"concat(' $ ', CAST({_Q02_NET} AS STRING), ' ')").alias("Balance to finish Including Retainage"),
+        e("concat(CAST(CAST(l_discount AS DECIMAL(4,2)) * 100 AS STRING), ' %')").alias("% DISB"),
+        F.lit("1").alias("Total Units"),
+        e("concat(CAST(CAST(l_tax AS DECIMAL(4,2)) * 100 AS STRING), '%')").alias("Last Inspection Complete"),
+        F.lit("note, ok").alias("Pinned Note"),
+        e("concat(l_returnflag, ', ', l_linestatus)").alias("Labels"),
+        e("date_format(l_shipdate, 'MM/dd/yyyy')").alias("Loan Funded Date"),
+        F.lit("").alias("Estimated Payoff Date"),
+        e("date_format(date_add(l_shipdate, 30), 'MM/dd/yyyy')").alias("Current Loan Due Date"),
+        e("date_format(date_add(l_shipdate, 30), 'M/d/yyyy')").alias("Original Loan Due Date"),
+    )
+
+
+def q02_exact_decimal_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return apply_spec(landed_watchlist(table(spark, sf_dir, "lineitem")), WATCHLIST, AS_OF)
+
+
+_Q02_SQL = f"""
+SELECT 'LN-' || l_orderkey || '-' || l_linenumber AS loan_number,
+  'Supplier' || l_suppkey AS borrower_full_name,
+  CAST(NULL AS VARCHAR) AS coborrower_1_full_name,
+  l_returnflag AS loan_originator,
+  l_partkey || 'ElmStUnit' || l_linenumber AS property_address,
+  'SanJose' AS city, l_linestatus AS investor, 'FixFlip' AS loan_program,
+  CAST(l_linenumber AS VARCHAR) AS loan_term_in_months,
+  CAST({_Q02_PRICE} AS DECIMAL(38,18)) AS current_loan_amount,
+  CAST(CAST(l_quantity AS DECIMAL(18,2)) * 100 AS DECIMAL(38,18)) AS loan_amount_disbursed_excluding_interest_reserve,
+  CAST(NULL AS DECIMAL(38,18)) AS total_principal_loan_paydown,
+  CAST({_Q02_NET} AS DECIMAL(38,18)) AS balance_to_finish_including_retainage,
+  CAST(CAST(l_discount AS DECIMAL(4,2)) * 100 AS DECIMAL(38,18)) AS "%_disb",
+  '1' AS total_units,
+  CAST(CAST(l_tax AS DECIMAL(4,2)) * 100 AS DECIMAL(38,18)) AS last_inspection_complete,
+  'noteok' AS pinned_note,
+  l_returnflag || l_linestatus AS labels,
+  CAST(l_shipdate AS TIMESTAMP) AS loan_funded_date,
+  CAST(NULL AS TIMESTAMP) AS estimated_payoff_date,
+  CAST(l_shipdate + INTERVAL 30 DAY AS TIMESTAMP) AS current_loan_due_date,
+  CAST(l_shipdate + INTERVAL 30 DAY AS TIMESTAMP) AS original_loan_due_date,
+  '{AS_OF_PACIFIC_TEXT}' AS "timestamp"
+FROM lineitem"""
+
+# ---------------------------------------------------------------- Q-03 ----
+# Investor portfolio (R5: clean without blank removal C2, half-even C4).
+# Every amount is a tie at the 5th decimal: n.dddd5 made from the line.
+_Q03_TIE = "concat(l_linenumber, '.', lpad(CAST(l_orderkey % 10000 AS STRING), 4, '0'), '5')"
+_Q03_TIE_DUCK = "l_linenumber || '.' || lpad(CAST(l_orderkey % 10000 AS VARCHAR), 4, '0') || '5'"
+
+
+def landed_investor(lineitem: DataFrame) -> DataFrame:
+    e = F.expr
+    return lineitem.select(
+        e("concat('LN-', l_orderkey, '-', l_linenumber)").alias("Loan Number"),
+        e("concat('  Supplier ', l_suppkey, ' ')").alias("Borrower"),
+        e("concat(l_partkey, ' Elm St')").alias("Property Address"),
+        F.lit("OR").alias("State"),
+        F.lit("2").alias("Total Units"),
+        e("concat('FA,', l_suppkey)").alias("Funding Account"),
+        e("l_linestatus").alias("Investor"),
+        e("l_returnflag").alias("Loan Program"),
+        e("concat('$', format_number(CAST(l_extendedprice AS DECIMAL(18,2)), 2))").alias("Current Loan Amount"),
+        e(f"concat('$ ', {_Q03_TIE})").alias("Loan Amount Disbursed"),
+        e(f"concat('$', {_Q03_TIE}, ' ')").alias("Appraised Value"),
+        e(f"concat({_Q03_TIE}, '%')").alias("Calculated LTV"),
+        e("date_format(l_shipdate, 'MM/dd/yyyy')").alias("Loan Funded Date"),
+        e("date_format(add_months(l_shipdate, 6), 'MM/dd/yyyy')").alias("Current Loan Due Date"),
+        e("CASE WHEN l_returnflag = 'R' THEN '' ELSE date_format(l_shipdate, 'MM/dd/yyyy') END")
+        .alias("Builder's Risk Insurance Expiration"),
+    )
+
+
+def q03_half_even_round(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return apply_spec(landed_investor(table(spark, sf_dir, "lineitem")), INVESTOR_PORTFOLIO)
+
+
+_Q03_ROUND = f"CAST(round_even(CAST({_Q03_TIE_DUCK} AS DECIMAL(18,5)), 4) AS DECIMAL(25,4))"
+_Q03_SQL = f"""
+SELECT 'LN-' || l_orderkey || '-' || l_linenumber AS loan_number,
+  'Supplier ' || l_suppkey AS borrower,
+  l_partkey || ' Elm St' AS property_address,
+  'OR' AS state, '2' AS total_units, 'FA' || l_suppkey AS funding_account,
+  l_linestatus AS investor, l_returnflag AS loan_program,
+  CAST(CAST(l_extendedprice AS DECIMAL(18,2)) AS VARCHAR) AS current_loan_amount,
+  {_Q03_ROUND} AS loan_amount_disbursed,
+  {_Q03_ROUND} AS appraised_value,
+  {_Q03_ROUND} AS calculated_ltv,
+  CAST(l_shipdate AS TIMESTAMP) AS loan_funded_date,
+  CAST(l_shipdate + INTERVAL 6 MONTH AS TIMESTAMP) AS current_loan_due_date,
+  CASE WHEN l_returnflag = 'R' THEN '' ELSE strftime(l_shipdate, '%m/%d/%Y') END
+    AS builders_risk_insurance_expiration
+FROM lineitem"""
+
+# ---------------------------------------------------------------- Q-04 ----
+# Bad values to null: exact decimal (C5), number (C7), blank (C9), coerced
+# dates with one fixed format (D4) and with a format list (D3).
+_Q04_TEXT = """CASE event_type
+    WHEN 'view' THEN CAST(CAST(value AS DECIMAL(18,2)) AS STRING)
+    WHEN 'click' THEN props
+    WHEN 'purchase' THEN ''
+    WHEN 'signup' THEN 'nan'
+    ELSE concat(CAST(CAST(value AS DECIMAL(18,2)) AS STRING), 'x') END"""
+_Q04_DATE = """CASE event_type
+    WHEN 'view' THEN date_format(ts, 'MM/dd/yyyy')
+    WHEN 'click' THEN '02/30/2024'
+    WHEN 'purchase' THEN ''
+    WHEN 'signup' THEN date_format(ts, 'yyyy-MM-dd')
+    ELSE date_format(ts, 'yyyy-MM-dd HH:mm:ss') END"""
+
+
+def q04_bad_values_to_null(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ev = table(spark, sf_dir, "events").select(
+        "event_id", F.expr(_Q04_TEXT).alias("raw"), F.expr(_Q04_DATE).alias("raw_date"))
+    return ev.select(
+        "event_id", "raw",
+        to_decimal_exact("raw").alias("exact"),
+        to_number("raw").alias("number"),
+        blank_to_null("raw").alias("blank_null"),
+        try_parse_timestamp("raw_date", ("MM/dd/yyyy",)).alias("fixed_date"),
+        try_parse_timestamp("raw_date", ("yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd", "M/d/yyyy")).alias("any_date"),
+    )
+
+
+_Q04_SQL = """
+WITH t AS (
+  SELECT event_id, event_type, ts,
+    CASE event_type
+      WHEN 'view' THEN CAST(CAST(value AS DECIMAL(18,2)) AS VARCHAR)
+      WHEN 'click' THEN props
+      WHEN 'purchase' THEN ''
+      WHEN 'signup' THEN 'nan'
+      ELSE CAST(CAST(value AS DECIMAL(18,2)) AS VARCHAR) || 'x' END AS raw
+  FROM events)
+SELECT event_id, raw,
+  CASE WHEN event_type = 'view' THEN CAST(raw AS DECIMAL(38,18)) END AS exact,
+  CASE WHEN event_type = 'view' THEN CAST(raw AS DOUBLE) WHEN event_type = 'signup' THEN CAST('nan' AS DOUBLE) END AS number,
+  NULLIF(raw, '') AS blank_null,
+  CASE WHEN event_type = 'view' THEN CAST(CAST(ts AS DATE) AS TIMESTAMP) END AS fixed_date,
+  CASE WHEN event_type IN ('view', 'signup') THEN CAST(CAST(ts AS DATE) AS TIMESTAMP)
+       WHEN event_type = 'error' THEN date_trunc('second', ts) END AS any_date
+FROM t"""
+
+
+# ---------------------------------------------------------------- Q-05 ----
+def q05_latest_report_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """G1 on a text-id catalogue (numeric order, not text order) and G2
+    (last match by position) per priority."""
+    orders = table(spark, sf_dir, "orders")
+    catalogue = orders.select(F.col("o_orderkey").cast("string").alias("id"),
+                              F.col("o_orderpriority").alias("name"))
+    latest = latest_by_numeric_id(catalogue, ["name"])
+    last = last_match(orders.withColumnRenamed("o_orderpriority", "name"), ["name"], "o_custkey", "o_orderkey")
+    return latest.join(last, "name").select("name", "id", F.col("o_custkey").alias("last_custkey"))
+
+
+_Q05_SQL = """
+SELECT o_orderpriority AS name, CAST(max(o_orderkey) AS VARCHAR) AS id,
+       arg_max(o_custkey, o_orderkey) AS last_custkey
+FROM orders GROUP BY o_orderpriority"""
+
+
+# ---------------------------------------------------------------- Q-06 ----
+def q06_dedupe_keep_first(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One event per (user, type), the newest event id winning."""
+    return keep_first(table(spark, sf_dir, "events"), ["user_id", "event_type"], "event_id")
+
+
+_Q06_SQL = """
+SELECT event_id, ts, user_id, event_type, value, props FROM (
+  SELECT *, row_number() OVER (PARTITION BY user_id, event_type ORDER BY event_id DESC) AS rn FROM events)
+WHERE rn = 1"""
+
+
+# ---------------------------------------------------------------- Q-07 ----
+def q07_extract_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """R13 (G4-G7) on a projection of events with repeats and nulls."""
+    ev = table(spark, sf_dir, "events").select(
+        "user_id", "event_type", F.nullif(F.col("event_type"), F.lit("error")).alias("kind"))
+    return extract_profile(ev)
+
+
+_Q07_SQL = """
+WITH d AS (SELECT count(*) AS n FROM (SELECT DISTINCT user_id, event_type, NULLIF(event_type, 'error') FROM events))
+SELECT count(*) AS "rows",
+  count(*) - count(user_id) AS nulls_user_id,
+  count(*) - count(event_type) AS nulls_event_type,
+  count(*) - count(NULLIF(event_type, 'error')) AS nulls_kind,
+  count(*) - (SELECT n FROM d) AS duplicate_rows,
+  (SELECT n FROM d) AS distinct_rows
+FROM events"""
+
+
+# ---------------------------------------------------------------- Q-08 ----
+# Two systems combined (R8 / R9): system A from ``customer``, system B (its
+# own column names) from ``supplier``.
+def _system_a(customer: DataFrame, funded: bool) -> DataFrame:
+    e = F.expr
+    cols = [
+        e("lower(concat('lc-', c_custkey))").alias("LOAN_NUMBER"),
+        F.lit(None).cast("string").alias("TBD"),
+        e("CASE WHEN c_mktsegment = 'BUILDING' THEN 'null' ELSE c_mktsegment END").alias("NOTES"),
+        F.when(F.col("c_mktsegment") == "AUTOMOBILE", F.concat(F.lit("O'"), F.col("c_name")))
+        .otherwise(F.col("c_name")).alias("BORROWER_FIRST_NAME"),
+        F.concat(F.lit('"'), F.col("c_name"), F.lit('"')).alias("BORROWER_LAST_NAME"),
+        e("concat(c_custkey, ' Pine St')").alias("STREET"),
+        F.lit("CA").alias("STATE"),
+        e("CASE WHEN c_mktsegment = 'MACHINERY' THEN NULL WHEN c_mktsegment = 'HOUSEHOLD' THEN 'TBD' "
+          "ELSE date_format(date_add(DATE'2024-01-01', c_nationkey), 'yyyy-MM-dd') END").alias("CLOSING_DATE"),
+        e("date_format(date_add(DATE'2024-02-01', c_nationkey), 'M/d/yyyy')").alias("LOCK_EXPIRATION"),
+        e("CASE WHEN c_mktsegment = 'FURNITURE' THEN 'n/a' "
+          "ELSE CAST(CAST(c_acctbal AS DECIMAL(18,2)) AS STRING) END").alias("LOAN_AMOUNT"),
+        e("CAST(c_nationkey AS STRING)").alias("NOTE_RATE"),
+        F.lit("null").alias("POINTS"),
+        e("CAST(CAST(c_acctbal AS DECIMAL(18,2)) * 2 AS STRING)").alias("WIRE_AMOUNT"),
+        F.lit("Broker").alias("LO_BROKER"),
+        e("date_format(date_add(DATE'2024-01-05', c_nationkey), 'M/d/yyyy')").alias("BP_DOC_REVIEW"),
+        F.lit("yes").alias("APPROVED"),
+        F.lit(None).cast("string").alias("CLEAR_TO_CLOSE"),
+        e("date_format(date_add(DATE'2023-12-01', c_nationkey), 'yyyy-MM-dd')").alias("APPRAISAL_ORDERED"),
+        F.lit("soon").alias("APPRAISAL_DUE"),
+        F.lit("").alias("APPRAISAL_EXPIRATION"),
+        e("date_format(date_add(DATE'2023-12-10', c_nationkey), 'yyyy-MM-dd HH:mm:ss')").alias("TITLE_ORDERED"),
+        F.lit(None).cast("string").alias("TITLE_RECEIVED"),
+        F.lit("1/2/2024").alias("DOCS_OUT"),
+        F.lit("01/31/2024 14:30").alias("SIGNING_APPOINTMENT"),
+        e("CASE WHEN c_mktsegment = 'BUILDING' THEN NULL ELSE concat('Fund ', c_nationkey) END").alias("FUND"),
+        e("c_mktsegment").alias("LOAN_TYPE"),
+        F.lit("High").alias("CLOSING_LIKELIHOOD"),
+        F.lit("Investor").alias("OCCUPANCY"),
+        e("CASE WHEN c_nationkey < 12 THEN 'First Lien' ELSE 'Second' END").alias("LIEN_POSITION"),
+        F.lit("12").alias("LOAN_TERM"),
+    ]
+    if funded:
+        cols.append(e("date_format(date_add(DATE'2024-03-01', c_nationkey), 'yyyy-MM-dd')").alias("FUNDED_DATE"))
+    return customer.select(*cols)
+
+
+def _system_b(supplier: DataFrame, funded: bool) -> DataFrame:
+    e = F.expr
+    cols = [
+        e("concat('ls-', s_suppkey)").alias("LOAN_NUMBER"),
+        e("s_name").alias("BORROWER_FIRST_NAME"),
+        F.concat(F.lit('Mc"'), F.col("s_suppkey")).alias("BORROWER_LAST_NAME"),
+        F.lit("7.5").alias("NOTE_RATE"),
+        e("CAST(CAST(s_acctbal AS DECIMAL(18,2)) AS STRING)").alias("TOTAL_LOAN_AMOUNT"),
+        e("date_format(date_add(DATE'2024-01-01', s_nationkey), 'M/d/yyyy')").alias("EST_CLOSING_DATE"),
+        e("concat(s_suppkey, ' Main St')").alias("SUBJECT_PROPERTY_ADDRESS"),
+        e("CASE WHEN s_nationkey < 5 THEN 'First Lien' ELSE 'First' END").alias("LIEN_POSITION"),
+        e("concat('Fund ', s_nationkey)").alias("LGC_FUND_SOURCE"),
+        F.lit("Bridge").alias("LOAN_PROGRAM"),
+        F.lit("Officer").alias("LOAN_OFFICER"),
+        F.lit("bad date").alias("TITLE_ORDERED_DATE"),
+        F.lit("2024-01-09").alias("TITLE_DOC_RECEIVED_DATE"),
+        F.lit("2024-02-09").alias("LOCK_EXPIRATION_DATE"),
+        e("CAST(s_nationkey AS STRING)").alias("ORIGINATION_CHARGE"),
+        F.lit("2023-12-01").alias("APPRAISAL_ORDERED_DATE"),
+        F.lit("12/15/2023").alias("APPRAISAL_ESTIMATED_DUE_DATE"),
+        F.lit("NV").alias("SUBJECT_PROPERTY_STATE"),
+        F.lit("2024-01-02").alias("UNDERWRITING_APPROVAL_DATE"),
+        F.lit("null").alias("UNDERWRITING_CLEAR_TO_CLOSE_DATE"),
+        e("CAST(CAST(s_acctbal AS DECIMAL(18,2)) + 1 AS STRING)").alias("TOTAL_WIRE_TRANSFER"),
+        F.lit("2024-06-01").alias("UNDERWRITING_APPRAISAL_EXPIRED_DATE"),
+        F.lit("Low").alias("CLOSING_LIKELIHOOD"),
+        F.lit("Owner").alias("OCCUPANCY"),
+        F.lit("24").alias("LOAN_TERM"),
+        F.lit("ignored").alias("EXTRA_B_COLUMN"),
+    ]
+    if funded:
+        cols.append(F.lit("2024-03-15").alias("FUNDED_DATE"))
+    return supplier.select(*cols)
+
+
+def q08_combine_two_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return combine_lip(_system_a(table(spark, sf_dir, "customer"), False),
+                       _system_b(table(spark, sf_dir, "supplier"), False), AS_OF)
+
+
+def q08b_combine_funded_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return combine_lip(_system_a(table(spark, sf_dir, "customer"), True),
+                       _system_b(table(spark, sf_dir, "supplier"), True), AS_OF, funded=True)
+
+
+def _q08_sql(funded: bool) -> str:
+    fa = ", CAST(DATE '2024-03-01' + c_nationkey AS TIMESTAMP) AS FUNDED_DATE" if funded else ""
+    fb = ", TIMESTAMP '2024-03-15 00:00:00'" if funded else ""
+    quote = "" if funded else "''"
+    dquote = "" if funded else '"'
+    return f"""
+SELECT upper('lc-' || c_custkey) AS LOAN_NUMBER, CAST(NULL AS VARCHAR) AS TBD,
+  CASE WHEN c_mktsegment = 'BUILDING' THEN NULL ELSE c_mktsegment END AS NOTES,
+  CASE WHEN c_mktsegment = 'AUTOMOBILE' THEN 'O{quote}' || c_name ELSE c_name END AS BORROWER_FIRST_NAME,
+  '{dquote}' || c_name || '{dquote}' AS BORROWER_LAST_NAME,
+  c_custkey || ' Pine St' AS STREET, 'CA' AS STATE{fa},
+  CASE WHEN c_mktsegment IN ('MACHINERY', 'HOUSEHOLD') THEN NULL
+       ELSE CAST(DATE '2024-01-01' + c_nationkey AS TIMESTAMP) END AS CLOSING_DATE,
+  'High' AS CLOSING_LIKELIHOOD,
+  strftime(DATE '2024-02-01' + c_nationkey, '%-m/%-d/%Y') AS LOCK_EXPIRATION,
+  CASE WHEN c_mktsegment = 'FURNITURE' THEN NULL ELSE CAST(CAST(c_acctbal AS DECIMAL(18,2)) AS DOUBLE) END AS LOAN_AMOUNT,
+  CAST(c_nationkey AS DOUBLE) AS NOTE_RATE, CAST(NULL AS DOUBLE) AS POINTS,
+  CAST(CAST(c_acctbal AS DECIMAL(18,2)) * 2 AS DOUBLE) AS WIRE_AMOUNT,
+  'Broker' AS LO_BROKER,
+  CAST(DATE '2024-01-05' + c_nationkey AS TIMESTAMP) AS BP_DOC_REVIEW,
+  'yes' AS APPROVED, CAST(NULL AS VARCHAR) AS CLEAR_TO_CLOSE,
+  CAST(DATE '2023-12-01' + c_nationkey AS TIMESTAMP) AS APPRAISAL_ORDERED,
+  CAST(NULL AS TIMESTAMP) AS APPRAISAL_DUE, CAST(NULL AS TIMESTAMP) AS APPRAISAL_EXPIRATION,
+  CAST(DATE '2023-12-10' + c_nationkey AS TIMESTAMP) AS TITLE_ORDERED,
+  CAST(NULL AS TIMESTAMP) AS TITLE_RECEIVED,
+  TIMESTAMP '2024-01-02 00:00:00' AS DOCS_OUT, TIMESTAMP '2024-01-31 14:30:00' AS SIGNING_APPOINTMENT,
+  CASE WHEN c_mktsegment = 'BUILDING' THEN NULL ELSE 'Fund ' || c_nationkey END AS FUND,
+  c_mktsegment AS LOAN_TYPE, 'Investor' AS OCCUPANCY,
+  CASE WHEN c_nationkey < 12 THEN 'First' ELSE 'Second' END AS LIEN_POSITION,
+  '12' AS LOAN_TERM, '{AS_OF_PACIFIC_TEXT}' AS "timestamp"
+FROM customer
+UNION ALL
+SELECT upper('ls-' || s_suppkey), NULL, NULL, s_name, 'Mc{dquote}' || s_suppkey, s_suppkey || ' Main St', 'NV'{fb},
+  CAST(DATE '2024-01-01' + s_nationkey AS TIMESTAMP), 'Low', '2024-02-09',
+  CAST(CAST(s_acctbal AS DECIMAL(18,2)) AS DOUBLE), 7.5, CAST(s_nationkey AS DOUBLE),
+  CAST(CAST(s_acctbal AS DECIMAL(18,2)) + 1 AS DOUBLE), 'Officer', NULL, '2024-01-02', NULL,
+  TIMESTAMP '2023-12-01 00:00:00', TIMESTAMP '2023-12-15 00:00:00', TIMESTAMP '2024-06-01 00:00:00',
+  NULL, TIMESTAMP '2024-01-09 00:00:00', NULL, NULL,
+  'Fund ' || s_nationkey, 'Bridge', 'Owner', 'First', '24', '{AS_OF_PACIFIC_TEXT}'
+FROM supplier"""
+
+
 QUERIES = {
     "cash_status_report": q01_cash_status_report,
+    "exact_decimal_report": q02_exact_decimal_report,
+    "half_even_round": q03_half_even_round,
+    "bad_values_to_null": q04_bad_values_to_null,
+    "latest_report_id": q05_latest_report_id,
+    "dedupe_keep_first": q06_dedupe_keep_first,
+    "extract_profile": q07_extract_profile,
+    "combine_two_sources": q08_combine_two_sources,
+    "combine_funded_sources": q08b_combine_funded_sources,
 }
 
 ORACLE_SQL = {
     "cash_status_report": _q01_sql(),
+    "exact_decimal_report": _Q02_SQL,
+    "half_even_round": _Q03_SQL,
+    "bad_values_to_null": _Q04_SQL,
+    "latest_report_id": _Q05_SQL,
+    "dedupe_keep_first": _Q06_SQL,
+    "extract_profile": _Q07_SQL,
+    "combine_two_sources": _q08_sql(False),
+    "combine_funded_sources": _q08_sql(True),
 }
