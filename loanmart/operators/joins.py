@@ -17,17 +17,24 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+def _q(c: str):
+    return F.col("`" + c.replace("`", "``") + "`")
+
+
 def left_join_skew_safe(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
     keys = list(keys)
     right_only = [c for c in right.columns if c not in keys]
     matched = left.join(right, keys, "inner")
-    right_keys = right.select(*keys).where(
-        F.greatest(*[F.col(k).isNotNull() for k in keys]) if len(keys) > 1 else F.col(keys[0]).isNotNull()
-    ).distinct()
+    key_present = [_q(k).isNotNull() for k in keys]
+    cond = key_present[0]
+    for k in key_present[1:]:
+        cond = cond & k
+    right_keys = right.select(*[_q(k) for k in keys]).where(cond).distinct()
     unmatched = left.join(right_keys, keys, "left_anti")
     types = {f.name: f.dataType for f in right.schema.fields}
-    filled = unmatched.select(*left.columns, *[F.lit(None).cast(types[c]).alias(c) for c in right_only])
-    return matched.select(*filled.columns).unionByName(filled)
+    filled = unmatched.select(*[_q(c) for c in left.columns],
+                              *[F.lit(None).cast(types[c]).alias(c) for c in right_only])
+    return matched.select(*[_q(c) for c in filled.columns]).unionByName(filled)
 
 
 def semi_join(df: DataFrame, keys_df: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -21,7 +21,18 @@ from loanmart.operators.dedupe import keep_first
 from loanmart.operators.latest import last_match, latest_by_numeric_id
 from loanmart.operators.ordering import top_k_by
 from loanmart.operators.profile import extract_profile
+from loanmart.operators.upsert import upsert
+from loanmart.plans.alerts import BUILDERS_RISK, FLOOD, HOMEOWNERS, MATURITY, expiring_cases
+from loanmart.plans.draws import draw_report
 from loanmart.plans.lip import combine_lip
+from loanmart.plans.payroll import companies, email_addresses, workers
+from loanmart.plans.sync import core_value_patches
+from loanmart.plans.transactions import transaction_report
+from loanmart.operators.combine import union_all_by_name
+from loanmart.operators.nested import flatten_draws
+from loanmart.operators.validate import assert_no_error_documents, assert_pages_complete
+from loanmart.streaming.draw_events import new_cases
+from loanmart.functions.text import case_hash
 from loanmart.plans.reports import CASH_STATUS, INVESTOR_PORTFOLIO, WATCHLIST
 from loanmart.plans.spec import apply_spec
 from loanmart.sources.tables import table
@@ -462,6 +473,352 @@ SELECT upper('ls-' || s_suppkey), NULL, NULL, s_name, 'Mc{dquote}' || s_suppkey,
 FROM supplier"""
 
 
+# ---------------------------------------------------------------- Q-09 ----
+def q09_sorted_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """O1 + O2: first 1000 rows by closing date then fund, both ascending
+    with nulls last, ties broken by the newest id (a top-k: each task keeps
+    its own 1000, one merge)."""
+    o = table(spark, sf_dir, "orders").select(
+        "o_orderkey", "o_custkey", "o_totalprice",
+        F.when(F.col("o_orderstatus") != "F", F.col("o_orderdate")).alias("closing_date"),
+        F.nullif(F.col("o_orderpriority"), F.lit("5-LOW")).alias("fund"))
+    return top_k_by(o, [F.col("closing_date").asc_nulls_last(), F.col("fund").asc_nulls_last(),
+                        F.col("o_orderkey").desc()], 1000)
+
+
+_Q09_SQL = """
+SELECT o_orderkey, o_custkey, o_totalprice,
+  CASE WHEN o_orderstatus <> 'F' THEN o_orderdate END AS closing_date,
+  NULLIF(o_orderpriority, '5-LOW') AS fund
+FROM orders
+ORDER BY closing_date ASC NULLS LAST, fund ASC NULLS LAST, o_orderkey DESC
+LIMIT 1000"""
+
+
+# ---------------------------------------------------------------- Q-10 ----
+# Active-loan report landed from orders ⟕ customer; the four alerts (A1-A4)
+# each look at their own date heading.
+ALERT_AS_OF = _dt.date(1996, 6, 15)
+
+
+def landed_active_loans(orders: DataFrame, customer: DataFrame) -> DataFrame:
+    e = F.expr
+    j = orders.join(customer.select("c_custkey", "c_name", "c_mktsegment"),
+                    F.col("o_custkey") == F.col("c_custkey"), "left")
+    return j.select(
+        e("concat('LN-', o_orderkey)").alias("Loan Number"),
+        e("concat(o_orderkey, ' Cedar Ave')").alias("Property Address"),
+        e("CASE WHEN c_mktsegment = 'AUTOMOBILE' THEN NULL ELSE concat('First', o_custkey) END")
+        .alias("Borrower First Name"),
+        F.col("c_name").alias("Borrower Last Name"),
+        e("date_format(o_orderdate, 'MM/dd/yyyy')").alias("Current Loan Due Date"),
+        e("date_format(date_add(o_orderdate, 10), 'MM/dd/yyyy')").alias("Builder's Risk Insurance Expiration"),
+        e("CASE WHEN o_orderstatus = 'P' THEN 'unknown' "
+          "ELSE date_format(date_add(o_orderdate, 20), 'MM/dd/yyyy') END").alias("Flood Insurance Expiration Date"),
+        e("date_format(date_add(o_orderdate, -5), 'M/d/yyyy')").alias("Homeowners Insurance Expires Date"),
+    )
+
+
+def q10_expiring_in_30_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    loans = landed_active_loans(table(spark, sf_dir, "orders"), table(spark, sf_dir, "customer"))
+    return union_all_by_name([expiring_cases(loans, s, ALERT_AS_OF)
+                              for s in (MATURITY, BUILDERS_RISK, FLOOD, HOMEOWNERS)])
+
+
+def _q10_sql() -> str:
+    parts = []
+    for spec, shift, extra in ((MATURITY, 0, ""), (BUILDERS_RISK, 10, ""),
+                               (FLOOD, 20, " AND o_orderstatus <> 'P'"), (HOMEOWNERS, -5, "")):
+        subject = spec.subject.replace("'", "''").replace("%s", "' || 'LN-' || o_orderkey || '")
+        reason = spec.reason.replace("'", "''")
+        parts.append(f"""
+SELECT '{subject}' AS Subject, 'LN-' || o_orderkey AS Description, '' AS RecordTypeId, '' AS OwnerId,
+  '{reason}' AS Reason, 'LN-' || o_orderkey AS Loan_Number__c, o_orderkey || ' Cedar Ave' AS Address__Street__s,
+  CASE WHEN c_mktsegment = 'AUTOMOBILE' THEN NULL ELSE 'First' || o_custkey || ' ' || c_name END AS Borrower__c
+FROM orders LEFT JOIN customer ON o_custkey = c_custkey
+WHERE date_diff('day', DATE '{ALERT_AS_OF}', CAST(o_orderdate AS DATE) + {shift}) = 30{extra}""")
+    return "\nUNION ALL".join(parts)
+
+
+# ---------------------------------------------------------------- Q-11 ----
+TX_AS_OF = _dt.date(1998, 3, 31)
+
+
+def q11_two_month_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Accounts from customer, one transaction document per order."""
+    accounts = table(spark, sf_dir, "customer").select(F.col("c_custkey").cast("string").alias("id"))
+    e = F.expr
+    tx = table(spark, sf_dir, "orders").select(
+        e("CAST(o_custkey AS STRING)").alias("account_id"),
+        e("concat('LN-', o_orderkey)").alias("loanNumber"),
+        F.col("o_orderpriority").alias("transactionDescription"),
+        e("CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS STRING)").alias("debit"),
+        e("CASE WHEN o_orderstatus = 'F' THEN '0.00' END").alias("credit"),
+        F.col("o_orderstatus").alias("paymentType"),
+        e("date_format(o_orderdate, \"yyyy-MM-dd'T'HH:mm:ss.SSS'Z'\")").alias("transactionCreatedDate"),
+        e("date_format(date_add(o_orderdate, 3), \"yyyy-MM-dd'T'HH:mm:ss\")").alias("transactionEffectiveDate"))
+    return transaction_report(accounts, tx, TX_AS_OF)
+
+
+_Q11_SQL = f"""
+SELECT 'LN-' || o_orderkey AS loanNumber, o_orderpriority AS transactionDescription,
+  CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS VARCHAR) AS debit,
+  CASE WHEN o_orderstatus = 'F' THEN '0.00' END AS credit, o_orderstatus AS paymentType,
+  strftime(o_orderdate, '%m/%d/%y') AS transactionCreatedDate,
+  strftime(o_orderdate + INTERVAL 3 DAY, '%m/%d/%y') AS transactionEffectiveDate,
+  '{AS_OF_PACIFIC_TEXT.replace("2024-01-15T04:00:00", "1998-03-30T16:00:00")}' AS "timestamp"
+FROM orders
+WHERE CAST(o_orderdate AS DATE) BETWEEN DATE '1998-01-31' AND DATE '1998-03-31'
+  AND o_custkey IN (SELECT c_custkey FROM customer)"""
+
+
+# ---------------------------------------------------------------- Q-12 ----
+# Draw documents nested from orders (header) and lineitem (items): payee map
+# by supplier name -> list of item lists (one list per line status).  Each
+# document holds the lines of one order, as a landed draw does.
+def nested_draws(orders: DataFrame, lineitem: DataFrame, supplier: DataFrame) -> DataFrame:
+    e = F.expr
+    item = F.struct(
+        e("CAST(l_linenumber AS STRING)").alias("number"),
+        e("concat('Part ', l_partkey)").alias("description"),
+        F.col("l_returnflag").alias("subDescription"),
+        e("CAST(CAST(l_extendedprice AS DECIMAL(18,2)) AS STRING)").alias("requested"),
+        e("CAST(CAST(l_extendedprice AS DECIMAL(18,2)) * CAST(l_discount AS DECIMAL(4,2)) AS STRING)").alias("retainage"),
+        e("CAST(CAST(l_extendedprice AS DECIMAL(18,2)) * (1 - CAST(l_discount AS DECIMAL(4,2))) AS STRING)")
+        .alias("totalLessRetainage"))
+    lists = (lineitem.select("l_orderkey", "l_suppkey", "l_linestatus", item.alias("item"))
+             .groupBy("l_orderkey", "l_suppkey", "l_linestatus").agg(F.collect_list("item").alias("lst")))
+    payees = (lists.groupBy("l_orderkey", "l_suppkey").agg(F.collect_list("lst").alias("items"))
+              .join(supplier.select("s_suppkey", "s_name"), F.col("l_suppkey") == F.col("s_suppkey")))
+    by_draw = payees.groupBy("l_orderkey").agg(
+        F.map_from_entries(F.collect_list(F.struct("s_name", F.struct("items")))).alias("payee"))
+    return (orders.join(by_draw, F.col("o_orderkey") == F.col("l_orderkey"), "left")
+            .select(
+                e("CAST(o_orderkey AS STRING)").alias("id"),
+                e("concat('Customer#', o_custkey)").alias("requestedBy"),
+                e("concat('Draw ', o_orderkey)").alias("name"),
+                e("CASE WHEN o_orderstatus = 'P' THEN NULL ELSE o_orderpriority END").alias("type"),
+                e("CAST(o_custkey AS STRING)").alias("containerNumber"),
+                F.col("o_orderstatus").alias("status"),
+                e("date_format(o_orderdate, 'yyyy-MM-dd')").alias("createdDate"),
+                e("date_format(date_add(o_orderdate, 1), 'yyyy-MM-dd')").alias("submittedDate"),
+                F.lit(None).cast("string").alias("approvedDate"),
+                e("date_format(date_add(o_orderdate, 7), 'yyyy-MM-dd')").alias("effectiveDate"),
+                F.lit("F1").alias("folderId"),
+                F.to_json(F.struct("payee")).alias("lineItems")))
+
+
+def q12_draw_item_flatten(spark: SparkSession, sf_dir: str) -> DataFrame:
+    draws = nested_draws(table(spark, sf_dir, "orders"), table(spark, sf_dir, "lineitem"),
+                         table(spark, sf_dir, "supplier"))
+    return flatten_draws(draws)
+
+
+_Q12_ITEMS = """
+SELECT CAST(o_orderkey AS VARCHAR) AS draw_id, 'Customer#' || o_custkey AS requestedBy,
+  'Draw ' || o_orderkey AS name, CASE WHEN o_orderstatus = 'P' THEN NULL ELSE o_orderpriority END AS type,
+  CAST(o_custkey AS VARCHAR) AS containerNumber, o_orderstatus AS status,
+  strftime(o_orderdate, '%Y-%m-%d') AS createdDate,
+  strftime(o_orderdate + INTERVAL 1 DAY, '%Y-%m-%d') AS submittedDate,
+  CAST(NULL AS VARCHAR) AS approvedDate,
+  strftime(o_orderdate + INTERVAL 7 DAY, '%Y-%m-%d') AS effectiveDate, 'F1' AS folderId,
+  CAST(l_linenumber AS VARCHAR) AS "lineItems.number", s_name AS "payee.name",
+  'Part ' || l_partkey AS "lineItems.description", l_returnflag AS "lineItems.subDescription",
+  CAST(CAST(l_extendedprice AS DECIMAL(18,2)) AS VARCHAR) AS "lineItems.amount",
+  CAST(CAST(l_extendedprice AS DECIMAL(18,2)) * CAST(l_discount AS DECIMAL(4,2)) AS VARCHAR) AS "lineItems.retainage",
+  CAST(CAST(l_extendedprice AS DECIMAL(18,2)) * (1 - CAST(l_discount AS DECIMAL(4,2))) AS VARCHAR)
+    AS "lineItems.totalLessRetainage"
+FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN supplier ON l_suppkey = s_suppkey"""
+
+
+# ---------------------------------------------------------------- Q-13 ----
+# Draw report (R10): webhook runs made from events (one day, not FAILED,
+# one flow), loan fields from customer, draws from orders/lineitem.
+DRAW_AS_OF = _dt.datetime(2024, 1, 16, 9, 0, 0)
+DRAW_AS_OF_PACIFIC_TEXT = "2024-01-16T01:00:00"
+
+
+def runs_from_events(events: DataFrame) -> DataFrame:
+    e = F.expr
+    return events.select(
+        e("lpad(CAST(event_id AS STRING), 12, '0')").alias("id"),
+        e("CASE event_type WHEN 'error' THEN 'FAILED' WHEN 'signup' THEN NULL ELSE 'COMPLETED' END").alias("state_type"),
+        F.col("ts").alias("start_time"),
+        e("CASE WHEN event_type = 'view' THEN 'other-flow' ELSE 'draw-flow' END").alias("flow_id"),
+        e("CAST(user_id AS STRING)").alias("draw_id"),
+        e("CAST(user_id AS STRING)").alias("loan_id"),
+        F.col("event_type").alias("updated_status"))
+
+
+def q13_draw_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    runs = runs_from_events(table(spark, sf_dir, "events"))
+    loans = table(spark, sf_dir, "customer").select(
+        F.col("c_custkey").cast("string").alias("loan_id"),
+        F.concat(F.lit("LN-"), F.col("c_custkey")).alias("loanNumber"))
+    draws = nested_draws(table(spark, sf_dir, "orders"), table(spark, sf_dir, "lineitem"),
+                         table(spark, sf_dir, "supplier"))
+    return draw_report(runs, loans, draws, DRAW_AS_OF, flow_ids=["draw-flow"])
+
+
+_Q13_SQL = f"""
+WITH ev AS (
+  SELECT DISTINCT CAST(user_id AS VARCHAR) AS draw_id, CAST(user_id AS VARCHAR) AS loan_id, event_type AS updated_status
+  FROM events
+  WHERE ts >= TIMESTAMP '2024-01-15 00:00:00' AND ts < TIMESTAMP '2024-01-16 00:00:00'
+    AND event_type NOT IN ('error', 'view')),
+items AS ({_Q12_ITEMS})
+SELECT ev.draw_id, ev.loan_id, ev.updated_status, 'LN-' || c.c_custkey AS loanNumber,
+  '{DRAW_AS_OF_PACIFIC_TEXT}' AS "timestamp",
+  i.requestedBy, i.name, i.type, i.containerNumber, i.status, i.createdDate, i.submittedDate,
+  i.approvedDate, i.effectiveDate, i.folderId, i."lineItems.number", i."payee.name",
+  i."lineItems.description", i."lineItems.subDescription", i."lineItems.amount",
+  i."lineItems.retainage", i."lineItems.totalLessRetainage"
+FROM ev LEFT JOIN customer c ON ev.loan_id = CAST(c.c_custkey AS VARCHAR)
+LEFT JOIN items i ON ev.draw_id = i.draw_id"""
+
+
+# ---------------------------------------------------------------- Q-14 ----
+def q14_core_value_patches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Seven warehouse columns renamed by position, kept when the loan
+    already has values (here: the customer has orders), as JSON bodies."""
+    e = F.expr
+    raw = table(spark, sf_dir, "customer").select(
+        "c_custkey", "c_name", e("concat('CS-', c_custkey)"), "c_mktsegment",
+        e("CAST(c_acctbal AS DECIMAL(18,2))"), e("CAST(c_acctbal AS DECIMAL(18,2)) * 0.5"),
+        e("date_add(DATE'2024-01-01', c_nationkey)"))
+    existing = table(spark, sf_dir, "orders").select(F.col("o_custkey").cast("string").alias("lg_loan_id"))
+    return core_value_patches(raw, existing)
+
+
+_Q14_SQL = """
+SELECT CAST(c_custkey AS VARCHAR) AS target_id,
+  json_object('lg_loan_id', CAST(c_custkey AS VARCHAR), 'lg_loan_number', c_name,
+    'coreSystemLoanId', 'CS-' || c_custkey, 'coreSystemName', c_mktsegment,
+    'coreSystemLoanAmount', CAST(CAST(c_acctbal AS DECIMAL(18,2)) AS VARCHAR),
+    'coreSystemLoanBalance', CAST(CAST(c_acctbal AS DECIMAL(18,2)) * 0.5 AS VARCHAR),
+    'coreSystemLoanBalanceLastUpdated', CAST(DATE '2024-01-01' + c_nationkey AS VARCHAR))::VARCHAR AS body
+FROM customer WHERE EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey)"""
+
+
+# ---------------------------------------------------------------- Q-15 ----
+def q15_upsert_dimension(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K5 + V3: customers whose segment changed balance are updated,
+    suppliers arrive as new customers; every other customer stays."""
+    target = table(spark, sf_dir, "customer")
+    changed = target.where(F.col("c_mktsegment") == "BUILDING").withColumn("c_acctbal", F.col("c_acctbal") + 100)
+    new = table(spark, sf_dir, "supplier").select(
+        (F.col("s_suppkey") + 1000000).alias("c_custkey"), F.col("s_name").alias("c_name"),
+        F.col("s_nationkey").alias("c_nationkey"), F.col("s_acctbal").alias("c_acctbal"),
+        F.lit("SUPPLIER").alias("c_mktsegment"))
+    return upsert(target, changed.unionByName(new), ["c_custkey"])
+
+
+_Q15_SQL = """
+SELECT c_custkey, c_name, c_nationkey,
+  CASE WHEN c_mktsegment = 'BUILDING' THEN c_acctbal + 100 ELSE c_acctbal END AS c_acctbal, c_mktsegment
+FROM customer
+UNION ALL
+SELECT s_suppkey + 1000000, s_name, s_nationkey, s_acctbal, 'SUPPLIER' FROM supplier"""
+
+
+# ---------------------------------------------------------------- Q-16 ----
+# Payroll documents: companies from nation (one page per region), workers
+# from customer (pages of 50 per company, with the total), communications
+# from orders (one document per worker page of 50).
+PAGE_SIZE = 50
+
+
+def payroll_documents(nation: DataFrame, customer: DataFrame, orders: DataFrame):
+    e = F.expr
+    company_docs = (nation.groupBy("n_regionkey").agg(F.collect_list(F.struct(
+        e("CAST(n_nationkey AS STRING)").alias("companyId"), e("concat('D', n_nationkey)").alias("displayId"),
+        F.col("n_name").alias("legalName"))).alias("content"))
+        .select("content", F.lit(None).cast("string").alias("error"),
+                F.lit(None).cast("string").alias("error_description")))
+    totals = customer.groupBy("c_nationkey").agg(F.count(F.lit(1)).alias("total"))
+    worker = F.struct(
+        e("CAST(c_custkey AS STRING)").alias("workerId"), e("concat('E', c_custkey)").alias("employeeId"),
+        e("CASE WHEN c_mktsegment = 'AUTOMOBILE' THEN NULL "
+          "ELSE named_struct('givenName', concat('G', c_custkey), 'familyName', c_name) END").alias("name"),
+        e("named_struct('statusType', 'ACTIVE')").alias("currentStatus"))
+    worker_pages = (customer.groupBy("c_nationkey", F.floor(F.col("c_custkey") / PAGE_SIZE).alias("page"))
+                    .agg(F.collect_list(worker).alias("content"))
+                    .join(totals, "c_nationkey")
+                    .select(F.col("c_nationkey").cast("string").alias("companyId"), "content",
+                            F.struct(F.struct(F.col("total")).alias("pagination")).alias("metadata"),
+                            F.lit(None).cast("string").alias("error"),
+                            F.lit(None).cast("string").alias("error_description")))
+    comm = F.struct(
+        e("CAST(o_orderkey AS STRING)").alias("communicationId"),
+        e("CASE o_orderpriority WHEN '2-HIGH' THEN 'PHONE' WHEN '3-MEDIUM' THEN 'email' ELSE 'EMAIL' END").alias("type"),
+        e("CASE WHEN o_orderstatus = 'F' THEN 'PERSONAL' ELSE 'BUSINESS' END").alias("usageType"),
+        e("concat('C', o_orderkey, '@Example.COM')").alias("uri"))
+    communications = (orders.groupBy("o_custkey", F.floor(F.col("o_orderkey") / PAGE_SIZE).alias("page"))
+                      .agg(F.collect_list(comm).alias("content"))
+                      .select(F.col("o_custkey").cast("string").alias("workerId"), "content"))
+    return company_docs, worker_pages, communications
+
+
+def q16_payroll_flatten(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """R12 without the table writes: V5 + V4 checks, then e-mail rows (N7,
+    F7, C14) joined to workers (P10) and companies (P11) on the carried
+    parent keys (J6)."""
+    cd, wp, cm = payroll_documents(table(spark, sf_dir, "nation"), table(spark, sf_dir, "customer"),
+                                   table(spark, sf_dir, "orders"))
+    assert_no_error_documents(cd)
+    assert_pages_complete(wp, ["companyId"])
+    em = email_addresses(cm)
+    w = workers(wp).withColumnRenamed("id", "worker_id")
+    c = companies(cd)
+    return (em.join(w, "worker_id").join(c, "company_id")
+              .select("id", "worker_id", "type", "email", "employee_id", "first_name", "last_name",
+                      "status", "company_id", "legal_name"))
+
+
+_Q16_SQL = """
+SELECT CAST(o_orderkey AS VARCHAR) AS id, CAST(o_custkey AS VARCHAR) AS worker_id,
+  CASE WHEN o_orderstatus = 'F' THEN 'PERSONAL' ELSE 'BUSINESS' END AS type,
+  lower('C' || o_orderkey || '@Example.COM') AS email, 'E' || c_custkey AS employee_id,
+  CASE WHEN c_mktsegment = 'AUTOMOBILE' THEN NULL ELSE 'G' || c_custkey END AS first_name,
+  CASE WHEN c_mktsegment = 'AUTOMOBILE' THEN NULL ELSE c_name END AS last_name,
+  'ACTIVE' AS status, CAST(n_nationkey AS VARCHAR) AS company_id, n_name AS legal_name
+FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey
+WHERE o_orderpriority NOT IN ('2-HIGH', '3-MEDIUM')"""
+
+
+# ---------------------------------------------------------------- Q-17 ----
+CASES_FROM = _dt.datetime(2024, 1, 25)
+
+
+def q17_open_case_anti_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """C19 + J3: (loan, draw) pairs of late events become cases unless an
+    earlier event already opened one with the same hash; null parts are
+    spelled 'None' in the hash."""
+    ev = table(spark, sf_dir, "events").select(
+        F.col("ts"), F.col("user_id").cast("string").alias("Loan_Number__c"),
+        F.expr("CASE event_type WHEN 'error' THEN NULL WHEN 'view' THEN 'view' WHEN 'click' THEN 'click' "
+               "ELSE concat(event_type, '-', day(ts)) END").alias("Draw_ID__c"))
+    since = F.lit(CASES_FROM).cast("timestamp_ntz")
+    later = ev.where(F.col("ts") >= since).select(
+        case_hash(F.col("Loan_Number__c"), F.col("Draw_ID__c")).alias("case_hash"), "Loan_Number__c", "Draw_ID__c")
+    earlier = ev.where(F.col("ts") < since)
+    return new_cases(later, earlier)
+
+
+_Q17_SQL = """
+WITH pairs AS (
+  SELECT ts, CAST(user_id AS VARCHAR) AS l,
+    CASE event_type WHEN 'error' THEN NULL WHEN 'view' THEN 'view' WHEN 'click' THEN 'click'
+      ELSE event_type || '-' || day(ts) END AS d
+  FROM events),
+later AS (SELECT DISTINCT l, d FROM pairs WHERE ts >= TIMESTAMP '2024-01-25 00:00:00'),
+earlier AS (SELECT DISTINCT l, d FROM pairs WHERE ts < TIMESTAMP '2024-01-25 00:00:00')
+SELECT sha256(coalesce(l, 'None') || '-' || coalesce(d, 'None')) AS case_hash, l AS Loan_Number__c, d AS Draw_ID__c
+FROM later
+WHERE sha256(coalesce(l, 'None') || '-' || coalesce(d, 'None')) NOT IN
+  (SELECT sha256(coalesce(l, 'None') || '-' || coalesce(d, 'None')) FROM earlier)"""
+
+
 QUERIES = {
     "cash_status_report": q01_cash_status_report,
     "exact_decimal_report": q02_exact_decimal_report,
@@ -472,6 +829,15 @@ QUERIES = {
     "extract_profile": q07_extract_profile,
     "combine_two_sources": q08_combine_two_sources,
     "combine_funded_sources": q08b_combine_funded_sources,
+    "sorted_report": q09_sorted_report,
+    "expiring_in_30_days": q10_expiring_in_30_days,
+    "two_month_transactions": q11_two_month_transactions,
+    "draw_item_flatten": q12_draw_item_flatten,
+    "draw_report": q13_draw_report,
+    "core_value_patches": q14_core_value_patches,
+    "upsert_dimension": q15_upsert_dimension,
+    "payroll_flatten": q16_payroll_flatten,
+    "open_case_anti_join": q17_open_case_anti_join,
 }
 
 ORACLE_SQL = {
@@ -484,4 +850,13 @@ ORACLE_SQL = {
     "extract_profile": _Q07_SQL,
     "combine_two_sources": _q08_sql(False),
     "combine_funded_sources": _q08_sql(True),
+    "sorted_report": _Q09_SQL,
+    "expiring_in_30_days": _q10_sql(),
+    "two_month_transactions": _Q11_SQL,
+    "draw_item_flatten": _Q12_ITEMS,
+    "draw_report": _Q13_SQL,
+    "core_value_patches": _Q14_SQL,
+    "upsert_dimension": _Q15_SQL,
+    "payroll_flatten": _Q16_SQL,
+    "open_case_anti_join": _Q17_SQL,
 }
