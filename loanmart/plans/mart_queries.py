@@ -32,7 +32,14 @@ from loanmart.operators.combine import union_all_by_name
 from loanmart.operators.nested import flatten_draws
 from loanmart.operators.validate import assert_no_error_documents, assert_pages_complete
 from loanmart.streaming.draw_events import new_cases
-from loanmart.functions.text import case_hash
+from loanmart.functions.text import case_hash, has_label
+from loanmart.functions.dates import STAMP_FORMAT, utc_to_pacific
+from loanmart.operators.surrogate import add_surrogate_key
+from loanmart.plans.reports import MATURITY_DATES
+from loanmart.session import checkpoint_dir
+from loanmart.sources.sinks import prepare_append, read_csv_report, report_path, write_csv
+from loanmart.streaming.case_messages import case_fields, case_mail
+from loanmart.streaming.draw_events import DRAW_SUBMIT, start_draw_event_stream
 from loanmart.plans.reports import CASH_STATUS, INVESTOR_PORTFOLIO, WATCHLIST
 from loanmart.plans.spec import apply_spec
 from loanmart.sources.tables import table
@@ -819,6 +826,252 @@ WHERE sha256(coalesce(l, 'None') || '-' || coalesce(d, 'None')) NOT IN
   (SELECT sha256(coalesce(l, 'None') || '-' || coalesce(d, 'None')) FROM earlier)"""
 
 
+# ---------------------------------------------------------------- Q-18 ----
+# The draw webhook as a stream: events are read as a file stream
+# (availableNow), every call becomes (loan, status, draw); loans, draws and
+# open cases are static tables derived from customer and orders.
+def _draw_event_stream(spark: SparkSession, sf_dir: str):
+    events_schema = table(spark, sf_dir, "events").schema
+    stream = (spark.readStream.schema(events_schema).option("pathGlobFilter", "events.parquet")
+              .parquet(sf_dir))
+    status = (F.when(F.col("event_type") == "purchase", F.lit(" Draw Submit\n"))
+              .when(F.col("event_type") == "view", F.lit("draw submit"))
+              .when(F.col("event_type") == "click", F.lit("Draw Create"))
+              .otherwise(F.col("event_type")))
+    calls = stream.select(F.col("user_id").cast("string").alias("loan_id"), status.alias("updated_status"),
+                          F.col("user_id").cast("string").alias("draw_id"))
+    e = F.expr
+    customer = table(spark, sf_dir, "customer")
+    loans = customer.select(
+        e("CAST(c_custkey AS STRING)").alias("loan_id"), e("concat('LN-', c_custkey)").alias("loanNumber"),
+        e("CASE WHEN c_acctbal > 5000 THEN array('Accounting', c_mktsegment) ELSE array(c_mktsegment) END")
+        .alias("riskLabel"),
+        e("named_struct('firstName', CASE WHEN c_mktsegment = 'AUTOMOBILE' THEN NULL ELSE concat('F', c_custkey) END,"
+          " 'lastName', c_name)").alias("borrower"),
+        e("concat(c_custkey, ' Birch Rd')").alias("propertyAddress"))
+    draws = table(spark, sf_dir, "orders").select(
+        e("CAST(o_orderkey AS STRING)").alias("id"),
+        e("CASE WHEN o_orderstatus = 'P' THEN NULL ELSE o_orderpriority END").alias("type"))
+
+    def open_cases():
+        return (customer.select(e("concat('LN-', c_custkey)").alias("Loan_Number__c"),
+                                e("CAST(c_custkey AS STRING)").alias("Draw_ID__c"),
+                                e("CASE WHEN c_mktsegment = 'BUILDING' THEN 'New' ELSE 'Closed' END").alias("Status"))
+                .where(F.col("Status") == "New"))
+
+    import uuid
+    root = f"{checkpoint_dir(spark)}/draw-stream-{uuid.uuid4().hex}"
+    q = start_draw_event_stream(spark, calls, loans, draws, open_cases, f"{root}/cases", f"{root}/mails",
+                                f"{root}/checkpoint", status=DRAW_SUBMIT)
+    q.awaitTermination()
+    if q.exception() is not None:
+        raise q.exception()
+    return root
+
+
+def _read_outbox(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    try:
+        return spark.read.parquet(path).drop("batch_id")
+    except Exception:  # no batch wrote rows
+        return spark.createDataFrame([], schema)
+
+
+def q18_draw_event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    root = _draw_event_stream(spark, sf_dir)
+    return _read_outbox(spark, f"{root}/cases",
+                        "case_hash string, Subject string, Description string, Reason string, Loan_Number__c string,"
+                        " Address__Street__s string, Draw_ID__c string, Borrower__c string")
+
+
+def q18b_draw_event_mail(spark: SparkSession, sf_dir: str) -> DataFrame:
+    root = _draw_event_stream(spark, sf_dir)
+    return _read_outbox(spark, f"{root}/mails", "loan_id string, draw_id string, subject string, body string")
+
+
+_Q18_BASE = """
+WITH ev AS (
+  SELECT CAST(user_id AS VARCHAR) AS loan_id, CAST(user_id AS VARCHAR) AS draw_id,
+    CASE event_type WHEN 'purchase' THEN ' Draw Submit' || chr(10) WHEN 'view' THEN 'draw submit'
+      WHEN 'click' THEN 'Draw Create' ELSE event_type END AS updated_status
+  FROM events),
+lo AS (
+  SELECT CAST(c_custkey AS VARCHAR) AS loan_id, 'LN-' || c_custkey AS loanNumber, c_custkey || ' Birch Rd' AS addr,
+    CASE WHEN c_mktsegment = 'AUTOMOBILE' THEN NULL ELSE 'F' || c_custkey END AS fn, c_name AS ln,
+    c_acctbal > 5000 AS accounting, c_mktsegment AS seg
+  FROM customer),
+dr AS (
+  SELECT CAST(o_orderkey AS VARCHAR) AS draw_id, CASE WHEN o_orderstatus = 'P' THEN NULL ELSE o_orderpriority END AS draw_type
+  FROM orders),
+en AS (
+  SELECT ev.*, lo.*, dr.draw_type,
+    lower(regexp_replace(updated_status, '^\\s+|\\s+$', '', 'g')) = 'draw submit' AS submit
+  FROM ev LEFT JOIN lo USING (loan_id) LEFT JOIN dr USING (draw_id))"""
+
+_Q18_SQL = _Q18_BASE + """,
+cand AS (
+  SELECT DISTINCT sha256(coalesce(loanNumber, 'None') || '-' || coalesce(draw_id, 'None')) AS case_hash,
+    'Pending Draw Created in LG  Loan Number: ' || coalesce(loanNumber, 'None') AS Subject,
+    loanNumber AS Description, 'Draw' AS Reason, loanNumber AS Loan_Number__c, addr AS Address__Street__s,
+    draw_id AS Draw_ID__c, coalesce(fn, '') || ' ' || coalesce(ln, '') AS Borrower__c
+  FROM en WHERE submit AND draw_type IS NOT NULL)
+SELECT * FROM cand
+WHERE case_hash NOT IN (SELECT sha256('LN-' || c_custkey || '-' || c_custkey) FROM customer WHERE c_mktsegment = 'BUILDING')"""
+
+_Q18B_SQL = _Q18_BASE + """
+SELECT loan_id, draw_id, 'Draw Change for ' || loanNumber AS subject,
+  'Loan Number: ' || loanNumber || chr(10) || 'Risk Label(s): ' ||
+  CASE WHEN accounting THEN '[''Accounting'', ''' || seg || ''']' ELSE '[''' || seg || ''']' END ||
+  chr(10) || 'Updated Status: ' || updated_status AS body
+FROM en WHERE submit AND accounting"""
+
+
+# ---------------------------------------------------------------- Q-19 ----
+# Outbound case messages (SOAP-shaped XML, default and prefixed namespaces)
+# built from customer; Borrower__c is missing for one segment.
+def case_messages(customer: DataFrame) -> DataFrame:
+    borrower = F.when(F.col("c_mktsegment") == "MACHINERY", F.lit("")).otherwise(
+        F.concat(F.lit("<sf:Borrower__c>"), F.col("c_name"), F.lit("</sf:Borrower__c>")))
+    xml = F.concat(
+        F.lit('<?xml version="1.0" encoding="UTF-8"?>'
+              '<soapenv:Envelope xmlns:soapenv="http://schemas.xmlsoap.org/soap/envelope/"><soapenv:Body>'
+              '<notifications xmlns="urn:example:outbound"><OrganizationId>ORG-'), F.col("c_nationkey"),
+        F.lit("</OrganizationId><ActionId>ACT-1</ActionId><SessionId xsi:nil=\"true\" "
+              "xmlns:xsi=\"http://www.w3.org/2001/XMLSchema-instance\"/><EnterpriseUrl>https://example.invalid/e/"),
+        F.col("c_nationkey"), F.lit("</EnterpriseUrl><PartnerUrl>https://example.invalid/p/"), F.col("c_nationkey"),
+        F.lit("</PartnerUrl><Notification><Id>N-"), F.col("c_custkey"),
+        F.lit('</Id><sObject xsi:type="sf:Case" xmlns:sf="urn:example:sobject" '
+              'xmlns:xsi="http://www.w3.org/2001/XMLSchema-instance"><sf:Id>CASE-'), F.col("c_custkey"),
+        F.lit("</sf:Id>"), borrower,
+        F.lit("<sf:CaseNumber>"), F.lpad(F.col("c_custkey").cast("string"), 8, "0"),
+        F.lit("</sf:CaseNumber><sf:RecordTypeId>RT-"), F.col("c_mktsegment"),
+        F.lit("</sf:RecordTypeId><sf:Status>New</sf:Status></sObject></Notification></notifications>"
+              "</soapenv:Body></soapenv:Envelope>"))
+    return customer.select(xml.alias("xml"))
+
+
+def q19_xml_case_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return case_mail(case_fields(case_messages(table(spark, sf_dir, "customer"))))
+
+
+_Q19_SQL = """
+WITH f AS (
+  SELECT 'ORG-' || c_nationkey AS org_id, 'ACT-1' AS action_id,
+    'https://example.invalid/e/' || c_nationkey AS enterprise_url,
+    'https://example.invalid/p/' || c_nationkey AS partner_url,
+    'N-' || c_custkey AS notification_id, 'CASE-' || c_custkey AS case_id,
+    CASE WHEN c_mktsegment = 'MACHINERY' THEN NULL ELSE c_name END AS borrower,
+    lpad(CAST(c_custkey AS VARCHAR), 8, '0') AS case_number, 'RT-' || c_mktsegment AS record_type_id,
+    'New' AS status
+  FROM customer)
+SELECT *, ' SF CASE: ' || case_number AS subject,
+  'Organization ID: ' || org_id || 'Action ID: ' || action_id || 'Enterprise URL: ' || enterprise_url ||
+  'Partner URL: ' || partner_url || 'Notification ID: ' || notification_id || 'Case ID: ' || case_id ||
+  'Borrower: ' || coalesce(borrower, 'None') || 'Case Number: ' || case_number ||
+  'Record Type ID: ' || record_type_id || 'Status: ' || status AS body
+FROM f"""
+
+
+# ---------------------------------------------------------------- Q-20 ----
+def q20_surrogate_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """1, 2, 3, ... in name order, without a single-task window."""
+    return add_surrogate_key(table(spark, sf_dir, "customer"), ["c_name"], "unique_id")
+
+
+_Q20_SQL = """
+SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment,
+  row_number() OVER (ORDER BY c_name, c_custkey, c_nationkey, c_acctbal, c_mktsegment) AS unique_id
+FROM customer"""
+
+
+# ---------------------------------------------------------------- Q-21 ----
+def q21_label_membership(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """per user, the set of event types as labels and membership tests.
+    The set per user is bounded by the label domain and merged map-side."""
+    labels = table(spark, sf_dir, "events").groupBy("user_id").agg(F.collect_set("event_type").alias("labels"))
+    return labels.select("user_id", has_label("labels", "purchase").alias("has_purchase"),
+                         has_label("labels", "error").alias("has_error"),
+                         F.size("labels").alias("n_labels"))
+
+
+_Q21_SQL = """
+SELECT user_id, bool_or(event_type = 'purchase') AS has_purchase, bool_or(event_type = 'error') AS has_error,
+  CAST(count(DISTINCT event_type) AS INTEGER) AS n_labels
+FROM events GROUP BY user_id"""
+
+
+# ---------------------------------------------------------------- Q-22 ----
+def q22_append_without_blank_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K4's row preparation: upload date filled (P13), blank keys dropped,
+    null keys kept (K6, Q17)."""
+    e = F.expr
+    df = table(spark, sf_dir, "customer").select(
+        e("CASE c_mktsegment WHEN 'HOUSEHOLD' THEN '' WHEN 'MACHINERY' THEN NULL "
+          "ELSE concat('LN-', c_custkey) END").alias("loan_number"),
+        F.col("c_name").alias("borrower"),
+        e("CASE WHEN c_nationkey < 5 THEN TIMESTAMP_NTZ'2023-12-31 08:00:00' END").alias("upload_date"))
+    return prepare_append(df, AS_OF)
+
+
+_Q22_SQL = f"""
+SELECT loan_number, borrower, coalesce(upload_date, TIMESTAMP '{AS_OF}') AS upload_date FROM (
+  SELECT CASE c_mktsegment WHEN 'HOUSEHOLD' THEN '' WHEN 'MACHINERY' THEN NULL ELSE 'LN-' || c_custkey END AS loan_number,
+    c_name AS borrower,
+    CASE WHEN c_nationkey < 5 THEN TIMESTAMP '2023-12-31 08:00:00' END AS upload_date
+  FROM customer)
+WHERE loan_number IS NULL OR loan_number <> ''"""
+
+
+# ---------------------------------------------------------------- Q-23 ----
+def q23_pacific_stamp(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """D10 + P12 + D9: UTC wall clock to Pacific, as value and as texts."""
+    ev = table(spark, sf_dir, "events").select("event_id", utc_to_pacific("ts").alias("ts_pacific"))
+    return ev.select("event_id", "ts_pacific",
+                     F.date_format("ts_pacific", STAMP_FORMAT).alias("stamp"),
+                     F.date_format("ts_pacific", "MM-yy").alias("month_folder"),
+                     F.date_format("ts_pacific", "MMddyy").alias("day_suffix"))
+
+
+_Q23_SQL = """
+WITH p AS (SELECT event_id, timezone('America/Los_Angeles', timezone('UTC', ts)) AS ts_pacific FROM events)
+SELECT event_id, ts_pacific, strftime(ts_pacific, '%Y-%m-%dT%H:%M:%S') AS stamp,
+  strftime(ts_pacific, '%m-%y') AS month_folder, strftime(ts_pacific, '%m%d%y') AS day_suffix
+FROM p"""
+
+
+# ---------------------------------------------------------------- Q-24 ----
+def landed_maturity(orders: DataFrame) -> DataFrame:
+    e = F.expr
+    return orders.select(
+        e("concat('LN-', o_orderkey)").alias("Loan Number"),
+        e("concat('Customer ', o_custkey)").alias("Borrower"),
+        e("CASE WHEN o_orderstatus = 'P' THEN '' ELSE concat(o_orderkey, ' Oak St') END").alias("Property Address"),
+        F.col("o_orderpriority").alias("Loan Program"),
+        F.when(F.col("o_orderstatus") != "F", F.lit('note "quoted", ok')).alias("Pinned Note"),
+        e("date_format(o_orderdate, 'MM/dd/yyyy')").alias("Loan Funded Date"),
+        e("date_format(add_months(o_orderdate, 12), 'M/d/yyyy')").alias("Current Loan Due Date"))
+
+
+def q24_dated_csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """R2 -> K1 at the K3 path under the shared checkpoint folder -> read
+    back with the report's schema ('' and null both come back null)."""
+    import uuid
+    report = apply_spec(landed_maturity(table(spark, sf_dir, "orders")), MATURITY_DATES, AS_OF)
+    root = f"{checkpoint_dir(spark)}/reports-{uuid.uuid4().hex}"
+    path = report_path(root, "maturity_dates", AS_OF, folder="loans")
+    write_csv(report, path)
+    return read_csv_report(spark, path, report.schema)
+
+
+_Q24_SQL = f"""
+SELECT 'LN-' || o_orderkey AS loan_number, 'Customer ' || o_custkey AS borrower,
+  CASE WHEN o_orderstatus = 'P' THEN NULL ELSE o_orderkey || ' Oak St' END AS property_address,
+  o_orderpriority AS loan_program,
+  CASE WHEN o_orderstatus <> 'F' THEN 'note "quoted", ok' END AS pinned_note,
+  o_orderdate AS loan_funded_date, CAST(o_orderdate + INTERVAL 12 MONTH AS TIMESTAMP) AS current_loan_due_date,
+  '{AS_OF_PACIFIC_TEXT}' AS "timestamp"
+FROM orders"""
+
+
 QUERIES = {
     "cash_status_report": q01_cash_status_report,
     "exact_decimal_report": q02_exact_decimal_report,
@@ -838,6 +1091,14 @@ QUERIES = {
     "upsert_dimension": q15_upsert_dimension,
     "payroll_flatten": q16_payroll_flatten,
     "open_case_anti_join": q17_open_case_anti_join,
+    "draw_event_stream": q18_draw_event_stream,
+    "draw_event_mail": q18b_draw_event_mail,
+    "xml_case_fields": q19_xml_case_fields,
+    "surrogate_key": q20_surrogate_key,
+    "label_membership": q21_label_membership,
+    "append_without_blank_keys": q22_append_without_blank_keys,
+    "pacific_stamp": q23_pacific_stamp,
+    "dated_csv_roundtrip": q24_dated_csv_roundtrip,
 }
 
 ORACLE_SQL = {
@@ -859,4 +1120,12 @@ ORACLE_SQL = {
     "upsert_dimension": _Q15_SQL,
     "payroll_flatten": _Q16_SQL,
     "open_case_anti_join": _Q17_SQL,
+    "draw_event_stream": _Q18_SQL,
+    "draw_event_mail": _Q18B_SQL,
+    "xml_case_fields": _Q19_SQL,
+    "surrogate_key": _Q20_SQL,
+    "label_membership": _Q21_SQL,
+    "append_without_blank_keys": _Q22_SQL,
+    "pacific_stamp": _Q23_SQL,
+    "dated_csv_roundtrip": _Q24_SQL,
 }
