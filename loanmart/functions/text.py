@@ -16,9 +16,14 @@ QUOTE_CHARS = "'\""
 HASH_NULL_TEXT = "None"
 HASH_SEPARATOR = "-"
 
-# Leading/trailing whitespace in the Unicode sense (what Python's str.strip
-# removes); SQL trim only removes blanks.
-_EDGE_WS = r"(?U)^\s+|\s+$"
+# Every character Python's str.strip() removes (str.isspace):
+# TAB LF VT FF CR, FS GS RS US, SPACE, NEL, NO-BREAK SPACE, OGHAM SPACE MARK,
+# EN QUAD .. HAIR SPACE (U+2000-U+200A), LINE SEPARATOR, PARAGRAPH SEPARATOR,
+# NARROW NO-BREAK SPACE, MEDIUM MATHEMATICAL SPACE, IDEOGRAPHIC SPACE.
+# SQL trim() only removes blanks; btrim over this set is a plain scan, no regex.
+PY_WHITESPACE = ("\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680"
+                 "\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+                 "\u2028\u2029\u202f\u205f\u3000")
 
 
 def _c(col) -> Column:
@@ -27,7 +32,7 @@ def _c(col) -> Column:
 
 def py_strip(col) -> Column:
     """Trim Unicode whitespace at both ends; null stays null."""
-    return F.regexp_replace(_c(col), _EDGE_WS, "")
+    return F.btrim(_c(col), F.lit(PY_WHITESPACE))
 
 
 def clean_symbols(col, chars: str = MONEY_CHARS_WITH_BLANK) -> Column:

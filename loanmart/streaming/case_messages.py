@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from loanmart.functions.xml import xml_field
 
@@ -23,8 +24,44 @@ CASE_FIELDS = (
 MAIL_SUBJECT = " SF CASE: %s"
 
 
+def _strings(*names: str) -> list[T.StructField]:
+    return [T.StructField(n, T.StringType()) for n in names]
+
+
+# The outbound-message shape (Envelope/Body/notifications/
+# Notification/sObject) with the fields read from it.
+MESSAGE_SCHEMA = T.StructType([T.StructField("Body", T.StructType([T.StructField("notifications", T.StructType(
+    _strings("OrganizationId", "ActionId", "EnterpriseUrl", "PartnerUrl")
+    + [T.StructField("Notification", T.StructType(
+        _strings("Id") + [T.StructField("sObject", T.StructType(
+            _strings("Id", "Borrower__c", "CaseNumber", "RecordTypeId", "Status")))]))]))]))])
+_PATHS = {
+    "org_id": "Body.notifications.OrganizationId", "action_id": "Body.notifications.ActionId",
+    "enterprise_url": "Body.notifications.EnterpriseUrl", "partner_url": "Body.notifications.PartnerUrl",
+    "notification_id": "Body.notifications.Notification.Id",
+    "case_id": "Body.notifications.Notification.sObject.Id",
+    "borrower": "Body.notifications.Notification.sObject.Borrower__c",
+    "case_number": "Body.notifications.Notification.sObject.CaseNumber",
+    "record_type_id": "Body.notifications.Notification.sObject.RecordTypeId",
+    "status": "Body.notifications.Notification.sObject.Status",
+}
+
+
 def case_fields(messages: DataFrame, xml_col: str = "xml") -> DataFrame:
-    """The ten fields of each message (missing -> null)."""
+    """The ten fields of each message (missing or empty -> null).
+
+    Each message is parsed once (``from_xml`` with namespaces ignored, the
+    way the source looks elements up by local name); ten XPath calls would
+    parse it ten times."""
+    m = F.from_xml(F.col(xml_col), MESSAGE_SCHEMA, {"ignoreNamespace": "true", "rowTag": "Envelope"}).alias("m")
+    parsed = messages.select(m)
+    return parsed.select(*[F.nullif(F.col(f"m.{_PATHS[name]}"), F.lit("")).alias(name)
+                           for name, _, _ in CASE_FIELDS])
+
+
+def case_fields_anywhere(messages: DataFrame, xml_col: str = "xml") -> DataFrame:
+    """N6 for messages of unknown shape: each field by local name at any
+    depth (XPath; one parse per field)."""
     return messages.select(*[xml_field(xml_col, *path).alias(name) for name, path, _ in CASE_FIELDS])
 
 
