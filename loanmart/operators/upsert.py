@@ -62,12 +62,15 @@ def upsert_table(spark: SparkSession, table: str, source: DataFrame, key: Sequen
     The merged state is written as a new table and swapped in by rename, so
     the table being read is never overwritten while it is read.
     """
+    staged = f"{table}__next"
+    if not spark.catalog.tableExists(table) and spark.catalog.tableExists(staged):
+        # a previous run died between drop and rename: finish its swap
+        spark.sql(f"ALTER TABLE {staged} RENAME TO {table}")
     if not spark.catalog.tableExists(table):
         (upsert(source.limit(0), source, key, **kw)
          .write.mode("errorifexists").format("parquet").saveAsTable(table))
         return
     merged = upsert(spark.table(table), source, key, **kw)
-    staged = f"{table}__next"
     spark.sql(f"DROP TABLE IF EXISTS {staged}")
     merged.write.mode("errorifexists").format("parquet").saveAsTable(staged)
     spark.sql(f"DROP TABLE {table}")

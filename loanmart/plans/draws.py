@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from loanmart.functions.dates import pacific_stamp
 from loanmart.operators.dedupe import keep_first
-from loanmart.operators.joins import left_join_skew_safe, semi_join
+from loanmart.operators.joins import semi_join
 from loanmart.operators.nested import flatten_draws
 from loanmart.operators.validate import require_columns
 
@@ -55,7 +55,14 @@ def draw_report(runs: DataFrame, loan_fields: DataFrame, draws: DataFrame, as_of
                 run_id: str = "id", **kw) -> DataFrame:
     """Events ⟕ loans (J1) -> listed columns + stamp (P7, P12) ->
     draws of those events only (J8) flattened (N1-N4) -> ⟕ on draw id as
-    text (J2, Q11)."""
+    text (J2, Q11).
+
+    Rows per draw id are bounded on both sides of J2: the events are
+    de-duplicated to one row per (draw, loan, status) and the items of a
+    draw come from one landed document.  A plain left join therefore
+    suffices (AQE may still split a large left partition); the right side
+    is computed once.  ``left_join_skew_safe`` is for inputs without such a
+    bound."""
     events = draw_events(runs, as_of, run_id=run_id, **kw)
     loans = loan_fields.select(F.col("loan_id"), F.col("loanNumber")).where(F.col("loan_id").isNotNull())
     merged = (events.join(loans, "loan_id", "left")
@@ -63,4 +70,4 @@ def draw_report(runs: DataFrame, loan_fields: DataFrame, draws: DataFrame, as_of
                             "loanNumber", pacific_stamp(as_of).alias("timestamp")))
     wanted = draws.withColumn("id", F.col("id").cast("string"))
     wanted = semi_join(wanted, merged.select(F.col("draw_id").alias("id")), ["id"])
-    return left_join_skew_safe(merged, flatten_draws(wanted), ["draw_id"])
+    return merged.join(flatten_draws(wanted), "draw_id", "left")
