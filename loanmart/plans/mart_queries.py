@@ -593,12 +593,16 @@ def nested_draws(orders: DataFrame, lineitem: DataFrame, supplier: DataFrame) ->
         e("CAST(CAST(l_extendedprice AS DECIMAL(18,2)) * CAST(l_discount AS DECIMAL(4,2)) AS STRING)").alias("retainage"),
         e("CAST(CAST(l_extendedprice AS DECIMAL(18,2)) * (1 - CAST(l_discount AS DECIMAL(4,2))) AS STRING)")
         .alias("totalLessRetainage"))
-    lists = (lineitem.select("l_orderkey", "l_suppkey", "l_linestatus", item.alias("item"))
-             .groupBy("l_orderkey", "l_suppkey", "l_linestatus").agg(F.collect_list("item").alias("lst")))
-    payees = (lists.groupBy("l_orderkey", "l_suppkey").agg(F.collect_list("lst").alias("items"))
-              .join(supplier.select("s_suppkey", "s_name"), F.col("l_suppkey") == F.col("s_suppkey")))
-    by_draw = payees.groupBy("l_orderkey").agg(
-        F.map_from_entries(F.collect_list(F.struct("s_name", F.struct("items")))).alias("payee"))
+    # One aggregation per draw (one shuffle); payees and their item lists
+    # are shaped inside each document with higher-order functions.
+    lines = (lineitem.join(supplier.select("s_suppkey", "s_name"), F.col("l_suppkey") == F.col("s_suppkey"))
+             .select("l_orderkey", F.struct(F.col("s_name").alias("p"), F.col("l_linestatus").alias("st"),
+                                            item.alias("it")).alias("x")))
+    by_draw = lines.groupBy("l_orderkey").agg(F.collect_list("x").alias("xs")).select(
+        "l_orderkey",
+        F.expr("""map_from_entries(transform(array_distinct(transform(xs, x -> x.p)), n -> struct(n,
+                    named_struct('items', transform(array_distinct(transform(filter(xs, x -> x.p = n), x -> x.st)),
+                      s -> transform(filter(xs, x -> x.p = n AND x.st = s), x -> x.it))))))""").alias("payee"))
     return (orders.join(by_draw, F.col("o_orderkey") == F.col("l_orderkey"), "left")
             .select(
                 e("CAST(o_orderkey AS STRING)").alias("id"),
