@@ -40,3 +40,12 @@ def last_match(df: DataFrame, group_cols: Sequence[str], value_col: str,
     overwriting leaves the last match)."""
     return (df.groupBy(*group_cols)
               .agg(F.max_by(F.col(value_col), F.col(position_col)).alias(value_col)))
+
+
+def template_id(templates: DataFrame, name: str) -> str:
+    """S3 + F2 + G2: id of the last template item with this name (a loop
+    that keeps overwriting leaves the last one); raises when none (Q20)."""
+    row = last_match(templates.where(F.col("name") == name), ["name"], "id", "pos").first()
+    if row is None:
+        raise LookupError(f"no template named {name!r}")
+    return row["id"]

@@ -7,6 +7,7 @@ documents); the cleaning rules per report follow SURVEY §2.10.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from loanmart.functions.text import MONEY_CHARS
 from loanmart.operators.latest import latest_report_id
@@ -123,3 +124,14 @@ def report_extract(spark: SparkSession, catalogue: DataFrame, documents_root: st
     report_id = latest_report_id(catalogue, spec.name)
     raw = read_report_document(spark, f"{documents_root}/{report_id}")
     return apply_spec(raw, spec, as_of)
+
+
+def loan_id_report(loan_items: DataFrame, as_of=None) -> DataFrame:
+    """Active-loan items (S4) -> flat headings with '' for a missing
+    borrower part (P9) -> LOAN_IDS spec (F1, C1, C8, P1) + stamp (P12)."""
+    landed = loan_items.select(
+        F.col("id").cast("string").alias("Land Gorilla Loan ID"),
+        F.col("fileNumber").alias("Loan Number"),
+        F.coalesce(F.col("borrower.firstName"), F.lit("")).alias("First Name"),
+        F.coalesce(F.col("borrower.lastName"), F.lit("")).alias("Last Name / Business"))
+    return apply_spec(landed, LOAN_IDS, as_of)

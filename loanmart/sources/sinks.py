@@ -82,3 +82,10 @@ def patch_bodies(df: DataFrame, id_col: str) -> DataFrame:
     """K9 + P15: one JSON body per row, keyed by the row's id."""
     return df.select(F.col(id_col).alias("target_id"),
                      F.to_json(F.struct(*[F.col(c) for c in df.columns])).alias("body"))
+
+
+def report_mail(spark: SparkSession, subject: str, body: str, attachment_path: str) -> DataFrame:
+    """The outbox row for a report e-mail; the attachment is the K1/K2
+    output at ``attachment_path`` (the sender reads and encodes it)."""
+    return spark.createDataFrame([(subject, body, attachment_path)],
+                                 "subject string, body string, attachment_path string")

@@ -225,3 +225,23 @@ def test_report_schema_reader(spark, tmpdir_path):
     df = read_report_document(spark, f"{tmpdir_path}/r", ["Loan Number", "% DISB"])
     assert df.columns == ["Loan Number", "% DISB"] and df.first()["% DISB"] == "5 %"
     assert report_rows_schema(["a"]).simpleString().startswith("struct<data:struct<Current Report")
+
+
+def test_loan_id_report_and_template_and_mail(spark, tmpdir_path):
+    from loanmart.operators.latest import template_id
+    from loanmart.plans.reports import loan_id_report
+    from loanmart.sources.documents import read_templates
+    from loanmart.sources.sinks import report_mail, report_path
+    write_json(f"{tmpdir_path}/l/p.json", {"data": {"items": [
+        {"id": "7", "fileNumber": "F7", "borrower": {"firstName": "Jo Ann"}}, {"id": "8", "fileNumber": None}]}})
+    rows = loan_id_report(read_loan_list(spark, f"{tmpdir_path}/l"), AS_OF).collect()
+    assert [(r.land_gorilla_loan_id, r.loan_number, r.first_name, r.last_name_and_or_business, r.timestamp)
+            for r in rows] == [("7", "F7", "JoAnn", "", "2024-01-15T04:00:00")]
+    write_json(f"{tmpdir_path}/t/t.json", {"data": {"items": [
+        {"id": "1", "name": "AccountingAllActiveLoans"}, {"id": "2", "name": "Other"},
+        {"id": "3", "name": "AccountingAllActiveLoans"}]}})
+    assert template_id(read_templates(spark, f"{tmpdir_path}/t"), "AccountingAllActiveLoans") == "3"
+    path = report_path("/reports", "lip_combined", AS_OF)
+    assert path == "/reports/01-24/lip_combined_011524.csv"
+    assert report_path("/r", "draws", AS_OF, folder="f", with_time=True) == "/r/f/01-24/draws_011524_120000.csv"
+    assert report_mail(spark, "s", "b", path).first().attachment_path == path
