@@ -22,16 +22,29 @@ def _c(col) -> Column:
     return F.col(col) if isinstance(col, str) else col
 
 
-def _lit_ts(as_of) -> Column:
+def ts_literal(as_of) -> Column:
+    """A wall-clock ``timestamp_ntz`` literal.  Built from text: a Python
+    datetime literal would be read in the session time zone."""
     if isinstance(as_of, Column):
         return as_of
     if isinstance(as_of, _dt.datetime):
-        return F.lit(as_of.replace(tzinfo=None)).cast("timestamp_ntz")
+        return F.lit(as_of.replace(tzinfo=None).isoformat(sep=" ")).cast("timestamp_ntz")
     if isinstance(as_of, _dt.date):
-        return F.lit(as_of).cast("timestamp_ntz")
+        return F.lit(as_of.isoformat()).cast("timestamp_ntz")
     return F.lit(str(as_of)).cast("timestamp_ntz")
 
 
+_lit_ts = ts_literal
+
+
+def utc_wall_clock(col) -> Column:
+    """An instant (``timestamp``) as its UTC wall-clock ``timestamp_ntz``,
+    exactly and whatever the session time zone; NTZ passes through."""
+    c = _c(col)
+    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    return F.timestamp_add("MICROSECOND", F.unix_micros(c), epoch)
+
+
 def parse_timestamp(col, fmt: str = DEFAULT_DATE_FORMAT) -> Column:
     """Strict parse; '' and null -> null; other bad text raises (ANSI)."""
     return F.to_timestamp_ntz(F.nullif(_c(col), F.lit("")), F.lit(fmt))
@@ -45,11 +58,11 @@ def parse_date(col, fmt: str = DEFAULT_DATE_FORMAT) -> Column:
 def try_parse_timestamp(col, formats: Sequence[str] = (DEFAULT_DATE_FORMAT,)) -> Column:
     """First format that parses wins; bad text -> null.
 
-    try_to_timestamp yields a session-zone timestamp; casting it back to
-    timestamp_ntz in the same zone returns the written wall-clock value.
-    """
+    ``try_to_timestamp`` decides whether the text parses; the value is then
+    parsed as wall-clock ``timestamp_ntz`` (no session-zone round trip)."""
     c = _c(col)
-    return F.coalesce(*[F.try_to_timestamp(c, F.lit(f)).cast("timestamp_ntz") for f in formats])
+    return F.coalesce(*[F.when(F.try_to_timestamp(c, F.lit(f)).isNotNull(), F.to_timestamp_ntz(c, F.lit(f)))
+                        for f in formats])
 
 
 def days_until(col, as_of) -> Column:

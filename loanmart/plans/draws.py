@@ -9,7 +9,9 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loanmart.functions.dates import pacific_stamp
+from pyspark.sql import types as T
+
+from loanmart.functions.dates import pacific_stamp, ts_literal, utc_wall_clock
 from loanmart.operators.dedupe import keep_first
 from loanmart.operators.joins import semi_join
 from loanmart.operators.nested import flatten_draws
@@ -32,8 +34,10 @@ def runs_of_day(runs: DataFrame, as_of, flow_ids: Sequence[str] | None = None,
     FAILED (null state kept), of the given flows.  All three are plain
     predicates, pushed into the scan."""
     lo, hi = day_before(as_of)
-    t = F.col(time_col).cast("timestamp_ntz")
-    out = runs.where((t >= F.lit(lo).cast("timestamp_ntz")) & (t < F.lit(hi).cast("timestamp_ntz")))
+    t = F.col(time_col)
+    if isinstance(runs.schema[time_col].dataType, T.TimestampType):
+        t = utc_wall_clock(t)          # zoned instants -> UTC day, any session zone
+    out = runs.where((t >= ts_literal(lo)) & (t < ts_literal(hi)))
     if "state_type" in runs.columns:
         out = out.where(~F.col("state_type").eqNullSafe(F.lit(FAILED)))
     if flow_ids:

@@ -809,7 +809,7 @@ def q17_open_case_anti_join(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("ts"), F.col("user_id").cast("string").alias("Loan_Number__c"),
         F.expr("CASE event_type WHEN 'error' THEN NULL WHEN 'view' THEN 'view' WHEN 'click' THEN 'click' "
                "ELSE concat(event_type, '-', day(ts)) END").alias("Draw_ID__c"))
-    since = F.lit(CASES_FROM).cast("timestamp_ntz")
+    since = F.lit(CASES_FROM.isoformat(sep=" ")).cast("timestamp_ntz")
     later = ev.where(F.col("ts") >= since).select(
         case_hash(F.col("Loan_Number__c"), F.col("Draw_ID__c")).alias("case_hash"), "Loan_Number__c", "Draw_ID__c")
     earlier = ev.where(F.col("ts") < since)

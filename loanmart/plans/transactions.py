@@ -15,7 +15,8 @@ MONTHS_BACK = 2
 
 def window_bounds(as_of: _dt.date, months: int = MONTHS_BACK):
     """[as_of - months, as_of] as Spark date literals (month-end clamp)."""
-    d = F.lit(as_of).cast("date")
+    day = as_of.date() if isinstance(as_of, _dt.datetime) else as_of
+    d = F.lit(day.isoformat()).cast("date")
     return F.add_months(d, -months), d
 
 

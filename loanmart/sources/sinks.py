@@ -52,7 +52,8 @@ def without_blank_keys(df: DataFrame, key: str = "loan_number") -> DataFrame:
 
 def with_upload_date(df: DataFrame, as_of) -> DataFrame:
     """``upload_date`` set when absent, nulls filled when present."""
-    stamp = F.lit(as_of).cast("timestamp_ntz")
+    from loanmart.functions.dates import ts_literal
+    stamp = ts_literal(as_of)
     if "upload_date" in df.columns:
         return df.withColumn("upload_date", F.coalesce(F.col("upload_date").cast("timestamp_ntz"), stamp))
     return df.withColumn("upload_date", stamp)
