@@ -123,3 +123,23 @@ def test_xml_field_namespace_blind(spark):
                   xml_field("x", "sObject", "Id").alias("c"), xml_field("x", "Missing").alias("m"),
                   xml_field("x", "Empty").alias("e")).first()
     assert (r.o, r.n, r.c, r.m, r.e) == ("O1", "N1", "C1", None, None)
+
+
+@pytest.mark.parametrize("zone", ["America/New_York", "Asia/Kolkata"])
+def test_results_do_not_depend_on_session_zone(spark, zone):
+    from loanmart.plans.draws import runs_of_day
+    from loanmart.sources.sinks import with_upload_date
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        assert one(spark, pacific_stamp(dt.datetime(2024, 7, 1, 12, 0)), "x") == "2024-07-01T05:00:00"
+        assert one(spark, try_parse_timestamp(F.col("s"), ("M/d/yyyy H:mm",)), "3/10/2024 2:30") == \
+            dt.datetime(2024, 3, 10, 2, 30)
+        up = with_upload_date(spark.createDataFrame([(1,)], "k int"), dt.datetime(2024, 1, 15, 12, 0))
+        assert up.first().upload_date == dt.datetime(2024, 1, 15, 12, 0)
+        runs = spark.createDataFrame([("a", "2024-01-15T00:30:00Z"), ("b", "2024-01-15T23:30:00Z"),
+                                      ("c", "2024-01-16T00:30:00Z")], "id string, t string") \
+            .select("id", F.to_timestamp("t").alias("start_time"))
+        got = sorted(r.id for r in runs_of_day(runs, dt.datetime(2024, 1, 16, 8, 0)).collect())
+        assert got == ["a", "b"]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
