@@ -42,7 +42,7 @@ def merge_run(batches: Iterator[pa.RecordBatch], largest: bool) -> Iterator[pa.R
     for batch in batches:
         if not batch.num_rows:
             continue
-        rows = pa.Table.from_batches([batch])
+        rows = pa.Table.from_batches([batch]).cast(_RUN_ARROW)
         if last is not None:
             rows = pa.concat_tables([last, rows])
         rows = rows.combine_chunks()
