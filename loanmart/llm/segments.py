@@ -12,6 +12,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 
 _PRIME = 0x9E3779B97F4A7C15
 _INVERSE = pow(_PRIME, -1, 1 << 64)

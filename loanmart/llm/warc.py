@@ -34,6 +34,8 @@ _RECORD = ["record_id", "url", "record_type", "refers_to", "digest", "payload"]
 CRLF = b"\r\n"
 #: Largest number of unwanted bytes read to save a request, and the largest range.
 GAP_BYTES, RANGE_BYTES = 64 << 10, 4 << 20
+#: Archive bytes for one reading task: the index is small, so its own size must not set the number of tasks.
+TASK_BYTES = 32 << 20
 #: Bytes a writer buffers before it hands them to the store.
 BUFFER_BYTES = 1 << 20
 
@@ -137,7 +139,9 @@ def read_records(index: DataFrame) -> DataFrame:
             if source is not None:
                 source.close()
 
-    ordered = index.select("file", "offset", "length").repartitionByRange("file", "offset").sortWithinPartitions("file", "offset")
+    size = index.agg(F.sum("length")).first()[0] or 0
+    tasks = -(-size // TASK_BYTES) or 1
+    ordered = index.select("file", "offset", "length").repartitionByRange(tasks, "file", "offset").sortWithinPartitions("file", "offset")
     return ordered.mapInArrow(read, RECORD)
 
 
