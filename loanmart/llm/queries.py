@@ -8,9 +8,14 @@ from pyspark.sql import DataFrame, SparkSession
 from .common import read
 from .exact_dedup import exact_dedup
 from .packing import pack
+from .token_counts import token_counts
 from .warc import pages_round_trip
 
 
+def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts(read(spark, sf_dir, "documents"))
+
+
 def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(read(spark, sf_dir, "documents"))
 
@@ -39,5 +44,5 @@ SELECT page_id, bytes::BIGINT AS payload_bytes, sha1(html) AS payload_digest,
 FROM g
 """
 
-QUERIES = {"op2_packing": op2_packing, "op3_exact_dedup": op3_exact_dedup, "op9_warc": op9_warc}
+QUERIES = {"op1_token_counts": op1_token_counts, "op2_packing": op2_packing, "op3_exact_dedup": op3_exact_dedup, "op9_warc": op9_warc}
 ORACLE_SQL = {"op3_exact_dedup": OP3_SQL, "op9_warc": OP9_SQL}
