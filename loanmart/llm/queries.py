@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from .common import read
 from .exact_dedup import exact_dedup
 from .packing import pack
+from .pieces import encode_round_trip
 from .token_counts import token_counts
 from .warc import pages_round_trip
 
@@ -44,5 +45,10 @@ SELECT page_id, bytes::BIGINT AS payload_bytes, sha1(html) AS payload_digest,
 FROM g
 """
 
-QUERIES = {"op1_token_counts": op1_token_counts, "op2_packing": op2_packing, "op3_exact_dedup": op3_exact_dedup, "op9_warc": op9_warc}
+def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return encode_round_trip(read(spark, sf_dir, "documents"))
+
+
+QUERIES = {"op1_token_counts": op1_token_counts, "op2_packing": op2_packing, "op3_exact_dedup": op3_exact_dedup, "op9_warc": op9_warc,
+           "op10_sentencepiece": op10_sentencepiece}
 ORACLE_SQL = {"op3_exact_dedup": OP3_SQL, "op9_warc": OP9_SQL}
