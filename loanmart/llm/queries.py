@@ -4,11 +4,14 @@ where SQL can express them."""
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .common import read
 from .exact_dedup import exact_dedup
+from .line_dedup import line_dedup
 from .packing import pack
 from .pieces import encode_round_trip
+from .simhash import simhash_groups
 from .token_counts import token_counts
 from .warc import pages_round_trip
 
@@ -32,6 +35,29 @@ FROM documents WINDOW same AS (PARTITION BY coalesce(text, ''))
 """
 
 
+def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = line_dedup(read(spark, sf_dir, "documents").select("doc_id", "text"))
+    return out.select("row.doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
+OP7_SQL = """
+WITH lines AS (SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
+                      generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS pos FROM documents),
+     keyed AS (SELECT *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+                                   'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM lines),
+     common AS (SELECT key, max(doc_id) AS last FROM keyed WHERE length(key) >= 20
+                GROUP BY key HAVING count(DISTINCT doc_id) >= 3),
+     marked AS (SELECT k.*, c.key IS NOT NULL AND c.last <> k.doc_id AS gone FROM keyed k LEFT JOIN common c USING (key))
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT gone), '')) AS kept_sha256
+FROM marked GROUP BY doc_id
+"""
+
+
+def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash_groups(read(spark, sf_dir, "documents"))
+
+
 def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pages_round_trip(read(spark, sf_dir, "pages"))
 
@@ -49,6 +75,6 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_round_trip(read(spark, sf_dir, "documents"))
 
 
-QUERIES = {"op1_token_counts": op1_token_counts, "op2_packing": op2_packing, "op3_exact_dedup": op3_exact_dedup, "op9_warc": op9_warc,
+QUERIES = {"op1_token_counts": op1_token_counts, "op2_packing": op2_packing, "op3_exact_dedup": op3_exact_dedup, "op7_line_dedup": op7_line_dedup, "op8_simhash": op8_simhash, "op9_warc": op9_warc,
            "op10_sentencepiece": op10_sentencepiece}
-ORACLE_SQL = {"op3_exact_dedup": OP3_SQL, "op9_warc": OP9_SQL}
+ORACLE_SQL = {"op3_exact_dedup": OP3_SQL, "op7_line_dedup": OP7_SQL, "op9_warc": OP9_SQL}
