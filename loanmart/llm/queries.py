@@ -11,6 +11,7 @@ from .exact_dedup import exact_dedup
 from .line_dedup import line_dedup
 from .packing import pack
 from .pieces import encode_round_trip
+from .quality import classify
 from .simhash import simhash_groups
 from .token_counts import token_counts
 from .warc import pages_round_trip
@@ -35,6 +36,10 @@ FROM documents WINDOW same AS (PARTITION BY coalesce(text, ''))
 """
 
 
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return classify(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = line_dedup(read(spark, sf_dir, "documents").select("doc_id", "text"))
     return out.select("row.doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
@@ -75,6 +80,6 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_round_trip(read(spark, sf_dir, "documents"))
 
 
-QUERIES = {"op1_token_counts": op1_token_counts, "op2_packing": op2_packing, "op3_exact_dedup": op3_exact_dedup, "op7_line_dedup": op7_line_dedup, "op8_simhash": op8_simhash, "op9_warc": op9_warc,
+QUERIES = {"op1_token_counts": op1_token_counts, "op2_packing": op2_packing, "op3_exact_dedup": op3_exact_dedup, "op6_quality": op6_quality, "op7_line_dedup": op7_line_dedup, "op8_simhash": op8_simhash, "op9_warc": op9_warc,
            "op10_sentencepiece": op10_sentencepiece}
 ORACLE_SQL = {"op3_exact_dedup": OP3_SQL, "op7_line_dedup": OP7_SQL, "op9_warc": OP9_SQL}
