@@ -74,9 +74,17 @@ def text_blocks(batches: Iterator[pa.RecordBatch], column: str, limit: int = BLO
         yield joined()
 
 
+def keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """``row`` (a struct of all columns of ``docs``), ``id``, ``body`` (the
+    text, empty for null) and ``version``, which names a text together with the id."""
+    body = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
+    return docs.select(F.struct("*").alias("row"), F.col(id_col).cast("long").alias("id"), body.alias("body")).withColumn("version", F.xxhash64("body"))
+
+
 def components(edges: DataFrame, name: str) -> DataFrame:
-    """Connected components of an undirected edge table ``(a long, b long)``:
-    ``(id, component)`` for every id that has an edge, component = smallest id.
+    """Connected components of an undirected edge table ``(a, b)`` of any type
+    with an order: ``(id, component)`` for every id that has an edge to
+    another, component = smallest id.
 
     Alternating large-star and small-star rounds: each round is one or two
     shuffles with map-side combination, no list of neighbours is ever held,

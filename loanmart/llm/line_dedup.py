@@ -25,7 +25,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bound_batches, text_blocks, written
+from .common import bound_batches, keyed, text_blocks, written
 
 #: Line hashes of one shard, on average.
 SHARD_LINES = 1 << 18
@@ -107,13 +107,7 @@ def _u64(column) -> np.ndarray:
     return column.to_numpy(zero_copy_only=False).view(np.uint64) if isinstance(column, pa.Array) else column.to_numpy().view(np.uint64)
 
 
-def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """``docs`` with ``id``, ``body`` and ``version`` (with the id, it names a text) beside its columns."""
-    body = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    return docs.select(F.struct("*").alias("row"), F.col(id_col).cast("long").alias("id"), body.alias("body")).withColumn("version", F.xxhash64("body"))
-
-
-def block_lines(keyed: DataFrame, least: int) -> DataFrame:
+def block_lines(rows: DataFrame, least: int) -> DataFrame:
     """Per block: a row for each distinct line hash, and one for each text with its hashes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -139,7 +133,7 @@ def block_lines(keyed: DataFrame, least: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(np.full(m, name)), pa.array(ids, pa.int64()), pa.array(versions, pa.int64()),
                                               *(none(m, pa.int64()) for _ in range(4)), pa.array(lines, pa.binary())], schema=_LINE)
 
-    return keyed.select("id", "version", "body").mapInArrow(run, LINE)
+    return rows.select("id", "version", "body").mapInArrow(run, LINE)
 
 
 def build_index(lines: DataFrame, shards: int, min_docs: int) -> DataFrame:
@@ -227,15 +221,15 @@ def line_dedup(docs: DataFrame, min_docs: int = 3, min_points: int = 20, id_col:
     null id is smaller than any other.
     """
     bound_batches(docs.sparkSession)
-    keyed = _keyed(docs, id_col, text_col)
-    table = written(block_lines(keyed, min_points), "line-blocks")
+    rows = keyed(docs, id_col, text_col)
+    table = written(block_lines(rows, min_points), "line-blocks")
     lines, texts = table.where("h1 IS NOT NULL"), table.where("lines IS NOT NULL")
     shards = lines.count() // SHARD_LINES + 1
     index = written(build_index(lines, shards, min_docs), "line-index")
     hits = probe(lines, index, shards, min_docs)
     drops = written(dropped_lines(texts, hits), "line-drops")
     without = F.pandas_udf(_without, "kept string, dropped long")
-    joined = keyed.alias("k").join(drops.alias("d"), F.col("k.id").eqNullSafe(F.col("d.id")) & (F.col("k.version") == F.col("d.version")), "left")
+    joined = rows.alias("k").join(drops.alias("d"), F.col("k.id").eqNullSafe(F.col("d.id")) & (F.col("k.version") == F.col("d.version")), "left")
     got = joined.select("row", "body", without(F.when(F.col("drops").isNotNull(), F.col("body")), F.col("drops")).alias("got"))
     n_lines = (F.octet_length("body") - F.octet_length(F.replace(F.col("body"), F.lit("\n"), F.lit(""))) + 1).cast("long")
     return got.select("row", F.coalesce("got.kept", "body").alias("kept_text"), n_lines.alias("n_lines"), F.col("got.dropped").alias("n_dropped"))

@@ -13,6 +13,7 @@ from .packing import pack
 from .pieces import encode_round_trip
 from .quality import classify
 from .simhash import simhash_groups
+from .substring_dedup import repeated_spans
 from .token_counts import token_counts
 from .warc import pages_round_trip
 
@@ -36,6 +37,11 @@ FROM documents WINDOW same AS (PARTITION BY coalesce(text, ''))
 """
 
 
+def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = repeated_spans(read(spark, sf_dir, "documents"))
+    return out.select(F.col("id").alias("doc_id"), "start", "stop", "cluster", F.col("keep_id").alias("keep_doc_id"), "removed")
+
+
 def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classify(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
@@ -80,6 +86,6 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_round_trip(read(spark, sf_dir, "documents"))
 
 
-QUERIES = {"op1_token_counts": op1_token_counts, "op2_packing": op2_packing, "op3_exact_dedup": op3_exact_dedup, "op6_quality": op6_quality, "op7_line_dedup": op7_line_dedup, "op8_simhash": op8_simhash, "op9_warc": op9_warc,
+QUERIES = {"op1_token_counts": op1_token_counts, "op2_packing": op2_packing, "op3_exact_dedup": op3_exact_dedup, "op4_substring_dedup": op4_substring_dedup, "op6_quality": op6_quality, "op7_line_dedup": op7_line_dedup, "op8_simhash": op8_simhash, "op9_warc": op9_warc,
            "op10_sentencepiece": op10_sentencepiece}
 ORACLE_SQL = {"op3_exact_dedup": OP3_SQL, "op7_line_dedup": OP7_SQL, "op9_warc": OP9_SQL}
