@@ -233,3 +233,11 @@ def line_dedup(docs: DataFrame, min_docs: int = 3, min_points: int = 20, id_col:
     got = joined.select("row", "body", without(F.when(F.col("drops").isNotNull(), F.col("body")), F.col("drops")).alias("got"))
     n_lines = (F.octet_length("body") - F.octet_length(F.replace(F.col("body"), F.lit("\n"), F.lit(""))) + 1).cast("long")
     return got.select("row", F.coalesce("got.kept", "body").alias("kept_text"), n_lines.alias("n_lines"), F.col("got.dropped").alias("n_dropped"))
+
+
+def drop_common_lines(docs: DataFrame, min_docs: int = 3, min_points: int = 20, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``docs``, same rows and columns, its texts without the lines that
+    ``line_dedup`` drops; a text that loses nothing stays as it is."""
+    got = line_dedup(docs, min_docs, min_points, id_col, text_col)
+    text = F.when(F.col("n_dropped") > 0, F.col("kept_text")).otherwise(F.col("row")[text_col])
+    return got.select(*(text.alias(c) if c == text_col else F.col("row")[c].alias(c) for c in docs.columns))

@@ -281,3 +281,11 @@ def simhash_groups(docs: DataFrame, shingle: int = 3, max_distance: int = 3, id_
     named = grouped.join(names, "component").select("fp", "component_id")
     out = hashed.join(named, "fp")
     return out.select(F.col("id").alias(id_col), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def drop_near_duplicates(docs: DataFrame, shingle: int = 3, max_distance: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs``, same columns, whose id is that of their group
+    (see ``simhash_groups``): one document of each group stays."""
+    groups = simhash_groups(docs, shingle, max_distance, id_col, text_col)
+    stay = written(groups.where(F.col(id_col).eqNullSafe(F.col("component_id"))).select(F.col(id_col).alias("stay")).distinct(), "simhash-stay")
+    return docs.join(stay, F.col(id_col).cast("long").eqNullSafe(F.col("stay")), "left_semi")
