@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import read
+from .embedding_dedup import near_vectors
 from .exact_dedup import exact_dedup
 from .line_dedup import line_dedup
 from .packing import pack
@@ -42,6 +43,10 @@ def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select(F.col("id").alias("doc_id"), "start", "stop", "cluster", F.col("keep_id").alias("keep_doc_id"), "removed")
 
 
+def op5_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors(read(spark, sf_dir, "embeddings"))
+
+
 def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classify(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
@@ -86,6 +91,7 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_round_trip(read(spark, sf_dir, "documents"))
 
 
-QUERIES = {"op1_token_counts": op1_token_counts, "op2_packing": op2_packing, "op3_exact_dedup": op3_exact_dedup, "op4_substring_dedup": op4_substring_dedup, "op6_quality": op6_quality, "op7_line_dedup": op7_line_dedup, "op8_simhash": op8_simhash, "op9_warc": op9_warc,
+QUERIES = {"op1_token_counts": op1_token_counts, "op2_packing": op2_packing, "op3_exact_dedup": op3_exact_dedup, "op4_substring_dedup": op4_substring_dedup, "op5_embedding_dedup": op5_embedding_dedup,
+           "op6_quality": op6_quality, "op7_line_dedup": op7_line_dedup, "op8_simhash": op8_simhash, "op9_warc": op9_warc,
            "op10_sentencepiece": op10_sentencepiece}
 ORACLE_SQL = {"op3_exact_dedup": OP3_SQL, "op7_line_dedup": OP7_SQL, "op9_warc": OP9_SQL}
