@@ -31,8 +31,8 @@ SAMPLE, SHARD, MOST_CENTROIDS, ROUNDS = 32768, 1024, 4096, 8
 OVERLAP = 3
 #: Nodes of one block of a shard.
 BLOCK = 4096
-#: Degree, candidates before pruning, pruning slack, width of the search.
-DEGREE, POOL, ALPHA, BEAM = 24, 48, 1.2, 32
+#: Degree, nearest and random candidates before pruning, pruning slack, width of the search, medoids to start from.
+DEGREE, POOL, FAR, ALPHA, BEAM, MEDOIDS = 32, 40, 24, 1.2, 32, 8
 #: Nodes this much below the threshold are still expanded.
 SLACK = 0.05
 MEMBER = "shard int, home boolean, node long, vector binary, copies long"
@@ -110,27 +110,31 @@ def dealt(members: DataFrame) -> DataFrame:
 
 
 def pruned_graph(x: np.ndarray) -> np.ndarray:
-    """Neighbours (-1: none) of every vector: of its nearest POOL the nearest
-    is taken, then those that no taken one is ALPHA times nearer to, and so on."""
+    """Neighbours (-1: none) of every vector.  Of its POOL nearest and FAR
+    random others the nearest is taken, then the nearest of those that no
+    taken one is ALPHA times nearer to, and so on."""
     n = len(x)
     pool = min(POOL, n - 1)
     out = np.full((n, DEGREE), -1, dtype=np.int64)
+    random = np.random.default_rng(n)
     for a in range(0, n if pool > 0 else 0, 512):
         rows = np.arange(a, min(a + 512, n))
         sim = x[rows] @ x.T
         sim[np.arange(len(rows)), rows] = -np.inf
-        near = np.argpartition(-sim, pool - 1, axis=1)[:, :pool]
+        near = np.concatenate([np.argpartition(-sim, pool - 1, axis=1)[:, :pool], random.integers(0, n, (len(rows), FAR))], axis=1)
         near = np.take_along_axis(near, np.argsort(-np.take_along_axis(sim, near, axis=1), axis=1, kind="stable"), axis=1)
         own = np.sqrt(np.maximum(2 - 2 * np.take_along_axis(sim, near, axis=1), 0))
-        among = np.sqrt(np.maximum(2 - 2 * np.einsum("ikd,ild->ikl", x[near], x[near]), 0))
-        alive = np.ones(near.shape, dtype=bool)
+        among = np.sqrt(np.maximum(2 - 2 * np.einsum("ikd,ild->ikl", x[near], x[near], optimize=True), 0))
+        alive = near != rows[:, None]
         at = np.arange(len(rows))
-        for j in range(min(DEGREE, pool)):
+        for j in range(DEGREE):
             pick = alive.argmax(axis=1)
             some = alive[at, pick]
+            if not some.any():
+                break
             out[rows[some], j] = near[at, pick][some]
-            alive &= ALPHA * among[at, pick] > own
-            alive[at, pick] = False
+            keep = alive & (ALPHA * among[at, pick] > own)
+            alive = np.where(some[:, None], keep & (near != near[at, pick][:, None]), alive)
     return out
 
 
@@ -147,20 +151,31 @@ def build(members: DataFrame) -> DataFrame:
     return lists.groupBy("node").agg(F.array_distinct(F.flatten(F.collect_list("near"))).alias("near"))
 
 
-def greedy(x: np.ndarray, graph: np.ndarray, query: np.ndarray, seen: np.ndarray, medoid: int) -> tuple[np.ndarray, np.ndarray]:
-    """Beam search for the nodes ``query`` at once, from the medoid; marks ``seen[query, node]``."""
+def medoids(x: np.ndarray) -> np.ndarray:
+    """Of MEDOIDS slices of the shard's nodes the ones nearest to the mean of their slice."""
+    parts = np.array_split(np.arange(len(x)), min(MEDOIDS, len(x)))
+    return np.unique([p[(x[p] @ x[p].mean(axis=0)).argmax()] for p in parts])
+
+
+def greedy(x: np.ndarray, graph: np.ndarray, query: np.ndarray, seen: np.ndarray, start: np.ndarray, least: float) -> list[tuple[np.ndarray, ...]]:
+    """Beam search for the nodes ``query`` at once, from the medoids ``start``:
+    all (place in ``query``, node, cosine) met with a cosine of at least
+    ``least``; marks ``seen[query, node]``."""
     q = len(query)
     beam = np.full((q, BEAM), -1, dtype=np.int64)
     score = np.full((q, BEAM), -np.inf)
     open_ = np.zeros((q, BEAM), dtype=bool)
-    beam[:, 0], score[:, 0], open_[:, 0] = medoid, x[query] @ x[medoid], True
-    seen[:, medoid] = True
+    m = len(start)
+    beam[:, :m], score[:, :m], open_[:, :m] = start, x[query] @ x[start].T, True
+    seen[:, start] = True
     rows = np.arange(q)
+    r, c = np.nonzero(score[:, :m] >= least)
+    met = [(r, beam[r, c], score[r, c])]
     while True:
         best = np.where(open_, score, -np.inf).argmax(axis=1)
         live = rows[open_[rows, best]]
         if not len(live):
-            return beam, score
+            return met
         open_[live, best[live]] = False
         near = graph[beam[live, best[live]]]
         new = (near >= 0) & ~seen[live[:, None], near]
@@ -168,7 +183,9 @@ def greedy(x: np.ndarray, graph: np.ndarray, query: np.ndarray, seen: np.ndarray
         who, what = live[r], near[r, c]
         seen[who, what] = True
         value = np.full(near.shape, -np.inf)
-        value[r, c] = np.einsum("id,id->i", x[query[who]], x[what])
+        cosine = np.einsum("id,id->i", x[query[who]], x[what])
+        value[r, c] = cosine
+        met.append((who[cosine >= least], what[cosine >= least], cosine[cosine >= least]))
         ids = np.concatenate([beam[live], np.where(new, near, -1)], axis=1)
         vals = np.concatenate([score[live], value], axis=1)
         opens = np.concatenate([open_[live], new], axis=1)
@@ -177,13 +194,11 @@ def greedy(x: np.ndarray, graph: np.ndarray, query: np.ndarray, seen: np.ndarray
         open_[live] = np.take_along_axis(opens, top, axis=1)
 
 
-def in_range(x: np.ndarray, graph: np.ndarray, query: np.ndarray, medoid: int, threshold: float) -> tuple[np.ndarray, np.ndarray]:
+def in_range(x: np.ndarray, graph: np.ndarray, query: np.ndarray, start: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray]:
     """Pairs (place in ``query``, node) with a cosine of at least ``threshold``:
     a greedy search, then expansion over all nodes nearly in range."""
     seen = np.zeros((len(query), len(x)), dtype=bool)
-    beam, score = greedy(x, graph, query, seen, medoid)
-    r, c = np.nonzero(score >= threshold - SLACK)
-    who, what, value = r, beam[r, c], score[r, c]
+    who, what, value = (np.concatenate(c) for c in zip(*greedy(x, graph, query, seen, start, threshold - SLACK)))
     found = [(who[value >= threshold], what[value >= threshold])]
     while len(who):
         near = graph[what]
@@ -225,15 +240,19 @@ def search(rows: DataFrame, threshold: float) -> DataFrame:
         home, copies = table["home"].to_numpy(zero_copy_only=False), table["copies"].to_numpy()
         place = {v: i for i, v in enumerate(node.tolist())}
         lists = [[place[v] for v in near or [] if v in place] for near in table["near"].to_pylist()]
+        for i, near in enumerate([list(x) for x in lists]):  # and backwards
+            for j in near:
+                lists[j].append(i)
+        lists = [list(dict.fromkeys(x)) for x in lists]
         graph = np.full((len(node), max(1, max(map(len, lists), default=1))), -1, dtype=np.int64)
         for i, near in enumerate(lists):
             graph[i, : len(near)] = near
-        medoid = int((x @ x.mean(axis=0)).argmax())
+        start = medoids(x)
         links, edges = np.zeros(len(node), dtype=np.int64), []
         query = np.flatnonzero(home)
         for a in range(0, len(query), 128):
             some = query[a: a + 128]
-            q, v = in_range(x, graph, some, medoid, threshold)
+            q, v = in_range(x, graph, some, start, threshold)
             q = some[q]
             # in a pair of two blocks only links between them count, the others are the blocks' own
             fits = (q != v) & ((low[0] == high[0]) | (own[q] != own[v]))

@@ -15,21 +15,17 @@ import pyarrow as pa
 import pyarrow.compute  # noqa: F401
 
 _PRIME = 0x9E3779B97F4A7C15
-_INVERSE = pow(_PRIME, -1, 1 << 64)
 _BYTE = np.random.default_rng(7).integers(1, 2**63, 256, dtype=np.uint64)
 #: ASCII characters that some tokenizer may call white space.
 _WHITE = np.zeros(256, dtype=bool)
 _WHITE[[9, 10, 11, 12, 13, 28, 29, 30, 31, 32]] = True
 
 
-@lru_cache(maxsize=2)
-def _powers(bits: int) -> tuple[np.ndarray, np.ndarray]:
-    def up(base: int) -> np.ndarray:
-        out = np.full(1 << bits, base, dtype=np.uint64)
-        out[0] = 1
-        return np.cumprod(out)
-
-    return up(_PRIME), up(_INVERSE)
+@lru_cache(maxsize=1)
+def _powers(bits: int) -> np.ndarray:
+    out = np.full(1 << bits, _PRIME, dtype=np.uint64)
+    out[0] = 1
+    return np.cumprod(out)
 
 
 @dataclass
@@ -95,10 +91,15 @@ def cut(block: Block, mark: np.ndarray) -> Segments:
     start = np.flatnonzero(mark)
     end = np.append(start[1:], n) if len(start) else start
     doc = np.searchsorted(block.offsets, start, "right") - 1
-    power, inverse = _powers(max(1, n.bit_length()))
-    total = np.zeros(n + 1, dtype=np.uint64)
-    np.cumsum(_BYTE[block.data] * power[:n], out=total[1:])
-    key = (total[end] - total[start]) * inverse[start] + (end - start).astype(np.uint64)
+    size = end - start
+    if len(start):
+        # a segment's hash: random numbers of its bytes times powers of their places
+        place = np.arange(n, dtype=np.int32) - np.repeat(start.astype(np.int32), size)
+        term = _powers(max(8, int(size.max()).bit_length()))[place]
+        term *= _BYTE[block.data]
+        key = np.add.reduceat(term, start) + size.astype(np.uint64)
+    else:
+        key = np.zeros(0, dtype=np.uint64)
     _, first, which = np.unique(key, return_index=True, return_inverse=True)
     return Segments(start, end, doc, first, which)
 

@@ -4,19 +4,21 @@ pre-token, and a document's count is the sum over its pre-token frequencies.
 1. Every task splits its documents into pre-tokens (the tokenizer's own
    normalization and pattern) and keeps, per block of documents, a dictionary
    of pre-tokens and the documents' frequencies over it.
-2. The dictionaries' entries meet by pre-token, sorted, and the pieces of each
-   distinct pre-token are counted once.
-3. The counts return to their blocks, where frequencies times counts are
-   summed by document.
-
-Only dictionaries are shuffled by pre-token: a word that stands in every
-document is one row per block, however often it occurs.
+2. The dictionaries, dealt to shards by a hash of the pre-token, meet in their
+   shard, where the pieces of each distinct pre-token are counted once.
+3. The counts return to their blocks, are joined to the frequencies there, and
+   frequencies times counts are summed by document.
+
+Dictionaries and frequencies travel as compressed arrays, a row per block and
+shard.  A word that stands in every document is one entry per block, however
+often it occurs, so no shard is hot.
 """
 
 from __future__ import annotations
 
 import re
 import unicodedata
+import zlib
 from collections.abc import Callable, Iterator
 from functools import lru_cache
 
@@ -30,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Regex, Tokenizer, pre_tokenizers
 
-from .common import bound_batches, text_blocks, written
+from .common import bound_batches, shuffle_partitions, text_blocks, written
 from .segments import offsets_of, ragged, text_block, word_segments
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -40,11 +42,11 @@ PRE_TOKEN = regex.compile(PATTERN)
 #: Characters whose case, composition and kind the tokenizer's own code decides:
 #: Unicode versions differ beyond the Latin letters.
 BEYOND = re.compile("[\u0250-\U0010ffff]")
-BLOCK = "block long, place int, word string, docs array<long>, n_bytes array<long>, per_doc binary, words binary, times binary"
-_BLOCK = pa.schema([("block", pa.int64()), ("place", pa.int32()), ("word", pa.string()), ("docs", pa.list_(pa.int64())),
+BLOCK = "block long, shard int, dictionary binary, docs array<long>, n_bytes array<long>, per_doc binary, words binary, times binary"
+_BLOCK = pa.schema([("block", pa.int64()), ("shard", pa.int32()), ("dictionary", pa.binary()), ("docs", pa.list_(pa.int64())),
                     ("n_bytes", pa.list_(pa.int64())), ("per_doc", pa.binary()), ("words", pa.binary()), ("times", pa.binary())])
-PLACE = "block long, place int, n int"
-_PLACE = pa.schema([("block", pa.int64()), ("place", pa.int32()), ("n", pa.int32())])
+PIECES = "block long, shard int, pieces binary"
+_PIECES = pa.schema([("block", pa.int64()), ("shard", pa.int32()), ("pieces", pa.binary())])
 COUNT = "doc_id long, n_bytes long, n_tokens long, over_limit boolean"
 _COUNT = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_tokens", pa.int64()), ("over_limit", pa.bool_())])
 #: Text bytes of a block; larger blocks repeat fewer dictionary entries.
@@ -79,17 +81,17 @@ def pre_tokens(text: str, path: str) -> list[str]:
     return out
 
 
-def _packed(values: np.ndarray, kind: str) -> bytes:
-    return zstandard.ZstdCompressor(level=1).compress(values.astype(kind).tobytes())
+def _packed(values: np.ndarray | bytes, kind: str = "") -> bytes:
+    return zstandard.ZstdCompressor(level=1).compress(values.astype(kind).tobytes() if kind else values)
 
 
 def _unpacked(raw: bytes, kind: str) -> np.ndarray:
     return np.frombuffer(zstandard.ZstdDecompressor().decompress(raw), dtype=kind)
 
 
-def dictionary(column: pa.Array, path: str) -> tuple[list[str], np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def frequencies(column: pa.Array, path: str) -> tuple[list[str], np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Of a block: its distinct pre-tokens, and by document the number of
-    distinct ones, their places in the dictionary, their frequencies; bytes."""
+    distinct ones, their places in that list, their frequencies; bytes."""
     block = text_block(column)
     seg = word_segments(block)
     places: dict[str, int] = {}
@@ -107,45 +109,45 @@ def dictionary(column: pa.Array, path: str) -> tuple[list[str], np.ndarray, np.n
     return list(places), per_doc, pair % size, times, block.sizes
 
 
-def dictionaries(docs: DataFrame, path: str, id_col: str, text_col: str) -> DataFrame:
+def dictionaries(docs: DataFrame, shards: int, path: str, id_col: str, text_col: str) -> DataFrame:
+    """Per block a row with its documents' frequencies, and one for each shard
+    with the part of its dictionary there (joined by line feeds, which no
+    pre-token holds); places count through the parts in shard order."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for k, batch in enumerate(text_blocks(batches, "text", BLOCK_BYTES)):
             name = (TaskContext.get().partitionId() << 32) + k
-            words, per_doc, place, times, sizes = dictionary(batch.column("text"), path)
-            for at in range(0, len(words), 20_000):
-                part = words[at: at + 20_000]
-                none = pa.nulls(len(part))
-                yield pa.RecordBatch.from_arrays([pa.array([name] * len(part), pa.int64()), pa.array(range(at, at + len(part)), pa.int32()), pa.array(part, pa.string()),
-                                                  *(none.cast(t) for t in _BLOCK.types[3:])], schema=_BLOCK)
-            row = [name, None, None, batch.column("id").to_pylist(), sizes.tolist(), _packed(per_doc, "<u4"), _packed(place, "<u4"), _packed(times, "<u4")]
-            yield pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(row, _BLOCK.types)], schema=_BLOCK)
+            words, per_doc, place, times, sizes = frequencies(batch.column("text"), path)
+            shard = np.fromiter((zlib.crc32(w.encode()) % shards for w in words), dtype=np.int64, count=len(words))
+            order = np.argsort(shard, kind="stable")
+            rank = np.empty(len(order), dtype=np.int64)
+            rank[order] = np.arange(len(order))
+            used, start = np.unique(shard[order], return_index=True)
+            rows = [(name, s, _packed("\n".join([words[i] for i in order[a:b]]).encode()), None, None, None, None, None)
+                    for s, a, b in zip(used.tolist(), start.tolist(), [*start[1:].tolist(), len(order)])]
+            rows.append((name, None, None, batch.column("id").to_pylist(), sizes.tolist(), _packed(per_doc, "<u4"), _packed(rank[place] if len(place) else place, "<u4"), _packed(times, "<u4")))
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), _BLOCK.types)], schema=_BLOCK)
 
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     return rows.mapInArrow(run, BLOCK)
 
 
-def count_pieces(words: DataFrame, path: str) -> DataFrame:
-    """``(block, place, n)``: pieces of each entry ``(block, place, word)``,
-    counted once per distinct word of a partition sorted by word."""
+def count_pieces(parts: DataFrame, path: str) -> DataFrame:
+    """``(block, shard, pieces)`` of ``(block, shard, dictionary)``: the pieces
+    of each entry, counted once per distinct pre-token of the shard."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer = counter(path)[0]
-        last, n = None, 0
-        for batch in batches:
-            col = batch.column("word").dictionary_encode()
-            distinct = col.dictionary.to_pylist()
-            todo = [w for w in distinct if w != last]
-            got = dict(zip(todo, (len(e) for e in tokenizer.encode_batch_fast(todo, add_special_tokens=False))))
-            if last is not None:
-                got.setdefault(last, n)
-            if distinct:
-                last = distinct[-1]
-                n = got[last]
-            by = np.array([got[w] for w in distinct], dtype=np.int32)
-            yield pa.RecordBatch.from_arrays([batch.column("block").cast(pa.int64()), batch.column("place").cast(pa.int32()),
-                                              pa.array(by[col.indices.to_numpy(zero_copy_only=False)] if len(by) else by, pa.int32())], schema=_PLACE)
-
-    return words.repartition("word").sortWithinPartitions("word").select("block", "place", "word").mapInArrow(run, PLACE)
+    def run(table: pa.Table) -> pa.Table:
+        tokenizer, known, out = counter(path)[0], {}, []
+        for block, shard, raw in zip(*(table[c].to_pylist() for c in ("block", "shard", "dictionary"))):
+            words = zstandard.ZstdDecompressor().decompress(raw).decode().split("\n")
+            new = [w for w in words if w not in known]
+            for at in range(0, len(new), 10_000):
+                some = new[at: at + 10_000]
+                known.update(zip(some, map(len, tokenizer.encode_batch_fast(some, add_special_tokens=False))))
+            out.append((block, shard, _packed(np.array([known[w] for w in words]), "<u4")))
+        return pa.Table.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), _PIECES.types)], schema=_PIECES)
+
+    return parts.groupBy("shard").applyInArrow(run, PIECES)
 
 
 def token_counts(docs: DataFrame, path: str = TOKENIZER, limit: int = 2048, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -157,21 +159,20 @@ def token_counts(docs: DataFrame, path: str = TOKENIZER, limit: int = 2048, id_c
     same id or text are counted each on its own, a null id stays null, other
     columns are ignored.
     """
-    bound_batches(docs.sparkSession)
-    table = written(dictionaries(docs, path, id_col, text_col), "token-dictionaries")
-    counts = count_pieces(table.where("word IS NOT NULL").select("block", "place", "word"), path)
-    blocks = table.where("word IS NULL").select("block", "docs", "n_bytes", "per_doc", "words", "times")
+    spark = docs.sparkSession
+    bound_batches(spark)
+    table = written(dictionaries(docs, shuffle_partitions(spark), path, id_col, text_col), "token-dictionaries")
+    pieces = count_pieces(table.where("shard IS NOT NULL").select("block", "shard", "dictionary"), path)
+    blocks = table.where("shard IS NULL").select("block", "docs", "n_bytes", "per_doc", "words", "times")
 
     def total(block: pa.Table, pieces: pa.Table) -> pa.Table:
-        out = []
-        n = np.zeros(pieces.num_rows, dtype=np.int64)
-        n[pieces["place"].to_numpy()] = pieces["n"].to_numpy()
-        for row in block.to_pylist():
-            per_doc = _unpacked(row["per_doc"], "<u4")
-            parts = n[_unpacked(row["words"], "<u4")] * _unpacked(row["times"], "<u4")
-            tokens = np.diff(np.concatenate([[0], np.cumsum(parts)])[offsets_of(per_doc)])
-            out.append(pa.Table.from_arrays([pa.array(row["docs"], pa.int64()), pa.array(row["n_bytes"], pa.int64()),
-                                             pa.array(tokens, pa.int64()), pa.array(tokens > limit)], schema=_COUNT))
-        return pa.concat_tables(out) if out else _COUNT.empty_table()
-
-    return blocks.groupBy("block").cogroup(counts.groupBy("block")).applyInArrow(total, COUNT)
+        parts = sorted(zip(pieces["shard"].to_pylist(), pieces["pieces"].to_pylist()))
+        n = np.concatenate([np.zeros(0, np.int64), *(_unpacked(raw, "<u4") for _, raw in parts)])
+        row = block.to_pylist()[0]
+        per_doc = _unpacked(row["per_doc"], "<u4")
+        tokens = n[_unpacked(row["words"], "<u4")] * _unpacked(row["times"], "<u4")
+        tokens = np.diff(np.concatenate([[0], np.cumsum(tokens)])[offsets_of(per_doc)])
+        return pa.Table.from_arrays([pa.array(row["docs"], pa.int64()), pa.array(row["n_bytes"], pa.int64()),
+                                     pa.array(tokens, pa.int64()), pa.array(tokens > limit)], schema=_COUNT)
+
+    return blocks.groupBy("block").cogroup(pieces.groupBy("block")).applyInArrow(total, COUNT)
