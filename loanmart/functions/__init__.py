@@ -11,4 +11,3 @@ from loanmart.functions.dates import (  # noqa: F401
     days_until, parse_date, parse_timestamp, pacific_stamp, reformat_date,
     try_parse_timestamp, utc_to_pacific,
 )
-from loanmart.functions.xml import xml_field  # noqa: F401

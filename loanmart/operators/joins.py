@@ -1,40 +1,12 @@
-"""Join helpers (J1-J8) that stay safe when one key holds a large share of
-the rows.
-
-Spark's AQE splits a skewed partition only on the side it may replicate
-against: for a LEFT OUTER join that is the left side.  When the *right*
-side can be hot (items per draw, events per loan), ``left_join_skew_safe``
-writes the left join as an inner join (AQE may split either side) plus the
-left rows with no partner (anti-join against the distinct right keys, which
-are reduced map-side).  The result equals ``left.join(right, keys, 'left')``.
-"""
+"""Key-set joins (J3, J4, J8): the key side is reduced to distinct keys first,
+so a key that repeats there costs nothing, and AQE may split a hot key of the
+other side."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
-
-
-def _q(c: str):
-    return F.col("`" + c.replace("`", "``") + "`")
-
-
-def left_join_skew_safe(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
-    keys = list(keys)
-    right_only = [c for c in right.columns if c not in keys]
-    matched = left.join(right, keys, "inner")
-    key_present = [_q(k).isNotNull() for k in keys]
-    cond = key_present[0]
-    for k in key_present[1:]:
-        cond = cond & k
-    right_keys = right.select(*[_q(k) for k in keys]).where(cond).distinct()
-    unmatched = left.join(right_keys, keys, "left_anti")
-    types = {f.name: f.dataType for f in right.schema.fields}
-    filled = unmatched.select(*[_q(c) for c in left.columns],
-                              *[F.lit(None).cast(types[c]).alias(c) for c in right_only])
-    return matched.select(*[_q(c) for c in filled.columns]).unionByName(filled)
 
 
 def semi_join(df: DataFrame, keys_df: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -15,9 +15,9 @@ from pyspark.sql import functions as F
 def latest_by_numeric_id(df: DataFrame, group_cols: Sequence[str] = ("name",),
                          id_col: str = "id") -> DataFrame:
     """G1: per group, the id whose *numeric* value is greatest (ids are text,
-    so '10' beats '9').  Non-numeric ids never win."""
-    num = F.col(id_col).try_cast("decimal(38,0)")
-    return (df.where(num.isNotNull())
+    so '10' beats '9').  An id that is no number raises, a null id is skipped."""
+    num = F.col(id_col).cast("decimal(38,0)")
+    return (df.where(F.col(id_col).isNotNull())
               .groupBy(*group_cols)
               .agg(F.max_by(F.col(id_col), num).alias(id_col)))
 

@@ -22,13 +22,6 @@ def duplicate_groups(df: DataFrame) -> DataFrame:
     return row_groups(df).where(F.col("n") > 1)
 
 
-def null_counts(df: DataFrame) -> DataFrame:
-    """G5 + G6 in one pass: ``rows`` and ``nulls_<col>`` for every column."""
-    return df.agg(
-        F.count(F.lit(1)).alias("rows"),
-        *[F.sum(F.col(c).isNull().cast("bigint")).alias(f"nulls_{c}") for c in df.columns])
-
-
 def extract_profile(df: DataFrame) -> DataFrame:
     """One row: ``rows``, ``nulls_<col>`` per column, ``duplicate_rows``
     (surplus copies, pandas ``duplicated().sum()``) and ``distinct_rows``."""

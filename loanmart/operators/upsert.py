@@ -3,11 +3,14 @@
 Plain parquet tables reject MERGE, so the new table state is
 ``target ⋉̸ source ∪ source``: one shuffle of both sides on the key
 (sort-merge or broadcast, chosen by AQE at run time), then a narrow union.
-Keys are unique on both sides after V3, so no key can be hot.
+Source keys are unique after V3; a target key that repeats is replaced as a
+whole when the source has it and stays as it is otherwise.
 """
 
 from __future__ import annotations
 
+import functools
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -55,23 +58,38 @@ def upsert(target: DataFrame, source: DataFrame, key: Sequence[str],
     return merge_frames(target, source, key)
 
 
-def upsert_table(spark: SparkSession, table: str, source: DataFrame, key: Sequence[str],
-                 **kw) -> None:
-    """K5 against a catalog table, creating it when absent (K7).
+# Table formats that take MERGE.
+MERGE_PROVIDERS = ("delta", "iceberg", "hudi")
+
+
+def _table_property(spark: SparkSession, table: str, name: str) -> str:
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").where(F.col("col_name") == name).limit(1).collect()
+    return rows[0]["data_type"] if rows else ""
 
-    The merged state is written as a new table and swapped in by rename, so
-    the table being read is never overwritten while it is read.
+
+def upsert_table(spark: SparkSession, table: str, source: DataFrame, key: Sequence[str],
+                 ddl: str | None = None, **kw) -> None:
+    """K5 against a catalog table, creating it when absent (K7; ``ddl`` gives
+    its columns, else those of ``source``).
+
+    Formats with MERGE merge.  For plain tables the merged state is written to
+    a new folder and the table's location is set to it: one change in the
+    catalog, before which readers see the old state and after it the new one.
+    The old folder stays until it is cleaned up.
     """
-    staged = f"{table}__next"
-    if not spark.catalog.tableExists(table) and spark.catalog.tableExists(staged):
-        # a previous run died between drop and rename: finish its swap
-        spark.sql(f"ALTER TABLE {staged} RENAME TO {table}")
     if not spark.catalog.tableExists(table):
-        (upsert(source.limit(0), source, key, **kw)
-         .write.mode("errorifexists").format("parquet").saveAsTable(table))
+        columns = ddl or ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in source.schema.fields)
+        home = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/{table.replace('.', '/')}-{uuid.uuid4().hex}"
+        spark.sql(f"CREATE TABLE {table} ({columns}) USING parquet LOCATION '{home}'")
+    target = spark.table(table)
+    if _table_property(spark, table, "Provider").lower() in MERGE_PROVIDERS:
+        assert_unique(source, key)
+        on = functools.reduce(lambda a, b: a & b, [F.col(f"{table}.{k}") == F.col(f"s.{k}") for k in key])
+        source.alias("s").mergeInto(table, on).whenMatched().updateAll().whenNotMatched().insertAll().merge()
         return
-    merged = upsert(spark.table(table), source, key, **kw)
-    spark.sql(f"DROP TABLE IF EXISTS {staged}")
-    merged.write.mode("errorifexists").format("parquet").saveAsTable(staged)
-    spark.sql(f"DROP TABLE {table}")
-    spark.sql(f"ALTER TABLE {staged} RENAME TO {table}")
+    source = source.select(*[F.col(f.name).cast(f.dataType) for f in target.schema.fields])
+    place = _table_property(spark, table, "Location").rstrip("/").rsplit("/", 1)[0]
+    new = f"{place}/{table.replace('.', '_')}-{uuid.uuid4().hex}"
+    upsert(target, source, key, **kw).write.parquet(new)
+    spark.sql(f"ALTER TABLE {table} SET LOCATION '{new}'")
+    spark.catalog.refreshTable(table)

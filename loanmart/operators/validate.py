@@ -22,31 +22,59 @@ def require_columns(df: DataFrame, cols: Sequence[str]) -> None:
         raise ValidationError(f"missing required columns: {missing}")
 
 
+def null_violations(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """V2: ``(column, nulls)`` of the listed columns that hold nulls, counted in one pass."""
+    counts = df.agg(*[F.sum(F.col(c).isNull().cast("bigint")).alias(c) for c in cols])
+    pairs = F.array(*[F.struct(F.lit(c).alias("column"), F.coalesce(F.col(c), F.lit(0)).alias("nulls")) for c in cols])
+    return counts.select(F.inline(pairs)).where(F.col("nulls") > 0)
+
+
 def assert_not_null(df: DataFrame, cols: Sequence[str]) -> None:
-    """V2: one pass counting nulls of all listed columns."""
-    row = df.agg(*[F.sum(F.col(c).isNull().cast("bigint")).alias(c) for c in cols]).first()
-    bad = {c: row[c] for c in cols if row[c]}
+    """V2: raise when a listed column holds nulls."""
+    bad = {r["column"]: r["nulls"] for r in null_violations(df, cols).collect()}
     if bad:
         raise ValidationError(f"null values in NOT NULL columns: {bad}")
 
 
-def assert_pages_complete(pages: DataFrame, group_cols: Sequence[str] = (), content_col: str = "content",
-                          total_col: str = "metadata.pagination.total") -> None:
-    """V4: per group (e.g. company), items over all landed pages equal the
-    advertised total.  Sums of page sizes only: no items are gathered."""
+def incomplete_pages(pages: DataFrame, group_cols: Sequence[str] = (), content_col: str = "content",
+                     total_col: str = "metadata.pagination.total") -> DataFrame:
+    """V4: groups (e.g. companies) whose items over all landed pages differ
+    from the advertised total.  Sums of page sizes only: no items are gathered."""
     sizes = (pages.groupBy(*group_cols)
-             .agg(F.sum(F.size(F.col(content_col))).alias("got"), F.max(F.col(total_col)).alias("want")))
-    bad = sizes.where(F.col("want").isNotNull() & (F.col("got") != F.col("want"))).limit(1).collect()
+             .agg(F.sum(F.coalesce(F.size(F.col(content_col)), F.lit(0))).alias("got"), F.max(F.col(total_col)).alias("want")))
+    return sizes.where(F.col("want").isNotNull() & ~F.col("got").eqNullSafe(F.col("want")))
+
+
+def assert_pages_complete(pages: DataFrame, group_cols: Sequence[str] = (), **kw) -> None:
+    """V4: raise when a group's pages are not all there."""
+    bad = incomplete_pages(pages, group_cols, **kw).limit(1).collect()
     if bad:
         raise ValidationError(f"incomplete page set: {bad[0].asDict()}")
 
 
+def error_documents(docs: DataFrame, error_col: str = "error", description_col: str = "error_description") -> DataFrame:
+    """V5: error and description of landed error documents."""
+    return docs.where(F.col(error_col).isNotNull()).select(error_col, description_col)
+
+
 def assert_no_error_documents(docs: DataFrame, error_col: str = "error",
                               description_col: str = "error_description") -> None:
     """V5: fail on any landed error document."""
-    if error_col not in docs.columns:
-        return
-    cols = [error_col] + ([description_col] if description_col in docs.columns else [])
-    bad = docs.where(F.col(error_col).isNotNull()).select(*cols).limit(1).collect()
+    bad = error_documents(docs, error_col, description_col).limit(1).collect()
     if bad:
         raise ValidationError(f"error document landed: {bad[0].asDict()}")
+
+
+def assert_sound_documents(docs: DataFrame, group_cols: Sequence[str] | None = None, total_col: str = "metadata.pagination.total") -> None:
+    """V5 and, with ``group_cols``, V4 in one pass over the landed documents."""
+    group = list(group_cols or ())
+    aggs = [F.count("error").alias("errors"), F.max("error").alias("error")]
+    if group_cols is not None:
+        aggs += [F.sum(F.coalesce(F.size("content"), F.lit(0))).alias("got"), F.max(total_col).alias("want")]
+    sums = docs.groupBy(*group).agg(*aggs)
+    wrong = F.col("errors") > 0
+    if group_cols is not None:
+        wrong = wrong | (F.col("want").isNotNull() & ~F.col("got").eqNullSafe(F.col("want")))
+    bad = sums.where(wrong).limit(1).collect()
+    if bad:
+        raise ValidationError(f"{'error document landed' if bad[0]['errors'] else 'incomplete page set'}: {bad[0].asDict()}")

@@ -3,9 +3,10 @@ become case rows for the case outbox (K8)."""
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loanmart.functions.dates import days_until, parse_timestamp, try_parse_timestamp
@@ -42,21 +43,31 @@ CASE_COLUMNS = ("Subject", "Description", "RecordTypeId", "OwnerId", "Reason",
                 "Loan_Number__c", "Address__Street__s", "Borrower__c")
 
 
-def expiring_cases(loans: DataFrame, spec: AlertSpec, as_of) -> DataFrame:
-    """D1/D4 -> D6 -> F3 -> P14 (+C17, C18).  ``loans`` has the report
-    headings Loan Number, Property Address, Borrower First/Last Name and the
-    spec's date heading as text."""
+def _due(spec: AlertSpec, as_of) -> Column:
     raw = F.col(f"`{spec.date_column}`")
     due = (try_parse_timestamp(raw, (spec.date_format,)) if spec.coerce
            else parse_timestamp(raw, spec.date_format))
-    return (loans
-            .where(days_until(due, as_of) == spec.days)
+    return F.coalesce(days_until(due, as_of) == spec.days, F.lit(False))
+
+
+def expiring_cases(loans: DataFrame, spec: AlertSpec | Sequence[AlertSpec], as_of) -> DataFrame:
+    """D1/D4 -> D6 -> F3 -> P14 (+C17, C18), for one alert or several in one
+    pass over the loans: each row gets the array of its due alerts, exploded.
+    ``loans`` has the report headings Loan Number, Property Address, Borrower
+    First/Last Name and the specs' date headings as text."""
+    specs = [spec] if isinstance(spec, AlertSpec) else list(spec)
+    alerts = F.array(*[F.when(_due(s, as_of), F.struct(
+        F.format_string(s.subject, F.col("`Loan Number`")).alias("Subject"),
+        F.lit(s.record_type_id).alias("RecordTypeId"), F.lit(s.owner_id).alias("OwnerId"),
+        F.lit(s.reason).alias("Reason"))) for s in specs])
+    due = loans.withColumn("_alert", F.explode(F.filter(alerts, lambda a: a.isNotNull())))
+    return (due
             .select(
-                F.format_string(spec.subject, F.col("`Loan Number`")).alias("Subject"),
+                F.col("_alert.Subject").alias("Subject"),
                 F.col("`Loan Number`").alias("Description"),
-                F.lit(spec.record_type_id).alias("RecordTypeId"),
-                F.lit(spec.owner_id).alias("OwnerId"),
-                F.lit(spec.reason).alias("Reason"),
+                F.col("_alert.RecordTypeId").alias("RecordTypeId"),
+                F.col("_alert.OwnerId").alias("OwnerId"),
+                F.col("_alert.Reason").alias("Reason"),
                 F.col("`Loan Number`").alias("Loan_Number__c"),
                 F.col("`Property Address`").alias("Address__Street__s"),
                 full_name(F.col("`Borrower First Name`"), F.col("`Borrower Last Name`")).alias("Borrower__c")))

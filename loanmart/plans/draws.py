@@ -4,7 +4,7 @@ loan numbers -> draw items."""
 from __future__ import annotations
 
 import datetime as _dt
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -55,23 +55,26 @@ def draw_events(runs: DataFrame, as_of, run_id: str = "id", **kw) -> DataFrame:
     return keep_first(params, EVENT_KEYS, "_run").drop("_run")
 
 
-def draw_report(runs: DataFrame, loan_fields: DataFrame, draws: DataFrame, as_of,
+def draw_report(runs: DataFrame, loan_fields: DataFrame, draws: DataFrame | Callable[[DataFrame], DataFrame], as_of,
                 run_id: str = "id", **kw) -> DataFrame:
     """Events ⟕ loans (J1) -> listed columns + stamp (P7, P12) ->
     draws of those events only (J8) flattened (N1-N4) -> ⟕ on draw id as
-    text (J2, Q11).
+    text (J2, Q11).  ``draws`` may be a function from the wanted ``(id)`` to
+    their documents, so that what they are made of can be narrowed first.
 
     Rows per draw id are bounded on both sides of J2: the events are
     de-duplicated to one row per (draw, loan, status) and the items of a
     draw come from one landed document.  A plain left join therefore
     suffices (AQE may still split a large left partition); the right side
-    is computed once.  ``left_join_skew_safe`` is for inputs without such a
-    bound."""
+    is computed once."""
     events = draw_events(runs, as_of, run_id=run_id, **kw)
     loans = loan_fields.select(F.col("loan_id"), F.col("loanNumber")).where(F.col("loan_id").isNotNull())
     merged = (events.join(loans, "loan_id", "left")
                     .select(F.col("draw_id").cast("string").alias("draw_id"), "loan_id", "updated_status",
                             "loanNumber", pacific_stamp(as_of).alias("timestamp")))
-    wanted = draws.withColumn("id", F.col("id").cast("string"))
-    wanted = semi_join(wanted, merged.select(F.col("draw_id").alias("id")), ["id"])
+    ids = merged.select(F.col("draw_id").alias("id")).where("id IS NOT NULL").distinct()
+    if callable(draws):
+        wanted = draws(ids)
+    else:
+        wanted = semi_join(draws.withColumn("id", F.col("id").cast("string")), ids, ["id"])
     return merged.join(flatten_draws(wanted), "draw_id", "left")

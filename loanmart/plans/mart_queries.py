@@ -28,18 +28,18 @@ from loanmart.plans.lip import combine_lip
 from loanmart.plans.payroll import companies, email_addresses, workers
 from loanmart.plans.sync import core_value_patches
 from loanmart.plans.transactions import transaction_report
-from loanmart.operators.combine import union_all_by_name
 from loanmart.operators.nested import flatten_draws
-from loanmart.operators.validate import assert_no_error_documents, assert_pages_complete
+from loanmart.operators.validate import assert_sound_documents
 from loanmart.streaming.draw_events import new_cases
 from loanmart.functions.text import case_hash, has_label
 from loanmart.functions.dates import STAMP_FORMAT, utc_to_pacific
 from loanmart.operators.surrogate import add_surrogate_key
 from loanmart.plans.reports import MATURITY_DATES
-from loanmart.session import checkpoint_dir
+from loanmart.session import scratch_path
 from loanmart.sources.sinks import prepare_append, read_csv_report, report_path, write_csv
-from loanmart.streaming.case_messages import case_fields, case_mail
-from loanmart.streaming.draw_events import DRAW_SUBMIT, start_draw_event_stream
+from loanmart.streaming.case_messages import broken_messages, case_fields, case_mail
+from loanmart.streaming.draw_events import CASE_OUTBOX, DRAW_CREATE, DRAW_SUBMIT, MAIL_OUTBOX, process_batch, start_draw_event_stream
+from loanmart.streaming.outbox import read_outbox
 from loanmart.plans.reports import CASH_STATUS, INVESTOR_PORTFOLIO, WATCHLIST
 from loanmart.plans.spec import apply_spec
 from loanmart.sources.tables import table
@@ -115,11 +115,30 @@ def q01_cash_status_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return apply_spec(landed_cash_status(table(spark, sf_dir, "orders")), CASH_STATUS, AS_OF)
 
 
+# The output column of each heading, written out for the oracle.
+_Q01_NAMES = {
+    "Collateral Holdback": "collateral_holdback", "Appraised Value": "appraised_value",
+    "As Permitted Property Value": "as_permitted_property_value", "Current Loan Amount": "current_loan_amount",
+    "Total Principal Loan Paydown": "total_principal_loan_paydown",
+    "Total Interest Reserve Amount Disbursed": "total_interest_reserve_amount_disbursed",
+    "Interest Reserve Balance": "interest_reserve_balance",
+    "Loan amount Disbursed excluding Interest Reserve": "loan_amount_disbursed_excluding_interest_reserve",
+    "Balance to finish Including Retainage": "balance_to_finish_including_retainage",
+    "Loan Amount Disbursed": "loan_amount_disbursed", "LTV": "ltv", "CLTV": "cltv", "LTC": "ltc",
+    "As Permitted LTV": "as_permitted_ltv", "As Permitted CLTV": "as_permitted_cltv",
+    "Current Interest Rate": "current_interest_rate", "% DISB": "%_disb", "Loan Number": "loan_number",
+    "Borrower Last Name": "borrower_last_name", "Property Address": "property_address", "Loan Program": "loan_program",
+    "Loan Term in Months": "loan_term_in_months", "Loan Originator": "loan_originator", "Total Units": "total_units",
+    "County": "county", "City": "city", "Investor": "investor", "Outside Equity": "outside_equity", "State": "state",
+    "Zip": "zip", "Exception": "exception", "Additional Collateral Property": "additional_collateral_property",
+    "Funding Account": "funding_account", "Loan Funded Date": "loan_funded_date",
+    "Original Loan Due Date": "original_loan_due_date", "Current Loan Due Date": "current_loan_due_date",
+    "Builder's Risk Insurance Expiration": "builders_risk_insurance_expiration"}
+
+
 def _q01_sql() -> str:
-    from loanmart.plans.headings import BUILDERS_RISK_RENAME, HEADING_RENAMES
     def out(h):
-        h = BUILDERS_RISK_RENAME.get(h, h)
-        return '"' + HEADING_RENAMES.get(h, h) + '"'
+        return '"' + _Q01_NAMES[h] + '"'
     sel = []
     for h, e in _Q01_TEXT:
         e = e.replace("concat('LN-', o_orderkey)", "'LN-' || o_orderkey") \
@@ -256,8 +275,8 @@ _Q04_TEXT = """CASE event_type
     WHEN 'view' THEN CAST(CAST(value AS DECIMAL(18,2)) AS STRING)
     WHEN 'click' THEN props
     WHEN 'purchase' THEN ''
-    WHEN 'signup' THEN 'nan'
-    ELSE concat(CAST(CAST(value AS DECIMAL(18,2)) AS STRING), 'x') END"""
+    WHEN 'signup' THEN CASE event_id % 3 WHEN 0 THEN 'nan' WHEN 1 THEN 'inf' ELSE '-Infinity' END
+    ELSE concat(CAST(CAST(value AS DECIMAL(18,2)) AS STRING), CASE event_id % 3 WHEN 0 THEN 'x' WHEN 1 THEN 'd' ELSE 'f' END) END"""
 _Q04_DATE = """CASE event_type
     WHEN 'view' THEN date_format(ts, 'MM/dd/yyyy')
     WHEN 'click' THEN '02/30/2024'
@@ -286,12 +305,13 @@ WITH t AS (
       WHEN 'view' THEN CAST(CAST(value AS DECIMAL(18,2)) AS VARCHAR)
       WHEN 'click' THEN props
       WHEN 'purchase' THEN ''
-      WHEN 'signup' THEN 'nan'
-      ELSE CAST(CAST(value AS DECIMAL(18,2)) AS VARCHAR) || 'x' END AS raw
+      WHEN 'signup' THEN CASE event_id % 3 WHEN 0 THEN 'nan' WHEN 1 THEN 'inf' ELSE '-Infinity' END
+      ELSE CAST(CAST(value AS DECIMAL(18,2)) AS VARCHAR) || CASE event_id % 3 WHEN 0 THEN 'x' WHEN 1 THEN 'd' ELSE 'f' END END AS raw
   FROM events)
 SELECT event_id, raw,
   CASE WHEN event_type = 'view' THEN CAST(raw AS DECIMAL(38,18)) END AS exact,
-  CASE WHEN event_type = 'view' THEN CAST(raw AS DOUBLE) WHEN event_type = 'signup' THEN CAST('nan' AS DOUBLE) END AS number,
+  CASE WHEN event_type = 'view' THEN CAST(raw AS DOUBLE) WHEN event_type = 'signup' AND event_id % 3 = 1 THEN CAST('inf' AS DOUBLE)
+    WHEN event_type = 'signup' AND event_id % 3 = 2 THEN CAST('-inf' AS DOUBLE) END AS number,
   NULLIF(raw, '') AS blank_null,
   CASE WHEN event_type = 'view' THEN CAST(CAST(ts AS DATE) AS TIMESTAMP) END AS fixed_date,
   CASE WHEN event_type IN ('view', 'signup') THEN CAST(CAST(ts AS DATE) AS TIMESTAMP)
@@ -319,13 +339,18 @@ FROM orders GROUP BY o_orderpriority"""
 
 # ---------------------------------------------------------------- Q-06 ----
 def q06_dedupe_keep_first(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One event per (user, type), the newest event id winning."""
-    return keep_first(table(spark, sf_dir, "events"), ["user_id", "event_type"], "event_id")
+    """One event per (user, type), the greatest rank winning; ranks tie
+    often and are null for one type, where the other columns decide."""
+    events = table(spark, sf_dir, "events").withColumn(
+        "rank", F.when(F.col("event_type") != "error", F.col("event_id") % 7))
+    return keep_first(events.select("user_id", "event_type", "rank", "event_id", "ts", "value", "props"),
+                      ["user_id", "event_type"], "rank")
 
 
 _Q06_SQL = """
-SELECT event_id, ts, user_id, event_type, value, props FROM (
-  SELECT *, row_number() OVER (PARTITION BY user_id, event_type ORDER BY event_id DESC) AS rn FROM events)
+SELECT user_id, event_type, rank, event_id, ts, value, props FROM (
+  SELECT *, row_number() OVER (PARTITION BY user_id, event_type ORDER BY rank DESC NULLS LAST, event_id DESC) AS rn
+  FROM (SELECT *, CASE WHEN event_type <> 'error' THEN event_id % 7 END AS rank FROM events))
 WHERE rn = 1"""
 
 
@@ -502,6 +527,21 @@ ORDER BY closing_date ASC NULLS LAST, fund ASC NULLS LAST, o_orderkey DESC
 LIMIT 1000"""
 
 
+def q09b_full_sorted_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """O1 over all rows: the position of each in the two-key order, nulls last."""
+    o = table(spark, sf_dir, "orders").select(
+        "o_orderkey", F.when(F.col("o_orderstatus") != "F", F.col("o_orderdate")).alias("closing_date"),
+        F.nullif(F.col("o_orderpriority"), F.lit("5-LOW")).alias("fund"))
+    return add_surrogate_key(o, [F.col("closing_date").asc_nulls_last(), F.col("fund").asc_nulls_last(), F.col("o_orderkey").desc()],
+                             "position")
+
+
+_Q09B_SQL = """
+WITH o AS (SELECT o_orderkey, CASE WHEN o_orderstatus <> 'F' THEN o_orderdate END AS closing_date,
+  NULLIF(o_orderpriority, '5-LOW') AS fund FROM orders)
+SELECT *, row_number() OVER (ORDER BY closing_date ASC NULLS LAST, fund ASC NULLS LAST, o_orderkey DESC) AS position FROM o"""
+
+
 # ---------------------------------------------------------------- Q-10 ----
 # Active-loan report landed from orders ⟕ customer; the four alerts (A1-A4)
 # each look at their own date heading.
@@ -528,18 +568,21 @@ def landed_active_loans(orders: DataFrame, customer: DataFrame) -> DataFrame:
 
 def q10_expiring_in_30_days(spark: SparkSession, sf_dir: str) -> DataFrame:
     loans = landed_active_loans(table(spark, sf_dir, "orders"), table(spark, sf_dir, "customer"))
-    return union_all_by_name([expiring_cases(loans, s, ALERT_AS_OF)
-                              for s in (MATURITY, BUILDERS_RISK, FLOOD, HOMEOWNERS)])
+    return expiring_cases(loans, (MATURITY, BUILDERS_RISK, FLOOD, HOMEOWNERS), ALERT_AS_OF)
 
 
 def _q10_sql() -> str:
     parts = []
-    for spec, shift, extra in ((MATURITY, 0, ""), (BUILDERS_RISK, 10, ""),
-                               (FLOOD, 20, " AND o_orderstatus <> 'P'"), (HOMEOWNERS, -5, "")):
-        subject = spec.subject.replace("'", "''").replace("%s", "' || 'LN-' || o_orderkey || '")
-        reason = spec.reason.replace("'", "''")
+    # Subjects and reasons, written out for the oracle.
+    for subject, reason, shift, extra in (
+            ("Maturity date expiring in 30 days for loan number: ", "Maturity Date: Expires in 30 days", 0, ""),
+            ("Builder''s Risk Insurance expiring in 30 days for loan number: ",
+             "Builder''s risk Insurance: Expires in 30 days", 10, ""),
+            ("Flood insurance expiring in 30 days for loan number: ", "Flood Insurance: Expires in 30 days", 20,
+             " AND o_orderstatus <> 'P'"),
+            ("Homeowners Insurance expiring in 30 days for loan number: ", "Homeowners Insurance: Expires in 30 days", -5, "")):
         parts.append(f"""
-SELECT '{subject}' AS Subject, 'LN-' || o_orderkey AS Description, '' AS RecordTypeId, '' AS OwnerId,
+SELECT '{subject}LN-' || o_orderkey AS Subject, 'LN-' || o_orderkey AS Description, '' AS RecordTypeId, '' AS OwnerId,
   '{reason}' AS Reason, 'LN-' || o_orderkey AS Loan_Number__c, o_orderkey || ' Cedar Ave' AS Address__Street__s,
   CASE WHEN c_mktsegment = 'AUTOMOBILE' THEN NULL ELSE 'First' || o_custkey || ' ' || c_name END AS Borrower__c
 FROM orders LEFT JOIN customer ON o_custkey = c_custkey
@@ -666,8 +709,13 @@ def q13_draw_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     loans = table(spark, sf_dir, "customer").select(
         F.col("c_custkey").cast("string").alias("loan_id"),
         F.concat(F.lit("LN-"), F.col("c_custkey")).alias("loanNumber"))
-    draws = nested_draws(table(spark, sf_dir, "orders"), table(spark, sf_dir, "lineitem"),
-                         table(spark, sf_dir, "supplier"))
+
+    def draws(ids: DataFrame) -> DataFrame:
+        wanted = ids.select(F.col("id").cast("long").alias("k"))
+        orders = table(spark, sf_dir, "orders").join(wanted, F.col("o_orderkey") == F.col("k"), "left_semi")
+        lines = table(spark, sf_dir, "lineitem").join(wanted, F.col("l_orderkey") == F.col("k"), "left_semi")
+        return nested_draws(orders, lines, table(spark, sf_dir, "supplier"))
+
     return draw_report(runs, loans, draws, DRAW_AS_OF, flow_ids=["draw-flow"])
 
 
@@ -694,7 +742,8 @@ def q14_core_value_patches(spark: SparkSession, sf_dir: str) -> DataFrame:
     already has values (here: the customer has orders), as JSON bodies."""
     e = F.expr
     raw = table(spark, sf_dir, "customer").select(
-        "c_custkey", "c_name", e("concat('CS-', c_custkey)"), "c_mktsegment",
+        "c_custkey", "c_name", e("concat('CS-', c_custkey)"),
+        e("CASE WHEN c_mktsegment <> 'BUILDING' THEN c_mktsegment END"),
         e("CAST(c_acctbal AS DECIMAL(18,2))"), e("CAST(c_acctbal AS DECIMAL(18,2)) * 0.5"),
         e("date_add(DATE'2024-01-01', c_nationkey)"))
     existing = table(spark, sf_dir, "orders").select(F.col("o_custkey").cast("string").alias("lg_loan_id"))
@@ -704,7 +753,7 @@ def q14_core_value_patches(spark: SparkSession, sf_dir: str) -> DataFrame:
 _Q14_SQL = """
 SELECT CAST(c_custkey AS VARCHAR) AS target_id,
   json_object('lg_loan_id', CAST(c_custkey AS VARCHAR), 'lg_loan_number', c_name,
-    'coreSystemLoanId', 'CS-' || c_custkey, 'coreSystemName', c_mktsegment,
+    'coreSystemLoanId', 'CS-' || c_custkey, 'coreSystemName', CASE WHEN c_mktsegment <> 'BUILDING' THEN c_mktsegment END,
     'coreSystemLoanAmount', CAST(CAST(c_acctbal AS DECIMAL(18,2)) AS VARCHAR),
     'coreSystemLoanBalance', CAST(CAST(c_acctbal AS DECIMAL(18,2)) * 0.5 AS VARCHAR),
     'coreSystemLoanBalanceLastUpdated', CAST(DATE '2024-01-01' + c_nationkey AS VARCHAR))::VARCHAR AS body
@@ -776,8 +825,8 @@ def q16_payroll_flatten(spark: SparkSession, sf_dir: str) -> DataFrame:
     parent keys (J6)."""
     cd, wp, cm = payroll_documents(table(spark, sf_dir, "nation"), table(spark, sf_dir, "customer"),
                                    table(spark, sf_dir, "orders"))
-    assert_no_error_documents(cd)
-    assert_pages_complete(wp, ["companyId"])
+    assert_sound_documents(cd)
+    assert_sound_documents(wp, ["companyId"])
     em = email_addresses(cm)
     w = workers(wp).withColumnRenamed("id", "worker_id")
     c = companies(cd)
@@ -834,16 +883,8 @@ WHERE sha256(coalesce(l, 'None') || '-' || coalesce(d, 'None')) NOT IN
 # The draw webhook as a stream: events are read as a file stream
 # (availableNow), every call becomes (loan, status, draw); loans, draws and
 # open cases are static tables derived from customer and orders.
-def _draw_event_stream(spark: SparkSession, sf_dir: str):
-    events_schema = table(spark, sf_dir, "events").schema
-    stream = (spark.readStream.schema(events_schema).option("pathGlobFilter", "events.parquet")
-              .parquet(sf_dir))
-    status = (F.when(F.col("event_type") == "purchase", F.lit(" Draw Submit\n"))
-              .when(F.col("event_type") == "view", F.lit("draw submit"))
-              .when(F.col("event_type") == "click", F.lit("Draw Create"))
-              .otherwise(F.col("event_type")))
-    calls = stream.select(F.col("user_id").cast("string").alias("loan_id"), status.alias("updated_status"),
-                          F.col("user_id").cast("string").alias("draw_id"))
+def _draw_lookups(spark: SparkSession, sf_dir: str):
+    """Loans, draws and the CRM's cases (all states) made from customer and orders."""
     e = F.expr
     customer = table(spark, sf_dir, "customer")
     loans = customer.select(
@@ -856,40 +897,81 @@ def _draw_event_stream(spark: SparkSession, sf_dir: str):
     draws = table(spark, sf_dir, "orders").select(
         e("CAST(o_orderkey AS STRING)").alias("id"),
         e("CASE WHEN o_orderstatus = 'P' THEN NULL ELSE o_orderpriority END").alias("type"))
+    cases = customer.select(e("concat('LN-', c_custkey)").alias("Loan_Number__c"),
+                            e("CAST(c_custkey AS STRING)").alias("Draw_ID__c"),
+                            e("CASE WHEN c_mktsegment = 'BUILDING' THEN 'New' ELSE 'Closed' END").alias("Status"))
+    return loans, draws, lambda: cases.where(F.col("Status") == "New")
+
+
+def _draw_calls(events: DataFrame) -> DataFrame:
+    status = (F.when(F.col("event_type") == "purchase", F.lit(" Draw Submit\n"))
+              .when(F.col("event_type") == "view", F.lit("draw submit"))
+              .when(F.col("event_type") == "click", F.lit("Draw Create"))
+              .otherwise(F.col("event_type")))
+    return events.select(F.col("user_id").cast("string").alias("loan_id"), status.alias("updated_status"),
+                         F.col("user_id").cast("string").alias("draw_id"))
 
-    def open_cases():
-        return (customer.select(e("concat('LN-', c_custkey)").alias("Loan_Number__c"),
-                                e("CAST(c_custkey AS STRING)").alias("Draw_ID__c"),
-                                e("CASE WHEN c_mktsegment = 'BUILDING' THEN 'New' ELSE 'Closed' END").alias("Status"))
-                .where(F.col("Status") == "New"))
 
-    import uuid
-    root = f"{checkpoint_dir(spark)}/draw-stream-{uuid.uuid4().hex}"
-    q = start_draw_event_stream(spark, calls, loans, draws, open_cases, f"{root}/cases", f"{root}/mails",
-                                f"{root}/checkpoint", status=DRAW_SUBMIT)
+def _draw_event_stream(spark: SparkSession, sf_dir: str, draw_status: str = DRAW_SUBMIT):
+    events_schema = table(spark, sf_dir, "events").schema
+    stream = (spark.readStream.schema(events_schema).option("pathGlobFilter", "events.parquet")
+              .parquet(sf_dir))
+    loans, draws, open_cases = _draw_lookups(spark, sf_dir)
+    root = scratch_path(spark, "draw-stream")
+    q = start_draw_event_stream(spark, _draw_calls(stream), loans, draws, open_cases, f"{root}/cases", f"{root}/mails",
+                                f"{root}/checkpoint", status=draw_status, record_type_id="RT-1", owner_id="OW-1")
     q.awaitTermination()
     if q.exception() is not None:
         raise q.exception()
     return root
 
 
-def _read_outbox(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    try:
-        return spark.read.parquet(path).drop("batch_id")
-    except Exception:  # no batch wrote rows
-        return spark.createDataFrame([], schema)
-
-
 def q18_draw_event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = _draw_event_stream(spark, sf_dir)
-    return _read_outbox(spark, f"{root}/cases",
-                        "case_hash string, Subject string, Description string, Reason string, Loan_Number__c string,"
-                        " Address__Street__s string, Draw_ID__c string, Borrower__c string")
+    return read_outbox(spark, f"{root}/cases", CASE_OUTBOX).drop("batch_id")
 
 
 def q18b_draw_event_mail(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = _draw_event_stream(spark, sf_dir)
-    return _read_outbox(spark, f"{root}/mails", "loan_id string, draw_id string, subject string, body string")
+    return read_outbox(spark, f"{root}/mails", MAIL_OUTBOX).drop("batch_id")
+
+
+def q18c_draw_create_mail(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The older variant, status 'draw create'."""
+    root = _draw_event_stream(spark, sf_dir, DRAW_CREATE)
+    return read_outbox(spark, f"{root}/mails", MAIL_OUTBOX).drop("batch_id")
+
+
+def q18d_draw_event_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two batches (odd and even users), the first of them delivered twice,
+    as after a lost commit: cases and mails with their batch, no doubles."""
+    loans, draws, open_cases = _draw_lookups(spark, sf_dir)
+    events = table(spark, sf_dir, "events")
+    root = scratch_path(spark, "draw-replay")
+    for batch_id in (0, 0, 1):
+        batch = _draw_calls(events.where(F.col("user_id") % 2 == batch_id))
+        process_batch(batch, batch_id, spark, loans, draws, open_cases, f"{root}/cases", f"{root}/mails")
+    mails = read_outbox(spark, f"{root}/mails", MAIL_OUTBOX).select(F.lit("mail").alias("kind"), "batch_id", "loan_id", "subject")
+    cases = read_outbox(spark, f"{root}/cases", CASE_OUTBOX).select(F.lit("case").alias("kind"), "batch_id", F.col("Draw_ID__c").alias("loan_id"), F.col("Subject").alias("subject"))
+    return mails.unionByName(cases)
+
+
+def q18e_draw_event_reopen(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same calls in three batches: after the first the sender has
+    delivered the cases of F orders and the CRM closed them, so the second
+    batch opens these again; nothing more is delivered before the third."""
+    loans, draws, open_cases = _draw_lookups(spark, sf_dir)
+    calls = _draw_calls(table(spark, sf_dir, "events"))
+    root = scratch_path(spark, "draw-reopen")
+    closed = table(spark, sf_dir, "orders").where("o_orderstatus = 'F'").select(F.col("o_orderkey").cast("string").alias("Draw_ID__c"))
+
+    def delivered() -> DataFrame:
+        queued = read_outbox(spark, f"{root}/cases", CASE_OUTBOX).where("batch_id = 0")
+        return queued.join(closed, "Draw_ID__c", "left_semi").select("case_hash", "batch_id")
+
+    for batch_id in (0, 1, 2):
+        process_batch(calls, batch_id, spark, loans, draws, open_cases, f"{root}/cases", f"{root}/mails", delivered=delivered)
+    return read_outbox(spark, f"{root}/cases", CASE_OUTBOX).select("case_hash", "batch_id", "Loan_Number__c", "Draw_ID__c")
 
 
 _Q18_BASE = """
@@ -915,19 +997,36 @@ _Q18_SQL = _Q18_BASE + """,
 cand AS (
   SELECT DISTINCT sha256(coalesce(loanNumber, 'None') || '-' || coalesce(draw_id, 'None')) AS case_hash,
     'Pending Draw Created in LG  Loan Number: ' || coalesce(loanNumber, 'None') AS Subject,
-    loanNumber AS Description, 'Draw' AS Reason, loanNumber AS Loan_Number__c, addr AS Address__Street__s,
+    loanNumber AS Description, 'RT-1' AS RecordTypeId, 'OW-1' AS OwnerId, 'Draw' AS Reason, loanNumber AS Loan_Number__c, addr AS Address__Street__s,
     draw_id AS Draw_ID__c, coalesce(fn, '') || ' ' || coalesce(ln, '') AS Borrower__c
   FROM en WHERE submit AND draw_type IS NOT NULL)
 SELECT * FROM cand
 WHERE case_hash NOT IN (SELECT sha256('LN-' || c_custkey || '-' || c_custkey) FROM customer WHERE c_mktsegment = 'BUILDING')"""
 
 _Q18B_SQL = _Q18_BASE + """
-SELECT loan_id, draw_id, 'Draw Change for ' || loanNumber AS subject,
-  'Loan Number: ' || loanNumber || chr(10) || 'Risk Label(s): ' ||
+SELECT loan_id, draw_id, 'Draw Change for ' || coalesce(loanNumber, 'None') AS subject,
+  'Loan Number: ' || coalesce(loanNumber, 'None') || chr(10) || 'Risk Label(s): ' ||
   CASE WHEN accounting THEN '[''Accounting'', ''' || seg || ''']' ELSE '[''' || seg || ''']' END ||
   chr(10) || 'Updated Status: ' || updated_status AS body
 FROM en WHERE submit AND accounting"""
 
+_Q18C_SQL = _Q18B_SQL.replace("WHERE submit AND accounting", "WHERE lower(updated_status) = 'draw create' AND accounting")
+
+_Q18D_SQL = _Q18_SQL.split("SELECT * FROM cand")[0] + """
+SELECT 'mail' AS kind, CAST(loan_id AS BIGINT) % 2 AS batch_id, loan_id, 'Draw Change for ' || loanNumber AS subject
+FROM en WHERE submit AND accounting
+UNION ALL
+SELECT 'case', CAST(Draw_ID__c AS BIGINT) % 2, Draw_ID__c, Subject FROM cand
+WHERE case_hash NOT IN (SELECT sha256('LN-' || c_custkey || '-' || c_custkey) FROM customer WHERE c_mktsegment = 'BUILDING')"""
+
+_Q18E_SQL = _Q18_SQL.split("SELECT * FROM cand")[0] + """,
+fresh AS (SELECT case_hash, Loan_Number__c, Draw_ID__c FROM cand
+  WHERE case_hash NOT IN (SELECT sha256('LN-' || c_custkey || '-' || c_custkey) FROM customer WHERE c_mktsegment = 'BUILDING'))
+SELECT case_hash, CAST(0 AS BIGINT) AS batch_id, Loan_Number__c, Draw_ID__c FROM fresh
+UNION ALL
+SELECT case_hash, CAST(1 AS BIGINT), Loan_Number__c, Draw_ID__c FROM fresh
+WHERE Draw_ID__c IN (SELECT CAST(o_orderkey AS VARCHAR) FROM orders WHERE o_orderstatus = 'F')"""
+
 
 # ---------------------------------------------------------------- Q-19 ----
 # Outbound case messages (SOAP-shaped XML, default and prefixed namespaces)
@@ -950,6 +1049,11 @@ def case_messages(customer: DataFrame) -> DataFrame:
         F.lit("</sf:CaseNumber><sf:RecordTypeId>RT-"), F.col("c_mktsegment"),
         F.lit("</sf:RecordTypeId><sf:Status>New</sf:Status></sObject></Notification></notifications>"
               "</soapenv:Body></soapenv:Envelope>"))
+    # one segment sends a second notification, another a message that breaks off
+    second = F.concat(F.lit("<Notification><Id>N2-"), F.col("c_custkey"), F.lit("</Id><sObject><Id>CASE2-"), F.col("c_custkey"),
+                      F.lit("</Id><CaseNumber/></sObject></Notification></notifications>"))
+    xml = (F.when(F.col("c_mktsegment") == "BUILDING", F.replace(xml, F.lit("</notifications>"), second))
+           .when(F.col("c_mktsegment") == "HOUSEHOLD", F.substring_index(xml, "<sf:Status>", 1)).otherwise(xml))
     return customer.select(xml.alias("xml"))
 
 
@@ -957,6 +1061,13 @@ def q19_xml_case_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
     return case_mail(case_fields(case_messages(table(spark, sf_dir, "customer"))))
 
 
+def q19b_broken_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Messages that cannot be read, counted by the organization they name."""
+    broken = broken_messages(case_messages(table(spark, sf_dir, "customer")))
+    org = F.regexp_extract("xml", "<OrganizationId>([^<]*)<", 1).alias("org_id")
+    return broken.groupBy(org).agg(F.count("*").alias("messages"))
+
+
 _Q19_SQL = """
 WITH f AS (
   SELECT 'ORG-' || c_nationkey AS org_id, 'ACT-1' AS action_id,
@@ -965,15 +1076,23 @@ WITH f AS (
     'N-' || c_custkey AS notification_id, 'CASE-' || c_custkey AS case_id,
     CASE WHEN c_mktsegment = 'MACHINERY' THEN NULL ELSE c_name END AS borrower,
     lpad(CAST(c_custkey AS VARCHAR), 8, '0') AS case_number, 'RT-' || c_mktsegment AS record_type_id,
-    'New' AS status
-  FROM customer)
-SELECT *, ' SF CASE: ' || case_number AS subject,
+    'New' AS status, 0 AS position
+  FROM customer WHERE c_mktsegment <> 'HOUSEHOLD'
+  UNION ALL
+  SELECT 'ORG-' || c_nationkey, 'ACT-1', 'https://example.invalid/e/' || c_nationkey,
+    'https://example.invalid/p/' || c_nationkey, 'N2-' || c_custkey, 'CASE2-' || c_custkey, NULL, NULL, NULL, NULL, 1
+  FROM customer WHERE c_mktsegment = 'BUILDING')
+SELECT *, ' SF CASE: ' || coalesce(case_number, 'None') AS subject,
   'Organization ID: ' || org_id || 'Action ID: ' || action_id || 'Enterprise URL: ' || enterprise_url ||
   'Partner URL: ' || partner_url || 'Notification ID: ' || notification_id || 'Case ID: ' || case_id ||
-  'Borrower: ' || coalesce(borrower, 'None') || 'Case Number: ' || case_number ||
-  'Record Type ID: ' || record_type_id || 'Status: ' || status AS body
+  'Borrower: ' || coalesce(borrower, 'None') || 'Case Number: ' || coalesce(case_number, 'None') ||
+  'Record Type ID: ' || coalesce(record_type_id, 'None') || 'Status: ' || coalesce(status, 'None') AS body
 FROM f"""
 
+_Q19B_SQL = """
+SELECT 'ORG-' || c_nationkey AS org_id, count(*) AS messages FROM customer
+WHERE c_mktsegment = 'HOUSEHOLD' GROUP BY c_nationkey"""
+
 
 # ---------------------------------------------------------------- Q-20 ----
 def q20_surrogate_key(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -1050,7 +1169,7 @@ def landed_maturity(orders: DataFrame) -> DataFrame:
         e("concat('Customer ', o_custkey)").alias("Borrower"),
         e("CASE WHEN o_orderstatus = 'P' THEN '' ELSE concat(o_orderkey, ' Oak St') END").alias("Property Address"),
         F.col("o_orderpriority").alias("Loan Program"),
-        F.when(F.col("o_orderstatus") != "F", F.lit('note "quoted", ok')).alias("Pinned Note"),
+        F.when(F.col("o_orderstatus") != "F", F.lit('  note "quoted",\nsecond line, ok \\" ')).alias("Pinned Note"),
         e("date_format(o_orderdate, 'MM/dd/yyyy')").alias("Loan Funded Date"),
         e("date_format(add_months(o_orderdate, 12), 'M/d/yyyy')").alias("Current Loan Due Date"))
 
@@ -1058,9 +1177,8 @@ def landed_maturity(orders: DataFrame) -> DataFrame:
 def q24_dated_csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """R2 -> K1 at the K3 path under the shared checkpoint folder -> read
     back with the report's schema ('' and null both come back null)."""
-    import uuid
     report = apply_spec(landed_maturity(table(spark, sf_dir, "orders")), MATURITY_DATES, AS_OF)
-    root = f"{checkpoint_dir(spark)}/reports-{uuid.uuid4().hex}"
+    root = scratch_path(spark, "reports")
     path = report_path(root, "maturity_dates", AS_OF, folder="loans")
     write_csv(report, path)
     return read_csv_report(spark, path, report.schema)
@@ -1070,7 +1188,7 @@ _Q24_SQL = f"""
 SELECT 'LN-' || o_orderkey AS loan_number, 'Customer ' || o_custkey AS borrower,
   CASE WHEN o_orderstatus = 'P' THEN NULL ELSE o_orderkey || ' Oak St' END AS property_address,
   o_orderpriority AS loan_program,
-  CASE WHEN o_orderstatus <> 'F' THEN 'note "quoted", ok' END AS pinned_note,
+  CASE WHEN o_orderstatus <> 'F' THEN '  note "quoted",' || chr(10) || 'second line, ok \\" ' END AS pinned_note,
   o_orderdate AS loan_funded_date, CAST(o_orderdate + INTERVAL 12 MONTH AS TIMESTAMP) AS current_loan_due_date,
   '{AS_OF_PACIFIC_TEXT}' AS "timestamp"
 FROM orders"""
@@ -1087,6 +1205,7 @@ QUERIES = {
     "combine_two_sources": q08_combine_two_sources,
     "combine_funded_sources": q08b_combine_funded_sources,
     "sorted_report": q09_sorted_report,
+    "full_sorted_report": q09b_full_sorted_report,
     "expiring_in_30_days": q10_expiring_in_30_days,
     "two_month_transactions": q11_two_month_transactions,
     "draw_item_flatten": q12_draw_item_flatten,
@@ -1097,7 +1216,11 @@ QUERIES = {
     "open_case_anti_join": q17_open_case_anti_join,
     "draw_event_stream": q18_draw_event_stream,
     "draw_event_mail": q18b_draw_event_mail,
+    "draw_create_mail": q18c_draw_create_mail,
+    "draw_event_replay": q18d_draw_event_replay,
+    "draw_event_reopen": q18e_draw_event_reopen,
     "xml_case_fields": q19_xml_case_fields,
+    "xml_broken_messages": q19b_broken_messages,
     "surrogate_key": q20_surrogate_key,
     "label_membership": q21_label_membership,
     "append_without_blank_keys": q22_append_without_blank_keys,
@@ -1116,6 +1239,7 @@ ORACLE_SQL = {
     "combine_two_sources": _q08_sql(False),
     "combine_funded_sources": _q08_sql(True),
     "sorted_report": _Q09_SQL,
+    "full_sorted_report": _Q09B_SQL,
     "expiring_in_30_days": _q10_sql(),
     "two_month_transactions": _Q11_SQL,
     "draw_item_flatten": _Q12_ITEMS,
@@ -1126,7 +1250,11 @@ ORACLE_SQL = {
     "open_case_anti_join": _Q17_SQL,
     "draw_event_stream": _Q18_SQL,
     "draw_event_mail": _Q18B_SQL,
+    "draw_create_mail": _Q18C_SQL,
+    "draw_event_replay": _Q18D_SQL,
+    "draw_event_reopen": _Q18E_SQL,
     "xml_case_fields": _Q19_SQL,
+    "xml_broken_messages": _Q19B_SQL,
     "surrogate_key": _Q20_SQL,
     "label_membership": _Q21_SQL,
     "append_without_blank_keys": _Q22_SQL,

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from loanmart.functions.text import MONEY_CHARS
 from loanmart.operators.latest import latest_report_id
+from loanmart.operators.nested import nested_get
 from loanmart.plans.headings import BUILDERS_RISK_RENAME
 from loanmart.plans.spec import ReportSpec, apply_spec
 from loanmart.sources.documents import read_report_document
@@ -132,6 +133,6 @@ def loan_id_report(loan_items: DataFrame, as_of=None) -> DataFrame:
     landed = loan_items.select(
         F.col("id").cast("string").alias("Land Gorilla Loan ID"),
         F.col("fileNumber").alias("Loan Number"),
-        F.coalesce(F.col("borrower.firstName"), F.lit("")).alias("First Name"),
-        F.coalesce(F.col("borrower.lastName"), F.lit("")).alias("Last Name / Business"))
+        nested_get("borrower.firstName", "").alias("First Name"),
+        nested_get("borrower.lastName", "").alias("Last Name / Business"))
     return apply_spec(landed, LOAN_IDS, as_of)

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loanmart.functions.dates import pacific_stamp, reformat_date
+from loanmart.operators.validate import require_columns
 from loanmart.sources.documents import TRANSACTION_FIELDS
 
 MONTHS_BACK = 2
@@ -27,7 +28,8 @@ def transaction_report(accounts: DataFrame, transactions: DataFrame, as_of) -> D
     distinct, so AQE broadcasts it; no per-account loop."""
     lo, hi = window_bounds(as_of)
     ids = accounts.where(F.col("id").isNotNull()).select(F.col("id").cast("string").alias("account_id")).distinct()
-    tx = transactions.join(ids, "account_id", "left_semi") if "account_id" in transactions.columns else transactions
+    require_columns(transactions, ["account_id"])
+    tx = transactions.join(ids, "account_id", "left_semi")
     created = F.to_date(F.substring("transactionCreatedDate", 1, 10), "yyyy-MM-dd")
     return (tx.where(created.between(lo, hi))
               .select(*[F.col(c) for c in TRANSACTION_FIELDS[:5]],

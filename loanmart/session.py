@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -43,7 +44,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder named by ``spark.checkpoint.dir``.
 
     On a cluster the setting points at shared storage and is used as is.
-    Only when it is unset (local tests) a scratch folder is made and set.
+    Only in local mode, when it is unset, a scratch folder is made and set; on
+    a cluster a folder of the driver's own would be invisible to executors.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir", None)
@@ -51,6 +53,19 @@ def checkpoint_dir(spark: SparkSession) -> str:
         if not sc.getCheckpointDir():
             sc.setCheckpointDir(current)
         return current
+    if not sc.master.startswith("local"):
+        raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
     local = tempfile.mkdtemp(prefix="loanmart-ckpt-")
     sc.setCheckpointDir(local)
     return local
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a path exists in its (Hadoop) file system; storage errors propagate."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
+
+
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A new path under the shared checkpoint folder."""
+    return f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"

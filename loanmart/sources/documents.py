@@ -30,15 +30,17 @@ def _items(item: T.StructType) -> T.StructType:
 
 CATALOGUE_SCHEMA = _struct("id", "name")
 LOAN_LIST_SCHEMA = _items(T.StructType([
-    T.StructField("id", S), T.StructField("fileNumber", S),
+    T.StructField("id", S), T.StructField("fileNumber", S), T.StructField("folder", S), T.StructField("status", S),
     T.StructField("borrower", _struct("firstName", "lastName"))]))
 ACCOUNT_SCHEMA = _items(_struct("id"))
 # Transaction fields kept by the transaction report.
 TRANSACTION_FIELDS = ("loanNumber", "transactionDescription", "debit", "credit", "paymentType",
                       "transactionCreatedDate", "transactionEffectiveDate")
-TRANSACTION_SCHEMA = _items(_struct(*TRANSACTION_FIELDS))
+# One document per account; ``account_id`` is the landing envelope.
+TRANSACTION_SCHEMA = T.StructType([T.StructField("account_id", S), *_items(_struct(*TRANSACTION_FIELDS)).fields])
 RUN_SCHEMA = T.StructType([
-    T.StructField("id", S), T.StructField("state_type", S), T.StructField("start_time", T.TimestampType()),
+    T.StructField("id", S), T.StructField("flow_id", S), T.StructField("state_type", S),
+    T.StructField("start_time", T.TimestampType()),
     T.StructField("parameters", _struct("draw_id", "loan_id", "updated_status"))])
 LOAN_FIELDS_SCHEMA = T.StructType([
     T.StructField("loan_id", S),
@@ -106,10 +108,15 @@ def read_templates(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_loan_list(spark: SparkSession, path: str) -> DataFrame:
-    """Active-loan items with nested borrower."""
+    """Loan items with nested borrower, folder and status."""
     return read_json(spark, path, LOAN_LIST_SCHEMA).select(F.explode("data.items").alias("l")).select("l.*")
 
 
+def active_loans(loans: DataFrame) -> DataFrame:
+    """loans whose folder and status are both 'active'."""
+    return loans.where((F.col("folder") == "active") & (F.col("status") == "active"))
+
+
 def read_accounts(spark: SparkSession, path: str) -> DataFrame:
     """GL accounts, ``id`` only."""
     return read_json(spark, path, ACCOUNT_SCHEMA).select(F.explode("data.items.id").alias("id"))
@@ -118,12 +125,12 @@ def read_accounts(spark: SparkSession, path: str) -> DataFrame:
 def read_transactions(spark: SparkSession, path: str) -> DataFrame:
     """All landed transaction documents (one per account) in one scan."""
     return (read_json(spark, path, TRANSACTION_SCHEMA)
-            .select(F.explode("data.items").alias("t")).select("t.*"))
+            .select("account_id", F.explode("data.items").alias("t")).select("account_id", "t.*"))
 
 
 def read_runs(spark: SparkSession, path: str) -> DataFrame:
     """Flow-run history with parameters flattened."""
-    return read_json(spark, path, RUN_SCHEMA).select("id", "state_type", "start_time", "parameters.*")
+    return read_json(spark, path, RUN_SCHEMA).select("id", "flow_id", "state_type", "start_time", "parameters.*")
 
 
 def read_loan_fields(spark: SparkSession, path: str) -> DataFrame:

@@ -17,6 +17,9 @@ from pyspark.sql import functions as F
 MONTH_FOLDER_FORMAT = "%m-%y"
 DAY_SUFFIX_FORMAT = "%m%d%y"
 TIME_SUFFIX_FORMAT = "%m%d%y_%H%M%S"
+# A quote inside a field is doubled, outer blanks and line breaks stay.
+CSV_OPTIONS = {"header": True, "quote": '"', "escape": '"', "ignoreLeadingWhiteSpace": False,
+               "ignoreTrailingWhiteSpace": False}
 
 
 def report_path(root: str, name: str, as_of: _dt.datetime, folder: str | None = None,
@@ -33,13 +36,13 @@ def write_csv(df: DataFrame, path: str, overwrite: bool = True, single_file: boo
     False (K2) refuses an existing path.  ``single_file`` only for reports
     known to be small (one output task)."""
     out = df.coalesce(1) if single_file else df
-    (out.write.option("header", True).option("emptyValue", "")
+    (out.write.options(**CSV_OPTIONS).option("emptyValue", "")
         .mode("overwrite" if overwrite else "errorifexists").csv(path))
 
 
 def read_csv_report(spark: SparkSession, path: str, schema) -> DataFrame:
     """Read a K1 report back with its typed schema (the round trip of Q-24)."""
-    return spark.read.option("header", True).schema(schema).csv(path)
+    return spark.read.options(**CSV_OPTIONS).option("multiLine", True).schema(schema).csv(path)
 
 
 def without_blank_keys(df: DataFrame, key: str = "loan_number") -> DataFrame:
@@ -80,9 +83,10 @@ def append_outbox(df: DataFrame, table: str) -> None:
 
 
 def patch_bodies(df: DataFrame, id_col: str) -> DataFrame:
-    """K9 + P15: one JSON body per row, keyed by the row's id."""
+    """K9 + P15: one JSON body per row, keyed by the row's id.  Null fields are
+    sent as null: they clear the value in the target."""
     return df.select(F.col(id_col).alias("target_id"),
-                     F.to_json(F.struct(*[F.col(c) for c in df.columns])).alias("body"))
+                     F.to_json(F.struct(*[F.col(c) for c in df.columns]), {"ignoreNullFields": "false"}).alias("body"))
 
 
 def report_mail(spark: SparkSession, subject: str, body: str, attachment_path: str) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from loanmart.functions.xml import xml_field
+from loanmart.streaming.outbox import write_batch
 
 # Fixed values: (output name, element path by local name, label in the mail).
 CASE_FIELDS = (
@@ -32,37 +32,42 @@ def _strings(*names: str) -> list[T.StructField]:
 # Notification/sObject) with the fields read from it.
 MESSAGE_SCHEMA = T.StructType([T.StructField("Body", T.StructType([T.StructField("notifications", T.StructType(
     _strings("OrganizationId", "ActionId", "EnterpriseUrl", "PartnerUrl")
-    + [T.StructField("Notification", T.StructType(
+    + [T.StructField("Notification", T.ArrayType(T.StructType(
         _strings("Id") + [T.StructField("sObject", T.StructType(
-            _strings("Id", "Borrower__c", "CaseNumber", "RecordTypeId", "Status")))]))]))]))])
+            _strings("Id", "Borrower__c", "CaseNumber", "RecordTypeId", "Status")))])))]))])),
+    T.StructField("_broken", T.StringType())])
+# Where each field is, in the message (m) or in one of its notifications (n).
 _PATHS = {
-    "org_id": "Body.notifications.OrganizationId", "action_id": "Body.notifications.ActionId",
-    "enterprise_url": "Body.notifications.EnterpriseUrl", "partner_url": "Body.notifications.PartnerUrl",
-    "notification_id": "Body.notifications.Notification.Id",
-    "case_id": "Body.notifications.Notification.sObject.Id",
-    "borrower": "Body.notifications.Notification.sObject.Borrower__c",
-    "case_number": "Body.notifications.Notification.sObject.CaseNumber",
-    "record_type_id": "Body.notifications.Notification.sObject.RecordTypeId",
-    "status": "Body.notifications.Notification.sObject.Status",
+    "org_id": "m.Body.notifications.OrganizationId", "action_id": "m.Body.notifications.ActionId",
+    "enterprise_url": "m.Body.notifications.EnterpriseUrl", "partner_url": "m.Body.notifications.PartnerUrl",
+    "notification_id": "n.Id", "case_id": "n.sObject.Id", "borrower": "n.sObject.Borrower__c",
+    "case_number": "n.sObject.CaseNumber", "record_type_id": "n.sObject.RecordTypeId", "status": "n.sObject.Status",
 }
 
 
-def case_fields(messages: DataFrame, xml_col: str = "xml") -> DataFrame:
-    """The ten fields of each message (missing or empty -> null).
+def _parsed(messages: DataFrame, xml_col: str) -> DataFrame:
+    """Each message parsed once (``from_xml`` with namespaces ignored, the way
+    the source looks elements up by local name)."""
+    options = {"ignoreNamespace": "true", "rowTag": "Envelope", "mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_broken"}
+    return messages.select(F.col(xml_col).alias("xml"), F.from_xml(F.col(xml_col), MESSAGE_SCHEMA, options).alias("m"))
+
 
-    Each message is parsed once (``from_xml`` with namespaces ignored, the
-    way the source looks elements up by local name); ten XPath calls would
-    parse it ten times."""
-    m = F.from_xml(F.col(xml_col), MESSAGE_SCHEMA, {"ignoreNamespace": "true", "rowTag": "Envelope"}).alias("m")
-    parsed = messages.select(m)
-    return parsed.select(*[F.nullif(F.col(f"m.{_PATHS[name]}"), F.lit("")).alias(name)
-                           for name, _, _ in CASE_FIELDS])
+def _sound() -> F.Column:
+    return F.col("m._broken").isNull() & F.coalesce(F.size("m.Body.notifications.Notification") > 0, F.lit(False))
 
 
-def case_fields_anywhere(messages: DataFrame, xml_col: str = "xml") -> DataFrame:
-    """N6 for messages of unknown shape: each field by local name at any
-    depth (XPath; one parse per field)."""
-    return messages.select(*[xml_field(xml_col, *path).alias(name) for name, path, _ in CASE_FIELDS])
+def case_fields(messages: DataFrame, xml_col: str = "xml") -> DataFrame:
+    """The ten fields (missing or empty -> null) of each notification of
+    each message, with its ``position`` in the message from 0 (the source
+    looks at the first).  Messages that are broken or hold no notification
+    are left to ``broken_messages``."""
+    rows = _parsed(messages, xml_col).where(_sound()).select("m", F.posexplode("m.Body.notifications.Notification").alias("position", "n"))
+    return rows.select(*[F.nullif(F.col(_PATHS[name]), F.lit("")).alias(name) for name, _, _ in CASE_FIELDS], "position")
+
+
+def broken_messages(messages: DataFrame, xml_col: str = "xml") -> DataFrame:
+    """Messages (``xml``) that are no well-formed message with a notification."""
+    return _parsed(messages, xml_col).where(~_sound()).select("xml")
 
 
 def case_mail(fields: DataFrame) -> DataFrame:
@@ -70,15 +75,24 @@ def case_mail(fields: DataFrame) -> DataFrame:
     parts = []
     for name, _, label in CASE_FIELDS:
         parts += [F.lit(f"{label}: "), F.coalesce(F.col(name), F.lit("None"))]
-    return fields.select("*", F.format_string(MAIL_SUBJECT, F.col("case_number")).alias("subject"),
+    return fields.select("*", F.format_string(MAIL_SUBJECT, F.coalesce(F.col("case_number"), F.lit("None"))).alias("subject"),
                          F.concat(*parts).alias("body"))
 
 
-def start_case_message_stream(spark: SparkSession, path: str, mail_table: str, checkpoint: str,
+def process_messages(batch: DataFrame, batch_id: int, mail_path: str, error_path: str) -> None:
+    """One micro-batch to the mail and the error outbox; a replay overwrites the batch's own folders."""
+    batch = batch.persist()
+    write_batch(case_mail(case_fields(batch)), mail_path, batch_id)
+    write_batch(broken_messages(batch), error_path, batch_id)
+    batch.unpersist()
+
+
+def start_case_message_stream(spark: SparkSession, path: str, mail_path: str, error_path: str, checkpoint: str,
                               available_now: bool = True):
-    """Whole-file text stream of messages -> mail outbox (append)."""
+    """Whole-file text stream of messages -> mail outbox; what cannot be
+    read goes to the error outbox."""
     msgs = spark.readStream.option("wholetext", True).text(path).withColumnRenamed("value", "xml")
-    writer = (case_mail(case_fields(msgs)).writeStream.format("parquet")
-              .option("checkpointLocation", checkpoint).option("path", mail_table).outputMode("append"))
+    writer = (msgs.writeStream.foreachBatch(lambda df, bid: process_messages(df, bid, mail_path, error_path))
+              .option("checkpointLocation", checkpoint))
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="30 seconds")
     return writer.start()

@@ -2,8 +2,10 @@
 
 Each webhook call of the source is one event row here.  Lookups are
 stream-static joins; the open-case check is an anti-join on the case hash
-against the CRM's open cases *and* the cases this stream already queued, so
-a later event sees earlier ones (Q14), also within one micro-batch.
+against the CRM's open cases and the cases that this stream has queued and
+the sender has not delivered yet, so a later event sees earlier ones (Q14),
+also within one micro-batch.  A delivered case counts as long as the CRM has
+it open; once closed there, a new event opens a new case.
 """
 
 from __future__ import annotations
@@ -16,6 +18,7 @@ from pyspark.sql import functions as F
 from loanmart.functions.text import case_hash, full_name, has_label, status_is
 from loanmart.operators.joins import anti_join
 from loanmart.sources.documents import DRAW_EVENT_SCHEMA
+from loanmart.streaming.outbox import read_outbox, write_batch
 
 # Statuses, label and texts of the draw webhook.
 DRAW_SUBMIT = "draw submit"
@@ -25,6 +28,9 @@ CASE_SUBJECT = "Pending Draw Created in LG  Loan Number: %s"
 CASE_REASON = "Draw"
 MAIL_SUBJECT = "Draw Change for %s"
 MAIL_BODY = "Loan Number: %s\nRisk Label(s): %s\nUpdated Status: %s"
+CASE_OUTBOX = ("case_hash string, Subject string, Description string, RecordTypeId string, OwnerId string, Reason string,"
+               " Loan_Number__c string, Address__Street__s string, Draw_ID__c string, Borrower__c string")
+MAIL_OUTBOX = "loan_id string, draw_id string, subject string, body string"
 
 
 def enrich(events: DataFrame, loans: DataFrame, draws: DataFrame) -> DataFrame:
@@ -36,14 +42,17 @@ def enrich(events: DataFrame, loans: DataFrame, draws: DataFrame) -> DataFrame:
     return events.join(lk, "loan_id", "left").join(dk, "draw_id", "left")
 
 
-def case_candidates(enriched: DataFrame, status: str = DRAW_SUBMIT) -> DataFrame:
+def case_candidates(enriched: DataFrame, status: str = DRAW_SUBMIT, record_type_id: str = "", owner_id: str = "") -> DataFrame:
     """F8 + F10 + P14 + C17 + C19: case rows for the wanted status with a
-    known draw type, keyed by the case hash."""
+    known draw type, keyed by the case hash.  The two CRM ids come from
+    configuration."""
     return (enriched.where(status_is("updated_status", status) & F.col("draw_type").isNotNull())
             .select(
                 case_hash(F.col("loanNumber"), F.col("draw_id")).alias("case_hash"),
                 F.format_string(CASE_SUBJECT, F.coalesce(F.col("loanNumber"), F.lit("None"))).alias("Subject"),
                 F.col("loanNumber").alias("Description"),
+                F.lit(record_type_id).alias("RecordTypeId"),
+                F.lit(owner_id).alias("OwnerId"),
                 F.lit(CASE_REASON).alias("Reason"),
                 F.col("loanNumber").alias("Loan_Number__c"),
                 F.col("propertyAddress").alias("Address__Street__s"),
@@ -63,55 +72,52 @@ def new_cases(candidates: DataFrame, open_cases: DataFrame) -> DataFrame:
 
 
 def _py_list_text(arr) -> F.Column:
-    """Python's text of a list of strings, e.g. ['Accounting', 'Rehab']."""
-    quoted = F.transform(arr, lambda x: F.concat(F.lit("'"), x, F.lit("'")))
+    """Python's text of a list of strings, e.g. ['Accounting', None]."""
+    quoted = F.transform(arr, lambda x: F.coalesce(F.concat(F.lit("'"), x, F.lit("'")), F.lit("None")))
     return F.concat(F.lit("["), F.array_join(quoted, ", "), F.lit("]"))
 
 
 def mail_rows(enriched: DataFrame, status: str = DRAW_SUBMIT) -> DataFrame:
     """W2/W3 + F9 (+Q25: array membership only): label 'Accounting' and the
-    wanted status."""
+    wanted status.  A missing loan number reads None, as in the cases."""
+    loan = F.coalesce(F.col("loanNumber"), F.lit("None"))
     return (enriched.where(has_label("riskLabel", ACCOUNTING_LABEL) & status_is("updated_status", status))
             .select(F.col("loan_id"), F.col("draw_id"),
-                    F.format_string(MAIL_SUBJECT, F.col("loanNumber")).alias("subject"),
-                    F.format_string(MAIL_BODY, F.col("loanNumber"), _py_list_text(F.col("riskLabel")),
+                    F.format_string(MAIL_SUBJECT, loan).alias("subject"),
+                    F.format_string(MAIL_BODY, loan, _py_list_text(F.col("riskLabel")),
                                     F.col("updated_status")).alias("body")))
 
 
-def _read_if_exists(spark: SparkSession, path: str) -> DataFrame | None:
-    try:
-        return spark.read.parquet(path)
-    except Exception:  # nothing written yet
-        return None
-
-
 def process_batch(batch: DataFrame, batch_id: int, spark: SparkSession, loans: DataFrame, draws: DataFrame,
                   open_cases: Callable[[], DataFrame], case_path: str, mail_path: str,
-                  status: str = DRAW_SUBMIT) -> None:
-    """One micro-batch.  Idempotent on replay: a batch id already in the
-    case outbox is skipped, so with the checkpoint the sink is exactly-once."""
-    done = _read_if_exists(spark, case_path)
-    if done is not None and done.where(F.col("batch_id") == batch_id).limit(1).count():
-        return
-    enriched = enrich(batch, loans, draws)
+                  status: str = DRAW_SUBMIT, delivered: Callable[[], DataFrame] | None = None,
+                  record_type_id: str = "", owner_id: str = "") -> None:
+    """One micro-batch.  ``open_cases`` gives the CRM's open cases,
+    ``delivered`` the outbox rows ``(case_hash, batch_id)`` that the sender has
+    delivered (None: none yet).  Each sink holds a folder per batch, which a
+    replay overwrites; only earlier batches count as queued."""
+    enriched = enrich(batch, loans, draws).persist()
     known = open_cases().select("Loan_Number__c", "Draw_ID__c")
-    if done is not None:
-        known = known.unionByName(done.select("Loan_Number__c", "Draw_ID__c"))
-    cases = new_cases(case_candidates(enriched, status), known).withColumn("batch_id", F.lit(batch_id))
-    mails = mail_rows(enriched, status).withColumn("batch_id", F.lit(batch_id))
-    mails.write.mode("append").parquet(mail_path)
-    cases.write.mode("append").parquet(case_path)
+    queued = read_outbox(spark, case_path, CASE_OUTBOX, before=batch_id).select("case_hash", "batch_id", "Loan_Number__c", "Draw_ID__c")
+    if delivered is not None:
+        queued = queued.join(delivered().select("case_hash", F.col("batch_id").cast("long").alias("batch_id")).distinct(),
+                             ["case_hash", "batch_id"], "left_anti")
+    known = known.unionByName(queued.select("Loan_Number__c", "Draw_ID__c"))
+    write_batch(mail_rows(enriched, status), mail_path, batch_id)
+    write_batch(new_cases(case_candidates(enriched, status, record_type_id, owner_id), known), case_path, batch_id)
+    enriched.unpersist()
 
 
 def start_draw_event_stream(spark: SparkSession, events: DataFrame, loans: DataFrame, draws: DataFrame,
                             open_cases: Callable[[], DataFrame], case_path: str, mail_path: str,
-                            checkpoint: str, status: str = DRAW_SUBMIT, available_now: bool = True):
+                            checkpoint: str, status: str = DRAW_SUBMIT, available_now: bool = True, **kw):
     """W1 + W2 (status 'draw submit') or W3 ('draw create') as one streaming
     query.  ``events`` is a streaming DataFrame with loan_id, updated_status
-    and draw_id (file source of landed calls, or Kafka)."""
+    and draw_id (file source of landed calls, or Kafka); further arguments go
+    to ``process_batch``."""
     writer = (events.writeStream
               .foreachBatch(lambda df, bid: process_batch(df, bid, spark, loans, draws, open_cases,
-                                                          case_path, mail_path, status))
+                                                          case_path, mail_path, status, **kw))
               .option("checkpointLocation", checkpoint))
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="30 seconds")
     return writer.start()

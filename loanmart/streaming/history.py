@@ -2,17 +2,45 @@
 
 from __future__ import annotations
 
+import datetime as _dt
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from loanmart.operators.dedupe import keep_first
+from loanmart.streaming.outbox import read_outbox, write_batch
 
-def dedupe_event_stream(events: DataFrame, keys: Sequence[str], ts_col: str = "ts",
-                        delay: str = "1 day") -> DataFrame:
-    """Streaming form of G3: drop repeats of ``keys`` seen within the
-    watermark delay; state is bounded by the watermark.  ``withWatermark``
-    needs a zoned timestamp, so NTZ event times are cast first."""
-    ts = F.col(ts_col)
-    e = events.withColumn(ts_col, ts.cast("timestamp"))
-    return e.withWatermark(ts_col, delay).dropDuplicatesWithinWatermark(list(keys))
+
+def process_history(batch: DataFrame, batch_id: int, spark: SparkSession, keys: Sequence[str], order_col: str,
+                    ts_col: str, delay: _dt.timedelta, out_path: str, late_path: str) -> None:
+    """One micro-batch: the greatest ``order_col`` of each key, unless an
+    earlier batch has the key within ``delay``.  Rows older than the newest
+    earlier event minus ``delay`` go to ``late_path``, unchanged."""
+    batch = batch.persist()
+    done = read_outbox(spark, out_path, batch.schema, before=batch_id)
+    newest = done.agg(F.max(ts_col)).first()[0]
+    fresh = batch
+    late = batch.limit(0)
+    if newest is not None:
+        bound = F.lit((newest - delay).isoformat(sep=" ")).cast(batch.schema[ts_col].dataType)
+        late = batch.where(F.col(ts_col) < bound)
+        fresh = batch.where(F.col(ts_col).isNull() | (F.col(ts_col) >= bound))
+        done = done.where(F.col(ts_col) >= bound)
+    first = keep_first(fresh, keys, order_col)
+    seen = done.select(*[F.col(k).alias(f"_{k}") for k in keys]).distinct()
+    same = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys]
+    write_batch(first.join(seen, same, "left_anti"), out_path, batch_id)
+    write_batch(late, late_path, batch_id)
+    batch.unpersist()
+
+
+def start_history_stream(spark: SparkSession, events: DataFrame, keys: Sequence[str], order_col: str, ts_col: str,
+                         delay: _dt.timedelta, out_path: str, late_path: str, checkpoint: str, available_now: bool = True):
+    """Streaming form of G3 over the event history.  The history that a key is
+    held against reaches back ``delay``, so the work per batch is bounded."""
+    writer = (events.writeStream.foreachBatch(
+        lambda df, bid: process_history(df, bid, spark, keys, order_col, ts_col, delay, out_path, late_path))
+        .option("checkpointLocation", checkpoint))
+    writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="30 seconds")
+    return writer.start()

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from loanmart.functions import (
     blank_to_null, case_hash, clean_symbols, days_until, full_name, has_label, null_token_to_null,
     pacific_stamp, parse_timestamp, py_strip, recode, status_is, strip_quotes, to_decimal_exact,
-    to_decimal_rounded, to_number, try_parse_timestamp, utc_to_pacific, xml_field,
+    to_decimal_rounded, to_number, try_parse_timestamp, utc_to_pacific,
 )
 from loanmart.functions.text import MONEY_CHARS, PY_WHITESPACE
 
@@ -114,17 +114,6 @@ def test_labels_and_names(spark):
     assert [(r.h, r.n, r.d) for r in rows] == [(True, None, "A "), (False, "B C", "B C")]
 
 
-def test_xml_field_namespace_blind(spark):
-    xml = ('<e:Env xmlns:e="urn:e"><n xmlns="urn:n"><OrganizationId>O1</OrganizationId>'
-           '<Notification><Id>N1</Id><sObject xmlns:sf="urn:s"><sf:Id>C1</sf:Id><sf:Empty/></sObject>'
-           '</Notification></n></e:Env>')
-    df = spark.createDataFrame([(xml,)], "x string")
-    r = df.select(xml_field("x", "OrganizationId").alias("o"), xml_field("x", "Notification", "Id").alias("n"),
-                  xml_field("x", "sObject", "Id").alias("c"), xml_field("x", "Missing").alias("m"),
-                  xml_field("x", "Empty").alias("e")).first()
-    assert (r.o, r.n, r.c, r.m, r.e) == ("O1", "N1", "C1", None, None)
-
-
 @pytest.mark.parametrize("zone", ["America/New_York", "Asia/Kolkata"])
 def test_results_do_not_depend_on_session_zone(spark, zone):
     from loanmart.plans.draws import runs_of_day

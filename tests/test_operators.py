@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 
 from loanmart.operators.combine import rename, rename_positional, select_existing, union_all_by_name
 from loanmart.operators.dedupe import distinct_values, keep_first
-from loanmart.operators.joins import left_join_skew_safe
 from loanmart.operators.latest import last_match, latest_by_numeric_id, latest_report_id
 from loanmart.operators.nested import DRAW_ROW_COLUMNS, flatten_draws
 from loanmart.operators.ordering import sort_nulls_last, top_k
@@ -23,12 +22,14 @@ from loanmart.sources.documents import read_draws
 
 def test_latest_is_numeric_not_text(spark):
     cat = spark.createDataFrame([("9", "Maturity Dates"), ("10", "Maturity Dates"), ("7", "Watchlist Report"),
-                                 ("x", "Watchlist Report")], "id string, name string")
+                                 (None, "Watchlist Report")], "id string, name string")
     got = {r.name: r.id for r in latest_by_numeric_id(cat).collect()}
     assert got == {"Maturity Dates": "10", "Watchlist Report": "7"}
     assert latest_report_id(cat, "Maturity Dates") == "10"
     with pytest.raises(LookupError):
         latest_report_id(cat, "AccountingAllActiveLoans")
+    with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
+        latest_by_numeric_id(cat.unionByName(cat.limit(1).withColumn("id", F.lit("x")))).collect()
 
 
 def test_last_match_wins(spark):
@@ -124,14 +125,6 @@ def test_surrogate_key_matches_row_number_across_partitions(spark):
     assert got.select(F.min("unique_id"), F.max("unique_id")).first() == (1, 5000)
 
 
-def test_skew_safe_left_join_equals_left_join(spark):
-    left = spark.createDataFrame([("a", 1), ("a", 2), ("b", 3), (None, 4), ("z", 5)], "k string, x int")
-    right = spark.createDataFrame([("a", "p"), ("a", "q"), ("b", "r"), (None, "n")], "k string, y string")
-    got = left_join_skew_safe(left, right, ["k"])
-    want = left.join(right, "k", "left")
-    assert sorted(map(tuple, got.collect()), key=str) == sorted(map(tuple, want.collect()), key=str)
-
-
 def test_validations(spark):
     df = spark.createDataFrame([("1", None)], "id string, name string")
     require_columns(df, ["id"])

@@ -1,15 +1,14 @@
 """Stream tests: file source, availableNow, fresh checkpoint per run,
 restart, duplicate events in one batch and across batches."""
 
+import datetime
 import json
 import os
 import shutil
 
-from pyspark.sql import functions as F
-
 from loanmart.streaming.case_messages import start_case_message_stream
-from loanmart.streaming.draw_events import read_event_files, start_draw_event_stream
-from loanmart.streaming.history import dedupe_event_stream
+from loanmart.streaming.draw_events import process_batch, read_event_files, start_draw_event_stream
+from loanmart.streaming.history import start_history_stream
 
 
 def land(path, name, rows):
@@ -90,26 +89,52 @@ def test_case_message_stream(spark, tmpdir_path):
                     '<sf:RecordTypeId>R</sf:RecordTypeId><sf:Status>New</sf:Status></sObject></Notification>'
                     '</notifications></s:Body></s:Envelope>')
     out = f"{tmpdir_path}/mail"
-    q = start_case_message_stream(spark, msgs, out, f"{tmpdir_path}/ckpt")
+    with open(f"{msgs}/m2.xml", "w") as f:
+        f.write("<broken><a>")
+    q = start_case_message_stream(spark, msgs, out, f"{tmpdir_path}/errors", f"{tmpdir_path}/ckpt")
     q.awaitTermination()
     rows = {r.case_id: r for r in spark.read.parquet(out).collect()}
     assert rows["C0"].borrower == "Lee" and rows["C1"].borrower is None
     assert rows["C0"].subject == " SF CASE: 0000"
     assert rows["C1"].body.startswith("Organization ID: O1Action ID: A")
     assert "Borrower: NoneCase Number: 0001" in rows["C1"].body
-
-
-def test_history_stream_drops_repeats_within_watermark(spark, tmpdir_path):
-    path = f"{tmpdir_path}/hist"
-    land(path, "h.json", [
-        {"ts": "2024-01-15 10:00:00", "draw_id": "D1", "loan_id": "L1", "updated_status": "s"},
-        {"ts": "2024-01-15 10:05:00", "draw_id": "D1", "loan_id": "L1", "updated_status": "s"},
-        {"ts": "2024-01-15 10:06:00", "draw_id": "D2", "loan_id": "L1", "updated_status": "s"},
-    ])
-    stream = spark.readStream.schema("ts timestamp_ntz, draw_id string, loan_id string, updated_status string").json(path)
-    out = dedupe_event_stream(stream, ["draw_id", "loan_id", "updated_status"], delay="1 day")
-    q = (out.writeStream.format("memory").queryName("hist_dedupe").trigger(availableNow=True)
-         .option("checkpointLocation", f"{tmpdir_path}/hckpt").start())
-    q.awaitTermination()
-    assert sorted(r.draw_id for r in spark.table("hist_dedupe").collect()) == ["D1", "D2"]
-    assert spark.table("hist_dedupe").where(F.col("draw_id") == "D1").count() == 1
+    assert len(rows) == 2
+    assert [r.xml for r in spark.read.parquet(f"{tmpdir_path}/errors").collect()] == ["<broken><a>"]
+
+
+def test_history_stream_keeps_newest_and_sets_late_rows_aside(spark, tmpdir_path):
+    path, out, late = (f"{tmpdir_path}/{x}" for x in ("hist", "out", "late"))
+    schema = "id string, ts timestamp_ntz, draw_id string"
+
+    def run():
+        q = start_history_stream(spark, spark.readStream.schema(schema).json(path), ["draw_id"], "id", "ts",
+                                 datetime.timedelta(days=1), out, late, f"{tmpdir_path}/hckpt")
+        q.awaitTermination()
+        assert q.exception() is None
+
+    land(path, "a.json", [
+        {"id": "1", "ts": "2024-01-15 10:00:00", "draw_id": "D1"},
+        {"id": "2", "ts": "2024-01-15 10:05:00", "draw_id": "D1"},
+        {"id": "3", "ts": "2024-01-15 10:06:00", "draw_id": None}])
+    run()
+    assert sorted(r.id for r in spark.read.parquet(out).collect()) == ["2", "3"]
+    land(path, "b.json", [
+        {"id": "4", "ts": "2024-01-15 12:00:00", "draw_id": "D1"},
+        {"id": "5", "ts": "2024-01-13 12:00:00", "draw_id": "D9"},
+        {"id": "6", "ts": "2024-01-15 12:00:00", "draw_id": "D2"}])
+    run()
+    assert sorted(r.id for r in spark.read.parquet(out).collect()) == ["2", "3", "6"]
+    assert [r.id for r in spark.read.parquet(late).collect()] == ["5"]
+
+
+def test_replayed_batch_leaves_the_same_rows(spark, tmpdir_path):
+    loans, draws = lookups(spark)
+    batch = spark.createDataFrame([("L1", "Draw Submit", "D1"), ("L1", "Draw Submit", "D3"), ("L9", "Draw Submit", "D2")],
+                                  "loan_id string, updated_status string, draw_id string")
+    none = spark.createDataFrame([], "Loan_Number__c string, Draw_ID__c string")
+    for _ in range(2):
+        process_batch(batch, 5, spark, loans, draws, lambda: none, f"{tmpdir_path}/c", f"{tmpdir_path}/m",
+                      record_type_id="RT", owner_id="OW")
+    cases = spark.read.parquet(f"{tmpdir_path}/c").collect()
+    assert sorted((r.Loan_Number__c or "", r.Draw_ID__c, r.RecordTypeId, r.OwnerId) for r in cases) == [("", "D2", "RT", "OW"), ("LN-1", "D1", "RT", "OW")]
+    assert spark.read.parquet(f"{tmpdir_path}/m").count() == 2
