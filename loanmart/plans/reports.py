@@ -116,14 +116,14 @@ REPORTS = {s.name: s for s in (CASH_STATUS, MATURITY_DATES, WATCHLIST, PORTFOLIO
 
 
 def report_extract(spark: SparkSession, catalogue: DataFrame, documents_root: str,
-                   spec: ReportSpec, as_of) -> DataFrame:
+                   spec: ReportSpec, as_of, lines: bool = False) -> DataFrame:
     """Newest report of ``spec.name`` (G1, V6) -> S1 scan -> spec.
 
     The catalogue is tiny (one row per published report); picking the id is
     the only driver-side value, then one scan of that document.
     """
     report_id = latest_report_id(catalogue, spec.name)
-    raw = read_report_document(spark, f"{documents_root}/{report_id}")
+    raw = read_report_document(spark, f"{documents_root}/{report_id}", lines=lines)
     return apply_spec(raw, spec, as_of)
 
 

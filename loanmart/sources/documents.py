@@ -67,9 +67,10 @@ OPEN_CASE_SCHEMA = _struct("Loan_Number__c", "Draw_ID__c", "Status")
 DRAW_EVENT_SCHEMA = _struct("loan_id", "updated_status", "draw_id")
 
 
-def read_json(spark: SparkSession, path: str, schema: T.StructType | None = None,
-              multiline: bool = True) -> DataFrame:
-    reader = spark.read.option("multiLine", multiline).option("mode", "FAILFAST")
+def read_json(spark: SparkSession, path: str, schema: T.StructType | None = None, lines: bool = False) -> DataFrame:
+    """One document per file, or with ``lines`` one per line: files of lines
+    are split over tasks, and hold as many documents as one likes."""
+    reader = spark.read.option("multiLine", not lines).option("mode", "FAILFAST")
     if schema is not None:
         reader = reader.schema(schema)
     else:
@@ -84,32 +85,34 @@ def report_rows_schema(columns: Sequence[str]) -> T.StructType:
 
 
 def read_report_document(spark: SparkSession, path: str,
-                         columns: Sequence[str] | None = None) -> DataFrame:
-    """Rows at ``data.'Current Report'.data``, every value as text."""
+                         columns: Sequence[str] | None = None, lines: bool = False) -> DataFrame:
+    """Rows at ``data.'Current Report'.data``, every value as text.  A
+    report may be landed as one document or, with ``lines``, as many part
+    documents, one per line, which many tasks share."""
     schema = report_rows_schema(columns) if columns else None
     if schema is None:
         # Column set unknown: one inference pass, every value read as text.
-        doc = read_json(spark, path)
+        doc = read_json(spark, path, lines=lines)
     else:
-        doc = read_json(spark, path, schema)
+        doc = read_json(spark, path, schema, lines)
     rows = doc.select(F.explode(F.col("data.`Current Report`.data")).alias("r")).select("r.*")
     return rows.select(*[F.col(f"`{c}`").cast("string").alias(c) for c in rows.columns])
 
 
-def read_catalogue(spark: SparkSession, path: str) -> DataFrame:
+def read_catalogue(spark: SparkSession, path: str, lines: bool = False) -> DataFrame:
     """Report catalogue, list of {id, name}."""
-    return read_json(spark, path, CATALOGUE_SCHEMA)
+    return read_json(spark, path, CATALOGUE_SCHEMA, lines)
 
 
-def read_templates(spark: SparkSession, path: str) -> DataFrame:
+def read_templates(spark: SparkSession, path: str, lines: bool = False) -> DataFrame:
     """S3: ``data.items[]{id,name}`` with the item position (for G2)."""
-    doc = read_json(spark, path, _items(_struct("id", "name")))
+    doc = read_json(spark, path, _items(_struct("id", "name")), lines)
     return doc.select(F.posexplode("data.items").alias("pos", "t")).select("pos", "t.id", "t.name")
 
 
-def read_loan_list(spark: SparkSession, path: str) -> DataFrame:
+def read_loan_list(spark: SparkSession, path: str, lines: bool = False) -> DataFrame:
     """Loan items with nested borrower, folder and status."""
-    return read_json(spark, path, LOAN_LIST_SCHEMA).select(F.explode("data.items").alias("l")).select("l.*")
+    return read_json(spark, path, LOAN_LIST_SCHEMA, lines).select(F.explode("data.items").alias("l")).select("l.*")
 
 
 def active_loans(loans: DataFrame) -> DataFrame:
@@ -117,55 +120,55 @@ def active_loans(loans: DataFrame) -> DataFrame:
     return loans.where((F.col("folder") == "active") & (F.col("status") == "active"))
 
 
-def read_accounts(spark: SparkSession, path: str) -> DataFrame:
+def read_accounts(spark: SparkSession, path: str, lines: bool = False) -> DataFrame:
     """GL accounts, ``id`` only."""
-    return read_json(spark, path, ACCOUNT_SCHEMA).select(F.explode("data.items.id").alias("id"))
+    return read_json(spark, path, ACCOUNT_SCHEMA, lines).select(F.explode("data.items.id").alias("id"))
 
 
-def read_transactions(spark: SparkSession, path: str) -> DataFrame:
+def read_transactions(spark: SparkSession, path: str, lines: bool = False) -> DataFrame:
     """All landed transaction documents (one per account) in one scan."""
-    return (read_json(spark, path, TRANSACTION_SCHEMA)
+    return (read_json(spark, path, TRANSACTION_SCHEMA, lines)
             .select("account_id", F.explode("data.items").alias("t")).select("account_id", "t.*"))
 
 
-def read_runs(spark: SparkSession, path: str) -> DataFrame:
+def read_runs(spark: SparkSession, path: str, lines: bool = False) -> DataFrame:
     """Flow-run history with parameters flattened."""
-    return read_json(spark, path, RUN_SCHEMA).select("id", "flow_id", "state_type", "start_time", "parameters.*")
+    return read_json(spark, path, RUN_SCHEMA, lines).select("id", "flow_id", "state_type", "start_time", "parameters.*")
 
 
-def read_loan_fields(spark: SparkSession, path: str) -> DataFrame:
+def read_loan_fields(spark: SparkSession, path: str, lines: bool = False) -> DataFrame:
     """Loan fields per loan id."""
-    return read_json(spark, path, LOAN_FIELDS_SCHEMA).select("loan_id", "data.fields.*")
+    return read_json(spark, path, LOAN_FIELDS_SCHEMA, lines).select("loan_id", "data.fields.*")
 
 
-def read_draws(spark: SparkSession, path: str, line_items_as_text: bool = False) -> DataFrame:
+def read_draws(spark: SparkSession, path: str, line_items_as_text: bool = False, lines: bool = False) -> DataFrame:
     """Draw documents.  ``line_items_as_text`` reads ``lineItems`` as raw
     JSON text, to be parsed by ``from_json`` (N1)."""
     schema = DRAW_SCHEMA
     if line_items_as_text:
         schema = T.StructType([f if f.name != "lineItems" else T.StructField("lineItems", S)
                                for f in DRAW_SCHEMA.fields])
-    return read_json(spark, path, schema)
+    return read_json(spark, path, schema, lines)
 
 
-def read_companies(spark: SparkSession, path: str) -> DataFrame:
+def read_companies(spark: SparkSession, path: str, lines: bool = False) -> DataFrame:
     """S11 (raw pages, for V5)."""
-    return read_json(spark, path, COMPANY_SCHEMA)
+    return read_json(spark, path, COMPANY_SCHEMA, lines)
 
 
-def read_worker_pages(spark: SparkSession, path: str) -> DataFrame:
+def read_worker_pages(spark: SparkSession, path: str, lines: bool = False) -> DataFrame:
     """S12 (raw pages, for V4/V5); ``companyId`` is the landing envelope."""
-    return read_json(spark, path, WORKER_SCHEMA)
+    return read_json(spark, path, WORKER_SCHEMA, lines)
 
 
-def read_communications(spark: SparkSession, path: str) -> DataFrame:
+def read_communications(spark: SparkSession, path: str, lines: bool = False) -> DataFrame:
     """S13 (raw documents, for V5); ``workerId`` is the landing envelope."""
-    return read_json(spark, path, COMMUNICATION_SCHEMA)
+    return read_json(spark, path, COMMUNICATION_SCHEMA, lines)
 
 
-def read_open_cases(spark: SparkSession, path: str) -> DataFrame:
+def read_open_cases(spark: SparkSession, path: str, lines: bool = False) -> DataFrame:
     """Open cases (Status 'New') with the two key fields."""
-    return (read_json(spark, path, OPEN_CASE_SCHEMA)
+    return (read_json(spark, path, OPEN_CASE_SCHEMA, lines)
             .where(F.col("Status") == "New").select("Loan_Number__c", "Draw_ID__c"))
 
 
