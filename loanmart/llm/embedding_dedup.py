@@ -8,8 +8,9 @@
 3. Every shard (or pair of blocks) builds a flat graph: a node's nearest
    neighbours there, robust-pruned, and the lists of all shards are united.
 4. Every node searches its home shard, together with the neighbours that the
-   united lists name outside of it: greedy from the medoid, then expanding
-   over all nodes that are nearly in range until none is left.
+   united lists name outside of it, over these lists, their reverse and a few
+   random long links: greedy from medoids, then expanding over all nodes that
+   are nearly in range until none is left.
 5. What is found is verified by the cosine in double precision.  A task
    returns each node's number of links and a spanning forest of them, never
    the pairs.  ``audit_recall`` measures the links found against brute force.
@@ -31,8 +32,8 @@ SAMPLE, SHARD, MOST_CENTROIDS, ROUNDS = 32768, 1024, 4096, 8
 OVERLAP = 3
 #: Nodes of one block of a shard.
 BLOCK = 4096
-#: Degree, nearest and random candidates before pruning, pruning slack, width of the search, medoids to start from.
-DEGREE, POOL, FAR, ALPHA, BEAM, MEDOIDS = 32, 40, 24, 1.2, 32, 8
+#: Degree, candidates before pruning, pruning slack, width of the search, medoids to start from, random long links.
+DEGREE, POOL, ALPHA, BEAM, MEDOIDS, FAR = 32, 48, 1.2, 32, 8, 12
 #: Nodes this much below the threshold are still expanded.
 SLACK = 0.05
 MEMBER = "shard int, home boolean, node long, vector binary, copies long"
@@ -110,18 +111,17 @@ def dealt(members: DataFrame) -> DataFrame:
 
 
 def pruned_graph(x: np.ndarray) -> np.ndarray:
-    """Neighbours (-1: none) of every vector.  Of its POOL nearest and FAR
-    random others the nearest is taken, then the nearest of those that no
-    taken one is ALPHA times nearer to, and so on."""
+    """Neighbours (-1: none) of every vector.  Of its POOL nearest the nearest
+    is taken, then the nearest of those that no taken one is ALPHA times
+    nearer to, and so on."""
     n = len(x)
     pool = min(POOL, n - 1)
     out = np.full((n, DEGREE), -1, dtype=np.int64)
-    random = np.random.default_rng(n)
     for a in range(0, n if pool > 0 else 0, 512):
         rows = np.arange(a, min(a + 512, n))
         sim = x[rows] @ x.T
         sim[np.arange(len(rows)), rows] = -np.inf
-        near = np.concatenate([np.argpartition(-sim, pool - 1, axis=1)[:, :pool], random.integers(0, n, (len(rows), FAR))], axis=1)
+        near = np.argpartition(-sim, pool - 1, axis=1)[:, :pool]
         near = np.take_along_axis(near, np.argsort(-np.take_along_axis(sim, near, axis=1), axis=1, kind="stable"), axis=1)
         own = np.sqrt(np.maximum(2 - 2 * np.take_along_axis(sim, near, axis=1), 0))
         among = np.sqrt(np.maximum(2 - 2 * np.einsum("ikd,ild->ikl", x[near], x[near], optimize=True), 0))
@@ -243,7 +243,8 @@ def search(rows: DataFrame, threshold: float) -> DataFrame:
         for i, near in enumerate([list(x) for x in lists]):  # and backwards
             for j in near:
                 lists[j].append(i)
-        lists = [list(dict.fromkeys(x)) for x in lists]
+        far = np.random.default_rng(len(node)).integers(0, len(node), (len(node), FAR)).tolist()
+        lists = [list(dict.fromkeys(x + y)) for x, y in zip(lists, far)]
         graph = np.full((len(node), max(1, max(map(len, lists), default=1))), -1, dtype=np.int64)
         for i, near in enumerate(lists):
             graph[i, : len(near)] = near

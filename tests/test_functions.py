@@ -132,3 +132,14 @@ def test_results_do_not_depend_on_session_zone(spark, zone):
         assert got == ["a", "b"]
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def test_numbers_that_do_not_fit_are_not_bad_text(spark):
+    from loanmart.functions.numbers import to_decimal_exact, to_decimal_rounded, to_number
+    df = spark.createDataFrame([("12d",), ("12f",), ("nan",), ("1e3",), (" 7 ",), ("inf",), (None,), ("",), (".5",)], "t string")
+    got = [r[0] for r in df.select(to_number("t")).collect()]
+    assert got == [None, None, None, 1000.0, 7.0, float("inf"), None, None, 0.5]
+    wide = spark.createDataFrame([("9" * 21,)], "t string")
+    for f in (to_decimal_exact, to_decimal_rounded):
+        with pytest.raises(Exception, match="too wide"):
+            wide.select(f("t")).collect()

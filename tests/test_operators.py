@@ -140,3 +140,37 @@ def test_validations(spark):
     errs = spark.createDataFrame([(None, None), ("invalid_token", "expired")], "error string, error_description string")
     with pytest.raises(ValidationError, match="expired"):
         assert_no_error_documents(errs)
+
+
+@pytest.mark.parametrize("adaptive", ["true", "false"])
+def test_surrogate_key_without_exchange_reuse(spark, adaptive):
+    before = {k: spark.conf.get(k) for k in ("spark.sql.exchange.reuse", "spark.sql.adaptive.enabled")}
+    try:
+        spark.conf.set("spark.sql.exchange.reuse", "false")
+        spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+        df = spark.range(30_000).select((F.col("id") * 7919 % 1000).alias("k"), F.col("id").alias("v")).repartition(11)
+        got = add_surrogate_key(df, ["k"])
+        assert got.agg(F.count_distinct("unique_id"), F.min("unique_id"), F.max("unique_id")).first() == (30_000, 1, 30_000)
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
+def test_keep_first_with_null_and_tied_order(spark):
+    df = spark.createDataFrame([("a", None, 1), ("a", None, 2), ("b", 5, 1), ("b", 5, 3), ("b", None, 9), (None, 1, 7)], "k string, o int, v int")
+    assert sorted(map(tuple, keep_first(df, ["k"], "o").collect()), key=str) == [("a", None, 2), ("b", 5, 3), (None, 1, 7)]
+    assert sorted(map(tuple, keep_first(df, ["k"], "o", descending=False).collect()), key=str) == [("a", None, 1), ("b", 5, 1), (None, 1, 7)]
+
+
+def test_transaction_report_needs_the_account(spark):
+    from loanmart.operators.validate import ValidationError
+    from loanmart.plans.transactions import transaction_report
+    with pytest.raises(ValidationError, match="account_id"):
+        transaction_report(spark.createDataFrame([("1",)], "id string"), spark.createDataFrame([("x",)], "loanNumber string"), __import__("datetime").date(2024, 1, 1))
+
+
+def test_local_scratch_is_refused_on_a_cluster(spark, monkeypatch):
+    from loanmart import session
+    context = type("C", (), {"getCheckpointDir": lambda s: None, "getConf": lambda s: {}, "master": "spark://host:7077"})()
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        session.checkpoint_dir(type("S", (), {"sparkContext": context})())
