@@ -5,17 +5,24 @@ start at content-defined anchors (words whose hash is the least among their
 neighbours).  A passage that was copied into other surroundings has the same
 anchors there, so the same paragraphs, wherever lines begin.
 
-1. Every paragraph gets a MinHash signature over its five-word shingles, cut
-   into bands that are tuned to find pairs at the threshold with high recall.
-   Band keys travel as arrays, a row per block of documents and shard; back
-   come the buckets that hold several paragraphs.
-2. Equal paragraphs (128-bit hash) are one class.  Classes that meet in a
-   bucket are verified by the exact Jaccard similarity of their shingles; a
-   spanning forest of the verified links leaves a bucket, and buckets of very
-   many classes are split into pairs of blocks.
-3. Classes linked directly or by others are one cluster.  A cluster that
+1. Equal paragraphs (lines and passages) are one class.  A block of documents
+   sends the hashes of its distinct classes, with the smallest and largest id
+   that has them, to shards, and gets back those of several documents.
+2. Lines get a MinHash signature over their five-word shingles, cut into bands
+   that are tuned to find pairs at the threshold with high recall.  Band keys
+   travel in the same way; back come the buckets where different lines meet.
+   Passages need no bands: around an edited word the other passages of a copy
+   are still equal.
+3. Line classes that meet in a bucket are verified by the exact Jaccard
+   similarity of their shingles; a spanning forest of the verified links
+   leaves a bucket, and buckets of very many classes are split into pairs of
+   blocks.
+4. Classes linked directly or by others are one cluster.  A cluster that
    reaches over several documents stays in the one of the smallest id and is
    removed from the others.
+
+What is shuffled for all paragraphs are compressed arrays, a row per block and
+shard; a passage that stands in every document is one entry per block.
 """
 
 from __future__ import annotations
@@ -26,6 +33,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
@@ -36,21 +44,24 @@ from .segments import Block, offsets_of, ragged, text_block
 
 SHINGLE, THRESHOLD = 5, 0.8
 #: Words of a passage, and of the shortest line that is a paragraph.
-WINDOW = 20
+WINDOW = 16
 #: An anchor is the least of so many words to either side.
-REACH = 5
+REACH = 6
 #: Wanted share of the pairs at the threshold that meet in a band, and the most bands.
 RECALL, MOST_BANDS = 0.98, 4
 #: Classes of a bucket that one block holds.
 BUCKET_BLOCK = 1024
 NO_ID = -(2**63)
-BLOCK = "block long, shard int, keys binary, ids array<long>, versions array<long>, per_doc binary, starts binary, ends binary, hashes binary, shards binary"
-_BLOCK = pa.schema([("block", pa.int64()), ("shard", pa.int32()), ("keys", pa.binary()), ("ids", pa.list_(pa.int64())), ("versions", pa.list_(pa.int64())),
-                    *((c, pa.binary()) for c in ("per_doc", "starts", "ends", "hashes", "shards"))])
-GROUPS = "block long, shard int, buckets binary"
-_GROUPS = pa.schema([("block", pa.int64()), ("shard", pa.int32()), ("buckets", pa.binary())])
-SPAN = "id long, version long, start long, stop long, hash binary, buckets array<long>"
-_SPAN = pa.schema([("id", pa.int64()), ("version", pa.int64()), ("start", pa.int64()), ("stop", pa.int64()), ("hash", pa.binary()), ("buckets", pa.list_(pa.int64()))])
+#: Rows of a block: "block" (its paragraphs), "class" (hashes and ids for a shard), "band" (band keys for a shard).
+BLOCK = ("block long, kind string, shard int, keys binary, lows binary, highs binary, ids array<long>, versions array<long>, per_doc binary, starts binary,"
+         " stops binary, classes binary, class_shards binary, lines binary, hashes binary, band_shards binary")
+_BLOCK = pa.schema([("block", pa.int64()), ("kind", pa.string()), ("shard", pa.int32()), *((c, pa.binary()) for c in ("keys", "lows", "highs")),
+                    ("ids", pa.list_(pa.int64())), ("versions", pa.list_(pa.int64())),
+                    *((c, pa.binary()) for c in ("per_doc", "starts", "stops", "classes", "class_shards", "lines", "hashes", "band_shards"))])
+ANSWER = "block long, kind string, shard int, numbers binary, lows binary, highs binary"
+_ANSWER = pa.schema([("block", pa.int64()), ("kind", pa.string()), ("shard", pa.int32()), *((c, pa.binary()) for c in ("numbers", "lows", "highs"))])
+SPAN = "id long, version long, start long, stop long, label long, low long, high long, hash binary, buckets array<long>"
+_SPAN = pa.schema([*((c, pa.int64()) for c in ("id", "version", "start", "stop", "label", "low", "high")), ("hash", pa.binary()), ("buckets", pa.list_(pa.int64()))])
 EDGE = "a binary, b binary"
 _EDGE = pa.schema([("a", pa.binary()), ("b", pa.binary())])
 
@@ -98,12 +109,13 @@ def word_table(block: Block) -> tuple[np.ndarray, ...]:
     return start, end, doc, line, hashed
 
 
-def paragraphs(doc: np.ndarray, line: np.ndarray, hashed: np.ndarray, window: int = WINDOW, reach: int = REACH) -> tuple[np.ndarray, np.ndarray]:
-    """First word and number of words of every paragraph: lines of at least
-    ``window`` words, and passages of ``window`` words from the anchors on."""
+def paragraphs(doc: np.ndarray, line: np.ndarray, hashed: np.ndarray, window: int = WINDOW, reach: int = REACH) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """First word, number of words and whether it is a line, of every
+    paragraph: lines of at least ``window`` words, and passages of ``window``
+    words from the anchors on."""
     n = len(doc)
     if not n:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, bool)
     first = np.flatnonzero(np.concatenate([[True], (doc[1:] != doc[:-1]) | (line[1:] != line[:-1])]))
     size = np.diff(np.append(first, n))
     long_line = size >= window
@@ -117,17 +129,25 @@ def paragraphs(doc: np.ndarray, line: np.ndarray, hashed: np.ndarray, window: in
     anchor = np.flatnonzero(least)
     anchor = anchor[anchor + window <= n]
     anchor = anchor[doc[anchor] == doc[anchor + window - 1]]
-    return np.concatenate([first[long_line], anchor]), np.concatenate([size[long_line], np.full(len(anchor), window)])
+    is_line = np.arange(long_line.sum() + len(anchor)) < long_line.sum()
+    return np.concatenate([first[long_line], anchor]), np.concatenate([size[long_line], np.full(len(anchor), window)]), is_line
 
 
-def signatures(hashed: np.ndarray, at: np.ndarray, size: np.ndarray, bands: int, rows: int, shingle: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
-    """Of every paragraph: a 128-bit hash (n, 2), and its band keys (n, bands)."""
+def class_hashes(hashed: np.ndarray, at: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """A 128-bit hash (n, 2) of the words of every paragraph."""
     if not len(at):
-        return np.zeros((0, 2), np.uint64), np.zeros((0, bands), np.uint64)
+        return np.zeros((0, 2), np.uint64)
     begin = np.cumsum(size) - size
     words = hashed[ragged(size, at)]
     rel = (np.arange(len(words)) - np.repeat(begin, size)).astype(np.uint64)
-    whole = np.stack([mix(np.add.reduceat(mix(words + rel * _ODD[k]), begin)) for k in (4, 5)], axis=1)
+    return np.stack([mix(np.add.reduceat(mix(words + rel * _ODD[k]), begin)) for k in (4, 5)], axis=1)
+
+
+def band_keys(hashed: np.ndarray, at: np.ndarray, size: np.ndarray, bands: int, rows: int, shingle: int = SHINGLE) -> np.ndarray:
+    """Band keys (n, bands) of the MinHash signature of every paragraph."""
+    keys = np.zeros((len(at), bands), dtype=np.uint64)
+    if not len(at):
+        return keys
     grams = np.zeros(len(hashed), dtype=np.uint64)
     for k in range(shingle):
         grams[: len(hashed) - k] += hashed[k:] * _ODD[8 + k]
@@ -135,12 +155,11 @@ def signatures(hashed: np.ndarray, at: np.ndarray, size: np.ndarray, bands: int,
     count = size - shingle + 1
     begin = np.cumsum(count) - count
     grams = grams[ragged(count, at)]
-    keys = np.zeros((len(at), bands), dtype=np.uint64)
     for b in range(bands):
         for r in range(rows):
             keys[:, b] = mix(keys[:, b] * _ODD[6] + np.minimum.reduceat(mix(grams * _ODD[16 + b * rows + r]), begin))
         keys[:, b] += np.uint64(b)
-    return whole, mix(keys)
+    return mix(keys)
 
 
 def _zip(values: np.ndarray, kind: str) -> bytes:
@@ -151,71 +170,143 @@ def _unzip(raw: bytes, kind: str) -> np.ndarray:
     return np.frombuffer(zstandard.ZstdDecompressor().decompress(raw), dtype=kind)
 
 
+def _by_shard(shard: np.ndarray) -> tuple[np.ndarray, list[tuple[int, int, int]]]:
+    """The order by shard, and ``(shard, start, stop)`` of the runs in it."""
+    order = np.argsort(shard, kind="stable")
+    used, first = np.unique(shard[order], return_index=True)
+    return order, list(zip(used.tolist(), first.tolist(), [*first[1:].tolist(), len(order)]))
+
+
 def block_paragraphs(rows: DataFrame, shards: int, bands: int, band_rows: int) -> DataFrame:
-    """Per block a row with its paragraphs, and one for each shard with band keys there."""
+    """See BLOCK: per block its paragraphs, and its classes and band keys dealt to shards."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for k, batch in enumerate(text_blocks(batches, "body")):
             name = (TaskContext.get().partitionId() << 32) + k
             block = text_block(batch.column("body"))
             start, end, doc, line, hashed = word_table(block)
-            at, size = paragraphs(doc, line, hashed)
-            order = np.lexsort((size, at))
-            at, size = at[order], size[order]
-            whole, keys = signatures(hashed, at, size, bands, band_rows)
-            own = doc[at] if len(at) else at
+            at, size, is_line = paragraphs(doc, line, hashed)
+            if not len(at):
+                continue
+            order = np.argsort(at, kind="stable")
+            at, size, is_line = at[order], size[order], is_line[order]
+            own, ids = doc[at], batch.column("id")
+            whole = class_hashes(hashed, at, size)
+            _, first, which = np.unique(whole.view("V16").ravel(), return_index=True, return_inverse=True)
+            owner = pa.compute.fill_null(ids, NO_ID).to_numpy(zero_copy_only=False)[own]
+            low, high = np.full(len(first), np.iinfo(np.int64).max), np.full(len(first), NO_ID)
+            np.minimum.at(low, which, owner)
+            np.maximum.at(high, which, owner)
+            one = whole[first]
+            shard = (one[:, 0] % np.uint64(shards)).astype(np.int64)
+            order, runs = _by_shard(shard)
+            one, low, high = one[order], low[order], high[order]
+            keys = np.empty(len(one), dtype=[("a", "<u8"), ("b", "<u4")])
+            keys["a"], keys["b"] = one[:, 0], one[:, 1].astype(np.uint32)
+            out = [dict(block=name, kind="class", shard=s, keys=keys[a:b].tobytes(), lows=_zip(low[a:b], "<i8"), highs=_zip(high[a:b] - low[a:b], "<i8")) for s, a, b in runs]
+            flat = band_keys(hashed, at[is_line], size[is_line], bands, band_rows).ravel()
+            band_shard = (flat % np.uint64(shards)).astype(np.int64)
+            order, runs = _by_shard(band_shard)
+            pair = np.empty(len(flat), dtype=[("a", "<u4"), ("b", "<u4")])
+            pair["a"], pair["b"] = flat[order] >> np.uint64(32), np.repeat(whole[is_line, 1], bands)[order].astype(np.uint32)
+            out += [dict(block=name, kind="band", shard=s, keys=pair[a:b].tobytes()) for s, a, b in runs]
             base = block.offsets[own]
-            flat = keys.ravel()
-            shard = (flat % np.uint64(shards)).astype(np.int64)
-            place = np.argsort(shard, kind="stable")
-            used, first = np.unique(shard[place], return_index=True)
-            low = (flat[place] >> np.uint64(32)).astype("<u4")
-            out = [(name, s, low[a:b].tobytes(), *[None] * 7) for s, a, b in zip(used.tolist(), first.tolist(), [*first[1:].tolist(), len(place)])]
-            if len(at):
-                out.append((name, None, None, batch.column("id").to_pylist(), batch.column("version").to_pylist(), _zip(np.bincount(own, minlength=block.rows), "<u4"),
-                            _zip(start[at] - base, "<u4"), _zip(end[at + size - 1] - base, "<u4"), np.ascontiguousarray(whole.astype("<u8")).tobytes(), _zip(shard, "<u4")))
-            if out:
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), _BLOCK.types)], schema=_BLOCK)
+            out.append(dict(block=name, kind="block", ids=ids.to_pylist(), versions=batch.column("version").to_pylist(), per_doc=_zip(np.bincount(own, minlength=block.rows), "<u4"),
+                            starts=_zip(start[at] - base, "<u4"), stops=_zip(end[at + size - 1] - base, "<u4"), classes=_zip(which, "<u4"), class_shards=_zip(shard, "<u4"),
+                            lines=_zip(np.packbits(is_line), "u1"), hashes=np.ascontiguousarray(whole[is_line]).astype("<u8").tobytes(), band_shards=_zip(band_shard, "<u4")))
+            yield pa.RecordBatch.from_pylist(out, schema=_BLOCK)
 
     return rows.select("id", "version", "body").mapInArrow(run, BLOCK)
 
 
-def shared_buckets(parts: DataFrame) -> DataFrame:
-    """``(block, shard, buckets)`` of ``(block, shard, keys)``: for each key
-    the number of its bucket in the shard, 0 if no other paragraph is in it."""
+def shared_classes(parts: DataFrame) -> DataFrame:
+    """Of each class a block sent: its number in the shard if it stands in
+    several documents, else 0; and the ids, for those that do."""
 
     def run(table: pa.Table) -> pa.Table:
         raw = table["keys"].to_pylist()
-        _, which, count = np.unique(np.frombuffer(b"".join(raw), dtype="<u4"), return_inverse=True, return_counts=True)
-        bucket = np.where(count > 1, np.cumsum(count > 1), 0)[which]
-        at = offsets_of(np.array([len(b) // 4 for b in raw])).tolist()
-        return pa.Table.from_arrays([table["block"].combine_chunks(), table["shard"].combine_chunks(),
-                                     pa.array([_zip(bucket[a:b], "<u4") for a, b in zip(at, at[1:])], pa.binary())], schema=_GROUPS)
-
-    return parts.groupBy("shard").applyInArrow(run, GROUPS)
+        low = np.concatenate([_unzip(b, "<i8") for b in table["lows"].to_pylist()])
+        high = low + np.concatenate([_unzip(b, "<i8") for b in table["highs"].to_pylist()])
+        keys = np.frombuffer(b"".join(raw), dtype=[("a", "<u8"), ("b", "<u4")])
+        _, which = np.unique(keys, return_inverse=True)
+        least, most = np.full(which.max() + 1, np.iinfo(np.int64).max), np.full(which.max() + 1, NO_ID)
+        np.minimum.at(least, which, low)
+        np.maximum.at(most, which, high)
+        shared = least < most
+        number = np.where(shared, np.cumsum(shared), 0)[which]
+        at = offsets_of(np.array([len(b) // 12 for b in raw])).tolist()
+        out = []
+        for block, shard, a, b in zip(table["block"].to_pylist(), table["shard"].to_pylist(), at, at[1:]):
+            some = which[a:b][number[a:b] > 0]
+            out.append(dict(block=block, kind="class", shard=shard, numbers=_zip(number[a:b], "<u4"), lows=_zip(least[some], "<i8"), highs=_zip(most[some], "<i8")))
+        return pa.Table.from_pylist(out, schema=_ANSWER)
+
+    return parts.groupBy("shard").applyInArrow(run, ANSWER)
 
 
-def candidates(blocks: DataFrame, groups: DataFrame, bands: int) -> DataFrame:
-    """The paragraphs (see SPAN) that share a bucket, with their buckets."""
+def shared_buckets(parts: DataFrame) -> DataFrame:
+    """Of each band key a block sent: the number of its bucket in the shard if
+    different classes meet in it, else 0."""
 
-    def run(block: pa.Table, groups: pa.Table) -> pa.Table:
+    def run(table: pa.Table) -> pa.Table:
+        raw = table["keys"].to_pylist()
+        pairs = np.frombuffer(b"".join(raw), dtype=[("a", "<u4"), ("b", "<u4")])
+        _, which = np.unique(pairs["a"], return_inverse=True)
+        least, most = np.full(which.max() + 1, 2**32 - 1, dtype=np.uint32), np.zeros(which.max() + 1, dtype=np.uint32)
+        np.minimum.at(least, which, pairs["b"])
+        np.maximum.at(most, which, pairs["b"])
+        mixed = least < most
+        number = np.where(mixed, np.cumsum(mixed), 0)[which]
+        at = offsets_of(np.array([len(b) // 8 for b in raw])).tolist()
+        return pa.Table.from_pylist([dict(block=block, kind="band", shard=shard, numbers=_zip(number[a:b], "<u4"))
+                                     for block, shard, a, b in zip(table["block"].to_pylist(), table["shard"].to_pylist(), at, at[1:])], schema=_ANSWER)
+
+    return parts.groupBy("shard").applyInArrow(run, ANSWER)
+
+
+def candidates(blocks: DataFrame, answers: DataFrame, bands: int) -> DataFrame:
+    """See SPAN: the paragraphs that stand in several documents, and the lines
+    that meet others in a bucket; ``label`` names the class, ``low`` and
+    ``high`` are its ids, ``hash`` and ``buckets`` are null but for such lines."""
+
+    def run(block: pa.Table, answers: pa.Table) -> pa.Table:
         row = block.to_pylist()[0]
-        shard = _unzip(row["shards"], "<u4").astype(np.int64)
-        got = np.concatenate([_unzip(b, "<u4") for _, b in sorted(zip(groups["shard"].to_pylist(), groups["buckets"].to_pylist()))])
-        bucket = np.empty(len(shard), dtype=np.int64)
-        bucket[np.argsort(shard, kind="stable")] = got
-        bucket = np.where(bucket > 0, (shard << 32) + bucket, 0).reshape(-1, bands)
-        pick = np.flatnonzero(bucket.any(axis=1))
-        doc = np.repeat(np.arange(len(row["ids"])), _unzip(row["per_doc"], "<u4"))[pick]
-        hashes = np.frombuffer(row["hashes"], dtype="V16")[pick]
-        ids, versions = row["ids"], row["versions"]
+        got: dict[str, list[dict]] = {"class": [], "band": []}
+        for x in sorted(answers.to_pylist(), key=lambda x: x["shard"]):
+            got[x["kind"]].append(x)
+        # classes were sent in shard order
+        shard = _unzip(row["class_shards"], "<u4").astype(np.int64)
+        order = np.argsort(shard, kind="stable")
+        number = np.concatenate([_unzip(x["numbers"], "<u4") for x in got["class"]]).astype(np.int64)
+        label, low, high = (np.zeros(len(shard), dtype=np.int64) for _ in range(3))
+        label[order] = np.where(number > 0, (shard[order] << 32) + number, 0)
+        some = order[number > 0]
+        low[some] = np.concatenate([_unzip(x["lows"], "<i8") for x in got["class"]])
+        high[some] = np.concatenate([_unzip(x["highs"], "<i8") for x in got["class"]])
+        which = _unzip(row["classes"], "<u4")
+        label, low, high = label[which], low[which], high[which]
+        doc = np.repeat(np.arange(len(row["ids"])), _unzip(row["per_doc"], "<u4"))
+        is_line = np.unpackbits(_unzip(row["lines"], "u1"))[: len(which)].astype(bool)
+        bucket = np.zeros((len(which), bands), dtype=np.int64)
+        if got["band"]:
+            shard = _unzip(row["band_shards"], "<u4").astype(np.int64)
+            flat = np.empty(len(shard), dtype=np.int64)
+            flat[np.argsort(shard, kind="stable")] = np.concatenate([_unzip(x["numbers"], "<u4") for x in got["band"]])
+            bucket[is_line] = np.where(flat > 0, (shard << 32) + flat, 0).reshape(-1, bands)
+        meets = bucket.any(axis=1)
+        pick = np.flatnonzero((label > 0) | meets)
+        ids = np.array([NO_ID if i is None else i for i in row["ids"]], dtype=np.int64)[doc]
+        low, high = np.where(label > 0, low, ids), np.where(label > 0, high, ids)
+        line_hash = np.zeros(len(which), dtype="V16")
+        line_hash[is_line] = np.frombuffer(row["hashes"], dtype="V16")
+        meets = meets[pick]
         return pa.Table.from_arrays([
-            pa.array([ids[d] for d in doc.tolist()], pa.int64()), pa.array([versions[d] for d in doc.tolist()], pa.int64()),
-            pa.array(_unzip(row["starts"], "<u4")[pick], pa.int64()), pa.array(_unzip(row["ends"], "<u4")[pick], pa.int64()),
-            pa.array([h.tobytes() for h in hashes], pa.binary()),
-            pa.array([[b for b in x if b] for x in bucket[pick].tolist()], pa.list_(pa.int64()))], schema=_SPAN)
+            pa.array(ids[pick], mask=ids[pick] == NO_ID), pa.array(np.array(row["versions"], dtype=np.int64)[doc[pick]]), pa.array(_unzip(row["starts"], "<u4")[pick].astype(np.int64)),
+            pa.array(_unzip(row["stops"], "<u4")[pick].astype(np.int64)), pa.array(label[pick]), pa.array(low[pick]), pa.array(high[pick]),
+            pa.array([h.tobytes() if m else None for h, m in zip(line_hash[pick], meets)], pa.binary()),
+            pa.array([[b for b in x if b] if m else None for x, m in zip(bucket[pick].tolist(), meets)], pa.list_(pa.int64()))], schema=_SPAN)
 
-    return blocks.groupBy("block").cogroup(groups.groupBy("block")).applyInArrow(run, SPAN)
+    return blocks.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(run, SPAN)
 
 
 def shingles(text: str, size: int = SHINGLE) -> frozenset:
@@ -299,22 +390,24 @@ def repeated_spans(docs: DataFrame, threshold: float = THRESHOLD, id_col: str =
     bands, band_rows = tune_bands(threshold)
     rows = keyed(docs, id_col, text_col)
     table = written(block_paragraphs(rows, shuffle_partitions(spark), bands, band_rows), "paragraphs")
-    groups = shared_buckets(table.where("shard IS NOT NULL").select("block", "shard", "keys"))
-    blocks = table.where("shard IS NULL").drop("shard", "keys")
-    spans = written(candidates(blocks, groups, bands), "paragraph-candidates")
-    classes = spans.groupBy("hash").agg(F.first("buckets").alias("buckets"), F.min(F.struct("id", "version", "start", "stop")).alias("at"))
-    members = written(classes.select("hash", "at", F.explode("buckets").alias("bucket")), "paragraph-classes")
-    mixed = members.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1").select("bucket")
-    meeting = written(members.join(mixed, "bucket"), "paragraph-meetings")
-    texts = class_texts(rows, meeting.select("hash", "at.*").distinct())
-    edges = verified(meeting.select("bucket", "hash").join(texts, "hash"), threshold)
+    parts = table.select("block", "kind", "shard", "keys", "lows", "highs")
+    answers = shared_classes(parts.where("kind = 'class'")).unionByName(shared_buckets(parts.where("kind = 'band'")))
+    blocks = table.where("kind = 'block'").drop("kind", "shard", "keys", "lows", "highs")
+    spans = written(candidates(blocks, answers, bands), "paragraph-candidates")
+    equal, meeting = spans.where("buckets IS NULL"), spans.where("buckets IS NOT NULL")
+    # one row per class of lines that meet others
+    place = F.struct("id", "version", "start", "stop")
+    classes = meeting.groupBy("hash").agg(F.first("buckets").alias("buckets"), F.min(place).alias("at"), F.min("low").alias("low"), F.max("high").alias("high"))
+    classes = written(classes, "paragraph-classes")
+    edges = verified(classes.select(F.explode("buckets").alias("bucket"), "hash").join(class_texts(rows, classes.select("hash", "at.*")), "hash"), threshold)
     linked = components(edges, "paragraph").withColumnRenamed("id", "hash")
-    spans = spans.drop("buckets").join(linked, "hash", "left").withColumn("cluster", F.coalesce("component", "hash")).drop("component", "hash")
+    member = classes.select("hash", "low", "high").join(linked, "hash", "left").withColumn("cluster", F.coalesce("component", "hash"))
+    cluster = member.groupBy("cluster").agg(F.min("low").alias("low"), F.max("high").alias("high")).where("low < high")
+    named = member.select("hash", "cluster").join(cluster, "cluster")
+    near = meeting.drop("low", "high").join(named, "hash").withColumn("cluster", F.lower(F.hex("cluster")))
+    out = equal.withColumn("cluster", F.lower(F.hex("label"))).unionByName(near, allowMissingColumns=True)
     order = F.coalesce("id", F.lit(NO_ID))
-    many = spans.groupBy("cluster").agg(F.min(order).alias("low"), F.max(order).alias("high")).where("low < high").select("cluster", "low")
-    out = spans.join(many, "cluster")
-    return out.select("id", "version", "start", "stop", F.lower(F.hex("cluster")).alias("cluster"),
-                      F.nullif(F.col("low"), F.lit(NO_ID)).alias("keep_id"), (order != F.col("low")).alias("removed"))
+    return out.select("id", "version", "start", "stop", "cluster", F.nullif(F.col("low"), F.lit(NO_ID)).alias("keep_id"), (order != F.col("low")).alias("removed"))
 
 
 def _without(text: pd.Series, starts: pd.Series, stops: pd.Series) -> pd.Series:
