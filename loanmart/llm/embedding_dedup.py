@@ -7,8 +7,8 @@
    task holds two blocks at most and no two nodes of a shard are kept apart.
 3. Every shard (or pair of blocks) builds a flat graph: a node's nearest
    neighbours there, robust-pruned, and the lists of all shards are united.
-4. Every node searches its home shard, together with the neighbours that the
-   united lists name outside of it, over these lists, their reverse and a few
+4. Every node searches its home shard, together with the close neighbours that
+   the united lists name outside of it, over these lists, their reverse and a few
    random long links: greedy from medoids, then expanding over all nodes that
    are nearly in range until none is left.
 5. What is found is verified by the cosine in double precision.  A task
@@ -34,12 +34,14 @@ OVERLAP = 3
 BLOCK = 4096
 #: Degree, candidates before pruning, pruning slack, width of the search, medoids to start from, random long links.
 DEGREE, POOL, ALPHA, BEAM, MEDOIDS, FAR = 32, 48, 1.2, 32, 8, 12
+#: Links that one step of the expansion looks at.
+EXPANDED = 1 << 20
 #: Nodes this much below the threshold are still expanded.
 SLACK = 0.05
 MEMBER = "shard int, home boolean, node long, vector binary, copies long"
 _MEMBER = pa.schema([("shard", pa.int32()), ("home", pa.bool_()), ("node", pa.int64()), ("vector", pa.binary()), ("copies", pa.int64())])
-LIST = "node long, near array<long>"
-_LIST = pa.schema([("node", pa.int64()), ("near", pa.list_(pa.int64()))])
+LIST = "node long, near array<long>, close array<long>"
+_LIST = pa.schema([("node", pa.int64()), ("near", pa.list_(pa.int64())), ("close", pa.list_(pa.int64()))])
 FOUND = "node long, links long, other long"
 _FOUND = pa.schema([("node", pa.int64()), ("links", pa.int64()), ("other", pa.int64())])
 
@@ -138,17 +140,20 @@ def pruned_graph(x: np.ndarray) -> np.ndarray:
     return out
 
 
-def build(members: DataFrame) -> DataFrame:
-    """United adjacency lists (see LIST) of the graphs of all shards."""
+def build(members: DataFrame, least: float) -> DataFrame:
+    """United adjacency lists (see LIST) of the graphs of all shards;
+    ``close`` are the neighbours with a cosine of at least ``least``."""
 
     def run(table: pa.Table) -> pa.Table:
-        node = table["node"].to_numpy()
-        graph = pruned_graph(matrix(table["vector"]))
-        lists = [node[row[row >= 0]].tolist() for row in graph]
-        return pa.Table.from_arrays([pa.array(node, pa.int64()), pa.array(lists, pa.list_(pa.int64()))], schema=_LIST)
+        node, x = table["node"].to_numpy(), matrix(table["vector"])
+        graph = pruned_graph(x)
+        cosine = np.concatenate([np.einsum("ikd,id->ik", x[graph[a: a + 512]], x[a: a + 512]) for a in range(0, len(x), 512)])
+        near = [node[row[row >= 0]].tolist() for row in graph]
+        close = [node[row[(row >= 0) & (c >= least)]].tolist() for row, c in zip(graph, cosine)]
+        return pa.Table.from_arrays([pa.array(node, pa.int64()), pa.array(near, pa.list_(pa.int64())), pa.array(close, pa.list_(pa.int64()))], schema=_LIST)
 
     lists = members.groupBy("shard", "low", "high").applyInArrow(run, LIST)
-    return lists.groupBy("node").agg(F.array_distinct(F.flatten(F.collect_list("near"))).alias("near"))
+    return lists.groupBy("node").agg(*[F.array_distinct(F.flatten(F.collect_list(c))).alias(c) for c in ("near", "close")])
 
 
 def medoids(x: np.ndarray) -> np.ndarray:
@@ -200,18 +205,22 @@ def in_range(x: np.ndarray, graph: np.ndarray, query: np.ndarray, start: np.ndar
     seen = np.zeros((len(query), len(x)), dtype=bool)
     who, what, value = (np.concatenate(c) for c in zip(*greedy(x, graph, query, seen, start, threshold - SLACK)))
     found = [(who[value >= threshold], what[value >= threshold])]
+    step = max(1, EXPANDED // graph.shape[1])
     while len(who):
-        near = graph[what]
-        r, c = np.nonzero(near >= 0)
-        key = np.unique(who[r] * len(x) + near[r, c])
-        who, what = key // len(x), key % len(x)
-        fresh = ~seen[who, what]
-        who, what = who[fresh], what[fresh]
-        seen[who, what] = True
-        value = np.einsum("id,id->i", x[query[who]], x[what])
-        found.append((who[value >= threshold], what[value >= threshold]))
-        close = value >= threshold - SLACK
-        who, what = who[close], what[close]
+        front = [(np.zeros(0, np.int64), np.zeros(0, np.int64))]
+        for a in range(0, len(who), step):
+            near = graph[what[a: a + step]]
+            r, c = np.nonzero(near >= 0)
+            key = np.unique(who[a: a + step][r] * len(x) + near[r, c])
+            i, j = key // len(x), key % len(x)
+            fresh = ~seen[i, j]
+            i, j = i[fresh], j[fresh]
+            seen[i, j] = True
+            value = np.einsum("id,id->i", x[query[i]], x[j])
+            found.append((i[value >= threshold], j[value >= threshold]))
+            close = value >= threshold - SLACK
+            front.append((i[close], j[close]))
+        who, what = (np.concatenate(c) for c in zip(*front))
     return np.concatenate([a for a, _ in found]), np.concatenate([b for _, b in found])
 
 
@@ -283,13 +292,13 @@ def near_vectors(vectors: DataFrame, threshold: float = 0.95, id_col: str = "vec
         empty = vectors.select(F.col(id_col).cast("long").alias(id_col))
         return empty.select(id_col, F.lit(0).cast("long").alias("n_links"), F.col(id_col).alias("component_id"), F.col(id_col).isNotNull().alias("kept"))
     members = written(dealt(shards(nodes, centroids(nodes, n))), "vector-members")
-    lists = written(build(members), "vector-lists")
-    # neighbours outside the shard join the block whose node names them
-    mine = members.where("home AND low = high").join(lists, "node")
-    outside = mine.select("shard", F.col("own"), F.explode("near").alias("node")).distinct()
+    lists = written(build(members, threshold - 2 * SLACK), "vector-lists")
+    # close neighbours outside the shard join the block whose node names them
+    mine = members.where("home AND low = high").join(lists.where("size(close) > 0"), "node")
+    outside = mine.select("shard", F.col("own"), F.explode("close").alias("node")).distinct()
     outside = outside.join(members.select("shard", "node").distinct(), ["shard", "node"], "left_anti")
     outside = outside.join(nodes, "node").select("shard", F.col("own").alias("low"), F.col("own").alias("high"), "own", F.lit(False).alias("home"), "node", "vector", "copies")
-    rows = members.unionByName(outside).join(lists, "node", "left")
+    rows = members.unionByName(outside).join(lists.drop("close"), "node", "left")
     found = written(search(rows, threshold), "vector-links")
     counts = found.where("other IS NULL").groupBy("node").agg(F.sum("links").alias("links"))
     linked = components(found.where("other IS NOT NULL").select(F.col("node").alias("a"), F.col("other").alias("b")), "vector")
