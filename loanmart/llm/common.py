@@ -9,7 +9,7 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loanmart.session import checkpoint_dir
@@ -81,6 +81,12 @@ def keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return docs.select(F.struct("*").alias("row"), F.col(id_col).cast("long").alias("id"), body.alias("body")).withColumn("version", F.xxhash64("body"))
 
 
+def row_text(text_col: str) -> Column:
+    """The text inside ``row``: after a join of ``keyed`` rows, so that a
+    shuffle moves each text once."""
+    return F.coalesce(F.col("row")[text_col].cast("string"), F.lit(""))
+
+
 def components(edges: DataFrame, name: str) -> DataFrame:
     """Connected components of an undirected edge table ``(a, b)`` of any type
     with an order: ``(id, component)`` for every id that has an edge to

@@ -25,7 +25,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bound_batches, keyed, text_blocks, written
+from .common import bound_batches, keyed, row_text, text_blocks, written
 
 #: Line hashes of one shard, on average.
 SHARD_LINES = 1 << 18
@@ -229,10 +229,11 @@ def line_dedup(docs: DataFrame, min_docs: int = 3, min_points: int = 20, id_col:
     hits = probe(lines, index, shards, min_docs)
     drops = written(dropped_lines(texts, hits), "line-drops")
     without = F.pandas_udf(_without, "kept string, dropped long")
-    joined = rows.alias("k").join(drops.alias("d"), F.col("k.id").eqNullSafe(F.col("d.id")) & (F.col("k.version") == F.col("d.version")), "left")
-    got = joined.select("row", "body", without(F.when(F.col("drops").isNotNull(), F.col("body")), F.col("drops")).alias("got"))
-    n_lines = (F.octet_length("body") - F.octet_length(F.replace(F.col("body"), F.lit("\n"), F.lit(""))) + 1).cast("long")
-    return got.select("row", F.coalesce("got.kept", "body").alias("kept_text"), n_lines.alias("n_lines"), F.col("got.dropped").alias("n_dropped"))
+    joined = rows.drop("body").alias("k").join(drops.alias("d"), F.col("k.id").eqNullSafe(F.col("d.id")) & (F.col("k.version") == F.col("d.version")), "left")
+    body = row_text(text_col)
+    got = joined.select("row", without(F.when(F.col("drops").isNotNull(), body), F.col("drops")).alias("got"))
+    n_lines = (F.octet_length(body) - F.octet_length(F.replace(body, F.lit("\n"), F.lit(""))) + 1).cast("long")
+    return got.select("row", F.coalesce(F.col("got.kept"), body).alias("kept_text"), n_lines.alias("n_lines"), F.col("got.dropped").alias("n_dropped"))
 
 
 def drop_common_lines(docs: DataFrame, min_docs: int = 3, min_points: int = 20, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

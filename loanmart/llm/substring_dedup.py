@@ -39,7 +39,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bound_batches, components, keyed, shuffle_partitions, text_blocks, written
+from .common import bound_batches, components, keyed, row_text, shuffle_partitions, text_blocks, written
 from .segments import Block, offsets_of, ragged, text_block
 
 SHINGLE, THRESHOLD = 5, 0.8
@@ -436,9 +436,9 @@ def remove_repeats(docs: DataFrame, threshold: float = THRESHOLD, id_col: str =
     cuts = written(spans.groupBy("id", "version").agg(F.collect_set(F.struct("start", "stop")).alias("cuts")), "paragraph-cuts")
     rows = keyed(docs, id_col, text_col)
     same = F.col("r.id").eqNullSafe(F.col("c.id")) & (F.col("r.version") == F.col("c.version"))
-    got = rows.alias("r").join(cuts.alias("c"), same, "left")
+    got = rows.drop("body").alias("r").join(cuts.alias("c"), same, "left")
     without = F.pandas_udf(_without, "string")
-    new = without(F.when(F.col("cuts").isNotNull(), F.col("body")), F.col("cuts.start"), F.col("cuts.stop"))
+    new = without(F.when(F.col("cuts").isNotNull(), row_text(text_col)), F.col("cuts.start"), F.col("cuts.stop"))
     got = got.select("row", "cuts", new.alias("left_text")).where("cuts IS NULL OR left_text RLIKE '[^\\\\x20\\\\x09-\\\\x0D]'")
     cols = [F.coalesce("left_text", F.col("row")[c]).alias(c) if c == text_col else F.col("row")[c].alias(c) for c in docs.columns]
     return got.select(*cols)
