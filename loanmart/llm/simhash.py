@@ -288,4 +288,4 @@ def drop_near_duplicates(docs: DataFrame, shingle: int = 3, max_distance: int =
     (see ``simhash_groups``): one document of each group stays."""
     groups = simhash_groups(docs, shingle, max_distance, id_col, text_col)
     stay = written(groups.where(F.col(id_col).eqNullSafe(F.col("component_id"))).select(F.col(id_col).alias("stay")).distinct(), "simhash-stay")
-    return docs.join(stay, F.col(id_col).cast("long").eqNullSafe(F.col("stay")), "left_semi")
+    return docs.join(stay, docs[id_col].cast("long").eqNullSafe(stay["stay"]), "left_semi")
