@@ -4,6 +4,9 @@ connected components over an edge table."""
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import gc
 import uuid
 from collections.abc import Iterator
 
@@ -49,6 +52,15 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def release() -> None:
+    """Give memory that a task has freed back to the system: Python workers
+    stay idle for a while after it, beside those of the next stage."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # not glibc
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+
+
 def text_blocks(batches: Iterator[pa.RecordBatch], column: str, limit: int = BLOCK_BYTES) -> Iterator[pa.RecordBatch]:
     """Runs of whole rows with at most ``limit`` bytes of text, in input order."""
     held: list[pa.RecordBatch] = []
@@ -72,6 +84,8 @@ def text_blocks(batches: Iterator[pa.RecordBatch], column: str, limit: int = BLO
             held.append(batch.slice(start))
     if sum(b.num_rows for b in held):
         yield joined()
+    held = []
+    release()
 
 
 def keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
