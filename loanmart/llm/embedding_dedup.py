@@ -11,6 +11,10 @@
    the united lists name outside of it, over these lists, their reverse and a few
    random long links: greedy from medoids, then expanding over all nodes that
    are nearly in range until none is left.
+   Nodes whose nearest POOL of a shard are all in range are crowded: lists
+   cannot name all their links.  They and all that links of the lists reach
+   from them do not search; they are compared with each other exactly, with
+   every block that can hold a neighbour (a bound from the centroids).
 5. What is found is verified by the cosine in double precision.  A task
    returns each node's number of links and a spanning forest of them, never
    the pairs.  ``audit_recall`` measures the links found against brute force.
@@ -34,16 +38,20 @@ OVERLAP = 3
 BLOCK = 4096
 #: Degree, candidates before pruning, pruning slack, width of the search, medoids to start from, random long links.
 DEGREE, POOL, ALPHA, BEAM, MEDOIDS, FAR = 32, 48, 1.2, 32, 8, 12
+#: Crowded nodes per centroid of theirs, and nodes of one block of them.
+CROWD, CROWD_BLOCK = 64, 8192
 #: Links that one step of the expansion looks at.
 EXPANDED = 1 << 20
 #: Nodes this much below the threshold are still expanded.
 SLACK = 0.05
 MEMBER = "shard int, home boolean, node long, vector binary, copies long"
 _MEMBER = pa.schema([("shard", pa.int32()), ("home", pa.bool_()), ("node", pa.int64()), ("vector", pa.binary()), ("copies", pa.int64())])
-LIST = "node long, near array<long>, close array<long>"
-_LIST = pa.schema([("node", pa.int64()), ("near", pa.list_(pa.int64())), ("close", pa.list_(pa.int64()))])
+LIST = "node long, near array<long>, close array<long>, linked array<long>, crowded boolean"
+_LIST = pa.schema([("node", pa.int64()), *((c, pa.list_(pa.int64())) for c in ("near", "close", "linked")), ("crowded", pa.bool_())])
 FOUND = "node long, links long, other long"
 _FOUND = pa.schema([("node", pa.int64()), ("links", pa.int64()), ("other", pa.int64())])
+UNIT = "low int, high int, own int, node long, vector binary, copies long"
+_UNIT = pa.schema([("low", pa.int32()), ("high", pa.int32()), ("own", pa.int32()), ("node", pa.int64()), ("vector", pa.binary()), ("copies", pa.int64())])
 
 
 def unit_nodes(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
@@ -77,10 +85,10 @@ def matrix(column) -> np.ndarray:
     return np.frombuffer(b"".join(raw), dtype=np.float64).reshape(len(raw), width // 8)
 
 
-def centroids(nodes: DataFrame, n: int) -> np.ndarray:
-    """Spherical k-means over a bounded sample (the smallest hashes of the ids)."""
+def centroids(nodes: DataFrame, n: int, size: int | None = None) -> np.ndarray:
+    """Spherical k-means over a bounded sample (the smallest hashes of the ids), one centroid per ``size`` nodes."""
     sample = matrix(nodes.select("node", "vector").orderBy(F.xxhash64("node"), "node").limit(SAMPLE).select("vector").toArrow()["vector"])
-    k = min(MOST_CENTROIDS, -(-n // SHARD), len(sample))
+    k = min(MOST_CENTROIDS, -(-n // (size or SHARD)), len(sample))
     centre = sample[:k].copy()
     for _ in range(ROUNDS):
         best = np.concatenate([(sample[a: a + 1024] @ centre.T).argmax(axis=1) for a in range(0, len(sample), 1024)])
@@ -116,8 +124,15 @@ def pruned_graph(x: np.ndarray) -> np.ndarray:
     """Neighbours (-1: none) of every vector.  Of its POOL nearest the nearest
     is taken, then the nearest of those that no taken one is ALPHA times
     nearer to, and so on."""
+    return graph_and_links(x, np.inf)[0]
+
+
+def graph_and_links(x: np.ndarray, threshold: float) -> tuple[np.ndarray, list[np.ndarray], np.ndarray]:
+    """The pruned graph; of every vector those of its POOL nearest with a cosine
+    of at least ``threshold``, and whether there may be more of them."""
     n = len(x)
     pool = min(POOL, n - 1)
+    linked, crowded = [np.zeros(0, np.int64)] * (n if pool <= 0 else 0), np.zeros(n, dtype=bool)
     out = np.full((n, DEGREE), -1, dtype=np.int64)
     for a in range(0, n if pool > 0 else 0, 512):
         rows = np.arange(a, min(a + 512, n))
@@ -125,7 +140,11 @@ def pruned_graph(x: np.ndarray) -> np.ndarray:
         sim[np.arange(len(rows)), rows] = -np.inf
         near = np.argpartition(-sim, pool - 1, axis=1)[:, :pool]
         near = np.take_along_axis(near, np.argsort(-np.take_along_axis(sim, near, axis=1), axis=1, kind="stable"), axis=1)
-        own = np.sqrt(np.maximum(2 - 2 * np.take_along_axis(sim, near, axis=1), 0))
+        cosine = np.take_along_axis(sim, near, axis=1)
+        fits = cosine >= threshold
+        linked += [a[b] for a, b in zip(near, fits)]
+        crowded[rows] = fits.all(axis=1) & (n - 1 > pool)
+        own = np.sqrt(np.maximum(2 - 2 * cosine, 0))
         among = np.sqrt(np.maximum(2 - 2 * np.einsum("ikd,ild->ikl", x[near], x[near], optimize=True), 0))
         alive = near != rows[:, None]
         at = np.arange(len(rows))
@@ -137,23 +156,129 @@ def pruned_graph(x: np.ndarray) -> np.ndarray:
             out[rows[some], j] = near[at, pick][some]
             keep = alive & (ALPHA * among[at, pick] > own)
             alive = np.where(some[:, None], keep & (near != near[at, pick][:, None]), alive)
-    return out
+    return out, linked, crowded
 
 
-def build(members: DataFrame, least: float) -> DataFrame:
+def build(members: DataFrame, least: float, threshold: float) -> DataFrame:
     """United adjacency lists (see LIST) of the graphs of all shards;
-    ``close`` are the neighbours with a cosine of at least ``least``."""
+    ``close`` are the neighbours with a cosine of at least ``least``,
+    ``linked`` all nodes of the shards with one of at least ``threshold``,
+    unless the node is ``crowded``."""
 
     def run(table: pa.Table) -> pa.Table:
         node, x = table["node"].to_numpy(), matrix(table["vector"])
-        graph = pruned_graph(x)
+        graph, linked, crowded = graph_and_links(x, threshold)
         cosine = np.concatenate([np.einsum("ikd,id->ik", x[graph[a: a + 512]], x[a: a + 512]) for a in range(0, len(x), 512)])
         near = [node[row[row >= 0]].tolist() for row in graph]
         close = [node[row[(row >= 0) & (c >= least)]].tolist() for row, c in zip(graph, cosine)]
-        return pa.Table.from_arrays([pa.array(node, pa.int64()), pa.array(near, pa.list_(pa.int64())), pa.array(close, pa.list_(pa.int64()))], schema=_LIST)
+        lists = [pa.array(c, pa.list_(pa.int64())) for c in (near, close, [node[i].tolist() for i in linked])]
+        return pa.Table.from_arrays([pa.array(node, pa.int64()), *lists, pa.array(crowded)], schema=_LIST)
 
     lists = members.groupBy("shard", "low", "high").applyInArrow(run, LIST)
-    return lists.groupBy("node").agg(*[F.array_distinct(F.flatten(F.collect_list(c))).alias(c) for c in ("near", "close")])
+    return lists.groupBy("node").agg(*[F.array_distinct(F.flatten(F.collect_list(c))).alias(c) for c in ("near", "close", "linked")], F.max("crowded").alias("crowded"))
+
+
+def crowd(lists: DataFrame) -> DataFrame | None:
+    """``(node)``: crowded nodes and all that links of the lists reach from them; None if there are none."""
+    hot = new = written(lists.where("crowded").select("node"), "vector-crowd")
+    if not new.count():
+        return None
+    pairs = lists.select("node", F.explode("linked").alias("other"))
+    pairs = written(pairs.unionByName(pairs.select(F.col("other").alias("node"), F.col("node").alias("other"))), "vector-reach")
+    while True:
+        new = written(pairs.join(new, "node", "left_semi").select(F.col("other").alias("node")).distinct().join(hot, "node", "left_anti"), "vector-crowd")
+        if not new.count():
+            return hot
+        hot = written(hot.unionByName(new), "vector-crowd")
+
+
+def leaves(centre: np.ndarray, size: np.ndarray, most: int) -> np.ndarray:
+    """The leaf of every centroid: centroids halved along the direction they
+    differ most in until a leaf has at most ``most`` nodes or is one centroid."""
+    leaf, todo, n = np.zeros(len(centre), dtype=np.int64), [np.arange(len(centre))], 0
+    while todo:
+        some = todo.pop()
+        if len(some) == 1 or size[some].sum() <= most:
+            leaf[some], n = n, n + 1
+            continue
+        c = centre[some] - centre[some].mean(axis=0)
+        some = some[np.argsort(c @ np.linalg.eigh(c.T @ c)[1][:, -1], kind="stable")]
+        cut = np.searchsorted(np.cumsum(size[some]), size[some].sum() / 2) + 1
+        cut = min(max(cut, 1), len(some) - 1)
+        todo += [some[:cut], some[cut:]]
+    return leaf
+
+
+def crowd_links(nodes: DataFrame, threshold: float) -> DataFrame:
+    """All links (see FOUND) between ``nodes``.  A node is sent to every block
+    that can hold a neighbour: with |u - v| <= d and j the centroid nearest to v,
+    u is at most d * |ci - cj| nearer to its own centroid i than to j."""
+    centre = centroids(nodes, nodes.count(), CROWD)
+    square, reach = (centre * centre).sum(axis=1), np.sqrt(max(2 - 2 * threshold, 0))
+
+    def nearest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            x = matrix(batch.column("vector"))
+            at = np.concatenate([np.zeros(0, np.int64), *((x[a: a + 1024] @ centre.T).argmax(axis=1) for a in range(0, len(x), 1024))])
+            yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32())], names=["c"])
+
+    size = np.zeros(len(centre), dtype=np.int64)
+    for c, n in nodes.select("vector").mapInArrow(nearest, "c int").groupBy("c").count().collect():
+        size[c] = n
+    leaf = leaves(centre, size, CROWD_BLOCK)
+    order = np.argsort(leaf, kind="stable")
+    edge = np.flatnonzero(np.diff(leaf[order], prepend=-1))
+    blocks = np.maximum(-(-np.bincount(leaf, weights=size).astype(np.int64) // CROWD_BLOCK), 1)
+    first = np.cumsum(blocks) - blocks
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for a in range(0, batch.num_rows, 1024):
+                part = batch.slice(a, 1024)
+                dot = matrix(part.column("vector")) @ centre.T
+                home = dot.argmax(axis=1)
+                apart = np.sqrt(np.maximum(square[home][:, None] + square - 2 * centre[home] @ centre.T, 0))
+                near = dot[np.arange(len(home)), home][:, None] - dot <= reach * apart + 1e-7
+                near = np.logical_or.reduceat(near[:, order], edge, axis=1)
+                own = first[leaf[home]] + part.column("node").to_numpy() % blocks[leaf[home]]
+                for b in range(len(blocks)):
+                    some = np.flatnonzero(near[:, b])
+                    if not len(some):
+                        continue
+                    rows = part.take(pa.array(some))
+                    for k in range(first[b], first[b] + blocks[b]):
+                        ends = [pa.array(f(own[some], k), pa.int32()) for f in (np.minimum, np.maximum)]
+                        yield pa.RecordBatch.from_arrays([*ends, pa.array(own[some], pa.int32()), rows.column("node").cast(pa.int64()), rows.column("vector").cast(pa.binary()), rows.column("copies").cast(pa.int64())], schema=_UNIT)
+
+    def run(table: pa.Table) -> pa.Table:
+        table = table.combine_chunks()
+        node, own, copies = (table[c].to_numpy() for c in ("node", "own", "copies"))
+        x = matrix(table["vector"])
+        one = table["low"][0].as_py() == table["high"][0].as_py()
+        left = np.flatnonzero(own == table["low"][0].as_py())
+        right = left if one else np.flatnonzero(own == table["high"][0].as_py())
+        links, root, edges = np.zeros(len(node), dtype=np.int64), np.arange(len(node)), []
+        weight = copies.astype(np.float64)
+        for a in range(0, len(left) if len(right) else 0, 512):
+            rows = left[a: a + 512]
+            fits = x[rows] @ x[right].T >= threshold
+            if one:
+                fits[np.arange(len(rows)), np.arange(a, a + len(rows))] = False
+            count = fits.astype(np.float64)
+            links[rows] += (count @ weight[right]).astype(np.int64)
+            if not one:
+                links[right] += (weight[rows] @ count).astype(np.int64)
+            for i, row in zip(rows.tolist(), fits):
+                other = right[row & (root[right] != root[i])]
+                if len(other):
+                    joined, at = np.unique(root[other], return_index=True)
+                    edges += [(i, j) for j in other[at].tolist()]
+                    root[np.isin(root, joined)] = root[i]
+        some = np.flatnonzero(links)
+        out = [(int(node[i]), int(links[i]), None) for i in some] + [(int(node[i]), 0, int(node[j])) for i, j in edges]
+        return pa.Table.from_arrays([pa.array(c, t) for c, t in zip(list(zip(*out)) or [(), (), ()], _FOUND.types)], schema=_FOUND)
+
+    return nodes.select("node", "vector", "copies").mapInArrow(deal, UNIT).groupBy("low", "high").applyInArrow(run, FOUND)
 
 
 def medoids(x: np.ndarray) -> np.ndarray:
@@ -240,13 +365,18 @@ def forest(a: np.ndarray, b: np.ndarray, n: int) -> list[tuple[int, int]]:
 
 
 def search(rows: DataFrame, threshold: float) -> DataFrame:
-    """Of every home node ``links``, summed over its rows, and edges to ``other`` nodes."""
+    """Of every home node that is not ``hot`` ``links``, summed over its rows, and
+    edges to ``other`` nodes; a hot node that is found gets its link from there."""
 
     def run(table: pa.Table) -> pa.Table:
         table = table.combine_chunks()
+        home, hot = (table[c].to_numpy(zero_copy_only=False) for c in ("home", "hot"))
+        query = np.flatnonzero(home & ~hot)
+        if not len(query):
+            return _FOUND.empty_table()
         node, x = table["node"].to_numpy(), matrix(table["vector"])
         own, low, high = (table[c].to_numpy() for c in ("own", "low", "high"))
-        home, copies = table["home"].to_numpy(zero_copy_only=False), table["copies"].to_numpy()
+        copies = table["copies"].to_numpy()
         place = {v: i for i, v in enumerate(node.tolist())}
         lists = [[place[v] for v in near or [] if v in place] for near in table["near"].to_pylist()]
         for i, near in enumerate([list(x) for x in lists]):  # and backwards
@@ -259,7 +389,6 @@ def search(rows: DataFrame, threshold: float) -> DataFrame:
             graph[i, : len(near)] = near
         start = medoids(x)
         links, edges = np.zeros(len(node), dtype=np.int64), []
-        query = np.flatnonzero(home)
         for a in range(0, len(query), 128):
             some = query[a: a + 128]
             q, v = in_range(x, graph, some, start, threshold)
@@ -268,8 +397,9 @@ def search(rows: DataFrame, threshold: float) -> DataFrame:
             fits = (q != v) & ((low[0] == high[0]) | (own[q] != own[v]))
             q, v = q[fits], v[fits]
             np.add.at(links, q, copies[v])
+            np.add.at(links, v[hot[v]], copies[q[hot[v]]])
             edges += forest(q, v, len(node))
-        out = [(int(node[i]), int(links[i]), None) for i in query.tolist()] + [(int(node[i]), 0, int(node[j])) for i, j in edges]
+        out = [(int(node[i]), int(links[i]), None) for i in np.flatnonzero(links)] + [(int(node[i]), 0, int(node[j])) for i, j in edges]
         return pa.Table.from_arrays([pa.array(c, t) for c, t in zip(list(zip(*out)) or [(), (), ()], _FOUND.types)], schema=_FOUND)
 
     return rows.groupBy("shard", "low", "high").applyInArrow(run, FOUND)
@@ -292,14 +422,19 @@ def near_vectors(vectors: DataFrame, threshold: float = 0.95, id_col: str = "vec
         empty = vectors.select(F.col(id_col).cast("long").alias(id_col))
         return empty.select(id_col, F.lit(0).cast("long").alias("n_links"), F.col(id_col).alias("component_id"), F.col(id_col).isNotNull().alias("kept"))
     members = written(dealt(shards(nodes, centroids(nodes, n))), "vector-members")
-    lists = written(build(members, threshold - 2 * SLACK), "vector-lists")
+    lists = written(build(members, threshold - 2 * SLACK, threshold), "vector-lists")
+    hot = crowd(lists)
+    lists = lists.withColumn("hot", F.lit(False)) if hot is None else lists.join(hot.withColumn("hot", F.lit(True)), "node", "left").fillna(False, ["hot"])
     # close neighbours outside the shard join the block whose node names them
-    mine = members.where("home AND low = high").join(lists.where("size(close) > 0"), "node")
-    outside = mine.select("shard", F.col("own"), F.explode("close").alias("node")).distinct()
+    mine = members.where("home AND low = high").join(lists.where("NOT hot AND size(close) > 0"), "node")
+    outside = mine.select("shard", F.col("own"), F.explode(F.array_union("close", "linked")).alias("node")).distinct()
     outside = outside.join(members.select("shard", "node").distinct(), ["shard", "node"], "left_anti")
     outside = outside.join(nodes, "node").select("shard", F.col("own").alias("low"), F.col("own").alias("high"), "own", F.lit(False).alias("home"), "node", "vector", "copies")
-    rows = members.unionByName(outside).join(lists.drop("close"), "node", "left")
-    found = written(search(rows, threshold), "vector-links")
+    rows = members.unionByName(outside).join(lists.select("node", "near", "hot"), "node", "left")
+    found = search(rows, threshold)
+    if hot is not None:
+        found = found.unionByName(crowd_links(written(nodes.join(hot, "node", "left_semi"), "vector-crowded"), threshold))
+    found = written(found, "vector-links")
     counts = found.where("other IS NULL").groupBy("node").agg(F.sum("links").alias("links"))
     linked = components(found.where("other IS NOT NULL").select(F.col("node").alias("a"), F.col("other").alias("b")), "vector")
     named = nodes.drop("vector").join(counts, "node", "left").join(linked.withColumnRenamed("id", "node"), "node", "left")

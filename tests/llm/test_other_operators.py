@@ -117,6 +117,24 @@ def test_near_vectors_equal_brute_force(spark, monkeypatch, block):
     assert emb.near_vectors(df.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("crowd_block", [8192, 100])
+def test_a_group_over_many_shards_keeps_all_its_links(spark, monkeypatch, crowd_block):
+    # one group of near-equal vectors over many centroids, blocks that lists cannot cover
+    monkeypatch.setattr(emb, "SHARD", 64)
+    monkeypatch.setattr(emb, "CROWD_BLOCK", crowd_block)
+    rng = np.random.default_rng(12)
+    centre = rng.normal(size=32)
+    x = np.concatenate([centre / np.linalg.norm(centre) + rng.normal(size=(900, 32)) * 0.03, rng.normal(size=(900, 32))])
+    x = np.concatenate([x, x[:3]])
+    unit = x / np.linalg.norm(x, axis=1)[:, None]
+    want = (unit @ unit.T >= 0.95).sum(axis=1) - 1
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>").repartition(3)
+    got = {r.vec_id: r for r in emb.near_vectors(df).collect()}
+    assert want[:900].min() > 600
+    assert [got[i].n_links for i in range(len(x))] == want.tolist()
+    assert {got[i].component_id for i in range(900)} == {0}
+
+
 def test_pruned_graph_has_no_loops():
     x = np.random.default_rng(1).normal(size=(200, 8))
     x /= np.linalg.norm(x, axis=1)[:, None]
