@@ -318,13 +318,25 @@ def landed_case_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     xml = mart.case_messages(one).withColumn("part", F.xxhash64("xml"))
     # each message is a partition of its own, so a file of its own
     xml.repartition("part").write.partitionBy("part").option("lineSep", " ").text(f"{root}/in")
-    q = start_case_message_stream(spark, f"{root}/in/*/*.txt", f"{root}/mail", f"{root}/error", f"{root}/checkpoint")
+    return _message_outboxes(spark, root, f"{root}/in/*/*.txt", True)
+
+
+def landed_all_case_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The XML messages of all customers landed one per line, read as
+    a stream into the mail and the error outbox."""
+    root = scratch_path(spark, "landed-all-messages")
+    mart.case_messages(table(spark, sf_dir, "customer")).write.text(f"{root}/in")
+    return _message_outboxes(spark, root, f"{root}/in", False)
+
+
+def _message_outboxes(spark: SparkSession, root: str, path: str, whole_files: bool) -> DataFrame:
+    q = start_case_message_stream(spark, path, f"{root}/mail", f"{root}/error", f"{root}/checkpoint", whole_files=whole_files)
     q.awaitTermination()
     if q.exception() is not None:
         raise q.exception()
     mails = read_outbox(spark, f"{root}/mail", ", ".join(f"{n} string" for n, _, _ in CASE_FIELDS) + ", position int, subject string, body string")
     errors = read_outbox(spark, f"{root}/error", "xml string")
-    batch = docs.read_xml_messages(spark, f"{root}/in/*/*.txt")
+    batch = docs.read_xml_messages(spark, path, whole_files)
     counts = [df.agg(F.lit(kind).alias("subject"), F.count("*").cast("int").alias("position")) for kind, df in (("broken", errors), ("landed", batch))]
     return mails.select("notification_id", "case_number", "position", "subject").unionByName(counts[0], allowMissingColumns=True).unionByName(counts[1], allowMissingColumns=True)
 
@@ -336,6 +348,12 @@ FROM one WHERE s <> 'HOUSEHOLD'
 UNION ALL SELECT 'N2-' || k, NULL, 1, ' SF CASE: None' FROM one WHERE s = 'BUILDING'
 UNION ALL SELECT NULL, NULL, CAST(count(*) AS INTEGER), 'broken' FROM one WHERE s = 'HOUSEHOLD'
 UNION ALL SELECT NULL, NULL, CAST(count(*) AS INTEGER), 'landed' FROM one"""
+_ALL_MESSAGES_SQL = """
+SELECT 'N-' || c_custkey AS notification_id, lpad(CAST(c_custkey AS VARCHAR), 8, '0') AS case_number, 0 AS position, ' SF CASE: ' || lpad(CAST(c_custkey AS VARCHAR), 8, '0') AS subject
+FROM customer WHERE c_mktsegment <> 'HOUSEHOLD'
+UNION ALL SELECT 'N2-' || c_custkey, NULL, 1, ' SF CASE: None' FROM customer WHERE c_mktsegment = 'BUILDING'
+UNION ALL SELECT NULL, NULL, CAST(count(*) AS INTEGER), 'broken' FROM customer WHERE c_mktsegment = 'HOUSEHOLD'
+UNION ALL SELECT NULL, NULL, CAST(count(*) AS INTEGER), 'landed' FROM customer"""
 
 
 def history_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -413,6 +431,7 @@ QUERIES = {
     "csv_no_overwrite": csv_no_overwrite,
     "landed_draw_stream": landed_draw_stream,
     "landed_case_messages": landed_case_messages,
+    "landed_all_case_messages": landed_all_case_messages,
     "history_stream": history_stream,
     "failing_checks": failing_checks,
     "duplicate_listing": duplicate_listing,
@@ -433,6 +452,7 @@ ORACLE_SQL = {
     "csv_no_overwrite": _CSV_SQL,
     "landed_draw_stream": _DRAW_STREAM_SQL,
     "landed_case_messages": _MESSAGES_SQL,
+    "landed_all_case_messages": _ALL_MESSAGES_SQL,
     "history_stream": _HISTORY_SQL,
     "failing_checks": _CHECKS_SQL,
     "duplicate_listing": _LISTING_SQL,

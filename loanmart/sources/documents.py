@@ -172,6 +172,6 @@ def read_open_cases(spark: SparkSession, path: str, lines: bool = False) -> Data
             .where(F.col("Status") == "New").select("Loan_Number__c", "Draw_ID__c"))
 
 
-def read_xml_messages(spark: SparkSession, path: str) -> DataFrame:
-    """One XML message per file as one string column ``xml``."""
-    return spark.read.text(path, wholetext=True).withColumnRenamed("value", "xml")
+def read_xml_messages(spark: SparkSession, path: str, whole_files: bool = True) -> DataFrame:
+    """One XML message per file, or else per line, as one string column ``xml``."""
+    return spark.read.text(path, wholetext=whole_files).withColumnRenamed("value", "xml")

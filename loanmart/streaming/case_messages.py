@@ -88,10 +88,10 @@ def process_messages(batch: DataFrame, batch_id: int, mail_path: str, error_path
 
 
 def start_case_message_stream(spark: SparkSession, path: str, mail_path: str, error_path: str, checkpoint: str,
-                              available_now: bool = True):
-    """Whole-file text stream of messages -> mail outbox; what cannot be
-    read goes to the error outbox."""
-    msgs = spark.readStream.option("wholetext", True).text(path).withColumnRenamed("value", "xml")
+                              available_now: bool = True, whole_files: bool = True):
+    """Text stream of messages (one per file, or else one per line) -> mail
+    outbox; what cannot be read goes to the error outbox."""
+    msgs = spark.readStream.option("wholetext", whole_files).text(path).withColumnRenamed("value", "xml")
     writer = (msgs.writeStream.foreachBatch(lambda df, bid: process_messages(df, bid, mail_path, error_path))
               .option("checkpointLocation", checkpoint))
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="30 seconds")

@@ -102,6 +102,15 @@ def test_case_message_stream(spark, tmpdir_path):
     assert [r.xml for r in spark.read.parquet(f"{tmpdir_path}/errors").collect()] == ["<broken><a>"]
 
 
+def test_all_case_messages_are_landed(spark):
+    import __spark_entry__ as entry
+    sf = "/root/testdata/sf0.001"
+    customers = spark.read.parquet(f"{sf}/customer.parquet").count()
+    got = entry.queries()["landed_all_case_messages"](spark, sf).collect()
+    assert [r.position for r in got if r.subject == "landed"] == [customers]
+    assert len({r.notification_id for r in got if r.position == 0}) + sum(r.position for r in got if r.subject == "broken") >= customers
+
+
 def test_history_stream_keeps_newest_and_sets_late_rows_aside(spark, tmpdir_path):
     path, out, late = (f"{tmpdir_path}/{x}" for x in ("hist", "out", "late"))
     schema = "id string, ts timestamp_ntz, draw_id string"
