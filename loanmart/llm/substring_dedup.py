@@ -20,6 +20,10 @@ anchors there, so the same paragraphs, wherever lines begin.
 4. Classes linked directly or by others are one cluster.  A cluster that
    reaches over several documents stays in the one of the smallest id and is
    removed from the others.
+5. Touching removed paragraphs of one keeper are a run.  Its two ends are
+   extended word by word as long as they equal the keeper's text, so words
+   before the first and after the last anchor, and those of gaps between
+   anchors, go too.
 
 What is shuffled for all paragraphs are compressed arrays, a row per block and
 shard; a passage that stands in every document is one entry per block.
@@ -28,6 +32,7 @@ shard; a passage that stands in every document is one entry per block.
 from __future__ import annotations
 
 import itertools
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -36,7 +41,7 @@ import pyarrow as pa
 import pyarrow.compute  # noqa: F401
 import zstandard
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import bound_batches, components, keyed, row_text, shuffle_partitions, text_blocks, written
@@ -52,6 +57,8 @@ RECALL, MOST_BANDS = 0.98, 4
 #: Classes of a bucket that one block holds.
 BUCKET_BLOCK = 1024
 NO_ID = -(2**63)
+#: Bytes beside the end of a run that are compared first, and their growth while all of them are equal.
+CONTEXT, GROWTH = 512, 16
 #: Rows of a block: "block" (its paragraphs), "class" (hashes and ids for a shard), "band" (band keys for a shard).
 BLOCK = ("block long, kind string, shard int, keys binary, lows binary, highs binary, ids array<long>, versions array<long>, per_doc binary, starts binary,"
          " stops binary, classes binary, class_shards binary, lines binary, hashes binary, band_shards binary")
@@ -62,6 +69,8 @@ ANSWER = "block long, kind string, shard int, numbers binary, lows binary, highs
 _ANSWER = pa.schema([("block", pa.int64()), ("kind", pa.string()), ("shard", pa.int32()), *((c, pa.binary()) for c in ("numbers", "lows", "highs"))])
 SPAN = "id long, version long, start long, stop long, label long, low long, high long, hash binary, buckets array<long>"
 _SPAN = pa.schema([*((c, pa.int64()) for c in ("id", "version", "start", "stop", "label", "low", "high")), ("hash", pa.binary()), ("buckets", pa.list_(pa.int64()))])
+CONTEXT_ROW = "label long, left boolean, keeper boolean, id long, version long, low long, lo long, hi long, beside binary, more boolean"
+_CONTEXT_ROW = pa.schema([("label", pa.int64()), ("left", pa.bool_()), ("keeper", pa.bool_()), *((c, pa.int64()) for c in ("id", "version", "low", "lo", "hi")), ("beside", pa.binary()), ("more", pa.bool_())])
 EDGE = "a binary, b binary"
 _EDGE = pa.schema([("a", pa.binary()), ("b", pa.binary())])
 
@@ -373,11 +382,88 @@ def class_texts(rows: DataFrame, wanted: DataFrame) -> DataFrame:
     return found.groupBy("hash").agg(F.first("text").alias("text"))
 
 
+def equal_words(mine: bytes, his: bytes, left: bool, mine_more: bool, his_more: bool) -> tuple[int, bool]:
+    """How many bytes of ``mine`` beside a run hold the words that equal those of
+    ``his`` (A-Z lower-cased), counted from the run; and whether the texts that
+    ``more`` says go on may hold further ones."""
+    a, b = ([(m.start(), m.end()) for m in re.finditer(rb"[^\t-\r ]+", t)] for t in (mine, his))
+    if left:
+        a, b = a[::-1], b[::-1]
+    # the last word of a text that goes on may be a part of one
+    a, b = a[: len(a) - mine_more], b[: len(b) - his_more]
+    n = next((k for k, ((p, q), (r, s)) in enumerate(zip(a, b)) if mine[p:q].lower() != his[r:s].lower()), min(len(a), len(b)))
+    far = (mine_more and n == len(a)) or (his_more and n == len(b))
+    return (0 if not n else len(mine) - a[n - 1][0] if left else a[n - 1][1]), bool(far)
+
+
+def contexts(rows: DataFrame, ends: DataFrame, size: int) -> DataFrame:
+    """See CONTEXT_ROW: ``ends (label, left, keeper, id, version, low, start, stop,
+    lo, hi)`` with the ``size`` bytes beside ``start .. stop`` in documents ``rows``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for k, (body, parts) in enumerate(zip(batch.column("body").cast(pa.binary()), batch.column("parts"))):
+                raw, out = body.as_py(), []
+                for p in parts.as_py():
+                    a, b = (max(0, p["start"] - size), p["start"]) if p["left"] else (p["stop"], p["stop"] + size)
+                    out.append({**{c: p[c] for c in ("label", "left", "keeper", "low", "lo", "hi")}, "id": batch.column("id")[k].as_py(), "version": batch.column("version")[k].as_py(),
+                                "beside": raw[a:b], "more": a > 0 if p["left"] else b < len(raw)})
+                yield pa.RecordBatch.from_pylist(out, schema=_CONTEXT_ROW)
+
+    parts = ends.groupBy("id", "version").agg(F.collect_list(F.struct("label", "left", "keeper", "low", "start", "stop", "lo", "hi")).alias("parts"))
+    same = F.col("r.id").eqNullSafe(F.col("p.id")) & (F.col("r.version") == F.col("p.version"))
+    found = rows.alias("r").join(parts.alias("p"), same).select("r.id", "r.version", "body", "parts")
+    return found.mapInArrow(run, CONTEXT_ROW)
+
+
+def extended(rows: DataFrame, equal: DataFrame) -> DataFrame:
+    """``(id, version, start, stop, label, low)``: the runs of touching removed
+    spans of one keeper (``low``) that go on, to either side, as far as their
+    words equal those beside the keeper's span of the same class."""
+    gone = F.coalesce("id", F.lit(NO_ID)) != F.col("low")
+    one = Window.partitionBy("id", "version", "low").orderBy("start", "stop", "label")
+    spans = equal.where(gone).select("id", "version", "low", "start", "stop", "label")
+    before = F.max("stop").over(one.rowsBetween(Window.unboundedPreceding, -1))
+    spans = spans.withColumn("first", F.coalesce(before + 1 < F.col("start"), F.lit(True)).cast("int")).withColumn("run", F.sum("first").over(one.rowsBetween(Window.unboundedPreceding, 0)))
+    runs = spans.groupBy("id", "version", "low", "run").agg(F.min(F.struct("start", "stop", "label")).alias("l"), F.max(F.struct("stop", "start", "label")).alias("r"))
+    runs = runs.select("id", "version", "low", F.col("l.start").alias("lo"), F.col("r.stop").alias("hi"), F.explode(F.array(*[
+        F.struct(F.lit(side == "l").alias("left"), *[F.col(f"{side}.{c}").alias(c) for c in ("label", "start", "stop")]) for side in "lr"])).alias("end"))
+    ends = written(runs.select("id", "version", "low", "lo", "hi", "end.*").withColumn("keeper", F.lit(False)), "paragraph-ends")
+    out, size = None, CONTEXT
+
+    def grown(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            cols = [batch.column(c).to_pylist() for c in ("beside", "theirs", "left", "more", "their_more")]
+            got = [equal_words(*row) for row in zip(*cols)]
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("id", "version", "low", "label", "left", "lo", "hi")), pa.array([n for n, _ in got], pa.int64()), pa.array([m for _, m in got], pa.bool_())],
+                                             names=["id", "version", "low", "label", "left", "lo", "hi", "n", "far"])
+
+    while ends is not None:
+        kept = equal.where(~gone).join(ends.select("label").distinct(), "label", "left_semi").groupBy("label").agg(F.min(F.struct("id", "version", "start", "stop")).alias("at"))
+        kept = kept.select("label", "at.*").withColumn("left", F.explode(F.array(F.lit(True), F.lit(False)))).withColumn("keeper", F.lit(True))
+        both = written(contexts(rows, ends.unionByName(kept, allowMissingColumns=True), size), "paragraph-contexts")
+        theirs = both.where("keeper").groupBy("label", "left").agg(F.first(F.struct("beside", "more")).alias("k")).select("label", "left", F.col("k.beside").alias("theirs"), F.col("k.more").alias("their_more"))
+        pairs = both.where("NOT keeper").drop("keeper").join(theirs, ["label", "left"])
+        got = written(pairs.mapInArrow(grown, "id long, version long, low long, label long, left boolean, lo long, hi long, n long, far boolean"), "paragraph-grown")
+        new = got.where("n > 0 AND NOT far")
+        out = new if out is None else out.unionByName(new)
+        # those whose whole context is equal see more of it
+        far = got.where("far").select("id", "version", "low", "label", "left", "lo", "hi").distinct()
+        size *= GROWTH
+        key = ["id", "version", "low", "label", "left", "lo", "hi"]
+        match = [ends[c].eqNullSafe(far[c]) for c in key]
+        ends = written(ends.join(far, match, "left_semi"), "paragraph-ends") if far.limit(1).count() else None
+    ends = [F.when(F.col("left"), F.col("lo") - F.col("n")).otherwise(F.col("lo")).alias("start"), F.when(~F.col("left"), F.col("hi") + F.col("n")).otherwise(F.col("hi")).alias("stop")]
+    return out.select("id", "version", *ends, "label", "low")
+
+
 def repeated_spans(docs: DataFrame, threshold: float = THRESHOLD, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The paragraphs that stand, alike, in several documents: ``(id, version,
     start, stop, cluster, keep_id, removed)``, bytes ``start .. stop`` of the
     text.  ``keep_id`` is the cluster's smallest id; its document keeps all of
     its paragraphs of the cluster, from the others they are ``removed``.
+    Where a run of removed paragraphs goes on in the keeper's words, the run as
+    far as they are equal is one more row, in the cluster of its end.
 
     Paragraphs are alike when they are equal (A-Z lower-cased, white space
     aside) or linked by pairs with a Jaccard similarity of five-word shingles
@@ -405,6 +491,7 @@ def repeated_spans(docs: DataFrame, threshold: float = THRESHOLD, id_col: str =
     cluster = member.groupBy("cluster").agg(F.min("low").alias("low"), F.max("high").alias("high")).where("low < high")
     named = member.select("hash", "cluster").join(cluster, "cluster")
     near = meeting.drop("low", "high").join(named, "hash").withColumn("cluster", F.lower(F.hex("cluster")))
+    equal = equal.unionByName(extended(rows, spans.where("label > 0")), allowMissingColumns=True)
     out = equal.withColumn("cluster", F.lower(F.hex("label"))).unionByName(near, allowMissingColumns=True)
     order = F.coalesce("id", F.lit(NO_ID))
     return out.select("id", "version", "start", "stop", "cluster", F.nullif(F.col("low"), F.lit(NO_ID)).alias("keep_id"), (order != F.col("low")).alias("removed"))

@@ -59,6 +59,25 @@ def test_repeated_passages_are_found_and_clean_texts_stay(spark):
     assert sub.repeated_spans(df.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("context", [512, 16])
+def test_copies_are_covered_to_all_their_words(spark, monkeypatch, context):
+    monkeypatch.setattr(sub, "CONTEXT", context)
+    rng = random.Random(15)
+    docs, copies = [], []
+    for n in (60, 60, 120, 300, 300):
+        passage = words(rng, n)
+        for k in range(3):
+            before, after = words(rng, rng.randint(20, 60)) + " ", " " + words(rng, 40)
+            if k:
+                copies.append((len(docs), len(before), len(before) + len(passage)))
+            docs.append(before + (passage.upper() if k == 2 else passage) + after)
+    spans = sub.repeated_spans(spark.createDataFrame(list(enumerate(docs)), "doc_id long, text string")).where("removed").collect()
+    for i, start, stop in copies:
+        gone = {b for r in spans if r.id == i for b in range(r.start, r.stop)}
+        assert not [b for b in range(start, stop) if b not in gone and docs[i][b] != " "]
+        assert gone <= set(range(start, stop))
+
+
 @pytest.mark.parametrize("block", [1024, 4])
 def test_near_equal_lines_are_one_cluster(spark, monkeypatch, block):
     monkeypatch.setattr(sub, "BUCKET_BLOCK", block)
