@@ -48,7 +48,7 @@ from .common import bound_batches, components, keyed, row_text, shuffle_partitio
 from .segments import Block, offsets_of, ragged, text_block
 
 SHINGLE, THRESHOLD = 5, 0.8
-#: Words of a passage, and of the shortest line that is a paragraph.
+#: Words of a passage.
 WINDOW = 16
 #: An anchor is the least of so many words to either side.
 REACH = 6
@@ -118,16 +118,16 @@ def word_table(block: Block) -> tuple[np.ndarray, ...]:
     return start, end, doc, line, hashed
 
 
-def paragraphs(doc: np.ndarray, line: np.ndarray, hashed: np.ndarray, window: int = WINDOW, reach: int = REACH) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def paragraphs(doc: np.ndarray, line: np.ndarray, hashed: np.ndarray, window: int = WINDOW, reach: int = REACH, shortest: int = SHINGLE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """First word, number of words and whether it is a line, of every
-    paragraph: lines of at least ``window`` words, and passages of ``window``
+    paragraph: lines of at least ``shortest`` words, and passages of ``window``
     words from the anchors on."""
     n = len(doc)
     if not n:
         return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, bool)
     first = np.flatnonzero(np.concatenate([[True], (doc[1:] != doc[:-1]) | (line[1:] != line[:-1])]))
     size = np.diff(np.append(first, n))
-    long_line = size >= window
+    long_line = size >= shortest
     ahead = np.concatenate([hashed, np.zeros(2, dtype=np.uint64)])
     value = mix(hashed * _ODD[1] + ahead[1: n + 1] * _ODD[2] + ahead[2:] * _ODD[3])
     least = np.ones(n, dtype=bool)
@@ -467,8 +467,9 @@ def repeated_spans(docs: DataFrame, threshold: float = THRESHOLD, id_col: str =
 
     Paragraphs are alike when they are equal (A-Z lower-cased, white space
     aside) or linked by pairs with a Jaccard similarity of five-word shingles
-    of at least ``threshold``.  A null or empty text, and one of fewer than
-    WINDOW words, has no paragraphs.  Rows with the same id are one document; a
+    of at least ``threshold``.  A null or empty text, and one whose lines
+    are all of fewer than SHINGLE words and that has fewer than WINDOW, has no
+    paragraphs.  Rows with the same id are one document; a
     null id is smaller than any other.
     """
     spark = docs.sparkSession
