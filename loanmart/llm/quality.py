@@ -142,6 +142,8 @@ def fit(docs: DataFrame, ratings: DataFrame, grades: int, sample_rows: int = SAM
     several ratings of a document the lowest counts; rows with a null id or
     grade, or of documents that are not there, count for nothing."""
     rated = ratings.where("id IS NOT NULL AND grade IS NOT NULL").groupBy("id").agg(F.min("grade").cast("int").alias("grade"))
+    # ratings of absent documents take no place in the sample
+    rated = rated.join(docs.select(F.col(id_col).cast("long").alias("id")).distinct(), "id", "left_semi")
     sample = rated.orderBy(F.xxhash64("id"), "id").limit(sample_rows)
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")).join(F.broadcast(sample), "id")
     # a document counts once, whatever its rows

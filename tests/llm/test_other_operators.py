@@ -93,6 +93,15 @@ def test_near_equal_lines_are_one_cluster(spark, monkeypatch, block):
     assert sorted(whole.id) == list(range(12)) and whole.cluster.nunique() == 1 and set(whole.keep_id) == {0}
 
 
+def test_short_lines_are_paragraphs(spark):
+    rng = random.Random(16)
+    equal, near = words(rng, 5), words(rng, 15).split(" ")
+    texts = [equal, words(rng, 30) + "\n" + equal + "\n" + words(rng, 30), " ".join(near), words(rng, 30) + "\n" + " ".join([*near[:14], "other"]), words(rng, 9)]
+    got = sub.repeated_spans(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    assert sorted((r.id, r.keep_id, r.removed, texts[r.id].encode()[r.start: r.stop].decode()) for r in got) == [
+        (0, 0, False, equal), (1, 0, True, equal), (2, 2, False, " ".join(near)), (3, 2, True, " ".join([*near[:14], "other"]))]
+
+
 def test_whole_copies_leave_one(spark):
     rng = random.Random(7)
     text = "\n".join(words(rng, 40) for _ in range(3))
@@ -172,6 +181,14 @@ def test_classifier_on_held_out_rows(spark):
     assert got.expected_grade.between(0, 2).all() and got.tail_probability.between(0, 1).all()
 
 
+def test_sample_is_of_documents_that_are_there(spark):
+    docs = spark.createDataFrame([(i, ["bad awful bad", "fine good text"][i % 2]) for i in range(40)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2, 0) for i in range(4000)], "doc_id long, quality int, toxic int")
+    got = {r.doc_id: r.kept for r in classify(docs, labels, sample_rows=40).collect()}
+    assert not any(got[i] for i in range(0, 40, 2)) and all(r is not None for r in got.values())
+    assert classify(docs, labels, sample_rows=40).where("expected_grade IS NULL").count() == 0
+
+
 def test_classifier_edges(spark):
     schema = "doc_id long, text string, row string, expected_grade double"
     docs = spark.createDataFrame([(1, None, "r", 5.0), (2, "", "r", 5.0), (None, "x y", "r", 5.0), (3, "x y", "r", 5.0), (3, "x z", "r", 5.0), (4, "w " * 50_000, "r", 5.0)], schema)
