@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bound_batches, components, text_blocks, written
+from .common import bound_batches, components, keyed, text_blocks, written
 
 BITS = 64
 #: Fingerprints that the candidate estimates are made from (those of the smallest hashes).
@@ -61,17 +61,21 @@ def fingerprint(text: bytes, shingle: int = 3, seed: int = 42) -> int:
     return int(np.packbits(2 * total > n, bitorder="little").view("<u8")[0])
 
 
-def fingerprints(docs: DataFrame, shingle: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``(id, fp)`` per row, ``fp`` as a signed 64-bit number; a null text has fingerprint 0."""
+def fingerprints(docs: DataFrame, shingle: int = 3, id_col: str = "doc_id", text_col: str = "text", versions: bool = False) -> DataFrame:
+    """``(id, fp)`` per row, ``fp`` as a signed 64-bit number; a null text has
+    fingerprint 0.  With ``versions`` also ``version`` (see ``keyed``)."""
     bound_batches(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in text_blocks(batches, "text"):
             got = np.array([fingerprint(t or b"", shingle) for t in batch.column("text").cast(pa.binary()).to_pylist()], dtype=np.uint64)
-            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(got.view(np.int64))], names=["id", "fp"])
+            out = {"id": batch.column("id"), "fp": pa.array(got.view(np.int64))} | ({"version": batch.column("version")} if versions else {})
+            yield pa.RecordBatch.from_arrays(list(out.values()), names=list(out))
 
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    return rows.mapInArrow(run, "id long, fp long")
+    if versions:
+        rows = keyed(docs, id_col, text_col).select("id", F.col("body").alias("text"), "version")
+    return rows.mapInArrow(run, "id long, fp long" + (", version long" if versions else ""))
 
 
 def _bits(values: np.ndarray) -> np.ndarray:
@@ -263,6 +267,15 @@ def links(fps: DataFrame, max_distance: int = 3) -> DataFrame:
     return rows.mapInArrow(lambda it: verify_runs(it, max_distance), EDGE)
 
 
+def group_names(hashed: DataFrame, max_distance: int) -> DataFrame:
+    """``(fp, component, component_id)`` of the fingerprints of ``hashed``."""
+    distinct = written(hashed.groupBy("fp").agg(F.min("id").alias("least")), "simhash-distinct")
+    found = components(links(distinct, max_distance), "simhash").withColumnRenamed("id", "fp")
+    grouped = distinct.join(found, "fp", "left").withColumn("component", F.coalesce("component", "fp"))
+    names = grouped.groupBy("component").agg(F.min("least").alias("component_id"))
+    return grouped.join(names, "component").select("fp", "component", "component_id")
+
+
 def simhash_groups(docs: DataFrame, shingle: int = 3, max_distance: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``(doc_id, fingerprint, component_id)`` per row: the fingerprint as 16
     lower-case hex digits, and the smallest id among the documents that links
@@ -274,18 +287,27 @@ def simhash_groups(docs: DataFrame, shingle: int = 3, max_distance: int = 3, id_
     component id unless all of a group's ids are null.
     """
     hashed = written(fingerprints(docs, shingle, id_col, text_col), "simhash")
-    distinct = written(hashed.groupBy("fp").agg(F.min("id").alias("least")), "simhash-distinct")
-    found = components(links(distinct, max_distance), "simhash").withColumnRenamed("id", "fp")
-    grouped = distinct.join(found, "fp", "left").withColumn("component", F.coalesce("component", "fp"))
-    names = grouped.groupBy("component").agg(F.min("least").alias("component_id"))
-    named = grouped.join(names, "component").select("fp", "component_id")
-    out = hashed.join(named, "fp")
+    out = hashed.join(group_names(hashed, max_distance).drop("component"), "fp")
     return out.select(F.col("id").alias(id_col), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
 def drop_near_duplicates(docs: DataFrame, shingle: int = 3, max_distance: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs``, same columns, whose id is that of their group
-    (see ``simhash_groups``): one document of each group stays."""
-    groups = simhash_groups(docs, shingle, max_distance, id_col, text_col)
-    stay = written(groups.where(F.col(id_col).eqNullSafe(F.col("component_id"))).select(F.col(id_col).alias("stay")).distinct(), "simhash-stay")
-    return docs.join(stay, docs[id_col].cast("long").eqNullSafe(stay["stay"]), "left_semi")
+    """One row of ``docs``, same columns, of each group (see ``simhash_groups``):
+    the one of the smallest id, of several texts with that id the one of the
+    smallest fingerprint and text hash, of equal rows any one."""
+    hashed = written(fingerprints(docs, shingle, id_col, text_col, versions=True), "simhash")
+    found = hashed.join(group_names(hashed, max_distance).drop("component_id"), "fp")
+    stay = found.groupBy("component").agg(F.min(F.struct(F.col("id").isNull().alias("nameless"), "id", "fp", "version")).alias("s")).select("s.id", "s.version")
+    times = hashed.groupBy("id", "version").agg(F.count("*").alias("n")).where("n > 1")
+    same = F.col("s.id").eqNullSafe(F.col("t.id")) & (F.col("s.version") == F.col("t.version"))
+    stay = written(stay.alias("s").join(times.alias("t"), same, "left").select("s.id", "s.version", "n"), "simhash-stay")
+
+    def rows(some: DataFrame) -> DataFrame:
+        own = F.col("r.id").eqNullSafe(F.col("s.id")) & (F.col("r.version") == F.col("s.version"))
+        return keyed(docs, id_col, text_col).drop("body").alias("r").join(some.alias("s"), own, "left_semi")
+
+    out = rows(stay.where("n IS NULL")).select("row")
+    repeated = stay.where("n IS NOT NULL")
+    if repeated.limit(1).count():
+        out = out.unionByName(rows(repeated).groupBy("id", "version").agg(F.first("row").alias("row")).select("row"))
+    return out.select("row.*")

@@ -14,7 +14,7 @@ from loanmart.llm import embedding_dedup as emb
 from loanmart.llm import substring_dedup as sub
 from loanmart.llm.common import components, written
 from loanmart.llm.quality import classify, corpus_ratings, features, fit_ordinal, select_good
-from loanmart.llm.simhash import fingerprint
+from loanmart.llm.simhash import drop_near_duplicates, fingerprint
 from loanmart.llm.warc import coalesced, decode_record, page_records, pages_round_trip, read_records, write_archives
 
 SF = "/root/testdata/sf0.001"
@@ -32,6 +32,15 @@ def test_components_of_any_shape(spark):
     assert components(spark.createDataFrame([], "a long, b long"), "t").count() == 0
 
 
+# --------------------------------------------------------------- near-dedup
+def test_one_row_of_each_group_stays(spark):
+    a, b = (words(random.Random(s), 80) for s in (1, 2))
+    rows = [(1, a, "x"), (1, a, "x"), (1, b, "y"), (2, b, "z"), (None, a, "n")]
+    got = drop_near_duplicates(spark.createDataFrame(rows, "doc_id long, text string, more string").repartition(3))
+    assert got.columns == ["doc_id", "text", "more"]
+    assert Counter(tuple(r) for r in got.collect()) == Counter([(1, a, "x"), (1, b, "y")])
+
+
 # ---------------------------------------------------------- substring dedup
 def test_repeated_passages_are_found_and_clean_texts_stay(spark):
     rng = random.Random(5)
