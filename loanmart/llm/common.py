@@ -10,6 +10,7 @@ import gc
 import uuid
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -88,6 +89,15 @@ def text_blocks(batches: Iterator[pa.RecordBatch], column: str, limit: int = BLO
     release()
 
 
+def read_binary(column: pa.Array, kind: str) -> tuple[np.ndarray, np.ndarray]:
+    """All values of a binary column of packed numbers, and where each row's begin and end."""
+    _, offsets, data = column.buffers()
+    wide = np.int64 if pa.types.is_large_binary(column.type) else np.int32
+    at = np.frombuffer(offsets, dtype=wide)[column.offset: column.offset + len(column) + 1].astype(np.int64) if offsets is not None else np.zeros(1, np.int64)
+    raw = np.frombuffer(data, dtype=np.uint8)[at[0]: at[-1]].tobytes() if data is not None else b""
+    return np.frombuffer(raw, dtype=kind), (at - at[0]) // np.dtype(kind).itemsize
+
+
 def keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """``row`` (a struct of all columns of ``docs``), ``id``, ``body`` (the
     text, empty for null) and ``version``, which names a text together with the id."""
