@@ -12,6 +12,7 @@ from .exact_dedup import exact_dedup
 from .filter_audit import filter_audit
 from .importance import importance_resample
 from .line_dedup import line_dedup
+from .lm_scoring import lm_scores
 from .packing import pack
 from .pieces import encode_round_trip
 from .quality import classify
@@ -93,6 +94,10 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_round_trip(read(spark, sf_dir, "documents"))
 
 
+def op11_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scores(read(spark, sf_dir, "documents"))
+
+
 def op12_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
     return importance_resample(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
 
@@ -156,5 +161,5 @@ SELECT part, filter_order, step::INTEGER AS step, kept, removed, redundant, uniq
 
 QUERIES = {"op1_token_counts": op1_token_counts, "op2_packing": op2_packing, "op3_exact_dedup": op3_exact_dedup, "op4_substring_dedup": op4_substring_dedup, "op5_embedding_dedup": op5_embedding_dedup,
            "op6_quality": op6_quality, "op7_line_dedup": op7_line_dedup, "op8_simhash": op8_simhash, "op9_warc": op9_warc,
-           "op10_sentencepiece": op10_sentencepiece, "op12_importance": op12_importance, "op13_filter_audit": op13_filter_audit}
+           "op10_sentencepiece": op10_sentencepiece, "op11_lm_scoring": op11_lm_scoring, "op12_importance": op12_importance, "op13_filter_audit": op13_filter_audit}
 ORACLE_SQL = {"op3_exact_dedup": OP3_SQL, "op7_line_dedup": OP7_SQL, "op9_warc": OP9_SQL, "op12_importance": OP12_SQL, "op13_filter_audit": OP13_SQL}
