@@ -83,3 +83,9 @@ def utc_to_pacific(col) -> Column:
 def pacific_stamp(as_of) -> Column:
     """The load stamp, ``as_of`` (UTC) in Pacific as ISO text."""
     return F.date_format(utc_to_pacific(_lit_ts(as_of)), STAMP_FORMAT)
+
+
+def utc_instant(c: Column) -> Column:
+    """A zone-less time as the instant that UTC clocks show it, in any session zone."""
+    seconds = (c - F.expr("TIMESTAMP_NTZ '1970-01-01 00:00:00'")).cast("interval second").cast("decimal(20,6)")
+    return F.timestamp_micros((seconds * 1_000_000).cast("bigint"))

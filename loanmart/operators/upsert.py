@@ -1,22 +1,27 @@
 """Upsert by key (K5) with key checks (V3).
 
-Plain parquet tables reject MERGE, so the new table state is
-``target ⋉̸ source ∪ source``: one shuffle of both sides on the key
-(sort-merge or broadcast, chosen by AQE at run time), then a narrow union.
-Source keys are unique after V3; a target key that repeats is replaced as a
-whole when the source has it and stays as it is otherwise.
+A frame's new state is ``target ⋉̸ source ∪ source``.  A catalog table is laid
+out in hash buckets of its key, one partition each, and an upsert rewrites
+only the buckets that hold a key of the source: the rows of those buckets and
+the source meet by bucket in one shuffle, and dynamic partition overwrite
+puts the new buckets in the place of the old ones.
 """
 
 from __future__ import annotations
 
-import functools
-import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from loanmart.operators.dedupe import keep_first
+from loanmart.session import scratch_path, session_setting
+from loanmart.sources.tables import BUCKET, stored_columns, warehouse_table
+
+#: Rows of a bucket that a new table is laid out for, and its least number of buckets.
+BUCKET_ROWS = 500_000
+LEAST_BUCKETS = 16
+_BUCKETS, _KEY = "upsert.buckets", "upsert.key"
 
 
 class DuplicateKeyError(ValueError):
@@ -42,54 +47,93 @@ def merge_frames(target: DataFrame, source: DataFrame, key: Sequence[str]) -> Da
     return target.join(src.select(*key), list(key), "left_anti").unionByName(src)
 
 
-def upsert(target: DataFrame, source: DataFrame, key: Sequence[str],
-           on_duplicate: str = "error", order_col: str | None = None) -> DataFrame:
-    """K5 (+ V3).  ``on_duplicate``: 'error' raises on repeated source keys
-    (Q18); 'latest' keeps the row with the greatest ``order_col``."""
+def _sound_source(source: DataFrame, key: Sequence[str], on_duplicate: str, order_col: str | None) -> DataFrame:
     if on_duplicate == "latest":
         if order_col is None:
             raise ValueError("on_duplicate='latest' needs order_col")
-        source = keep_first(source, key, order_col).drop(order_col) if order_col not in target.columns \
-            else keep_first(source, key, order_col)
-    elif on_duplicate == "error":
-        assert_unique(source, key)
-    else:
+        return keep_first(source, key, order_col)
+    if on_duplicate != "error":
         raise ValueError(on_duplicate)
-    return merge_frames(target, source, key)
+    assert_unique(source, key)
+    return source
+
+
+def upsert(target: DataFrame, source: DataFrame, key: Sequence[str],
+           on_duplicate: str = "error", order_col: str | None = None) -> DataFrame:
+    """K5 (+ V3).  ``on_duplicate``: 'error' raises on repeated source keys
+    (Q18); 'latest' keeps the row with the greatest ``order_col``."""
+    return merge_frames(target, _sound_source(source, key, on_duplicate, order_col), key)
 
 
-# Table formats that take MERGE.
-MERGE_PROVIDERS = ("delta", "iceberg", "hudi")
+# ------------------------------------------------------------- catalog tables
+def _bucket(key: Sequence[str], buckets: int) -> Column:
+    return F.pmod(F.xxhash64(*key), F.lit(buckets)).cast("int").alias(BUCKET)
 
 
-def _table_property(spark: SparkSession, table: str, name: str) -> str:
-    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").where(F.col("col_name") == name).limit(1).collect()
-    return rows[0]["data_type"] if rows else ""
+def _property(spark: SparkSession, table: str, name: str) -> str | None:
+    rows = spark.sql(f"SHOW TBLPROPERTIES {table}").where(F.col("key") == name).collect()
+    return rows[0]["value"] if rows else None
 
 
-def upsert_table(spark: SparkSession, table: str, source: DataFrame, key: Sequence[str],
-                 ddl: str | None = None, **kw) -> None:
-    """K5 against a catalog table, creating it when absent (K7; ``ddl`` gives
-    its columns, else those of ``source``).
+def create_bucketed_table(spark: SparkSession, table: str, ddl: str, key: Sequence[str], buckets: int) -> None:
+    """An empty table (K7) partitioned by ``buckets`` hash buckets of its key."""
+    spark.sql(f"CREATE TABLE {table} ({ddl}, {BUCKET} INT) USING parquet PARTITIONED BY ({BUCKET}) "
+              f"TBLPROPERTIES ('{_BUCKETS}' = '{buckets}', '{_KEY}' = '{','.join(key)}')")
+
+
+def _overwrite_buckets(rows: DataFrame, table: str) -> None:
+    """Replace exactly the partitions that ``rows`` holds."""
+    with session_setting(rows.sparkSession, "spark.sql.sources.partitionOverwriteMode", "dynamic"):
+        rows.write.mode("overwrite").insertInto(table)
 
-    Formats with MERGE merge.  For plain tables the merged state is written to
-    a new folder and the table's location is set to it: one change in the
-    catalog, before which readers see the old state and after it the new one.
-    The old folder stays until it is cleaned up.
+
+def merge_buckets(target: DataFrame, source: DataFrame, key: Sequence[str]) -> DataFrame:
+    """The state of the buckets in ``source`` after an upsert, both sides with
+    their bucket column.  One shuffle, by bucket: within it a row of the target
+    goes when a row of the source has its key (null keys match nothing)."""
+    rows = target.withColumn("_new", F.lit(0)).unionByName(source.withColumn("_new", F.lit(1))).repartition(BUCKET)
+    newest = F.max("_new").over(Window.partitionBy(BUCKET, *key))
+    null_key = F.greatest(*[F.col(k).isNull() for k in key], F.lit(False))
+    return rows.withColumn("_newest", newest).where((F.col("_new") == F.col("_newest")) | null_key).select(*target.columns)
+
+
+def upsert_table(spark: SparkSession, table: str, source: DataFrame, key: Sequence[str], ddl: str | None = None,
+                 buckets: int | None = None, on_duplicate: str = "error", order_col: str | None = None) -> None:
+    """K5 against a catalog table, creating it when absent (K7; ``ddl`` gives
+    its columns, else those of ``source``; ``buckets`` how many, else by the
+    number of source rows).
+
+    The source is staged once; V3, the touched buckets and the merge read the
+    staged rows.  Buckets are put in place one by one at the end of the job;
+    after a crash between two of them the same upsert, run again, gives the
+    same table.  A table that outgrows its buckets is laid out anew by
+    ``rebucket``.
     """
+    path = scratch_path(spark, "upsert-stage")
+    source.write.parquet(path)
+    staged = spark.read.schema(source.schema).parquet(path)
     if not spark.catalog.tableExists(table):
         columns = ddl or ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in source.schema.fields)
-        home = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/{table.replace('.', '/')}-{uuid.uuid4().hex}"
-        spark.sql(f"CREATE TABLE {table} ({columns}) USING parquet LOCATION '{home}'")
+        create_bucketed_table(spark, table, columns, key, buckets or max(LEAST_BUCKETS, staged.count() // BUCKET_ROWS + 1))
+    held = _property(spark, table, _KEY)
+    if held != ",".join(key):
+        raise ValueError(f"{table} is laid out by {held or 'no key'}, not by {','.join(key)}")
+    n = int(_property(spark, table, _BUCKETS))
     target = spark.table(table)
-    if _table_property(spark, table, "Provider").lower() in MERGE_PROVIDERS:
-        assert_unique(source, key)
-        on = functools.reduce(lambda a, b: a & b, [F.col(f"{table}.{k}") == F.col(f"s.{k}") for k in key])
-        source.alias("s").mergeInto(table, on).whenMatched().updateAll().whenNotMatched().insertAll().merge()
-        return
-    source = source.select(*[F.col(f.name).cast(f.dataType) for f in target.schema.fields])
-    place = _table_property(spark, table, "Location").rstrip("/").rsplit("/", 1)[0]
-    new = f"{place}/{table.replace('.', '_')}-{uuid.uuid4().hex}"
-    upsert(target, source, key, **kw).write.parquet(new)
-    spark.sql(f"ALTER TABLE {table} SET LOCATION '{new}'")
-    spark.catalog.refreshTable(table)
+    fields = {f.name: f.dataType for f in target.schema.fields}
+    extra = [order_col] if order_col and order_col not in fields else []
+    typed = staged.select(*[F.col(c).cast(t).alias(c) for c, t in fields.items() if c != BUCKET], *extra)
+    sound = _sound_source(typed, key, on_duplicate, order_col).drop(*extra).select("*", _bucket(key, n))
+    touched = [r[0] for r in sound.select(BUCKET).distinct().collect()]  # at most one number per bucket
+    if touched:
+        _overwrite_buckets(merge_buckets(target.where(F.col(BUCKET).isin(touched)), sound, key), table)
+
+
+def rebucket(spark: SparkSession, table: str, key: Sequence[str], buckets: int) -> None:
+    """Lay a table out anew: in more buckets, by another key, or a plain table
+    in buckets at all.  Rewrites it once, beside the old one, and takes its name."""
+    rows, new = warehouse_table(spark, table), f"{table}_rebucketed"
+    create_bucketed_table(spark, new, stored_columns(spark, table), key, buckets)
+    _overwrite_buckets(rows.select("*", _bucket(key, buckets)).repartition(BUCKET), new)
+    spark.sql(f"DROP TABLE {table}")
+    spark.sql(f"ALTER TABLE {new} RENAME TO {table}")

@@ -16,7 +16,8 @@ from loanmart.functions.numbers import to_double_strict
 from loanmart.operators.dedupe import distinct_values
 from loanmart.operators.latest import last_match
 from loanmart.operators.profile import duplicate_groups
-from loanmart.operators.upsert import duplicate_keys, upsert_table
+from loanmart.operators.surrogate import add_surrogate_key
+from loanmart.operators.upsert import duplicate_keys, rebucket, upsert_table
 from loanmart.operators.validate import error_documents, incomplete_pages, null_violations
 from loanmart.plans import mart_queries as mart
 from loanmart.plans.alerts import BUILDERS_RISK, FLOOD, HOMEOWNERS, MATURITY, expiring_cases
@@ -27,11 +28,11 @@ from loanmart.plans.sync import core_value_patches
 from loanmart.plans.transactions import transaction_report
 from loanmart.session import scratch_path
 from loanmart.sources import documents as docs
-from loanmart.sources.sinks import append_outbox, append_table, create_table_if_absent, report_mail, report_path, write_csv
+from loanmart.sources.sinks import append_outbox, append_table, create_table_if_absent, replace_table, report_mail, report_path, write_csv
 from loanmart.sources.tables import table, warehouse_table
 from loanmart.streaming.case_messages import CASE_FIELDS, start_case_message_stream
 from loanmart.streaming.draw_events import CASE_OUTBOX, read_event_files, start_draw_event_stream
-from loanmart.streaming.history import start_history_stream
+from loanmart.streaming.history import first_within_watermark, late_rows, start_history_stream
 from loanmart.streaming.outbox import read_outbox
 
 #: Items of one landed document or page.
@@ -207,11 +208,13 @@ UNION ALL SELECT NULL, CAST(n_nationkey AS VARCHAR), 'COMPANY', NULL, NULL, n_na
 
 # ----------------------------------------------------------- table writes (K*) --
 def append_table_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two appends to one table, created by the first, read back."""
+    """Two loads into one table, created by the first, which
+    is run again as after a failure; read back."""
     name = f"loans_{uuid.uuid4().hex}"
     rows = table(spark, sf_dir, "customer").select(
         F.expr("CASE c_mktsegment WHEN 'HOUSEHOLD' THEN '' WHEN 'MACHINERY' THEN NULL ELSE concat('LN-', c_custkey) END").alias("loan_number"), "c_nationkey")
-    append_table(spark, rows.where("c_nationkey < 10"), name, mart.AS_OF)
+    for _ in range(2):
+        append_table(spark, rows.where("c_nationkey < 10"), name, mart.AS_OF)
     append_table(spark, rows.where("c_nationkey >= 5"), name, mart.DRAW_AS_OF)
     return warehouse_table(spark, name)
 
@@ -224,14 +227,17 @@ SELECT loan_number, c_nationkey, TIMESTAMP '{mart.DRAW_AS_OF}' FROM r WHERE c_na
 
 
 def upsert_table_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A table made by DDL, loaded, then updated and extended; the
-    swap is one change of location, the old state stays readable to the end."""
+    """A table made by DDL, loaded, then updated and extended in
+    the buckets that the second load touches, laid out anew, and updated again."""
     name = f"customers_{uuid.uuid4().hex}"
     customer = table(spark, sf_dir, "customer")
     ddl = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in customer.schema.fields)
     create_table_if_absent(spark, f"{name}_empty", ddl)
     upsert_table(spark, name, customer.where("c_nationkey <> 3"), ["c_custkey"], ddl=ddl)
-    upsert_table(spark, name, customer.where("c_nationkey IN (3, 4)").withColumn("c_acctbal", F.col("c_acctbal") + 1), ["c_custkey"])
+    changed = customer.where("c_nationkey IN (3, 4)").withColumn("c_acctbal", F.col("c_acctbal") + 1)
+    upsert_table(spark, name, changed.where("c_nationkey = 3"), ["c_custkey"])
+    rebucket(spark, name, ["c_custkey"], 24)
+    upsert_table(spark, name, changed, ["c_custkey"])
     return warehouse_table(spark, name).unionByName(warehouse_table(spark, f"{name}_empty"))
 
 
@@ -239,18 +245,20 @@ _UPSERT_SQL = """SELECT c_custkey, c_name, c_nationkey, CASE WHEN c_nationkey IN
 
 
 def case_outbox(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A1-A4 into the case outbox table (K8), two days in a row, and core
+    """A1-A4 into the case outbox table (K8), two days in a row, the first day
+    twice as after a failure, and core
     values read from a table (S15, S20) as PATCH rows (K9) beside them."""
     name = f"outbox_{uuid.uuid4().hex}"
     loans = mart.landed_active_loans(table(spark, sf_dir, "orders"), table(spark, sf_dir, "customer"))
-    for day in (mart.ALERT_AS_OF, mart.ALERT_AS_OF + _dt.timedelta(days=1)):
-        append_outbox(expiring_cases(loans, (MATURITY, BUILDERS_RISK, FLOOD, HOMEOWNERS), day).select("Reason", "Loan_Number__c"), f"{name}_cases")
+    for day in (mart.ALERT_AS_OF, mart.ALERT_AS_OF, mart.ALERT_AS_OF + _dt.timedelta(days=1)):
+        cases = expiring_cases(loans, (MATURITY, BUILDERS_RISK, FLOOD, HOMEOWNERS), day).select("Reason", "Loan_Number__c")
+        append_outbox(cases, f"{name}_cases", day.isoformat())
     e = F.expr
     raw = table(spark, sf_dir, "customer").select("c_custkey", "c_name", e("concat('CS-', c_custkey)").alias("a"), F.col("c_mktsegment").alias("b"),
                                                   e("1").alias("c"), e("2").alias("d"), e("CAST(NULL AS STRING)").alias("f"))
-    append_outbox(raw, f"{name}_core")
-    append_outbox(table(spark, sf_dir, "orders").select(F.col("o_custkey").cast("string").alias("lg_loan_id")), f"{name}_existing")
-    append_outbox(core_value_patches(warehouse_table(spark, f"{name}_core"), warehouse_table(spark, f"{name}_existing")), f"{name}_patches")
+    append_outbox(raw, f"{name}_core", "1")
+    append_outbox(table(spark, sf_dir, "orders").select(F.col("o_custkey").cast("string").alias("lg_loan_id")), f"{name}_existing", "1")
+    append_outbox(core_value_patches(warehouse_table(spark, f"{name}_core"), warehouse_table(spark, f"{name}_existing")), f"{name}_patches", "1")
     cases = warehouse_table(spark, f"{name}_cases").select(F.lit("case").alias("kind"), F.col("Reason").alias("what"), F.col("Loan_Number__c").alias("target"))
     patches = warehouse_table(spark, f"{name}_patches").select(F.lit("patch").alias("kind"), F.get_json_object("body", "$.coreSystemLoanBalanceLastUpdated").alias("what"), F.col("target_id").alias("target"))
     return cases.unionByName(patches)
@@ -291,6 +299,22 @@ SELECT o_orderstatus, count(*) AS n, CAST(sum(o_orderkey) AS BIGINT) AS keys, tr
 UNION ALL SELECT NULL, NULL, NULL, NULL, 'Transactions', '01-24/transactions_011524_120000.csv'"""
 
 
+def replaced_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table of other columns, created or replaced by its fixed
+    DDL, filled with rows that number themselves."""
+    name = f"kept_{uuid.uuid4().hex}"
+    customer = table(spark, sf_dir, "customer")
+    customer.select("c_name").write.saveAsTable(name)
+    replace_table(spark, name, "unique_id BIGINT, loan_number STRING NOT NULL, borrower STRING")
+    rows = customer.select(F.concat(F.lit("LN-"), F.lpad(F.col("c_custkey").cast("string"), 12, "0")).alias("loan_number"), F.col("c_name").alias("borrower"))
+    add_surrogate_key(rows, ["loan_number"], "unique_id").select("unique_id", "loan_number", "borrower").write.insertInto(name)
+    return warehouse_table(spark, name)
+
+
+_REPLACED_SQL = """
+SELECT row_number() OVER (ORDER BY c_custkey) AS unique_id, 'LN-' || lpad(CAST(c_custkey AS VARCHAR), 12, '0') AS loan_number, c_name AS borrower FROM customer"""
+
+
 # ------------------------------------------------------------ streams (S16-S18) --
 def landed_draw_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Webhook calls and open cases landed as JSON, then the stream."""
@@ -372,6 +396,31 @@ SELECT event_id, ts, user_id, event_type, value, props FROM (
   SELECT *, row_number() OVER (PARTITION BY user_id, event_type ORDER BY event_id DESC) AS rn FROM events) WHERE rn = 1"""
 
 
+def history_keys_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """W5 in Spark's state store: the keys of all landed events, each once; a
+    replay of those older than the watermark, landed later, is dropped and counted."""
+    root = scratch_path(spark, "history-keys")
+    events = table(spark, sf_dir, "events")
+    delay, keys, late = _dt.timedelta(days=1), ["user_id", "event_type"], 0
+    newest = events.agg(F.max("ts")).first()[0]
+    old = F.col("ts") < F.lit((newest - 2 * delay).isoformat(sep=" ")).cast(events.schema["ts"].dataType)
+    for landing in (events, events.where(old)):
+        landing.write.mode("append").parquet(f"{root}/in")
+        stream = first_within_watermark(spark.readStream.schema(events.schema).parquet(f"{root}/in"), keys, "ts", delay)
+        q = stream.select(*keys).writeStream.trigger(availableNow=True).option("checkpointLocation", f"{root}/checkpoint").start(f"{root}/out", format="parquet")
+        q.awaitTermination()
+        if q.exception() is not None:
+            raise q.exception()
+        late += late_rows(q)
+    return spark.read.parquet(f"{root}/out").select(*keys, F.lit(1).cast("long").alias("n")).unionByName(
+        spark.createDataFrame([("late", late)], "event_type string, n long"), allowMissingColumns=True)
+
+
+_HISTORY_KEYS_SQL = """
+SELECT DISTINCT user_id, event_type, 1::BIGINT AS n FROM events
+UNION ALL SELECT NULL, 'late', count(*) FROM events WHERE ts < (SELECT max(ts) FROM events) - INTERVAL 2 DAY"""
+
+
 # ---------------------------------------------------------- checks that fail (V*) --
 def failing_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """V2-V5 on inputs that break them: what each check names, as rows."""
@@ -429,10 +478,12 @@ QUERIES = {
     "upsert_table_twice": upsert_table_twice,
     "case_outbox": case_outbox,
     "csv_no_overwrite": csv_no_overwrite,
+    "replaced_table": replaced_table,
     "landed_draw_stream": landed_draw_stream,
     "landed_case_messages": landed_case_messages,
     "landed_all_case_messages": landed_all_case_messages,
     "history_stream": history_stream,
+    "history_keys_stream": history_keys_stream,
     "failing_checks": failing_checks,
     "duplicate_listing": duplicate_listing,
     "distinct_strict": distinct_strict,
@@ -450,10 +501,12 @@ ORACLE_SQL = {
     "upsert_table_twice": _UPSERT_SQL,
     "case_outbox": _CASE_OUTBOX_SQL,
     "csv_no_overwrite": _CSV_SQL,
+    "replaced_table": _REPLACED_SQL,
     "landed_draw_stream": _DRAW_STREAM_SQL,
     "landed_case_messages": _MESSAGES_SQL,
     "landed_all_case_messages": _ALL_MESSAGES_SQL,
     "history_stream": _HISTORY_SQL,
+    "history_keys_stream": _HISTORY_KEYS_SQL,
     "failing_checks": _CHECKS_SQL,
     "duplicate_listing": _LISTING_SQL,
     "distinct_strict": _STRICT_SQL,

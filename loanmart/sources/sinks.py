@@ -13,6 +13,8 @@ import datetime as _dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from loanmart.sources.tables import LOAD
+
 # Date patterns of report paths (K3).
 MONTH_FOLDER_FORMAT = "%m-%y"
 DAY_SUFFIX_FORMAT = "%m%d%y"
@@ -67,9 +69,29 @@ def prepare_append(df: DataFrame, as_of) -> DataFrame:
     return without_blank_keys(with_upload_date(df, as_of))
 
 
-def append_table(spark: SparkSession, df: DataFrame, table: str, as_of) -> None:
-    """K4 (+K6, P13): append, creating the table on first write."""
-    prepare_append(df, as_of).write.mode("append").format("parquet").saveAsTable(table)
+def write_load(spark: SparkSession, df: DataFrame, table: str, load_id: str) -> None:
+    """The rows of one load, in a partition of their own: the same load run
+    again takes the place of its first try, whatever that left, and touches no
+    other.  The first load creates the table; a later one may lack columns
+    (null) but brings no new ones."""
+    if not spark.catalog.tableExists(table):
+        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
+        spark.sql(f"CREATE TABLE IF NOT EXISTS {table} ({columns}, {LOAD} STRING) USING parquet PARTITIONED BY ({LOAD})")
+    fields = spark.read.table(table).schema.fields
+    if fields[-1].name != LOAD:
+        raise ValueError(f"{table} is not partitioned by load")
+    unknown = set(df.columns) - {f.name for f in fields}
+    if unknown:
+        raise ValueError(f"{table} has no columns {sorted(unknown)}")
+    rows = df.select(*[(F.col(f"`{f.name}`") if f.name in df.columns else F.lit(None)).cast(f.dataType).alias(f.name) for f in fields[:-1]])
+    quoted = load_id.replace("\\", "\\\\").replace("'", "\\'")
+    spark.sql(f"INSERT OVERWRITE TABLE {table} PARTITION ({LOAD} = '{quoted}') SELECT * FROM {{rows}}", rows=rows)
+
+
+def append_table(spark: SparkSession, df: DataFrame, table: str, as_of, load_id: str | None = None) -> None:
+    """K4 (+K6, P13): append, creating the table on first write.  ``load_id``
+    names the load (else its time does), so that a retried load counts once."""
+    write_load(spark, prepare_append(df, as_of), table, load_id or as_of.isoformat())
 
 
 def create_table_if_absent(spark: SparkSession, table: str, ddl_columns: str) -> None:
@@ -77,9 +99,18 @@ def create_table_if_absent(spark: SparkSession, table: str, ddl_columns: str) ->
     spark.sql(f"CREATE TABLE IF NOT EXISTS {table} ({ddl_columns}) USING parquet")
 
 
-def append_outbox(df: DataFrame, table: str) -> None:
-    """Append delivery rows to an outbox table."""
-    df.write.mode("append").format("parquet").saveAsTable(table)
+def replace_table(spark: SparkSession, table: str, ddl_columns: str) -> None:
+    """K7, create or replace: an empty table of this DDL, whatever was there.
+    The session catalog replaces no parquet table in one step, so the old one
+    is dropped first."""
+    spark.sql(f"DROP TABLE IF EXISTS {table}")
+    create_table_if_absent(spark, table, ddl_columns)
+
+
+def append_outbox(df: DataFrame, table: str, load_id: str) -> None:
+    """Delivery rows of one load to an outbox table; a retried load
+    takes the place of its first try."""
+    write_load(df.sparkSession, df, table, load_id)
 
 
 def patch_bodies(df: DataFrame, id_col: str) -> DataFrame:

@@ -6,6 +6,10 @@ against the CRM's open cases and the cases that this stream has queued and
 the sender has not delivered yet, so a later event sees earlier ones (Q14),
 also within one micro-batch.  A delivered case counts as long as the CRM has
 it open; once closed there, a new event opens a new case.
+
+The cases that wait for delivery are the stream's state, a snapshot per batch
+(``streaming.state``): a batch reads neither the outbox nor deliveries older
+than the oldest of them.
 """
 
 from __future__ import annotations
@@ -14,11 +18,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from loanmart.functions.text import case_hash, full_name, has_label, status_is
 from loanmart.operators.joins import anti_join
 from loanmart.sources.documents import DRAW_EVENT_SCHEMA
-from loanmart.streaming.outbox import read_outbox, write_batch
+from loanmart.streaming.outbox import read_batch, read_outbox, write_batch
+from loanmart.streaming.state import read_state, write_state
 
 # Statuses, label and texts of the draw webhook.
 DRAW_SUBMIT = "draw submit"
@@ -30,6 +36,8 @@ MAIL_SUBJECT = "Draw Change for %s"
 MAIL_BODY = "Loan Number: %s\nRisk Label(s): %s\nUpdated Status: %s"
 CASE_OUTBOX = ("case_hash string, Subject string, Description string, RecordTypeId string, OwnerId string, Reason string,"
                " Loan_Number__c string, Address__Street__s string, Draw_ID__c string, Borrower__c string")
+PENDING = T.StructType([T.StructField("case_hash", T.StringType()), T.StructField("batch_id", T.LongType()),
+                        T.StructField("Loan_Number__c", T.StringType()), T.StructField("Draw_ID__c", T.StringType())])
 MAIL_OUTBOX = "loan_id string, draw_id string, subject string, body string"
 
 
@@ -88,24 +96,41 @@ def mail_rows(enriched: DataFrame, status: str = DRAW_SUBMIT) -> DataFrame:
                                     F.col("updated_status")).alias("body")))
 
 
+def pending_cases(spark: SparkSession, batch_id: int, case_path: str, state_path: str,
+                  delivered: Callable[[], DataFrame] | None = None) -> DataFrame:
+    """Cases queued before ``batch_id`` and not delivered: the last snapshot
+    without what has been delivered since its oldest case was queued.  An
+    outbox that has no snapshot yet is read once."""
+    pending = read_state(spark, state_path, PENDING, batch_id)
+    if pending is None:
+        pending = read_outbox(spark, case_path, CASE_OUTBOX, before=batch_id).select(*PENDING.names)
+    oldest = pending.agg(F.min("batch_id")).first()[0]
+    if delivered is None or oldest is None:
+        return pending
+    gone = delivered().where(F.col("batch_id") >= oldest).select("case_hash", F.col("batch_id").cast("long").alias("batch_id")).distinct()
+    return pending.join(gone, ["case_hash", "batch_id"], "left_anti").select(*PENDING.names)
+
+
 def process_batch(batch: DataFrame, batch_id: int, spark: SparkSession, loans: DataFrame, draws: DataFrame,
                   open_cases: Callable[[], DataFrame], case_path: str, mail_path: str,
                   status: str = DRAW_SUBMIT, delivered: Callable[[], DataFrame] | None = None,
-                  record_type_id: str = "", owner_id: str = "") -> None:
+                  record_type_id: str = "", owner_id: str = "", state_path: str | None = None) -> None:
     """One micro-batch.  ``open_cases`` gives the CRM's open cases,
     ``delivered`` the outbox rows ``(case_hash, batch_id)`` that the sender has
-    delivered (None: none yet).  Each sink holds a folder per batch, which a
-    replay overwrites; only earlier batches count as queued."""
+    delivered (None: none yet; best partitioned by ``batch_id``).  Each sink
+    holds a folder per batch, which a replay overwrites; only earlier batches
+    count as queued.  ``state_path`` holds the snapshots of waiting cases
+    (else beside the cases)."""
+    state_path = state_path or f"{case_path.rstrip('/')}_pending"
     enriched = enrich(batch, loans, draws).persist()
-    known = open_cases().select("Loan_Number__c", "Draw_ID__c")
-    queued = read_outbox(spark, case_path, CASE_OUTBOX, before=batch_id).select("case_hash", "batch_id", "Loan_Number__c", "Draw_ID__c")
-    if delivered is not None:
-        queued = queued.join(delivered().select("case_hash", F.col("batch_id").cast("long").alias("batch_id")).distinct(),
-                             ["case_hash", "batch_id"], "left_anti")
-    known = known.unionByName(queued.select("Loan_Number__c", "Draw_ID__c"))
+    pending = pending_cases(spark, batch_id, case_path, state_path, delivered).persist()
+    known = open_cases().select("Loan_Number__c", "Draw_ID__c").unionByName(pending.select("Loan_Number__c", "Draw_ID__c"))
     write_batch(mail_rows(enriched, status), mail_path, batch_id)
     write_batch(new_cases(case_candidates(enriched, status, record_type_id, owner_id), known), case_path, batch_id)
+    queued = read_batch(spark, case_path, CASE_OUTBOX, batch_id).withColumn("batch_id", F.lit(batch_id).cast("long"))
+    write_state(pending.unionByName(queued.select(*PENDING.names)), state_path, batch_id)
     enriched.unpersist()
+    pending.unpersist()
 
 
 def start_draw_event_stream(spark: SparkSession, events: DataFrame, loans: DataFrame, draws: DataFrame,

@@ -16,6 +16,11 @@ def write_batch(df: DataFrame, path: str, batch_id: int) -> None:
     df.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
 
 
+def read_batch(spark: SparkSession, path: str, schema: str, batch_id: int) -> DataFrame:
+    """The rows that one batch has written."""
+    return spark.read.schema(schema).parquet(f"{path}/batch_id={batch_id}")
+
+
 def read_outbox(spark: SparkSession, path: str, schema: str | T.StructType, before: int | None = None) -> DataFrame:
     """All rows with their ``batch_id`` (``before``: of earlier batches only);
     no rows where nothing has been written yet."""

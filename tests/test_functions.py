@@ -143,3 +143,15 @@ def test_numbers_that_do_not_fit_are_not_bad_text(spark):
     for f in (to_decimal_exact, to_decimal_rounded):
         with pytest.raises(Exception, match="too wide"):
             wide.select(f("t")).collect()
+
+
+def test_utc_instant_in_any_session_zone(spark):
+    from loanmart.functions.dates import utc_instant
+    before = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        for zone in ("UTC", "America/New_York", "Asia/Kolkata"):
+            spark.conf.set("spark.sql.session.timeZone", zone)
+            rows = spark.sql("SELECT TIMESTAMP_NTZ '2024-03-10 02:30:00.000001' AS t UNION ALL SELECT TIMESTAMP_NTZ '1960-11-03 01:30:00' UNION ALL SELECT NULL")
+            assert [r[0] for r in rows.select(F.unix_micros(utc_instant(F.col("t")))).collect()] == [1710037800000001, -289089000000000, None]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)

@@ -1,7 +1,9 @@
 """Relational operators: arg-max, keep-first, profile, union, sort, top-k,
 flatten, upsert, surrogate key, skew-safe join, validation."""
 
+import datetime
 import json
+import uuid
 
 import pytest
 from pyspark.sql import functions as F
@@ -13,11 +15,13 @@ from loanmart.operators.nested import DRAW_ROW_COLUMNS, flatten_draws
 from loanmart.operators.ordering import sort_nulls_last, top_k
 from loanmart.operators.profile import duplicate_groups, extract_profile
 from loanmart.operators.surrogate import add_surrogate_key
-from loanmart.operators.upsert import DuplicateKeyError, upsert
+from loanmart.operators.upsert import DuplicateKeyError, rebucket, upsert, upsert_table
 from loanmart.operators.validate import (
     ValidationError, assert_no_error_documents, assert_not_null, assert_pages_complete, require_columns,
 )
 from loanmart.sources.documents import read_draws
+from loanmart.sources.sinks import append_table, replace_table
+from loanmart.sources.tables import warehouse_table
 
 
 def test_latest_is_numeric_not_text(spark):
@@ -174,3 +178,66 @@ def test_local_scratch_is_refused_on_a_cluster(spark, monkeypatch):
     context = type("C", (), {"getCheckpointDir": lambda s: None, "getConf": lambda s: {}, "master": "spark://host:7077"})()
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         session.checkpoint_dir(type("S", (), {"sparkContext": context})())
+
+
+def _files(spark, table):
+    """Data files of a table by bucket."""
+    out = {}
+    for r in spark.table(table).select("_bucket", F.input_file_name().alias("f")).distinct().collect():
+        out.setdefault(r["_bucket"], set()).add(r["f"])
+    return out
+
+
+def test_upsert_table_rewrites_touched_buckets_only(spark):
+    name = f"t_{uuid.uuid4().hex}"
+    rows = spark.range(2000).select(F.col("id"), F.concat(F.lit("v"), "id").alias("v"))
+    upsert_table(spark, name, rows, ["id"], buckets=20)
+    before = _files(spark, name)
+    change = spark.createDataFrame([(5, "new"), (5000, "more")], "id long, v string")
+    upsert_table(spark, name, change, ["id"])
+    after = _files(spark, name)
+    touched = {r["_bucket"] for r in spark.table(name).where("id IN (5, 5000)").collect()}
+    assert len(before) == 20 and {b for b in after if after[b] != before.get(b)} == touched
+    got = {r.id: r.v for r in warehouse_table(spark, name).collect()}
+    assert got == {i: f"v{i}" for i in range(2000)} | {5: "new", 5000: "more"}
+    # run again, as after a crash: nothing changes; no rows touch nothing
+    upsert_table(spark, name, change, ["id"])
+    upsert_table(spark, name, change.limit(0), ["id"])
+    assert {r.id: r.v for r in warehouse_table(spark, name).collect()} == got
+    with pytest.raises(DuplicateKeyError):
+        upsert_table(spark, name, change.unionByName(change), ["id"])
+    with pytest.raises(ValueError):
+        upsert_table(spark, name, change, ["v"])
+    upsert_table(spark, name, spark.createDataFrame([(5, "a", 1), (5, "b", 2)], "id int, v string, seq int"), ["id"], on_duplicate="latest", order_col="seq")
+    assert warehouse_table(spark, name).where("id = 5").first().v == "b"
+    rebucket(spark, name, ["id"], 7)
+    assert len(_files(spark, name)) == 7 and warehouse_table(spark, name).count() == 2001
+    upsert_table(spark, name, spark.createDataFrame([(6, "six")], "id long, v string"), ["id"])
+    assert warehouse_table(spark, name).where("v = 'six'").count() == 1
+
+
+def test_upsert_table_with_null_and_repeated_target_keys(spark):
+    name = f"t_{uuid.uuid4().hex}"
+    spark.createDataFrame([(None, "n"), (1, "a"), (1, "b"), (2, "c"), (2, "d")], "id long, v string").write.saveAsTable(name)
+    rebucket(spark, name, ["id"], 3)
+    upsert_table(spark, name, spark.createDataFrame([(2, "x"), (None, "m")], "id long, v string"), ["id"])
+    got = sorted((str(r.id), r.v) for r in warehouse_table(spark, name).collect())
+    assert got == [("1", "a"), ("1", "b"), ("2", "x"), ("None", "m"), ("None", "n")]
+
+
+def test_a_load_run_again_counts_once(spark):
+    name = f"t_{uuid.uuid4().hex}"
+    day = datetime.datetime(2024, 1, 15)
+    first = spark.createDataFrame([("LN-1", 1), ("", 2), (None, 3)], "loan_number string, n int")
+    append_table(spark, first, name, day, "load '1'")
+    append_table(spark, first.where("n = 1"), name, day, "load '2'")
+    append_table(spark, first.limit(0), name, day, "load '2'")
+    append_table(spark, first, name, day + datetime.timedelta(hours=1), "load '1'")
+    append_table(spark, first.select("n").where("n = 3"), name, day, "3")
+    got = warehouse_table(spark, name)
+    assert sorted((r.loan_number or "", r.n) for r in got.collect()) == [("", 3), ("", 3), ("LN-1", 1)]
+    assert got.columns == ["loan_number", "n", "upload_date"]
+    with pytest.raises(ValueError):
+        append_table(spark, first.withColumn("more", F.lit(1)), name, day)
+    replace_table(spark, name, "a INT")
+    assert warehouse_table(spark, name).columns == ["a"] and warehouse_table(spark, name).count() == 0

@@ -8,7 +8,8 @@ import shutil
 
 from loanmart.streaming.case_messages import start_case_message_stream
 from loanmart.streaming.draw_events import process_batch, read_event_files, start_draw_event_stream
-from loanmart.streaming.history import start_history_stream
+from loanmart.streaming.history import first_within_watermark, late_rows, start_history_stream
+from loanmart.streaming.state import KEPT_VERSIONS
 
 
 def land(path, name, rows):
@@ -147,3 +148,51 @@ def test_replayed_batch_leaves_the_same_rows(spark, tmpdir_path):
     cases = spark.read.parquet(f"{tmpdir_path}/c").collect()
     assert sorted((r.Loan_Number__c or "", r.Draw_ID__c, r.RecordTypeId, r.OwnerId) for r in cases) == [("", "D2", "RT", "OW"), ("LN-1", "D1", "RT", "OW")]
     assert spark.read.parquet(f"{tmpdir_path}/m").count() == 2
+
+
+def test_batches_read_no_earlier_output(spark, tmpdir_path, monkeypatch):
+    """After the first batch, cases and history come from the snapshots alone."""
+    loans, draws = lookups(spark)
+    none = spark.createDataFrame([], "Loan_Number__c string, Draw_ID__c string")
+    call = "loan_id string, updated_status string, draw_id string"
+    gone = []
+
+    def batch(rows, batch_id):
+        process_batch(spark.createDataFrame(rows, call), batch_id, spark, loans, draws, lambda: none, f"{tmpdir_path}/c", f"{tmpdir_path}/m",
+                      delivered=lambda: spark.createDataFrame(gone, "case_hash string, batch_id long"))
+
+    batch([("L1", "Draw Submit", "D1")], 0)
+
+    def refuse(*_, **__):
+        raise AssertionError("earlier output is read")
+
+    monkeypatch.setattr("loanmart.streaming.draw_events.read_outbox", refuse)
+    batch([("L1", "Draw Submit", "D1"), ("L2", "Draw Submit", "D2")], 1)
+    batch([("L1", "Draw Submit", "D1"), ("L2", "Draw Submit", "D2")], 1)
+    for i in range(2, 7):
+        batch([("L1", "Draw Submit", "D1")], i)
+    queued = [(r.case_hash, r.batch_id) for r in spark.read.parquet(f"{tmpdir_path}/c").orderBy("batch_id").collect()]
+    assert [b for _, b in queued] == [0, 1]
+    assert len([x for x in os.listdir(f"{tmpdir_path}/c_pending") if x.startswith("version=")]) == KEPT_VERSIONS
+    gone.append(queued[0])
+    batch([("L1", "Draw Submit", "D1"), ("L2", "Draw Submit", "D2")], 7)
+    assert sorted(r.batch_id for r in spark.read.parquet(f"{tmpdir_path}/c").collect()) == [0, 1, 7]
+
+
+def test_history_in_the_state_store(spark, tmpdir_path):
+    path, out = f"{tmpdir_path}/hist", f"{tmpdir_path}/out"
+    late = []
+
+    def run():
+        rows = spark.readStream.schema("id string, ts timestamp, draw_id string").json(path)
+        q = (first_within_watermark(rows, ["draw_id"], "ts", datetime.timedelta(days=1)).writeStream.trigger(availableNow=True)
+             .option("checkpointLocation", f"{tmpdir_path}/ckpt").start(out, format="parquet"))
+        q.awaitTermination()
+        late.append(late_rows(q))
+        return sorted(r.draw_id for r in spark.read.parquet(out).collect())
+
+    land(path, "a.json", [{"id": "1", "ts": "2024-01-15 10:00:00", "draw_id": "D1"}, {"id": "2", "ts": "2024-01-15 10:05:00", "draw_id": "D1"}])
+    assert run() == ["D1"]
+    land(path, "b.json", [{"id": "3", "ts": "2024-01-15 12:00:00", "draw_id": "D1"}, {"id": "4", "ts": "2024-01-13 12:00:00", "draw_id": "D9"},
+                          {"id": "5", "ts": "2024-01-15 12:00:00", "draw_id": "D2"}])
+    assert run() == ["D1", "D2"] and late == [0, 1]
