@@ -40,10 +40,12 @@ block, a byte's context one entry per shard.
 from __future__ import annotations
 
 import zlib
+from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import zstandard
 from pyspark import TaskContext
@@ -63,8 +65,8 @@ ORDERS = (1, 2, 3, 5, None)
 #: Added to either count of a bit.
 PRIOR = 0.4
 #: Gates: by what the word so far has been followed by, and the last five bytes.
-_SEEN = np.array([1, 2, 3, 6, 16, 64])
-_FEW = np.array([1, 4])
+_SEEN = (1, 2, 3, 6, 16, 64)
+_FEW = (1, 4)
 GATES = (len(_SEEN) + 1) * 2 * (len(_FEW) + 1)
 #: The refining map: by the word so far, the bit's place and the half steps of its log-odds.
 STEPS = 24
@@ -79,12 +81,15 @@ STRIDE = 4096
 OFTEN, SHARE = 8, 11
 EXPECTED = 1 + OFTEN * SHARE
 HIT = 128
+#: Of a key of what follows two tokens: bits of their hash within its place
+#: (places grow with the corpus), bits of the token's hash.
+CONTEXT_BITS, TOKEN_BITS = 28, 24
 _PRIME = 0x9E3779B97F4A7C15
 _MASK = 0xFFFFFFFFFFFFFFFF
 
-BLOCK = "block long, shard int, words binary, word_of binary, kinds binary, train binary, docs array<long>, held array<boolean>, n_bytes array<long>, per_doc binary, tokens binary, hashes binary"
+BLOCK = "block long, shard int, words binary, word_of binary, kinds binary, train binary, docs array<long>, held array<boolean>, n_bytes array<long>, per_doc binary, tokens binary, hashes binary, heads binary"
 _BLOCK = pa.schema([("block", pa.int64()), ("shard", pa.int32()), *((c, pa.binary()) for c in ("words", "word_of", "kinds", "train")), ("docs", pa.list_(pa.int64())),
-                    ("held", pa.list_(pa.bool_())), ("n_bytes", pa.list_(pa.int64())), *((c, pa.binary()) for c in ("per_doc", "tokens", "hashes"))])
+                    ("held", pa.list_(pa.bool_())), ("n_bytes", pa.list_(pa.int64())), *((c, pa.binary()) for c in ("per_doc", "tokens", "hashes", "heads"))])
 UNITS = "shard int, block long, words binary, word_of binary, kinds binary, train binary, index binary, tokens long, types long"
 _UNITS = pa.schema([("shard", pa.int32()), ("block", pa.int64()), *((c, pa.binary()) for c in ("words", "word_of", "kinds", "train", "index")), ("tokens", pa.int64()), ("types", pa.int64())])
 SENT = "place int, shard int, edges binary, n binary"
@@ -119,14 +124,38 @@ def _unpacked(packed: bytes, kind: str) -> np.ndarray:
     return np.frombuffer(_raw(packed), dtype=kind)
 
 
+def _planes(values: np.ndarray, kind: str) -> bytes:
+    """Numbers, byte by byte of all of them: the upper bytes pack well."""
+    return _packed(np.ascontiguousarray(values.astype(kind).view(np.uint8).reshape(len(values), np.dtype(kind).itemsize).T).tobytes())
+
+
+def _unplaned(packed: bytes, kind: str) -> np.ndarray:
+    raw, size = _raw(packed), np.dtype(kind).itemsize
+    planes = np.frombuffer(raw, dtype=np.uint8).reshape(size, len(raw) // size)
+    return np.ascontiguousarray(planes.T).reshape(-1).view(kind)
+
+
 def _packed_keys(keys: np.ndarray) -> bytes:
-    """Sorted 64-bit keys: differences, byte by byte of all of them."""
-    return _packed(np.ascontiguousarray(np.diff(keys, prepend=np.uint64(0)).astype("<u8").view(np.uint8).reshape(-1, 8).T).tobytes())
+    """Sorted 64-bit keys, as differences."""
+    return _planes(np.diff(keys, prepend=np.uint64(0)), "<u8")
 
 
 def _unpacked_keys(packed: bytes) -> np.ndarray:
-    planes = np.frombuffer(_raw(packed), dtype=np.uint8).reshape(8, -1)
-    return np.cumsum(np.ascontiguousarray(planes.T).reshape(-1).view("<u8"), dtype=np.uint64)
+    return np.cumsum(_unplaned(packed, "<u8"), dtype=np.uint64)
+
+
+def _place(hashes: np.ndarray, places: int) -> np.ndarray:
+    """One of ``places`` ranges of 64-bit hashes."""
+    return ((hashes >> np.uint64(32)) * np.uint64(places)) >> np.uint64(32)
+
+
+def _distinct(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """``np.unique`` with the inverse, sorting the distinct keys only."""
+    codes, own = pd.factorize(keys)
+    order = np.argsort(own)
+    rank = np.empty(len(own), dtype=np.int32)
+    rank[order] = np.arange(len(own))
+    return own[order], rank[codes]
 
 
 def _runs(place: np.ndarray, order: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
@@ -151,13 +180,14 @@ def block_units(texts: list[bytes | None]) -> tuple[list[bytes], np.ndarray, np.
     """The distinct tokens of a block (the end is empty), per document its
     number of tokens, the unit (token * KINDS + kind before) of each token in
     order, and per document the bytes of its stream."""
-    places: dict[bytes, int] = {}
+    places: dict[bytes, int] = defaultdict()
+    places.default_factory = places.__len__
     flat: list[int] = []
     counts = []
     for text in texts:
         words = (text or b"").lower().split()  # bytes: A-Z, and at [\x20\x09-\x0D] only
         words.append(b"")
-        flat += [places.setdefault(w, len(places)) for w in words]
+        flat.extend(map(places.__getitem__, words))
         counts.append(len(words))
     tokens, ends = np.array(flat, dtype=np.int64), np.cumsum(counts, dtype=np.int64)
     starts = ends - counts
@@ -179,8 +209,13 @@ def blocks(docs: DataFrame, shards: int) -> DataFrame:
             name = (TaskContext.get().partitionId() << 32) + k
             words, per_doc, unit, n_bytes = block_units(batch.column("text").cast(pa.binary()).to_pylist())
             held = batch.column("held").to_numpy(zero_copy_only=False)
-            own, which = np.unique(unit, return_inverse=True)
-            train = np.bincount(which, ~np.repeat(held, per_doc), minlength=len(own)).astype(np.int64)
+            out = np.repeat(held, per_doc)
+            times = np.bincount(unit, minlength=len(words) * KINDS)
+            train = np.bincount(unit[~out], minlength=len(times))
+            own = np.flatnonzero(times)
+            # training occurrences, and whether there are others
+            train = 2 * train[own] + (times > train)[own]
+            which = (np.cumsum(times > 0) - 1)[unit]
             hashes = np.fromiter(map(zlib.crc32, words), dtype=np.int64, count=len(words))[own // KINDS]
             shard = hashes % shards
             order = np.argsort(shard, kind="stable")
@@ -190,9 +225,11 @@ def blocks(docs: DataFrame, shards: int) -> DataFrame:
             for s, part in _runs(shard, order):
                 tokens, word_of = np.unique(own[part] // KINDS, return_inverse=True)
                 rows.append((name, s, _packed(b"\n".join([words[i] for i in tokens])), _packed(word_of, "<u4"), _packed(own[part] % KINDS, "u1"),
-                             _packed(train[part], "<u4"), None, None, None, None, None, None))
+                             _planes(train[part], "<u8"), *[None] * 7))
+            # units of one word stand together: its hash is written once, where they begin
+            heads = np.diff(own[order] // KINDS, prepend=-1) != 0
             rows.append((name, None, None, None, None, None, batch.column("id").to_pylist(), held.tolist(), n_bytes.tolist(),
-                         _packed(per_doc, "<u4"), _packed(rank[which], "<u4"), _packed(hashes[order], "<u4")))
+                         _packed(per_doc, "<u4"), _planes(rank[which], "<u4"), _packed(hashes[order[heads]], "<u4"), _packed(heads, "u1")))
             yield _batch(rows, _BLOCK)
 
     return docs.mapInArrow(run, BLOCK)
@@ -214,14 +251,16 @@ def merge_units(parts: DataFrame) -> DataFrame:
         place[[known[w] for w in words]] = np.arange(len(words))
         found = [place[u // KINDS] * KINDS + u % KINDS for u in found]
         units = np.unique(np.concatenate(found))
-        train = np.zeros(len(units), dtype=np.int64)
+        train, held = np.zeros(len(units), dtype=np.int64), np.zeros(len(units), dtype=bool)
         out = []
         for row, u in zip(rows, found):
             at = np.searchsorted(units, u)
-            train[at] += _unpacked(row["train"], "<u4")
+            seen = _unplaned(row["train"], "<u8").astype(np.int64)
+            train[at] += seen >> 1
+            held[at] |= seen & 1 > 0
             out.append((None, row["block"], None, None, None, None, _packed(at, "<u4"), None, None))
         types = np.count_nonzero(np.bincount(units // KINDS, train))
-        out.append((None, None, _packed(b"\n".join(words)), _packed(units // KINDS, "<u4"), _packed(units % KINDS, "u1"), _packed(train, "<u8"), None, int(train.sum()), int(types)))
+        out.append((None, None, _packed(b"\n".join(words)), _packed(units // KINDS, "<u4"), _packed(units % KINDS, "u1"), _planes(2 * train + held, "<u8"), None, int(train.sum()), int(types)))
         shard = table["shard"][0].as_py()
         return pa.Table.from_batches([_batch([(shard, *r[1:]) for r in out], _UNITS)])
 
@@ -231,8 +270,9 @@ def merge_units(parts: DataFrame) -> DataFrame:
 # ----------------------------------------------------------- expected tokens
 def follow_keys(row: dict, places: int) -> tuple[np.ndarray, np.ndarray]:
     """Per token of a block the place that counts what follows the two tokens
-    before it, and a key: 32 bits of their hash, 24 of the token's own."""
-    own = _unpacked(row["hashes"], "<u4").astype(np.uint64)[_unpacked(row["tokens"], "<u4")]
+    before it, and a key: CONTEXT_BITS of their hash, TOKEN_BITS of the token's own."""
+    word = np.cumsum(_unpacked(row["heads"], "u1"), dtype=np.int64) - 1
+    own = _unpacked(row["hashes"], "<u4").astype(np.uint64).take(word).take(_unplaned(row["tokens"], "<u4"))
     starts = offsets_of(_unpacked(row["per_doc"], "<u4"))[:-1]
     none = np.uint64(1 << 40)
     one, two = np.full(len(own), none), np.full(len(own), none)
@@ -241,18 +281,24 @@ def follow_keys(row: dict, places: int) -> tuple[np.ndarray, np.ndarray]:
     two[1:] = one[:-1]
     two[starts] = none
     h = _mixed(one * np.uint64(_PRIME) + _mixed(two + np.uint64(1)))
-    return ((h >> np.uint64(32)) % np.uint64(places)).astype(np.int64), (h & np.uint64(0xFFFFFFFF)) << np.uint64(24) | _mixed(own) >> np.uint64(40)
+    local = h & np.uint64((1 << CONTEXT_BITS) - 1)
+    return _place(h, places), local << np.uint64(TOKEN_BITS) | _mixed(own) >> np.uint64(64 - TOKEN_BITS)
 
 
 def distinct_follows(row: dict, places: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """The distinct (place, key) pairs of a block in order, and which each token has."""
     place, key = follow_keys(row, places)
-    order = np.lexsort((key, place))
+    if places <= 1 << (64 - CONTEXT_BITS - TOKEN_BITS):
+        order = np.argsort(place << np.uint64(CONTEXT_BITS + TOKEN_BITS) | key)
+    else:
+        order = np.argsort(key)
+        order = order[np.argsort(place[order], kind="stable")]
+    place, key = place[order], key[order]
     new = np.ones(len(order), dtype=bool)
-    new[1:] = (place[order][1:] != place[order][:-1]) | (key[order][1:] != key[order][:-1])
+    new[1:] = (place[1:] != place[:-1]) | (key[1:] != key[:-1])
     which = np.empty(len(order), dtype=np.int64)
     which[order] = np.cumsum(new) - 1
-    return place[order[new]], key[order[new]], which
+    return place[new], key[new], which
 
 
 def send_follows(whole: DataFrame, places: int) -> DataFrame:
@@ -260,11 +306,13 @@ def send_follows(whole: DataFrame, places: int) -> DataFrame:
         for batch in batches:
             for row in batch.to_pylist():
                 place, key, which = distinct_follows(row, places)
-                n = np.bincount(which, ~np.repeat(np.array(row["held"], dtype=bool), _unpacked(row["per_doc"], "<u4")), minlength=len(key))
+                held = np.repeat(np.array(row["held"], dtype=bool), _unpacked(row["per_doc"], "<u4"))
+                n = np.bincount(which[~held], minlength=len(key))
+                n = 2 * n + (np.bincount(which, minlength=len(key)) > n)  # training occurrences, and whether there are others
                 yield _batch([(p, row["block"], _packed_keys(key[part]), _packed(n[part], "<u4")) for p, part in _runs(place, np.arange(len(place)))], _FOLLOW)
         release()
 
-    return whole.select("block", "held", "per_doc", "tokens", "hashes").mapInArrow(run, FOLLOW)
+    return whole.select("block", "held", "per_doc", "tokens", "hashes", "heads").mapInArrow(run, FOLLOW)
 
 
 def _often_gate(total: np.ndarray, top: np.ndarray) -> np.ndarray:
@@ -277,7 +325,7 @@ def expected(keys: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray, n
     (gate, and HIT if it is the expected one), its code when one occurrence of
     its own is not counted, and by the gate of the latter how many training
     occurrences were expected (0) or not (1)."""
-    context = keys >> np.uint64(24)
+    context = keys >> np.uint64(TOKEN_BITS)
     first = np.flatnonzero(np.append(True, context[1:] != context[:-1])) if len(keys) else np.zeros(0, np.int64)
     of = np.repeat(np.arange(len(first)), np.diff(np.append(first, len(keys))))
     total, top = np.add.reduceat(n, first), np.maximum.reduceat(n, first)
@@ -298,8 +346,7 @@ def expected(keys: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray, n
     stays = mine & ((less > second[of]) | ((less == second[of]) & (best[of] < runner[of])))
     stays &= less > 0
     gate = _often_gate(total[of] - 1, np.where(mine, np.maximum(less, second[of]), top[of]))
-    went = np.zeros((EXPECTED, 2))
-    np.add.at(went, (gate, np.where(stays, 0, 1)), n)
+    went = np.bincount(2 * gate + ~stays, n, minlength=2 * EXPECTED).reshape(EXPECTED, 2)
     return codes.astype(np.uint8), (gate + HIT * stays).astype(np.uint8), went
 
 
@@ -310,10 +357,12 @@ def answer_follows(sent: DataFrame) -> DataFrame:
         rows = table.to_pylist()
         asked = [_unpacked_keys(r["keys"]) for r in rows]
         keys, at = np.unique(np.concatenate(asked), return_inverse=True)
-        n = np.bincount(at, np.concatenate([_unpacked(r["n"], "<u4") for r in rows]).astype(np.float64), minlength=len(keys)).astype(np.int64)
+        sent = [_unpacked(r["n"], "<u4") for r in rows]
+        n = np.bincount(at, (np.concatenate(sent) >> 1).astype(np.float64), minlength=len(keys)).astype(np.int64)
         codes, own, went = expected(keys, n)
         at = np.split(at, np.cumsum([len(a) for a in asked])[:-1])
-        out = [(r["block"], r["place"], _packed(codes[a], "u1"), _packed(own[a], "u1"), None) for r, a in zip(rows, at)]
+        # a code that no token of the block needs is 0
+        out = [(r["block"], r["place"], _packed(codes[a] * (m & 1), "u1"), _packed(own[a] * (m > 1), "u1"), None) for r, a, m in zip(rows, at, sent)]
         release()
         return pa.Table.from_batches([_batch([*out, (None, rows[0]["place"], None, None, _packed(went, "<f8"))], _MET)])
 
@@ -328,7 +377,8 @@ class Stream:
     unit: np.ndarray
     place: np.ndarray
     kind: np.ndarray  # per unit
-    train: np.ndarray  # per unit
+    train: np.ndarray  # per unit: occurrences in training rows
+    held: np.ndarray  # per unit: whether a held-out row has it
     word_of: np.ndarray  # per unit
 
 
@@ -341,7 +391,8 @@ def stream_of(row: dict) -> Stream:
     ends = np.cumsum(size)
     unit = np.repeat(np.arange(len(word_of), dtype=np.int32), size)
     place = np.arange(len(unit)) - np.repeat(ends - size, size)
-    return Stream(joined[offsets[:-1][word_of][unit] + place], unit, place, _unpacked(row["kinds"], "u1"), _unpacked(row["train"], "<u8").astype(np.int64), word_of)
+    seen = _unplaned(row["train"], "<u8").astype(np.int64)
+    return Stream(joined[offsets[:-1][word_of][unit] + place], unit, place, _unpacked(row["kinds"], "u1"), seen >> 1, seen & 1 > 0, word_of)
 
 
 def _mixed(h: np.ndarray) -> np.ndarray:
@@ -350,48 +401,47 @@ def _mixed(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(31))
 
 
-def context_edges(s: Stream, k: int) -> np.ndarray:
-    """Per byte its edge for predictor ``k``: the hash of the context in the
-    upper 56 bits, the byte in the lower 8."""
-    order = ORDERS[k]
-    if order is None:
-        # hash of the word so far: its bytes times powers of their places
-        power = np.full(int(s.place.max(initial=0)) + 1, _PRIME, dtype=np.uint64)
-        power[0] = 1
-        term = (s.data.astype(np.uint64) + np.uint64(1)) * np.cumprod(power)[s.place]
-        total = np.concatenate([np.zeros(1, dtype=np.uint64), np.cumsum(term)])
-        at = np.arange(len(s.data))
-        h = total[at] - total[at - s.place] + s.place.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93)
-    else:
-        h = np.zeros(len(s.data), dtype=np.uint64)
-        for back in range(1, order + 1):
-            from_here = np.maximum(np.arange(len(s.data)) - back, 0)
-            symbol = np.where(s.place >= back, s.data[from_here].astype(np.uint64) + np.uint64(8),
-                              np.where(s.place == back - 1, s.kind[s.unit].astype(np.uint64) + np.uint64(1), np.uint64(0)))
-            h = (h + symbol) * np.uint64(_PRIME)
-    return _mixed(h + np.uint64((k + 1) * 0xA0761D6478BD642F & _MASK)) & np.uint64(_MASK ^ 255) | s.data
+def context_edges(s: Stream) -> Iterator[np.ndarray]:
+    """Per predictor every byte's edge: the hash of the context in the upper 56
+    bits, the byte in the lower 8."""
+    h, back, n = np.zeros(len(s.data), dtype=np.uint64), 0, len(s.data)
+    before = np.concatenate([np.zeros(max(filter(None, ORDERS)), dtype=np.uint16), s.data.astype(np.uint16) + 8])
+    kind = s.kind.take(s.unit).astype(np.uint16) + 1
+    for k, order in enumerate(ORDERS):
+        if order is None:
+            # the word so far: its bytes times powers of their places
+            power = np.full(int(s.place.max(initial=0)) + 1, _PRIME, dtype=np.uint64)
+            power[0] = 1
+            term = (s.data.astype(np.uint64) + np.uint64(1)) * np.cumprod(power).take(s.place)
+            total = np.concatenate([np.zeros(1, dtype=np.uint64), np.cumsum(term)])
+            h = total[:-1] - total.take(np.arange(n) - s.place) + s.place.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93)
+        while order is not None and back < order:
+            back += 1
+            symbol = before[len(before) - n - back: len(before) - back]
+            h = (h + np.where(s.place >= back, symbol, kind * (s.place == back - 1))) * np.uint64(_PRIME)
+        yield _mixed(h + np.uint64((k + 1) * 0xA0761D6478BD642F & _MASK)) & np.uint64(_MASK ^ 255) | s.data
 
 
 def shard_edges(s: Stream) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
-    """Per predictor the number of every byte's edge, the distinct edges in
-    order, and how often the training documents have them."""
-    which, edges, seen, base = [], [], [], 0
+    """Per predictor the number of every byte's edge, the distinct edges of all
+    predictors in order, and how often the training documents have them."""
+    found = [_distinct(edges) for edges in context_edges(s)]
     weight = s.train[s.unit].astype(np.float64)
-    for k in range(len(ORDERS)):
-        own, at = np.unique(context_edges(s, k), return_inverse=True)
-        which.append((at + base).astype(np.int32))
-        edges.append(own)
-        seen.append(np.bincount(at, weight, minlength=len(own)))
-        base += len(own)
-    return which, np.concatenate(edges), np.concatenate(seen).astype(np.int64)
-
-
-def dealt(edges: np.ndarray, places: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Edges by the context shard they go to: their order, the shards, where each begins."""
-    place = (edges >> np.uint64(8)) % np.uint64(places)
-    order = np.lexsort((edges, place))
-    used, first = np.unique(place[order], return_index=True)
-    return order, used.astype(np.int64), first
+    edges = np.concatenate([own for own, _ in found])
+    seen = np.concatenate([np.bincount(at, weight, minlength=len(own)) for own, at in found]).astype(np.int64)
+    order = np.argsort(edges)
+    rank = np.empty(len(order), dtype=np.int32)
+    rank[order] = np.arange(len(order))
+    bases = offsets_of(np.array([len(own) for own, _ in found]))
+    return [rank.take(at + base) for (_, at), base in zip(found, bases)], edges[order], seen[order]
+
+
+def dealt(edges: np.ndarray, places: int) -> Iterator[tuple[int, slice]]:
+    """Sorted edges by the context shard they go to."""
+    place = _place(edges & np.uint64(_MASK ^ 255), places)
+    used, first = np.unique(place, return_index=True)
+    for p, a, b in zip(used.tolist(), first.tolist(), [*first[1:].tolist(), len(edges)]):
+        yield p, slice(a, b)
 
 
 def send_edges(shards: DataFrame, places: int) -> DataFrame:
@@ -399,10 +449,7 @@ def send_edges(shards: DataFrame, places: int) -> DataFrame:
         for batch in batches:
             for row in batch.to_pylist():
                 _, edges, seen = shard_edges(stream_of(row))
-                order, used, first = dealt(edges, places)
-                rows = [(p, row["shard"], _packed_keys(edges[order[a:b]]), _packed(seen[order[a:b]], "<u8"))
-                        for p, a, b in zip(used.tolist(), first.tolist(), [*first[1:].tolist(), len(order)])]
-                yield _batch(rows, _SENT)
+                yield _batch([(p, row["shard"], _packed_keys(edges[part]), _planes(seen[part], "<u8")) for p, part in dealt(edges, places)], _SENT)
         release()
 
     return shards.select("shard", "words", "word_of", "kinds", "train").mapInArrow(run, SENT)
@@ -416,7 +463,7 @@ def answer_edges(sent: DataFrame) -> DataFrame:
         rows = table.to_pylist()
         asked = [_unpacked_keys(r["edges"]) for r in rows]
         edges, at = np.unique(np.concatenate(asked), return_inverse=True)
-        n = np.bincount(at, np.concatenate([_unpacked(r["n"], "<u8") for r in rows]).astype(np.float64), minlength=len(edges)).astype(np.int64)
+        n = np.bincount(at, np.concatenate([_unplaned(r["n"], "<u8") for r in rows]).astype(np.float64), minlength=len(edges)).astype(np.int64)
         edges, n = edges[n > 0], n[n > 0]
         context, following = edges >> np.uint64(8), (edges & np.uint64(255)).astype(np.uint8)
         out = []
@@ -424,7 +471,7 @@ def answer_edges(sent: DataFrame) -> DataFrame:
             wanted = np.unique(own >> np.uint64(8))
             a, b = np.searchsorted(context, wanted), np.searchsorted(context, wanted, "right")
             pick = np.repeat(a - (np.cumsum(b - a) - (b - a)), b - a) + np.arange(int((b - a).sum()))
-            out.append((row["shard"], row["place"], _packed(b - a, "<u2"), _packed(following[pick], "u1"), _packed(n[pick], "<u8")))
+            out.append((row["shard"], row["place"], _packed(b - a, "<u2"), _packed(following[pick], "u1"), _planes(n[pick], "<u8")))
         return pa.Table.from_batches([_batch(out, _ANSWER)])
 
     return sent.groupBy("place").applyInArrow(run, ANSWER)
@@ -434,11 +481,10 @@ def node_totals(edges: np.ndarray, places: int, answers: dict[int, dict]) -> np.
     """``[edge, d]``: how often the edge's context was followed by a byte that
     shares the first ``d`` bits of the edge's byte (0: by any, 8: by that byte)."""
     out = np.zeros((len(edges), 9), dtype=np.float32)
-    order, used, first = dealt(edges, places)
-    for p, a, b in zip(used.tolist(), first.tolist(), [*first[1:].tolist(), len(order)]):
-        row, mine = answers[p], order[a:b]
+    for p, part in dealt(edges, places):
+        row, mine = answers[p], np.arange(part.start, part.stop)
         sizes, following = _unpacked(row["sizes"], "<u2").astype(np.int64), _unpacked(row["next"], "u1").astype(np.int64)
-        total = np.concatenate([[0], np.cumsum(_unpacked(row["n"], "<u8").astype(np.int64))])
+        total = np.concatenate([[0], np.cumsum(_unplaned(row["n"], "<u8").astype(np.int64))])
         _, context = np.unique(edges[mine] >> np.uint64(8), return_inverse=True)
         ends = np.cumsum(sizes)
         lo, hi = (ends - sizes)[context], ends[context]
@@ -470,22 +516,44 @@ class Model:
         return cls(np.full((GATES, len(ORDERS)), START), np.zeros((MAP, 2)))
 
 
-def log_odds(totals: np.ndarray) -> np.ndarray:
-    """Per node on an edge's way the log-odds of the bit that the edge takes."""
-    return np.log((totals[..., 1:] + np.float32(PRIOR)) / (totals[..., :-1] - totals[..., 1:] + np.float32(PRIOR)))
+@dataclass
+class Views:
+    """What the edges of a shard say of the eight bits on their way: the
+    log-odds of the bit taken, and the gate's part by the whole word so far and
+    by the last five bytes.  The gates do not depend on the bit itself."""
+    odds: np.ndarray
+    by_word: np.ndarray
+    by_five: np.ndarray
+
+
+def _class(n: np.ndarray, bounds: tuple[int, ...]) -> np.ndarray:
+    """How many of the bounds a number reaches."""
+    return sum((n >= np.float32(b)).astype(np.uint8) for b in bounds)
+
+
+def views(totals: np.ndarray, without: int) -> Views:
+    """Views of edges from their node totals, ``without`` so many occurrences of their own."""
+    totals = np.maximum(totals - np.float32(without), 0) if without else totals
+    node, taken = totals[:, :-1], totals[:, 1:]
+    odds = np.log((taken + np.float32(PRIOR)) / (node - taken + np.float32(PRIOR)))
+    alike = (taken == 0) | (taken == node)
+    return Views(odds, 2 * _class(node, _SEEN) + alike, _class(node, _FEW))
+
+
+def _gates(v: Views, which: list[np.ndarray], at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Gate and map row of the bits of some bytes."""
+    word = v.by_word.take(which[-1].take(at), axis=0).astype(np.int64)
+    return word * (len(_FEW) + 1) + v.by_five.take(which[-2].take(at), axis=0), (word >> 1) * 8 + np.arange(8)
 
 
-def gates(word: np.ndarray, five: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Gate and map row of bits, from the node totals of the word so far and
-    the last five bytes.  They do not depend on the bit itself."""
-    seen = np.searchsorted(_SEEN, word[..., :-1], "right")
-    alike = (word[..., 1:] == 0) | (word[..., 1:] == word[..., :-1])
-    few = np.searchsorted(_FEW, five[..., :-1], "right")
-    return (seen * 2 + alike) * (len(_FEW) + 1) + few, seen * 8 + np.arange(8)
+def _mix(weights: np.ndarray, gate: np.ndarray, odds: list[np.ndarray]) -> np.ndarray:
+    """The sum of log-odds, with the gate's weights."""
+    return sum(np.ascontiguousarray(w, dtype=np.float32).take(gate) * o for w, o in zip(weights.T, odds))
 
 
 def _map_place(row: np.ndarray, dot: np.ndarray) -> np.ndarray:
-    return row * STEPS + np.minimum((2 * np.abs(dot)).astype(np.int64), STEPS - 1)
+    """Where a bit's mixed log-odds fall in the flat map."""
+    return 2 * (row * STEPS + np.minimum(2 * np.abs(dot), STEPS - 1).astype(np.int64)) + (dot < 0)
 
 
 def train(which: list[np.ndarray], totals: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -493,38 +561,40 @@ def train(which: list[np.ndarray], totals: np.ndarray, weight: np.ndarray) -> tu
     order fixed by their number: predict without the occurrence itself, then
     learn.  Gives the learned weights, the mass behind each gate, and the map's counts."""
     model, squares, mass = Model.first(), np.full((GATES, len(ORDERS)), 1e-3), np.zeros(GATES)
+    v, refined = views(totals, 1), np.zeros(2 * MAP)
     some = np.flatnonzero(weight > 0)
     some = some[np.random.default_rng(11).permutation(len(some))]
     for a in range(0, len(some), STRIDE):
         at = some[a: a + STRIDE]
-        own = np.stack([np.maximum(totals[w[at]] - 1, 0) for w in which], axis=1)  # byte, predictor, depth
-        s = log_odds(own).transpose(0, 2, 1)  # byte, bit, predictor
-        gate, row = gates(own[:, -1], own[:, -2])
-        dot = (s * model.weights[gate]).sum(axis=2)
+        gate, row = _gates(v, which, at)
+        odds = [v.odds.take(w.take(at), axis=0) for w in which]
+        dot = _mix(model.weights, gate, odds)
         # the share of frequent words is damped: a step is not to follow one word alone
-        much = np.repeat(np.sqrt(weight[at])[:, None], 8, axis=1)
-        error = much / (1 + np.exp(dot))
-        flat, sums = gate.ravel(), np.bincount(gate.ravel(), much.ravel(), minlength=GATES)
-        slope = np.stack([np.bincount(flat, (error * s[:, :, k]).ravel(), minlength=GATES) for k in range(len(ORDERS))], axis=1) / np.maximum(sums, 1)[:, None]
+        much, flat = np.repeat(np.sqrt(weight[at]), 8), gate.ravel()
+        error = much / (1 + np.exp(dot.ravel()))
+        slope = np.stack([np.bincount(flat, error * o.ravel(), minlength=GATES) for o in odds], axis=1)
+        slope /= np.maximum(np.bincount(flat, much, minlength=GATES), 1)[:, None]
         squares += slope**2
         model.weights += RATE * slope / np.sqrt(squares)
-        mass += np.bincount(flat, np.repeat(weight[at], 8), minlength=GATES)
-        np.add.at(model.refined, (_map_place(row, dot).ravel(), (dot < 0).ravel().astype(np.int64)), np.repeat(weight[at], 8) * (dot != 0).ravel())
-    return model.weights, mass, model.refined
-
-
-def unit_bits(s: Stream, which: list[np.ndarray], totals: np.ndarray, model: Model, without: int = 0) -> np.ndarray:
-    """Bits of every unit: the sum over its bytes' bits of -log2 of the refined
-    probability, ``without`` so many occurrences of its own."""
-    cost = np.zeros(len(s.data))
-    went = (model.refined + 0.5) / (model.refined.sum(axis=1, keepdims=True) + 1)
-    for a in range(0, len(s.data), STRIDE):
-        own = np.stack([np.maximum(totals[w[a: a + STRIDE]] - without, 0) for w in which], axis=1)
-        gate, row = gates(own[:, -1], own[:, -2])
-        dot = (log_odds(own).transpose(0, 2, 1) * model.weights[gate]).sum(axis=2)
-        mapped = np.where(dot == 0, 0.5, went[_map_place(row, dot), (dot < 0).astype(np.int64)])
+        often = np.repeat(weight[at], 8)
+        mass += np.bincount(flat, often, minlength=GATES)
+        refined += np.bincount(_map_place(row, dot).ravel(), often * (dot.ravel() != 0), minlength=2 * MAP)
+    return model.weights, mass, refined.reshape(MAP, 2)
+
+
+def unit_bits(s: Stream, which: list[np.ndarray], totals: np.ndarray, model: Model, without: int, wanted: np.ndarray) -> np.ndarray:
+    """Bits of every wanted unit: the sum over its bytes' bits of -log2 of the
+    refined probability, ``without`` so many occurrences of its own; else 0."""
+    some = np.flatnonzero(wanted[s.unit])
+    cost, v = np.zeros(len(s.data)), views(totals, without)
+    went = ((model.refined + 0.5) / (model.refined.sum(axis=1, keepdims=True) + 1)).astype(np.float32).ravel()
+    for a in range(0, len(some), 4 * STRIDE):
+        at = some[a: a + 4 * STRIDE]
+        gate, row = _gates(v, which, at)
+        dot = _mix(model.weights, gate, [v.odds.take(w.take(at), axis=0) for w in which])
+        mapped = np.where(dot == 0, np.float32(0.5), went.take(_map_place(row, dot)))
         p = (1 - MAP_SHARE) / (1 + np.exp(-np.clip(dot, -40, 40))) + MAP_SHARE * mapped
-        cost[a: a + STRIDE] = -np.log2(p).sum(axis=1)
+        cost[at] = -np.log2(p.astype(np.float64)).sum(axis=1)
     return np.bincount(s.unit, cost, minlength=len(s.kind))
 
 
@@ -573,8 +643,9 @@ def averaged(trained: DataFrame) -> Model:
 
 
 def score_units(trained: DataFrame, model: Model, places: int) -> DataFrame:
-    """Per shard the training count of each unit's token, the unit's bits, and
-    its bits without one occurrence."""
+    """Per shard the training count of each unit's token, the unit's bits where
+    a held-out row has it, and its bits without one occurrence where a training
+    row has it."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -582,9 +653,9 @@ def score_units(trained: DataFrame, model: Model, places: int) -> DataFrame:
                 s = stream_of(row)
                 which, edges, _ = shard_edges(s)
                 totals = node_totals(edges, places, {a["place"]: a for a in row["answers"]})
-                bits, own = unit_bits(s, which, totals, model), unit_bits(s, which, totals, model, 1)
+                bits, own = unit_bits(s, which, totals, model, 0, s.held), unit_bits(s, which, totals, model, 1, s.train > 0)
                 counts = np.bincount(s.word_of, s.train).astype(np.int64)[s.word_of]
-                yield _batch([(row["shard"], _packed(counts, "<u8"), _packed(bits, "<f4"), _packed(own, "<f4"))], _SCORED)
+                yield _batch([(row["shard"], _planes(counts, "<u8"), _planes(bits, "<f4"), _planes(own, "<f4"))], _SCORED)
         release()
 
     return trained.drop("learned").mapInArrow(run, SCORED)
@@ -595,11 +666,11 @@ def replies(scored: DataFrame, index: DataFrame) -> DataFrame:
 
     def run(own: pa.Table, asked: pa.Table) -> pa.Table:
         row = own.to_pylist()[0]
-        counts, bits, less = _unpacked(row["counts"], "<u8"), _unpacked(row["bits"], "<f4"), _unpacked(row["own_bits"], "<f4")
+        counts, bits, less = _unplaned(row["counts"], "<u8"), _unplaned(row["bits"], "<f4"), _unplaned(row["own_bits"], "<f4")
         out = []
         for block, raw in zip(asked["block"].to_pylist(), asked["index"].to_pylist()):
             at = _unpacked(raw, "<u4")
-            out.append((block, row["shard"], _packed(counts[at], "<u8"), _packed(bits[at], "<f4"), _packed(less[at], "<f4")))
+            out.append((block, row["shard"], _planes(counts[at], "<u8"), _planes(bits[at], "<f4"), _planes(less[at], "<f4")))
         return pa.Table.from_batches([_batch(out, _REPLY)])
 
     return scored.groupBy("shard").cogroup(index.groupBy("shard")).applyInArrow(run, REPLY)
@@ -636,7 +707,7 @@ def lm_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", h
     tokens, types = (int(v or 0) for v in own.agg(F.sum("tokens"), F.sum("types")).first())
     trained = written(train_shards(own, answer_edges(send_edges(own, shards)), shards), "lm-shards")
     got = replies(score_units(trained, averaged(trained), shards), index).select("block", F.lit(0).alias("what"), F.col("shard").alias("place"), "counts", "bits", "own_bits")
-    whole = table.where("shard IS NULL").select("block", "docs", "held", "n_bytes", "per_doc", "tokens", "hashes")
+    whole = table.where("shard IS NULL").select("block", "docs", "held", "n_bytes", "per_doc", "tokens", "hashes", "heads")
     met = written(answer_follows(send_follows(whole, shards)), "lm-expected")
     went = summed(met.where("block IS NULL").select("went"), 2 * EXPECTED).reshape(EXPECTED, 2) + 0.5
     flag = -np.log2(went / went.sum(axis=1, keepdims=True))
@@ -648,13 +719,13 @@ def lm_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", h
         row = block.to_pylist()[0]
         parts = sorted(zip(*(parts[c].to_pylist() for c in ("what", "place", "counts", "bits", "own_bits"))), key=lambda r: r[:2])
         units, codes = [r[2:] for r in parts if r[0] == 0], [r[3:] for r in parts if r[0] == 1]
-        counts = np.concatenate([_unpacked(c, "<u8") for c, _, _ in units]).astype(np.float64)
-        unit, follow = _unpacked(row["tokens"], "<u4"), distinct_follows(row, shards)[2]
+        counts = np.concatenate([_unplaned(c, "<u8") for c, _, _ in units]).astype(np.float64)
+        unit, follow = _unplaned(row["tokens"], "<u4"), distinct_follows(row, shards)[2]
         held = np.repeat(np.array(row["held"], dtype=bool), _unpacked(row["per_doc"], "<u4"))
 
         def told(full: list[bytes], own: list[bytes], kind: str, at: np.ndarray) -> np.ndarray:
             """Of every token, by whether its row is held out or trained on."""
-            return np.where(held, *(np.concatenate([_unpacked(r, kind) for r in raw])[at] for raw in (full, own)))
+            return np.where(held, *(np.concatenate([_unplaned(r, kind) for r in raw]).take(at) for raw in (full, own)))
 
         bits = told([b for _, b, _ in units], [b for _, _, b in units], "<f4", unit).astype(np.float64)
         code = told([c for c, _ in codes], [c for _, c in codes], "u1", follow)

@@ -98,13 +98,12 @@ def one_shard(units, texts_counts):
     """A shard's stream and its node totals over units ``(word, kind, count)``."""
     words = sorted({w for w, _, _ in units})
     row = {"words": lm._packed(b"\n".join(words)), "word_of": lm._packed(np.array([words.index(w) for w, _, _ in units]), "<u4"),
-           "kinds": lm._packed(np.array([k for _, k, _ in units]), "u1"), "train": lm._packed(np.array([c for _, _, c in units]), "<u8")}
+           "kinds": lm._packed(np.array([k for _, k, _ in units]), "u1"), "train": lm._planes(np.array([2 * c + 1 for _, _, c in units]), "<u8")}
     s = lm.stream_of(row)
     which, edges, seen = lm.shard_edges(s)
     answers = {}
-    order, used, first = lm.dealt(edges, texts_counts)
-    for p, a, b in zip(used.tolist(), first.tolist(), [*first[1:].tolist(), len(order)]):
-        sent = pa.table({"place": [p], "shard": [0], "edges": [lm._packed_keys(edges[order[a:b]])], "n": [lm._packed(seen[order[a:b]], "<u8")]})
+    for p, part in lm.dealt(edges, texts_counts):
+        sent = pa.table({"place": [p], "shard": [0], "edges": [lm._packed_keys(edges[part])], "n": [lm._planes(seen[part], "<u8")]})
         answers[p] = answered(sent)
     return s, which, edges, lm.node_totals(edges, texts_counts, answers)
 
@@ -157,8 +156,8 @@ def test_lm_probabilities_add_up_to_one():
     third = np.flatnonzero(s.place == 2)  # the byte after "ab": of every unit that has one
     cost = np.zeros(len(s.data))
     for i in third:  # the cost of that byte alone
-        alone = lm.Stream(s.data[i: i + 1], np.zeros(1, np.int32), np.zeros(1, np.int64), s.kind[:1], s.train[:1], s.word_of[:1])
-        cost[i] = lm.unit_bits(alone, [w[i: i + 1] for w in which], totals, model)[0]
+        alone = lm.Stream(s.data[i: i + 1], np.zeros(1, np.int32), np.zeros(1, np.int64), s.kind[:1], s.train[:1], s.held[:1], s.word_of[:1])
+        cost[i] = lm.unit_bits(alone, [w[i: i + 1] for w in which], totals, model, 0, np.ones(1, dtype=bool))[0]
     p = {}
     for i in third:
         if s.kind[s.unit[i]] == 0:
