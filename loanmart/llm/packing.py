@@ -1,17 +1,21 @@
 """Harmonic packing of tokenized documents into fixed-length sequences.
 
 A length l belongs to the reciprocal class k = capacity // l, i.e. to
-(capacity / (k + 1), capacity / k]; a bin of class k takes exactly k pieces.
-Documents may be cut, so each is cut into whole sequences and pieces of
-capacity / 2, / 4, / 8, ... tokens: every piece has the upper length of its
-class, and a full bin has no padding.  A worker (task) fills the bins of its
-own partition and needs nothing from any other.  What its last, unfilled bins
-hold is split by the binary digits of the number of pieces; such a sequence
-has a power of two of tokens, which is a length of its own and needs no
-padding either.
+(capacity / (k + 1), capacity / k]; a bin of class k takes exactly k documents.
+A document of at most ``capacity`` tokens goes into its class whole; a longer
+one gives whole sequences first and its remainder then.  What a full bin still
+has room for, at most capacity / (k + 1) tokens for k > 1, is filled with
+tokens cut off a filler: whenever there is none, the next document becomes it.
+So all sequences are full, about a fifth of the tokens are cut, and the other
+documents stay whole.
+
+A worker (task) fills the bins of its own partition and needs nothing from any
+other.  What its last, unfilled bins hold is laid end to end, cut into
+sequences, and the rest of that by its binary digits: a sequence of a power of
+two of tokens is a length of its own and needs no padding either.
 
 No shuffle: the operator is one pass over the documents, and a task holds a
-block of texts and the pieces of at most one open bin per class.
+block of texts, a filler and at most one open bin per class.
 """
 
 from __future__ import annotations
@@ -93,47 +97,69 @@ def with_end(ids: np.ndarray, counts: np.ndarray, end: int = 0) -> tuple[np.ndar
     return out, counts + 1
 
 
-def cuts(total: int, capacity: int) -> list[int]:
-    """Lengths of a document's pieces: whole sequences, then capacity >> j, longest first."""
-    out = [capacity] * (total // capacity)
-    rest, size = total % capacity, capacity >> 1
-    while rest:
-        if size <= rest:
-            out.append(size)
-            rest -= size
-        else:
-            size >>= 1
-    return out
-
-
 class Bins:
-    """The open bin of every class of one worker."""
+    """The open bins of one worker, the filler, and the bins that wait for one.
+    A piece is ``(doc, start, ids, doc_tokens)``."""
 
     def __init__(self, worker: int, capacity: int):
-        self.capacity, self.next, self.open = capacity, worker << 32, {}
+        self.capacity, self.next = capacity, worker << 32
+        self.open: dict[int, list[tuple]] = {}
+        self.filler: tuple | None = None
+        self.waiting: list[list[tuple]] = []
         self.ready: list[tuple] = []
 
     def close(self, pieces: list[tuple]) -> None:
         at = 0
-        for p in pieces:
-            self.ready.append((*p, self.next, at))
-            at += p[2]
+        for doc, start, ids, total in pieces:
+            self.ready.append((doc, start, len(ids), zlib.crc32(ids.tobytes()), total, self.next, at))
+            at += len(ids)
         self.next += 1
 
-    def add(self, piece: tuple) -> None:
-        k = self.capacity // piece[2]
-        held = self.open.setdefault(k, [])
-        held.append(piece)
-        if len(held) == k:
-            self.close(held)
-            self.open[k] = []
+    def add(self, doc: int | None, ids: np.ndarray) -> None:
+        """A document's ids: whole sequences, and what remains."""
+        total, start = len(ids), 0
+        for start in range(self.capacity, total + 1, self.capacity):
+            self.close([(doc, start - self.capacity, ids[start - self.capacity: start], total)])
+        if start == total:
+            return
+        piece = (doc, start, ids[start:].copy(), total)
+        if self.filler is None:
+            self.filler = piece
+        else:
+            k = self.capacity // (total - start)
+            held = self.open.setdefault(k, [])
+            held.append(piece)
+            if len(held) == k:
+                self.waiting.append(self.open.pop(k))
+        self.fill()
+
+    def fill(self) -> None:
+        while self.waiting:
+            room = self.capacity - sum(len(p[2]) for p in self.waiting[-1])
+            if room and self.filler is None:
+                return
+            if room:
+                head, self.filler = cut(self.filler, room)
+                self.waiting[-1].append(head)
+            if room == 0 or len(head[2]) == room:
+                self.close(self.waiting.pop())
 
     def finish(self) -> None:
-        for held in self.open.values():
-            while held:
-                n = 1 << (len(held).bit_length() - 1)
-                self.close(held[:n])
-                held = held[n:]
+        """Close what is left, all of it in full sequences but for the last tokens."""
+        left = [p for held in [*self.waiting, *self.open.values()] for p in held] + [self.filler] * (self.filler is not None)
+        self.waiting, self.open, self.filler = [], {}, None
+        rest = sum(len(p[2]) for p in left)
+        held: list[tuple] = []
+        while rest:
+            room = self.capacity if rest >= self.capacity else 1 << (rest.bit_length() - 1)
+            rest -= room
+            while room:
+                head, tail = cut(left.pop(0), room)
+                left[:0] = [tail] if tail else []
+                held.append(head)
+                room -= len(head[2])
+            self.close(held)
+            held = []
 
     def take(self) -> pa.RecordBatch:
         cols = list(zip(*self.ready)) or [()] * len(_PIECE)
@@ -141,6 +167,12 @@ class Bins:
         return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], schema=_PIECE)
 
 
+def cut(piece: tuple, length: int) -> tuple[tuple, tuple | None]:
+    """The first ``length`` ids of a piece, and the others (None if there are none)."""
+    doc, start, ids, total = piece
+    return (doc, start, ids[:length], total), (doc, start + length, ids[length:], total) if len(ids) > length else None
+
+
 def pack(docs: DataFrame, capacity: int = 1024, path: str = VOCABULARY, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Pieces of all documents in sequences of at most ``capacity`` tokens,
     see PIECE: ``start`` counts a document's ids before the piece, ``length``
@@ -159,12 +191,9 @@ def pack(docs: DataFrame, capacity: int = 1024, path: str = VOCABULARY, id_col:
         bins = Bins(TaskContext.get().partitionId(), capacity)
         for batch in text_blocks(batches, "text"):
             ids, counts = with_end(*encode_block(text_block(batch.column("text")), path))
-            view, at = memoryview(ids).cast("B"), 0
+            at = 0
             for doc, total in zip(batch.column("id").to_pylist(), counts.tolist()):
-                start = 0
-                for n in cuts(total, capacity):
-                    bins.add((doc, start, n, zlib.crc32(view[4 * (at + start): 4 * (at + start + n)]), total))
-                    start += n
+                bins.add(doc, ids[at: at + total])
                 at += total
             yield bins.take()
         bins.finish()

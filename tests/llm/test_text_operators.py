@@ -13,7 +13,7 @@ from loanmart.llm import line_dedup as lines_module
 from loanmart.llm import simhash as sim
 from loanmart.llm.exact_dedup import exact_dedup, tree_merge, digests
 from loanmart.llm.line_dedup import PerfectHash, drop_common_lines, line_dedup
-from loanmart.llm.packing import cuts, pack
+from loanmart.llm.packing import Bins, pack
 from loanmart.llm.pieces import MODEL, decode, encode, encode_round_trip
 from loanmart.llm.token_counts import TOKENIZER, token_counts
 
@@ -61,10 +61,51 @@ def test_token_counts_equal_the_library(spark, odd, docs):
 
 
 # ------------------------------------------------------------------ packing
-def test_cuts_are_powers_of_two():
-    for n in (1, 2, 3, 1023, 1024, 1025, 5000):
-        parts = cuts(n, 1024)
-        assert sum(parts) == n and all(p & (p - 1) == 0 for p in parts)
+def packed(lengths, capacity=1024):
+    """Rows of one worker's bins for documents of these lengths."""
+    bins, rows = Bins(3, capacity), []
+    for i, n in enumerate(lengths):
+        bins.add(i, np.arange(n, dtype="<u4"))
+        rows += bins.take().to_pylist()
+    bins.finish()
+    return rows + bins.take().to_pylist()
+
+
+@pytest.mark.parametrize("lengths", [
+    [1], [1024], [1023, 2], [5000], [700] * 9, [300] * 100, list(range(1, 1500, 7)), [1024, 2048, 4096],
+    np.random.default_rng(2).integers(1, 1025, 3000).tolist(), np.random.default_rng(3).integers(1, 60, 3000).tolist()])
+def test_bins_hold_every_id_once_without_padding(lengths):
+    rows = packed(lengths)
+    seen, fill = {i: [] for i in range(len(lengths))}, Counter()
+    for r in sorted(rows, key=lambda r: (r["sequence_id"], r["offset"])):
+        assert fill[r["sequence_id"]] == r["offset"] and r["length"] > 0
+        fill[r["sequence_id"]] += r["length"]
+        seen[r["doc_id"]].append((r["start"], r["length"]))
+        assert r["ids_crc32"] == zlib.crc32(np.arange(r["start"], r["start"] + r["length"], dtype="<u4").tobytes())
+    for i, n in enumerate(lengths):
+        at = 0
+        for start, length in sorted(seen[i]):
+            assert start == at
+            at += length
+        assert at == n
+    short = sorted(n for n in fill.values() if n != 1024)
+    assert max(fill.values()) <= 1024 and all(n & (n - 1) == 0 for n in short) and sum(short) < 1024
+
+
+def test_most_documents_stay_whole():
+    """Of documents that fit a sequence; a bin of class k holds k of them and a filler's cut."""
+    lengths = np.random.default_rng(5).integers(1, 1025, 5000).tolist()
+    rows = packed(lengths)
+    whole = sum(r["length"] == r["doc_tokens"] for r in rows)
+    assert whole > 0.65 * len(lengths)
+    by_sequence = {}
+    for r in rows:
+        by_sequence.setdefault(r["sequence_id"], []).append(r)
+    for held in by_sequence.values():
+        classes = {1024 // r["length"] for r in held if r["length"] == r["doc_tokens"]}
+        if len(classes) == 1:
+            k = classes.pop()
+            assert sum(r["length"] == r["doc_tokens"] for r in held) <= k
 
 
 def test_packing_round_trip(spark, odd, docs):
@@ -73,20 +114,29 @@ def test_packing_round_trip(spark, odd, docs):
     t = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
     for df in (odd, docs.repartition(4)):
         got = pack(df).toPandas()
+        pieces, tokens = Counter(), {}
+        for r in got.itertuples():
+            pieces[None if np.isnan(r.doc_id) else int(r.doc_id), r.doc_tokens] += r.length
+            tokens.setdefault((None if np.isnan(r.doc_id) else int(r.doc_id), r.start, r.length), []).append(r.ids_crc32)
         want = Counter()
+        crcs = {}
         for i, x in texts(df):
             ids = np.array([*t.encode(x, add_special_tokens=False).ids, 0], dtype="<u4")
-            start = 0
-            for n in cuts(len(ids), 1024):
-                want[-1 if i is None else i, start, n, zlib.crc32(ids[start: start + n].tobytes()), len(ids)] += 1
-                start += n
-        rows = got.fillna({"doc_id": -1}).astype("int64")
-        assert Counter(zip(rows.doc_id, rows.start, rows.length, rows.ids_crc32, rows.doc_tokens)) == want
-        rows = rows.sort_values(["sequence_id", "offset"])
-        place = rows.groupby("sequence_id").length.cumsum() - rows.length
-        assert (place == rows.offset).all()
-        total = rows.groupby("sequence_id").length.sum()
-        assert total.max() <= 1024 and all(x & (x - 1) == 0 for x in total)  # no padding at all
+            want[i, len(ids)] += len(ids)
+            crcs.setdefault(i, []).append(ids)
+        assert pieces == want
+        for (i, start, length), found in tokens.items():
+            may = [zlib.crc32(ids[start: start + length].tobytes()) for ids in crcs[i] if len(ids) >= start + length]
+            assert set(found) <= set(may)
+        for i, all_ids in crcs.items():
+            if len(all_ids) == 1:  # the id names one document: its pieces tile it
+                mine = sorted(k[1:] for k in tokens if k[0] == i)
+                assert all(len(tokens[(i, *k)]) == 1 for k in mine)
+                assert [a for a, _ in mine] == [0, *np.cumsum([n for _, n in mine])[:-1]]
+        size = got.groupby("sequence_id").length.sum()
+        assert size.max() <= 1024 and all(n == 1024 or n & (n - 1) == 0 for n in size)
+        for _, rows in got.sort_values("offset").groupby("sequence_id"):
+            assert (rows.offset == rows.length.cumsum() - rows.length).all()
     assert pack(empty(spark)).count() == 0
 
 
