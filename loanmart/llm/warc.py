@@ -40,20 +40,21 @@ TASK_BYTES = 32 << 20
 BUFFER_BYTES = 1 << 20
 
 
-def record_id(key) -> str:
-    return f"<urn:page:{'null' if key is None else key}>"
-
-
 def sha1_label(payload: bytes) -> str:
     return "sha1:" + base64.b32encode(hashlib.sha1(payload).digest()).decode()
 
 
+def one_line(url: str | None) -> str | None:
+    """A URL as a header can hold it."""
+    return None if url is None else "".join(url.splitlines())
+
+
 def encode_record(rid: str, url: str | None, kind: str, payload: bytes | None, digest: str, refers_to: str | None) -> bytes:
     """One gzip member: WARC headers, an HTTP header block, the payload."""
     http = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n\r\n"
     body = http + (payload or b"")
     head = [("WARC-Type", kind), ("WARC-Record-ID", rid), ("WARC-Date", "1970-01-01T00:00:00Z"),
-            ("WARC-Target-URI", "".join((url or "").splitlines())), ("WARC-Payload-Digest", digest)]
+            ("WARC-Target-URI", one_line(url) or ""), ("WARC-Payload-Digest", digest)]
     if refers_to is not None:
         head += [("WARC-Refers-To", refers_to),
                  ("WARC-Profile", "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest")]
@@ -92,7 +93,7 @@ def write_archives(records: DataFrame, folder: str) -> DataFrame:
                     fs.create_dir(path, recursive=True)
                     out = fs.open_output_stream(f"{path}/{name}", compression=None, buffer_size=BUFFER_BYTES)
                 out.write(data)
-                index.append((f"{folder}/{name}", at, len(data), row["url"], digest, row["record_id"], kind))
+                index.append((f"{folder}/{name}", at, len(data), one_line(row["url"]), digest, row["record_id"], kind))
                 at += len(data)
             if index:
                 yield pa.RecordBatch.from_arrays([pa.array(c) if i != 3 else pa.array(c, pa.string()) for i, c in enumerate(zip(*index))], names=_INDEX)
@@ -149,9 +150,11 @@ def page_records(pages: DataFrame, min_bytes: int = 1000) -> DataFrame:
     """Rows for ``write_archives``, one per page: equal payloads of at least
     ``min_bytes`` bytes become one response (the largest page_id) and revisits.
 
-    Payloads are equal when length and SHA-256 agree.  Pages that repeat the
-    page_id of the response are revisits of nothing: they are responses too.
-    A null page_id is never the response of a group that has another id.
+    Payloads are equal when length and SHA-256 agree.  A record is named by its
+    page_id and its payload's SHA-256, so pages that share a page_id, or have
+    none, stay apart.  Pages that repeat page_id and payload of the response
+    are revisits of nothing: they are responses too.  A null page_id is never
+    the response of a group that has another id.
     """
     html = F.coalesce(F.col("html").cast("string"), F.lit(""))
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), html.cast("binary").alias("payload"))
@@ -159,7 +162,7 @@ def page_records(pages: DataFrame, min_bytes: int = 1000) -> DataFrame:
     first = (keyed.where(F.col("size") >= min_bytes).groupBy("sha", "size")
              .agg(F.max("page_id").alias("first"), F.count("*").alias("n")).where("n > 1").select("sha", "size", "first"))
     revisit = F.col("first").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("first"))
-    name = lambda c: F.concat(F.lit("<urn:page:"), F.coalesce(c.cast("string"), F.lit("null")), F.lit(">"))
+    name = lambda c: F.concat(F.lit("<urn:page:"), F.coalesce(c.cast("string"), F.lit("null")), F.lit(":"), F.lower(F.hex("sha")), F.lit(">"))
     return keyed.join(first, ["sha", "size"], "left").select(
         name(F.col("page_id")).alias("record_id"), "url", F.when(revisit, "revisit").otherwise("response").alias("record_type"),
         F.when(revisit, name(F.col("first"))).alias("refers_to"), "payload")
@@ -178,7 +181,7 @@ def pages_round_trip(pages: DataFrame, min_bytes: int = 1000) -> DataFrame:
     spark = pages.sparkSession
     bound_batches(spark)
     index = write_archives(page_records(pages, min_bytes), scratch(spark, "warc"))
-    page = lambda c: F.regexp_extract(c, r"^<urn:page:(-?\d+)>$", 1)
+    page = lambda c: F.regexp_extract(c, r"^<urn:page:(-?\d+):", 1)
     number = lambda c: F.when(page(c) != "", page(c).cast("long"))
     got = read_records(index).select(
         "record_id", "record_type", "refers_to", "digest", F.octet_length("payload").cast("long").alias("size"), F.sha1("payload").alias("sha1"))
