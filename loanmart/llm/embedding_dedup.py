@@ -1,6 +1,6 @@
 """Embedding near-dedup with a robust-pruned flat graph.
 
-1. Equal vectors are one node that carries their number.
+1. Equal vectors are one node that carries their number and smallest id.
 2. Centroids, fitted on a bounded sample of the nodes, give overlapping
    shards: a node belongs to its ``OVERLAP`` nearest centroids, the nearest is
    its home.  Shards beyond ``BLOCK`` nodes are dealt to pairs of blocks, so a
@@ -17,7 +17,10 @@
    every block that can hold a neighbour (a bound from the centroids).
 5. What is found is verified by the cosine in double precision.  A task
    returns each node's number of links and a spanning forest of them, never
-   the pairs.  ``audit_recall`` measures the links found against brute force.
+   the pairs.
+6. Recall is audited: the links of some nodes, a bounded number, are held
+   against those by comparison with all nodes.  Below ``RECALL`` the search is
+   done again with twice the overlap and beam, and in the end it raises.
 """
 
 from __future__ import annotations
@@ -26,7 +29,8 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark import TaskContext
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import bound_batches, components, written
@@ -44,6 +48,8 @@ CROWD, CROWD_BLOCK = 64, 8192
 EXPANDED = 1 << 20
 #: Nodes this much below the threshold are still expanded.
 SLACK = 0.05
+#: Least recall, audited nodes of all and of those with links, and by what overlap and beam grow.
+RECALL, AUDITED, WIDER = 0.9, 128, (1, 2, 4)
 MEMBER = "shard int, home boolean, node long, vector binary, copies long"
 _MEMBER = pa.schema([("shard", pa.int32()), ("home", pa.bool_()), ("node", pa.int64()), ("vector", pa.binary()), ("copies", pa.int64())])
 LIST = "node long, near array<long>, close array<long>, linked array<long>, crowded boolean"
@@ -54,27 +60,34 @@ UNIT = "low int, high int, own int, node long, vector binary, copies long"
 _UNIT = pa.schema([("low", pa.int32()), ("high", pa.int32()), ("own", pa.int32()), ("node", pa.int64()), ("vector", pa.binary()), ("copies", pa.int64())])
 
 
+def _values(column) -> Column:
+    """Components as doubles; a negative zero equals a zero."""
+    return F.transform(column, lambda x: x.cast("double") + F.lit(0.0))
+
+
 def unit_nodes(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
-    """``(node, vector, copies)``: distinct valid vectors by their smallest id,
-    as double unit vectors in binary."""
-    v = F.transform(F.col(vector_col), lambda x: x.cast("double"))
+    """``(node, least, v, vector, copies)``: distinct valid vectors ``v`` under a
+    number of their own, with their smallest id, and as double unit vectors in
+    binary.  The numbers hold for one evaluation: write the frame before use."""
+    v = _values(F.col(vector_col))
     bad = v.isNull() | F.exists(v, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
     rows = vectors.select(F.col(id_col).cast("long").alias("id"), F.when(~F.coalesce(bad, F.lit(True)), v).alias("v"))
     rows = rows.where("v IS NOT NULL AND id IS NOT NULL").where(F.exists("v", lambda x: x != 0))
-    # a negative zero equals a zero
-    rows = rows.withColumn("v", F.transform("v", lambda x: x + F.lit(0.0)))
 
     def unit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        name = TaskContext.get().partitionId() << 40
         for batch in batches:
             out = []
             for v in batch.column("v").to_pylist():
                 x = np.array(v, dtype=np.float64)
                 x = x / np.abs(x).max()
                 out.append((x / np.sqrt(x @ x)).tobytes())
-            yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(out, pa.binary()), batch.column("copies")], names=["node", "vector", "copies"])
+            names = pa.array(np.arange(name, name + batch.num_rows), pa.int64())
+            name += batch.num_rows
+            yield pa.RecordBatch.from_arrays([names, batch.column("least"), batch.column("v"), pa.array(out, pa.binary()), batch.column("copies")], names=["node", "least", "v", "vector", "copies"])
 
-    groups = rows.groupBy("v").agg(F.min("id").alias("node"), F.count("*").alias("copies"))
-    return groups.select("node", "v", "copies").mapInArrow(unit, "node long, vector binary, copies long")
+    groups = rows.groupBy("v").agg(F.min("id").alias("least"), F.count("*").alias("copies"))
+    return groups.select("least", "v", "copies").mapInArrow(unit, "node long, least long, v array<double>, vector binary, copies long")
 
 
 def matrix(column) -> np.ndarray:
@@ -86,8 +99,8 @@ def matrix(column) -> np.ndarray:
 
 
 def centroids(nodes: DataFrame, n: int, size: int | None = None) -> np.ndarray:
-    """Spherical k-means over a bounded sample (the smallest hashes of the ids), one centroid per ``size`` nodes."""
-    sample = matrix(nodes.select("node", "vector").orderBy(F.xxhash64("node"), "node").limit(SAMPLE).select("vector").toArrow()["vector"])
+    """Spherical k-means over a bounded sample (the smallest hashes of the vectors), one centroid per ``size`` nodes."""
+    sample = matrix(nodes.select("vector").orderBy(F.xxhash64("vector"), "vector").limit(SAMPLE).toArrow()["vector"])
     k = min(MOST_CENTROIDS, -(-n // (size or SHARD)), len(sample))
     centre = sample[:k].copy()
     for _ in range(ROUNDS):
@@ -99,12 +112,12 @@ def centroids(nodes: DataFrame, n: int, size: int | None = None) -> np.ndarray:
     return centre
 
 
-def shards(nodes: DataFrame, centre: np.ndarray) -> DataFrame:
+def shards(nodes: DataFrame, centre: np.ndarray, overlap: int = OVERLAP) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for a in range(0, batch.num_rows, 1024):
                 part = batch.slice(a, 1024)
-                near = np.argsort(-(matrix(part.column("vector")) @ centre.T), axis=1, kind="stable")[:, :OVERLAP]
+                near = np.argsort(-(matrix(part.column("vector")) @ centre.T), axis=1, kind="stable")[:, :overlap]
                 for j in range(near.shape[1]):
                     yield pa.RecordBatch.from_arrays([pa.array(near[:, j], pa.int32()), pa.array(np.full(len(near), j == 0)), part.column("node").cast(pa.int64()), part.column("vector").cast(pa.binary()), part.column("copies").cast(pa.int64())], schema=_MEMBER)
 
@@ -180,16 +193,14 @@ def build(members: DataFrame, least: float, threshold: float) -> DataFrame:
 
 def crowd(lists: DataFrame) -> DataFrame | None:
     """``(node)``: crowded nodes and all that links of the lists reach from them; None if there are none."""
-    hot = new = written(lists.where("crowded").select("node"), "vector-crowd")
-    if not new.count():
+    hot = written(lists.where("crowded").select("node"), "vector-crowd")
+    if not hot.count():
         return None
-    pairs = lists.select("node", F.explode("linked").alias("other"))
-    pairs = written(pairs.unionByName(pairs.select(F.col("other").alias("node"), F.col("node").alias("other"))), "vector-reach")
-    while True:
-        new = written(pairs.join(new, "node", "left_semi").select(F.col("other").alias("node")).distinct().join(hot, "node", "left_anti"), "vector-crowd")
-        if not new.count():
-            return hot
-        hot = written(hot.unionByName(new), "vector-crowd")
+    pairs = lists.select(F.col("node").alias("a"), F.explode("linked").alias("b"))
+    reached = components(pairs, "vector-reach")
+    whole = reached.join(hot, F.col("id") == F.col("node"), "left_semi").select("component").distinct()
+    near = reached.join(whole, "component", "left_semi").select(F.col("id").alias("node"))
+    return written(hot.unionByName(near).distinct(), "vector-crowd")
 
 
 def leaves(centre: np.ndarray, size: np.ndarray, most: int) -> np.ndarray:
@@ -287,14 +298,14 @@ def medoids(x: np.ndarray) -> np.ndarray:
     return np.unique([p[(x[p] @ x[p].mean(axis=0)).argmax()] for p in parts])
 
 
-def greedy(x: np.ndarray, graph: np.ndarray, query: np.ndarray, seen: np.ndarray, start: np.ndarray, least: float) -> list[tuple[np.ndarray, ...]]:
+def greedy(x: np.ndarray, graph: np.ndarray, query: np.ndarray, seen: np.ndarray, start: np.ndarray, least: float, width: int = BEAM) -> list[tuple[np.ndarray, ...]]:
     """Beam search for the nodes ``query`` at once, from the medoids ``start``:
     all (place in ``query``, node, cosine) met with a cosine of at least
     ``least``; marks ``seen[query, node]``."""
     q = len(query)
-    beam = np.full((q, BEAM), -1, dtype=np.int64)
-    score = np.full((q, BEAM), -np.inf)
-    open_ = np.zeros((q, BEAM), dtype=bool)
+    beam = np.full((q, width), -1, dtype=np.int64)
+    score = np.full((q, width), -np.inf)
+    open_ = np.zeros((q, width), dtype=bool)
     m = len(start)
     beam[:, :m], score[:, :m], open_[:, :m] = start, x[query] @ x[start].T, True
     seen[:, start] = True
@@ -319,16 +330,16 @@ def greedy(x: np.ndarray, graph: np.ndarray, query: np.ndarray, seen: np.ndarray
         ids = np.concatenate([beam[live], np.where(new, near, -1)], axis=1)
         vals = np.concatenate([score[live], value], axis=1)
         opens = np.concatenate([open_[live], new], axis=1)
-        top = np.argsort(-vals, axis=1, kind="stable")[:, :BEAM]
+        top = np.argsort(-vals, axis=1, kind="stable")[:, :width]
         beam[live], score[live] = np.take_along_axis(ids, top, axis=1), np.take_along_axis(vals, top, axis=1)
         open_[live] = np.take_along_axis(opens, top, axis=1)
 
 
-def in_range(x: np.ndarray, graph: np.ndarray, query: np.ndarray, start: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray]:
+def in_range(x: np.ndarray, graph: np.ndarray, query: np.ndarray, start: np.ndarray, threshold: float, width: int = BEAM) -> tuple[np.ndarray, np.ndarray]:
     """Pairs (place in ``query``, node) with a cosine of at least ``threshold``:
     a greedy search, then expansion over all nodes nearly in range."""
     seen = np.zeros((len(query), len(x)), dtype=bool)
-    who, what, value = (np.concatenate(c) for c in zip(*greedy(x, graph, query, seen, start, threshold - SLACK)))
+    who, what, value = (np.concatenate(c) for c in zip(*greedy(x, graph, query, seen, start, threshold - SLACK, width)))
     found = [(who[value >= threshold], what[value >= threshold])]
     step = max(1, EXPANDED // graph.shape[1])
     while len(who):
@@ -364,7 +375,7 @@ def forest(a: np.ndarray, b: np.ndarray, n: int) -> list[tuple[int, int]]:
     return out
 
 
-def search(rows: DataFrame, threshold: float) -> DataFrame:
+def search(rows: DataFrame, threshold: float, width: int = BEAM) -> DataFrame:
     """Of every home node that is not ``hot`` ``links``, summed over its rows, and
     edges to ``other`` nodes; a hot node that is found gets its link from there."""
 
@@ -391,7 +402,7 @@ def search(rows: DataFrame, threshold: float) -> DataFrame:
         links, edges = np.zeros(len(node), dtype=np.int64), []
         for a in range(0, len(query), 128):
             some = query[a: a + 128]
-            q, v = in_range(x, graph, some, start, threshold)
+            q, v = in_range(x, graph, some, start, threshold, width)
             q = some[q]
             # in a pair of two blocks only links between them count, the others are the blocks' own
             fits = (q != v) & ((low[0] == high[0]) | (own[q] != own[v]))
@@ -405,6 +416,48 @@ def search(rows: DataFrame, threshold: float) -> DataFrame:
     return rows.groupBy("shard", "low", "high").applyInArrow(run, FOUND)
 
 
+def find_links(nodes: DataFrame, n: int, threshold: float, wide: int = 1) -> DataFrame:
+    """Links (see FOUND) of all nodes, with ``wide`` times the overlap and beam."""
+    members = written(dealt(shards(nodes, centroids(nodes, n), OVERLAP * wide)), "vector-members")
+    lists = written(build(members, threshold - 2 * SLACK, threshold), "vector-lists")
+    hot = crowd(lists)
+    lists = lists.withColumn("hot", F.lit(False)) if hot is None else lists.join(hot.withColumn("hot", F.lit(True)), "node", "left").fillna(False, ["hot"])
+    # close neighbours outside the shard join the block whose node names them
+    mine = members.where("home AND low = high").join(lists.where("NOT hot AND size(close) > 0"), "node")
+    outside = mine.select("shard", F.col("own"), F.explode(F.array_union("close", "linked")).alias("node")).distinct()
+    outside = outside.join(members.select("shard", "node").distinct(), ["shard", "node"], "left_anti")
+    outside = outside.join(nodes, "node").select("shard", F.col("own").alias("low"), F.col("own").alias("high"), "own", F.lit(False).alias("home"), "node", "vector", "copies")
+    rows = members.unionByName(outside).join(lists.select("node", "near", "hot"), "node", "left")
+    found = search(rows, threshold, BEAM * wide)
+    if hot is not None:
+        found = found.unionByName(crowd_links(written(nodes.join(hot, "node", "left_semi"), "vector-crowded"), threshold))
+    return written(found, "vector-links")
+
+
+def audit_recall(nodes: DataFrame, found: DataFrame, threshold: float, audited: int = AUDITED) -> float:
+    """Links found over true links, of ``audited`` nodes of all and as many of
+    those with links (the smallest hashes of their vectors), each compared with
+    every node, in blocks."""
+    linked = nodes.join(found.select("node").distinct(), "node", "left_semi")
+    some = [rows.select("node", "vector", "copies").orderBy(F.xxhash64("vector"), "vector").limit(audited) for rows in (nodes, linked)]
+    query = some[0].union(some[1]).distinct().toArrow()
+    ids, q, copies = query["node"].to_numpy(), matrix(query["vector"]), query["copies"].to_numpy()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(len(ids), dtype=np.int64)
+        for batch in batches:
+            for a in range(0, batch.num_rows, 4096):
+                part = batch.slice(a, 4096)
+                total += ((q @ matrix(part.column("vector")).T) >= threshold) @ part.column("copies").to_numpy()
+        yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(total)], names=["node", "n"])
+
+    near = nodes.select("vector", "copies").mapInArrow(run, "node long, n long").groupBy("node").agg(F.sum("n").alias("n"))
+    own = found.groupBy("node").agg(F.sum("links").alias("links"))
+    rows = {r.node: (r.n, r.links or 0) for r in near.join(own, "node", "left").collect()}  # one per audited node
+    true = sum(rows[i][0] - c for i, c in zip(ids.tolist(), copies.tolist()))
+    return sum(min(rows[i][0] - c, rows[i][1]) for i, c in zip(ids.tolist(), copies.tolist())) / true if true else 1.0
+
+
 def near_vectors(vectors: DataFrame, threshold: float = 0.95, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
     """``(id, n_links, component_id, kept)`` per row: the number of other
     vectors found with a cosine of at least ``threshold``, the smallest id that
@@ -413,7 +466,8 @@ def near_vectors(vectors: DataFrame, threshold: float = 0.95, id_col: str = "vec
     A vector that is null, zero, or holds null or non-finite components links
     with nothing.  Equal vectors link with each other; rows that repeat an id
     are vectors of their own.  A row with a null id links with nothing and has
-    a null component.  Vectors of different lengths raise.
+    a null component.  Vectors of different lengths raise, and so does a search
+    that finds too few of the audited links.
     """
     bound_batches(vectors.sparkSession)
     nodes = written(unit_nodes(vectors, id_col, vector_col), "vector-nodes")
@@ -421,46 +475,21 @@ def near_vectors(vectors: DataFrame, threshold: float = 0.95, id_col: str = "vec
     if not n:
         empty = vectors.select(F.col(id_col).cast("long").alias(id_col))
         return empty.select(id_col, F.lit(0).cast("long").alias("n_links"), F.col(id_col).alias("component_id"), F.col(id_col).isNotNull().alias("kept"))
-    members = written(dealt(shards(nodes, centroids(nodes, n))), "vector-members")
-    lists = written(build(members, threshold - 2 * SLACK, threshold), "vector-lists")
-    hot = crowd(lists)
-    lists = lists.withColumn("hot", F.lit(False)) if hot is None else lists.join(hot.withColumn("hot", F.lit(True)), "node", "left").fillna(False, ["hot"])
-    # close neighbours outside the shard join the block whose node names them
-    mine = members.where("home AND low = high").join(lists.where("NOT hot AND size(close) > 0"), "node")
-    outside = mine.select("shard", F.col("own"), F.explode(F.array_union("close", "linked")).alias("node")).distinct()
-    outside = outside.join(members.select("shard", "node").distinct(), ["shard", "node"], "left_anti")
-    outside = outside.join(nodes, "node").select("shard", F.col("own").alias("low"), F.col("own").alias("high"), "own", F.lit(False).alias("home"), "node", "vector", "copies")
-    rows = members.unionByName(outside).join(lists.select("node", "near", "hot"), "node", "left")
-    found = search(rows, threshold)
-    if hot is not None:
-        found = found.unionByName(crowd_links(written(nodes.join(hot, "node", "left_semi"), "vector-crowded"), threshold))
-    found = written(found, "vector-links")
+    for wide in WIDER:
+        found = find_links(nodes, n, threshold, wide)
+        recall = audit_recall(nodes, found, threshold)
+        if recall >= RECALL:
+            break
+    else:
+        raise RuntimeError(f"only {recall:.3f} of the audited links are found")
     counts = found.where("other IS NULL").groupBy("node").agg(F.sum("links").alias("links"))
-    linked = components(found.where("other IS NOT NULL").select(F.col("node").alias("a"), F.col("other").alias("b")), "vector")
-    named = nodes.drop("vector").join(counts, "node", "left").join(linked.withColumnRenamed("id", "node"), "node", "left")
-    named = named.select("node", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"), F.coalesce("component", "node").alias("component_id"))
+    linked = components(found.where("other IS NOT NULL").select(F.col("node").alias("a"), F.col("other").alias("b")), "vector").withColumnRenamed("id", "node")
+    smallest = linked.join(nodes.select("node", "least"), "node").groupBy("component").agg(F.min("least").alias("component_id"))
+    linked = linked.join(smallest, "component").drop("component")
+    named = nodes.drop("vector").join(counts, "node", "left").join(linked, "node", "left")
+    named = named.select("v", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"), F.coalesce("component_id", "least").alias("component_id"))
     # from a row to its node: by the vector itself
-    rows = vectors.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).alias("v"))
-    first = rows.where("id IS NOT NULL").groupBy(F.transform("v", lambda x: x.cast("double") + F.lit(0.0)).alias("w")).agg(F.min("id").alias("node"))
-    placed = rows.withColumn("w", F.when(F.col("id").isNotNull(), F.transform("v", lambda x: x.cast("double") + F.lit(0.0)))).join(first, "w", "left").join(named, "node", "left")
+    rows = vectors.select(F.col(id_col).cast("long").alias("id"), F.when(F.col(id_col).isNotNull(), _values(F.col(vector_col))).alias("v"))
+    placed = rows.join(named, "v", "left")
     return placed.select(F.col("id").alias(id_col), F.coalesce("n_links", F.lit(0).cast("long")).alias("n_links"),
                          F.coalesce("component_id", "id").alias("component_id"), F.coalesce(F.col("id") == F.coalesce("component_id", "id"), F.lit(False)).alias("kept"))
-
-
-def audit_recall(vectors: DataFrame, result: DataFrame, threshold: float = 0.95, every: int = 100, id_col: str = "vec_id", vector_col: str = "embedding") -> float:
-    """Links found over true links, for the vectors whose id is divisible by
-    ``every``: these are compared with all vectors, in blocks."""
-    query = unit_nodes(vectors.where(F.col(id_col) % every == 0), id_col, vector_col).toArrow()
-    if not query.num_rows:
-        return 1.0
-    ids, q = query["node"].to_numpy(), matrix(query["vector"])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(len(ids), dtype=np.int64)
-        for batch in batches:
-            total += ((q @ matrix(batch.column("vector")).T) >= threshold) @ batch.column("copies").to_numpy()
-        yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(total)], names=["id", "n"])
-
-    true = unit_nodes(vectors, id_col, vector_col).mapInArrow(run, "id long, n long").groupBy("id").agg((F.sum("n") - 1).alias("true"))
-    got = true.join(result.select(F.col(id_col).alias("id"), "n_links"), "id").agg(F.sum("true"), F.sum(F.least("true", "n_links"))).first()
-    return got[1] / got[0] if got[0] else 1.0
