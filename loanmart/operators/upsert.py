@@ -1,10 +1,10 @@
 """Upsert by key (K5) with key checks (V3).
 
-A frame's new state is ``target ⋉̸ source ∪ source``.  A catalog table is laid
-out in hash buckets of its key, one partition each, and an upsert rewrites
-only the buckets that hold a key of the source: the rows of those buckets and
-the source meet by bucket in one shuffle, and dynamic partition overwrite
-puts the new buckets in the place of the old ones.
+A frame's new state is ``target ⋉̸ source ∪ source``.  A catalog table is a view
+of its columns over a data table in hash buckets of its key, one partition
+each, and an upsert rewrites only the buckets that hold a key of the source:
+the rows of those buckets and the source meet by bucket in one shuffle, and
+dynamic partition overwrite puts the new buckets in the place of the old ones.
 """
 
 from __future__ import annotations
@@ -52,16 +52,18 @@ def _sound_source(source: DataFrame, key: Sequence[str], on_duplicate: str, orde
         if order_col is None:
             raise ValueError("on_duplicate='latest' needs order_col")
         return keep_first(source, key, order_col)
-    if on_duplicate != "error":
+    if on_duplicate == "error":
+        assert_unique(source, key)
+    elif on_duplicate != "checked":
         raise ValueError(on_duplicate)
-    assert_unique(source, key)
     return source
 
 
 def upsert(target: DataFrame, source: DataFrame, key: Sequence[str],
            on_duplicate: str = "error", order_col: str | None = None) -> DataFrame:
     """K5 (+ V3).  ``on_duplicate``: 'error' raises on repeated source keys
-    (Q18); 'latest' keeps the row with the greatest ``order_col``."""
+    (Q18); 'latest' keeps the row with the greatest ``order_col``; 'checked'
+    says that V3 has been done."""
     return merge_frames(target, _sound_source(source, key, on_duplicate, order_col), key)
 
 
@@ -75,12 +77,29 @@ def _property(spark: SparkSession, table: str, name: str) -> str | None:
     return rows[0]["value"] if rows else None
 
 
-def create_bucketed_table(spark: SparkSession, table: str, ddl: str, key: Sequence[str], buckets: int) -> None:
-    """An empty table (K7) partitioned by ``buckets`` hash buckets of its key."""
-    spark.sql(f"CREATE TABLE {table} ({ddl}, {BUCKET} INT) USING parquet PARTITIONED BY ({BUCKET}) "
+def data_table(table: str) -> str:
+    """The table that holds the buckets of ``table``."""
+    return f"{table}__buckets"
+
+
+def _create_buckets(spark: SparkSession, name: str, ddl: str, key: Sequence[str], buckets: int) -> None:
+    spark.sql(f"CREATE TABLE {name} ({ddl}, {BUCKET} INT) USING parquet PARTITIONED BY ({BUCKET}) "
               f"TBLPROPERTIES ('{_BUCKETS}' = '{buckets}', '{_KEY}' = '{','.join(key)}')")
 
 
+def _show(spark: SparkSession, table: str) -> None:
+    """The view of a data table's own columns."""
+    data = data_table(table)
+    names = ", ".join(f"`{c}`" for c in spark.table(data).columns if c != BUCKET)
+    spark.sql(f"CREATE VIEW {table} AS SELECT {names} FROM {data}")
+
+
+def create_bucketed_table(spark: SparkSession, table: str, ddl: str, key: Sequence[str], buckets: int) -> None:
+    """An empty table (K7) in ``buckets`` hash buckets of its key."""
+    _create_buckets(spark, data_table(table), ddl, key, buckets)
+    _show(spark, table)
+
+
 def _overwrite_buckets(rows: DataFrame, table: str) -> None:
     """Replace exactly the partitions that ``rows`` holds."""
     with session_setting(rows.sparkSession, "spark.sql.sources.partitionOverwriteMode", "dynamic"):
@@ -112,28 +131,33 @@ def upsert_table(spark: SparkSession, table: str, source: DataFrame, key: Sequen
     path = scratch_path(spark, "upsert-stage")
     source.write.parquet(path)
     staged = spark.read.schema(source.schema).parquet(path)
-    if not spark.catalog.tableExists(table):
-        columns = ddl or ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in source.schema.fields)
+    data, there = data_table(table), spark.catalog.tableExists(table)
+    columns = ddl or ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in source.schema.fields)
+    schema = spark.table(table).schema if there else spark.createDataFrame([], columns).schema
+    extra = [order_col] if order_col and order_col not in schema.names else []
+    typed = staged.select(*[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in schema.fields], *extra)
+    sound = _sound_source(typed, key, on_duplicate, order_col).drop(*extra)
+    if not there:
         create_bucketed_table(spark, table, columns, key, buckets or max(LEAST_BUCKETS, staged.count() // BUCKET_ROWS + 1))
-    held = _property(spark, table, _KEY)
+    held = _property(spark, data, _KEY) if spark.catalog.tableExists(data) else None
     if held != ",".join(key):
         raise ValueError(f"{table} is laid out by {held or 'no key'}, not by {','.join(key)}")
-    n = int(_property(spark, table, _BUCKETS))
-    target = spark.table(table)
-    fields = {f.name: f.dataType for f in target.schema.fields}
-    extra = [order_col] if order_col and order_col not in fields else []
-    typed = staged.select(*[F.col(c).cast(t).alias(c) for c, t in fields.items() if c != BUCKET], *extra)
-    sound = _sound_source(typed, key, on_duplicate, order_col).drop(*extra).select("*", _bucket(key, n))
+    sound = sound.select("*", _bucket(key, int(_property(spark, data, _BUCKETS))))
     touched = [r[0] for r in sound.select(BUCKET).distinct().collect()]  # at most one number per bucket
     if touched:
-        _overwrite_buckets(merge_buckets(target.where(F.col(BUCKET).isin(touched)), sound, key), table)
+        _overwrite_buckets(merge_buckets(spark.table(data).where(F.col(BUCKET).isin(touched)), sound, key), data)
 
 
 def rebucket(spark: SparkSession, table: str, key: Sequence[str], buckets: int) -> None:
     """Lay a table out anew: in more buckets, by another key, or a plain table
     in buckets at all.  Rewrites it once, beside the old one, and takes its name."""
-    rows, new = warehouse_table(spark, table), f"{table}_rebucketed"
-    create_bucketed_table(spark, new, stored_columns(spark, table), key, buckets)
+    data, new = data_table(table), f"{table}__rebuckets"
+    rows, bucketed = warehouse_table(spark, table), spark.catalog.tableExists(data)
+    spark.sql(f"DROP TABLE IF EXISTS {new}")
+    _create_buckets(spark, new, stored_columns(spark, data if bucketed else table), key, buckets)
     _overwrite_buckets(rows.select("*", _bucket(key, buckets)).repartition(BUCKET), new)
-    spark.sql(f"DROP TABLE {table}")
-    spark.sql(f"ALTER TABLE {new} RENAME TO {table}")
+    spark.sql(f"DROP VIEW {table}" if bucketed else f"DROP TABLE {table}")
+    if bucketed:
+        spark.sql(f"DROP TABLE {data}")
+    spark.sql(f"ALTER TABLE {new} RENAME TO {data}")
+    _show(spark, table)

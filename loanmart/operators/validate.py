@@ -1,11 +1,18 @@
 """Checks (V1-V5).  Each is one bounded action that raises with a clear
-message; none brings rows of the data to the driver beyond one example."""
+message; none brings rows of the data to the driver beyond one example.
+
+V2, V5 and the counts of R13 have a second form that costs no pass of its own:
+metrics that Spark gathers while another action, a write, runs over the frame
+(``observed_nulls``, ``observed_errors``), looked at afterwards.
+"""
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
+from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from loanmart.operators.upsert import assert_unique  # noqa: F401  (V3)
@@ -78,3 +85,48 @@ def assert_sound_documents(docs: DataFrame, group_cols: Sequence[str] | None = N
     bad = sums.where(wrong).limit(1).collect()
     if bad:
         raise ValidationError(f"{'error document landed' if bad[0]['errors'] else 'incomplete page set'}: {bad[0].asDict()}")
+
+
+# ------------------------------------------------ checks of the writing pass --
+@dataclass
+class Observed:
+    """Metrics of a frame, there once an action has run over it."""
+    metrics: Observation
+
+    @property
+    def values(self) -> dict:
+        return self.metrics.get
+
+    @property
+    def rows(self) -> int:
+        return self.values["rows"]
+
+    def nulls(self) -> dict[str, int]:
+        """Nulls of every watched column that has some."""
+        return {c.removeprefix("nulls_"): n for c, n in self.values.items() if c.startswith("nulls_") and n}
+
+    def assert_not_null(self) -> None:
+        """V2 without another read."""
+        if self.nulls():
+            raise ValidationError(f"null values in NOT NULL columns: {self.nulls()}")
+
+    def assert_no_errors(self) -> None:
+        """V5 without another read."""
+        if self.values["errors"]:
+            raise ValidationError(f"error document landed: {self.values}")
+
+
+def observed_nulls(df: DataFrame, cols: Sequence[str] | None = None, counted: Column | None = None) -> tuple[DataFrame, Observed]:
+    """The same frame, and its rows and nulls by column (all, or ``cols``) once
+    an action has run: G5, G6 and V2.  ``counted`` leaves rows out of both."""
+    counted = F.lit(True) if counted is None else counted
+    metrics = [F.count_if(counted).alias("rows"), *[F.count_if(counted & F.col(f"`{c}`").isNull()).alias(f"nulls_{c}") for c in (df.columns if cols is None else cols)]]
+    watch = Observation(f"nulls-{uuid.uuid4().hex}")
+    return df.observe(watch, *metrics), Observed(watch)
+
+
+def observed_errors(docs: DataFrame, error_col: str = "error", description_col: str = "error_description") -> tuple[DataFrame, Observed]:
+    """The same documents, and their error documents once an action has run: V5."""
+    watch = Observation(f"errors-{uuid.uuid4().hex}")
+    metrics = [F.count(F.lit(1)).alias("rows"), F.count(error_col).alias("errors"), F.max(F.concat_ws(": ", error_col, description_col)).alias("example")]
+    return docs.observe(watch, *metrics), Observed(watch)

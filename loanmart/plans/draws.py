@@ -32,8 +32,11 @@ def runs_of_day(runs: DataFrame, as_of, flow_ids: Sequence[str] | None = None,
                 time_col: str = "start_time", flow_col: str = "flow_id") -> DataFrame:
     """S7 + F4 + F5 + F6: runs that started the day before ``as_of``, not
     FAILED (null state kept), of the given flows.  All three are plain
-    predicates, pushed into the scan."""
+    predicates, pushed into the scan; of a history landed by day only that
+    day's folder is read."""
     lo, hi = day_before(as_of)
+    if "day" in runs.columns:
+        runs = runs.where(F.col("day") == F.lit(lo.date().isoformat()).cast("date"))
     t = F.col(time_col)
     if isinstance(runs.schema[time_col].dataType, T.TimestampType):
         t = utc_wall_clock(t)          # zoned instants -> UTC day, any session zone
@@ -78,3 +81,9 @@ def draw_report(runs: DataFrame, loan_fields: DataFrame, draws: DataFrame | Call
     else:
         wanted = semi_join(draws.withColumn("id", F.col("id").cast("string")), ids, ["id"])
     return merged.join(flatten_draws(wanted), "draw_id", "left")
+
+
+def runs_of_days(runs: DataFrame, days: DataFrame) -> DataFrame:
+    """The runs of the ``day``s of another frame, of a history landed by
+    day.  The days reach the scan at run time and prune its folders."""
+    return runs.join(days.select("day").distinct(), "day", "left_semi")

@@ -14,21 +14,22 @@ from pyspark.sql import functions as F
 
 from loanmart.functions.numbers import to_double_strict
 from loanmart.operators.dedupe import distinct_values
-from loanmart.operators.latest import last_match
+from loanmart.operators.latest import last_match, latest_report_id
 from loanmart.operators.profile import duplicate_groups
 from loanmart.operators.surrogate import add_surrogate_key
 from loanmart.operators.upsert import duplicate_keys, rebucket, upsert_table
-from loanmart.operators.validate import error_documents, incomplete_pages, null_violations
+from loanmart.operators.validate import ValidationError, assert_pages_complete, error_documents, incomplete_pages, null_violations, observed_nulls, require_columns
 from loanmart.plans import mart_queries as mart
 from loanmart.plans.alerts import BUILDERS_RISK, FLOOD, HOMEOWNERS, MATURITY, expiring_cases
-from loanmart.plans.draws import draw_report
-from loanmart.plans.payroll import load_payroll
-from loanmart.plans.reports import PORTFOLIO_FULL, CASH_STATUS, loan_id_report, report_extract
+from loanmart.plans.draws import draw_events, draw_report, runs_of_days
+from loanmart.plans.payroll import load_payroll, workers
+from loanmart.plans.reports import CASH_STATUS, MATURITY_DATES, PORTFOLIO_FULL, loan_id_report, report_extract
+from loanmart.plans.spec import apply_spec
 from loanmart.plans.sync import core_value_patches
 from loanmart.plans.transactions import transaction_report
 from loanmart.session import scratch_path
 from loanmart.sources import documents as docs
-from loanmart.sources.sinks import append_outbox, append_table, create_table_if_absent, replace_table, report_mail, report_path, write_csv
+from loanmart.sources.sinks import append_outbox, append_table, create_table_if_absent, read_csv_report, replace_table, report_mail, report_path, write_csv
 from loanmart.sources.tables import table, warehouse_table
 from loanmart.streaming.case_messages import CASE_FIELDS, start_case_message_stream
 from loanmart.streaming.draw_events import CASE_OUTBOX, read_event_files, start_draw_event_stream
@@ -71,46 +72,74 @@ def landed_cash_status(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = mart.landed_cash_status(table(spark, sf_dir, "orders"))
     key = "coalesce(cast(substring(`Loan Number`, 4) as bigint), 0)"
     catalogue, path = _landed_report(rows, key, "cash", CASH_STATUS.name)
-    return report_extract(spark, catalogue, path, CASH_STATUS, mart.AS_OF, lines=True)
+    return report_extract(spark, catalogue, path, CASH_STATUS, mart.AS_OF, lines=True, listed_only=True)
+
+
+def landed_unknown_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S1 and G6 for a report whose columns are not known: per column how many
+    rows have it, how many of them a value, and the longest one."""
+    e = F.expr
+    rows = table(spark, sf_dir, "customer").select(
+        "c_custkey", e("concat('LN-', c_custkey)").alias("Loan Number"), e("CASE WHEN c_nationkey > 9 THEN concat('$ ', format_number(c_acctbal, 2)) END").alias("Loan Amount ($)"),
+        F.col("c_name").alias("Borrower's Name"), F.col("c_mktsegment").alias("% Segment / Type"))
+    spare = rows.where("c_custkey % 3 = 0").drop("Loan Amount ($)")  # documents without a column
+    paths = [landed(parts(r, "c_custkey", "data").select(F.struct(F.struct("data").alias("Current Report")).alias("data")), "unknown") for r in (rows.where("c_custkey % 3 <> 0"), spare)]
+    cells = docs.column_cells(docs.report_rows(spark, paths, lines=True))
+    return cells.groupBy("column").agg(F.count("*").alias("rows"), F.count("value").alias("filled"), F.max(F.length("value")).cast("long").alias("longest"))
+
+
+_UNKNOWN_SQL = """
+WITH r AS (SELECT 'LN-' || c_custkey AS a, CASE WHEN c_nationkey > 9 THEN '$ ' || format('{:,.2f}', c_acctbal::DECIMAL(18,2)::DOUBLE) END AS b, c_name AS c, c_mktsegment AS d,
+  c_custkey % 3 <> 0 AS whole FROM customer)
+SELECT 'Loan Number' AS "column", count(*) AS rows, count(a) AS filled, max(length(a)) AS longest FROM r HAVING count(*) > 0
+UNION ALL SELECT 'Loan Amount ($)', count(*), count(b), max(length(b)) FROM r WHERE whole HAVING count(*) > 0
+UNION ALL SELECT 'Borrower''s Name', count(*), count(c), max(length(c)) FROM r HAVING count(*) > 0
+UNION ALL SELECT '% Segment / Type', count(*), count(d), max(length(d)) FROM r HAVING count(*) > 0"""
 
 
 # ------------------------------------------------------- full portfolio (R4) --
 def _portfolio_rows(orders: DataFrame) -> DataFrame:
     e = F.expr
     price = "CAST(o_totalprice AS DECIMAL(18,2))"
-    made = {c: F.lit(None).cast("string") for c in PORTFOLIO_FULL.required()}
+    made = {c: e(f"concat(' ', '{c.replace(' ', '')}', '- ', o_orderstatus, ', ', o_orderpriority)") for c in PORTFOLIO_FULL.text}
     made |= {c: e(f"concat('$ ', format_number({price}, 2))") for c in PORTFOLIO_FULL.decimals}
     made |= {
-        "% DISB": e(f"concat(CAST({price} * 0.001 AS STRING), ' %')"), "LTV": F.lit(""),
+        "% DISB": e(f"concat(CAST({price} * 0.001 AS STRING), ' %')"), "LTV": F.lit(""), "Zip": F.lit(None).cast("string"), "State": F.lit(" "),
         "CLTV": e("CASE WHEN o_orderstatus = 'P' THEN 'n/a' ELSE '12.5' END"),
         "Loan Number": e("concat('LN-', o_orderkey)"), "Property Address": e("concat(o_orderkey, ' Oak St, Unit 1')"),
         "Loan Funded Date": e("date_format(o_orderdate, 'MM/dd/yyyy')"), "Current Loan Due Date": F.lit(""),
         "Original Loan Due Date": e("CASE WHEN o_orderstatus <> 'F' THEN date_format(date_add(o_orderdate, 30), 'M/d/yyyy') END"),
         "Loan Status Completed Date (Most Recent Change)": e("date_format(date_add(o_orderdate, 60), 'M/d/yyyy')")}
-    rows = orders.select(*[made[c].alias(c) for c in made])
+    rows = orders.select(*[made[c].alias(c) for c in PORTFOLIO_FULL.required()])
     totals = orders.groupBy("o_orderstatus").agg(F.count("*").cast("string").alias("Current Loan Amount")).drop("o_orderstatus")
     return rows.unionByName(totals, allowMissingColumns=True)
 
 
 def portfolio_full_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """R4 with D2 from landed documents; some of its columns."""
+    """R4 with D2 from landed documents, all of its columns."""
     rows = _portfolio_rows(table(spark, sf_dir, "orders"))
     catalogue, path = _landed_report(rows, "coalesce(cast(substring(`Loan Number`, 4) as bigint), 0)", "portfolio", PORTFOLIO_FULL.name)
-    out = report_extract(spark, catalogue, path, PORTFOLIO_FULL, mart.AS_OF, lines=True)
-    status = next(c for c in out.columns if c.startswith("loan_status") or c.startswith("Loan Status"))
-    return out.select("loan_number", "property_address", F.col("`%_disb`").alias("disb"), "ltv", "cltv", "current_loan_amount", "appraised_value",
-                      "loan_funded_date", "current_loan_due_date", "original_loan_due_date", F.col(f"`{status}`").alias("completed_date"), "timestamp")
-
-
+    return report_extract(spark, catalogue, path, PORTFOLIO_FULL, mart.AS_OF, lines=True, listed_only=True)
+
+
+# the report's columns and what they hold, in words of the oracle's own
+_PORTFOLIO_TEXT = {
+    "borrower_last_name": "BorrowerLastName", "loan_originator": "LoanOriginator", "loan_program": "LoanProgram", "loan_term_in_months": "LoanTerminMonths",
+    "total_units": "TotalUnits", "investor": "Investor", "county": "County", "exception": "Exception", "current_loan_status": "CurrentLoanStatus",
+    "additional_collateral_property": "AdditionalCollateralProperty", "funding_account": "FundingAccount", "outside_equity": "OutsideEquity"}
+_PORTFOLIO_AMOUNTS = (
+    "ltc", "as_permitted_ltv", "as_permitted_cltv", "current_interest_rate", "current_loan_amount", "total_principal_loan_paydown",
+    "balance_to_finish_including_retainage", "appraised_value", "total_interest_reserve_amount_disbursed", "interest_reserve_balance",
+    "collateral_holdback", "as_permitted_property_value")
 _PORTFOLIO_SQL = f"""
-SELECT 'LN-' || o_orderkey AS loan_number, o_orderkey || 'OakStUnit1' AS property_address,
-  CAST(CAST(o_totalprice AS DECIMAL(18,2)) * 0.001 AS DECIMAL(38,18)) AS disb, CAST(NULL AS DECIMAL(38,18)) AS ltv,
+SELECT 'LN-' || o_orderkey AS loan_number, o_orderkey || 'OakStUnit1' AS property_address, '' AS state, CAST(NULL AS VARCHAR) AS zip,
+  {", ".join(f"'{text}-' || o_orderstatus || replace(o_orderpriority, ' ', '') AS {c}" for c, text in _PORTFOLIO_TEXT.items())},
+  {", ".join(f"CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS DECIMAL(38,18)) AS {c}" for c in _PORTFOLIO_AMOUNTS)},
+  CAST(CAST(o_totalprice AS DECIMAL(18,2)) * 0.001 AS DECIMAL(38,18)) AS "%_disb", CAST(NULL AS DECIMAL(38,18)) AS ltv,
   CASE WHEN o_orderstatus <> 'P' THEN CAST(12.5 AS DECIMAL(38,18)) END AS cltv,
-  CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS DECIMAL(38,18)) AS current_loan_amount,
-  CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS DECIMAL(38,18)) AS appraised_value,
   o_orderdate AS loan_funded_date, CAST(NULL AS TIMESTAMP) AS current_loan_due_date,
   CASE WHEN o_orderstatus <> 'F' THEN CAST(o_orderdate + INTERVAL 30 DAY AS TIMESTAMP) END AS original_loan_due_date,
-  CAST(o_orderdate + INTERVAL 60 DAY AS DATE) AS completed_date, '{mart.AS_OF_PACIFIC_TEXT}' AS "timestamp"
+  CAST(o_orderdate + INTERVAL 60 DAY AS DATE) AS loan_status_completed_date_most_recent_change, '{mart.AS_OF_PACIFIC_TEXT}' AS "timestamp"
 FROM orders"""
 
 
@@ -167,21 +196,80 @@ def landed_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
 _TRANSACTION_SQL = mart._Q11_SQL.replace("SELECT c_custkey FROM customer", "SELECT c_custkey FROM customer WHERE c_mktsegment NOT IN ('BUILDING', 'MACHINERY')")
 
 
+def transactions_without_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The transaction report of a source that has neither credit nor
+    effective date; the other listed fields come in their order."""
+    orders = table(spark, sf_dir, "orders")
+    accounts = orders.select(F.col("o_custkey").cast("string").alias("id"))
+    tx = orders.select(F.col("o_orderstatus").alias("paymentType"), F.expr("CAST(o_custkey AS STRING)").alias("account_id"), F.lit("x").alias("unlisted"),
+                       F.expr("date_format(o_orderdate, \"yyyy-MM-dd'T'HH:mm:ss\")").alias("transactionCreatedDate"), F.concat(F.lit("LN-"), "o_orderkey").alias("loanNumber"))
+    return transaction_report(accounts, tx, mart.TX_AS_OF)
+
+
+_FEW_FIELDS_SQL = f"""
+SELECT 'LN-' || o_orderkey AS loanNumber, o_orderstatus AS paymentType, strftime(o_orderdate, '%m/%d/%y') AS transactionCreatedDate,
+  '{mart.AS_OF_PACIFIC_TEXT.replace("2024-01-15T04:00:00", "1998-03-30T16:00:00")}' AS "timestamp"
+FROM orders WHERE CAST(o_orderdate AS DATE) BETWEEN DATE '1998-01-31' AND DATE '1998-03-31'"""
+
+
 # ---------------------------------------------------- draw report (S7 to S10) --
 def landed_draw_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """As Q-13, from landed runs, loan fields and draw documents."""
-    runs = mart.runs_from_events(table(spark, sf_dir, "events"))
-    runs = landed(runs.select("id", "flow_id", "state_type", F.date_format(F.col("start_time"), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'").alias("start_time"),
-                              F.struct("draw_id", "loan_id", "updated_status").alias("parameters")), "runs")
+    runs = _landed_runs(mart.runs_from_events(table(spark, sf_dir, "events")))
     loans = table(spark, sf_dir, "customer").select(F.col("c_custkey").cast("string").alias("loan_id"), F.struct(F.struct(
         F.concat(F.lit("LN-"), F.col("c_custkey")).alias("loanNumber")).alias("fields")).alias("data"))
     loans = landed(loans, "loan-fields")
     drawn = landed(mart.nested_draws(table(spark, sf_dir, "orders"), table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "supplier")), "draws")
-    return draw_report(docs.read_runs(spark, runs, lines=True), docs.read_loan_fields(spark, loans, lines=True), docs.read_draws(spark, drawn, line_items_as_text=True, lines=True),
+    return draw_report(docs.read_runs(spark, runs, lines=True, by_day=True), docs.read_loan_fields(spark, loans, lines=True), docs.read_draws(spark, drawn, line_items_as_text=True, lines=True),
                        mart.DRAW_AS_OF, flow_ids=["draw-flow"])
 
 
+def _landed_runs(runs: DataFrame) -> str:
+    """Run documents in a folder for each UTC day of their start, one per line."""
+    path = scratch_path(runs.sparkSession, "landed-runs")
+    docs_of_day = runs.select("id", "flow_id", "state_type", F.date_format(F.col("start_time"), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'").alias("start_time"),
+                              F.struct("draw_id", "loan_id", "updated_status").alias("parameters"), F.to_date("start_time").alias("day"))
+    docs_of_day.write.partitionBy("day").option("ignoreNullFields", False).json(path)
+    return path
+
+
+def history_of_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S7 landed by day: events of the day of the draw report, whose folder
+    alone is read, and the runs of the days on which something failed, whose
+    folders are found at run time."""
+    path = _landed_runs(mart.runs_from_events(table(spark, sf_dir, "events")))
+    runs = docs.read_runs(spark, path, lines=True, by_day=True)
+    of_day = draw_events(runs, mart.DRAW_AS_OF, flow_ids=["draw-flow"]).select(F.lit("day").alias("kind"), "draw_id", "updated_status")
+    busy = table(spark, sf_dir, "orders").where("o_orderstatus = 'P'").select(F.to_date("o_orderdate").alias("day"))
+    counts = runs_of_days(runs, busy).groupBy("day").agg(F.count("*").alias("n"))
+    return of_day.withColumn("n", F.lit(1).cast("long")).unionByName(counts.select(F.lit("busy").alias("kind"), F.col("day").cast("string").alias("draw_id"), "n"), allowMissingColumns=True)
+
+
+_HISTORY_OF_DAYS_SQL = f"""
+SELECT DISTINCT 'day' AS kind, CAST(user_id AS VARCHAR) AS draw_id, event_type AS updated_status, 1::BIGINT AS n FROM events
+WHERE ts >= CAST('{mart.DRAW_AS_OF}' AS DATE) - INTERVAL 1 DAY AND ts < CAST('{mart.DRAW_AS_OF}' AS DATE) AND event_type NOT IN ('error', 'view')
+UNION ALL
+SELECT 'busy', CAST(CAST(ts AS DATE) AS VARCHAR), NULL, count(*) FROM events
+WHERE CAST(ts AS DATE) IN (SELECT CAST(o_orderdate AS DATE) FROM orders WHERE o_orderstatus = 'P') GROUP BY CAST(ts AS DATE)"""
+
+
 # -------------------------------------------------- payroll (S11 to S13, K5, K7) --
+def workers_of_companies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Worker pages landed in a folder for each company; the pages of
+    two companies are read, complete, and no others."""
+    _, pages, _ = mart.payroll_documents(table(spark, sf_dir, "nation"), table(spark, sf_dir, "customer"), table(spark, sf_dir, "orders"))
+    path = scratch_path(spark, "landed-pages")
+    pages.write.partitionBy("companyId").option("ignoreNullFields", False).json(path)
+    some = docs.read_worker_pages(spark, path, lines=True, company_ids=["3", "14"])
+    assert_pages_complete(some, ["companyId"])
+    return workers(some).select("id", "employee_id", "last_name", "company_id")
+
+
+_WORKERS_OF_SQL = """
+SELECT CAST(c_custkey AS VARCHAR) AS id, 'E' || c_custkey AS employee_id, CASE WHEN c_mktsegment <> 'AUTOMOBILE' THEN c_name END AS last_name,
+  CAST(c_nationkey AS VARCHAR) AS company_id FROM customer WHERE c_nationkey IN (3, 14)"""
+
+
 def payroll_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Landed pages, loaded twice into real
     tables (the second time with other names), read back joined."""
@@ -299,6 +387,29 @@ SELECT o_orderstatus, count(*) AS n, CAST(sum(o_orderkey) AS BIGINT) AS keys, tr
 UNION ALL SELECT NULL, NULL, NULL, NULL, 'Transactions', '01-24/transactions_011524_120000.csv'"""
 
 
+def dated_csv_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The maturity report as one file at its dated path,
+    written by many tasks, overwritten once, read back with its schema; the
+    rows and nulls seen while it was written beside what the file holds."""
+    report = apply_spec(mart.landed_maturity(table(spark, sf_dir, "orders")), MATURITY_DATES, mart.AS_OF)
+    path = report_path(scratch_path(spark, "reports"), "maturity_dates", mart.AS_OF, folder="loans")
+    write_csv(report.limit(1), path, single_file=True)
+    watched, seen = observed_nulls(report)
+    write_csv(watched, path, single_file=True)
+    back = read_csv_report(spark, path, report.schema)
+    nulls = seen.nulls()
+    told = spark.createDataFrame([("seen", seen.rows, nulls.get("pinned_note", 0)), ("/".join(path.split("/")[-2:]), 1, None)], "loan_number string, n long, nulls long")
+    file = back.select(F.input_file_name().alias("f")).distinct().agg(F.count("*").alias("n")).select(F.lit("files").alias("loan_number"), "n")
+    return back.unionByName(told, allowMissingColumns=True).unionByName(file, allowMissingColumns=True)
+
+
+_CSV_FILE_SQL = f"""
+SELECT *, NULL::BIGINT AS n, NULL::BIGINT AS nulls FROM ({mart._Q24_SQL})
+UNION ALL BY NAME SELECT 'seen' AS loan_number, count(*) AS n, count(*) FILTER (WHERE o_orderstatus = 'F') AS nulls FROM orders
+UNION ALL BY NAME SELECT '01-24/maturity_dates_011524.csv' AS loan_number, 1 AS n
+UNION ALL BY NAME SELECT 'files' AS loan_number, 1 AS n"""
+
+
 def replaced_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A table of other columns, created or replaced by its fixed
     DDL, filled with rows that number themselves."""
@@ -334,15 +445,12 @@ _DRAW_STREAM_SQL = mart._Q18_SQL.replace("SELECT * FROM cand", "SELECT case_hash
 
 
 def landed_case_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """XML messages landed one per file (one per nation and kind),
-    read as a stream into the mail and the error outbox."""
-    customer = table(spark, sf_dir, "customer")
-    one = customer.groupBy("c_nationkey", "c_mktsegment").agg(F.min("c_custkey").alias("c_custkey")).join(customer, ["c_nationkey", "c_mktsegment", "c_custkey"])
+    """The XML messages of all customers landed one behind the
+    other in large files, which the stream's tasks share, cut into messages
+    and read into the mail and the error outbox."""
     root = scratch_path(spark, "landed-messages")
-    xml = mart.case_messages(one).withColumn("part", F.xxhash64("xml"))
-    # each message is a partition of its own, so a file of its own
-    xml.repartition("part").write.partitionBy("part").option("lineSep", " ").text(f"{root}/in")
-    return _message_outboxes(spark, root, f"{root}/in/*/*.txt", True)
+    mart.case_messages(table(spark, sf_dir, "customer")).write.option("lineSep", " ").text(f"{root}/in")
+    return _message_outboxes(spark, root, f"{root}/in", end_tag=docs.XML_END)
 
 
 def landed_all_case_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -350,29 +458,22 @@ def landed_all_case_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     a stream into the mail and the error outbox."""
     root = scratch_path(spark, "landed-all-messages")
     mart.case_messages(table(spark, sf_dir, "customer")).write.text(f"{root}/in")
-    return _message_outboxes(spark, root, f"{root}/in", False)
+    return _message_outboxes(spark, root, f"{root}/in")
 
 
-def _message_outboxes(spark: SparkSession, root: str, path: str, whole_files: bool) -> DataFrame:
-    q = start_case_message_stream(spark, path, f"{root}/mail", f"{root}/error", f"{root}/checkpoint", whole_files=whole_files)
+def _message_outboxes(spark: SparkSession, root: str, path: str, end_tag: str | None = None) -> DataFrame:
+    q = start_case_message_stream(spark, path, f"{root}/mail", f"{root}/error", f"{root}/checkpoint", whole_files=False, end_tag=end_tag)
     q.awaitTermination()
     if q.exception() is not None:
         raise q.exception()
     mails = read_outbox(spark, f"{root}/mail", ", ".join(f"{n} string" for n, _, _ in CASE_FIELDS) + ", position int, subject string, body string")
     errors = read_outbox(spark, f"{root}/error", "xml string")
-    batch = docs.read_xml_messages(spark, path, whole_files)
+    batch = docs.read_xml_messages(spark, path, whole_files=False, end_tag=end_tag)
     counts = [df.agg(F.lit(kind).alias("subject"), F.count("*").cast("int").alias("position")) for kind, df in (("broken", errors), ("landed", batch))]
     return mails.select("notification_id", "case_number", "position", "subject").unionByName(counts[0], allowMissingColumns=True).unionByName(counts[1], allowMissingColumns=True)
 
 
 _MESSAGES_SQL = """
-WITH one AS (SELECT min(c_custkey) AS k, c_mktsegment AS s FROM customer GROUP BY c_nationkey, c_mktsegment)
-SELECT 'N-' || k AS notification_id, lpad(CAST(k AS VARCHAR), 8, '0') AS case_number, 0 AS position, ' SF CASE: ' || lpad(CAST(k AS VARCHAR), 8, '0') AS subject
-FROM one WHERE s <> 'HOUSEHOLD'
-UNION ALL SELECT 'N2-' || k, NULL, 1, ' SF CASE: None' FROM one WHERE s = 'BUILDING'
-UNION ALL SELECT NULL, NULL, CAST(count(*) AS INTEGER), 'broken' FROM one WHERE s = 'HOUSEHOLD'
-UNION ALL SELECT NULL, NULL, CAST(count(*) AS INTEGER), 'landed' FROM one"""
-_ALL_MESSAGES_SQL = """
 SELECT 'N-' || c_custkey AS notification_id, lpad(CAST(c_custkey AS VARCHAR), 8, '0') AS case_number, 0 AS position, ' SF CASE: ' || lpad(CAST(c_custkey AS VARCHAR), 8, '0') AS subject
 FROM customer WHERE c_mktsegment <> 'HOUSEHOLD'
 UNION ALL SELECT 'N2-' || c_custkey, NULL, 1, ' SF CASE: None' FROM customer WHERE c_mktsegment = 'BUILDING'
@@ -423,7 +524,7 @@ UNION ALL SELECT NULL, 'late', count(*) FROM events WHERE ts < (SELECT max(ts) F
 
 # ---------------------------------------------------------- checks that fail (V*) --
 def failing_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """V2-V5 on inputs that break them: what each check names, as rows."""
+    """V1-V6 on inputs that break them: what each check names, as rows."""
     customer = table(spark, sf_dir, "customer")
     nulls = null_violations(customer.select(F.nullif("c_mktsegment", F.lit("BUILDING")).alias("segment"), F.col("c_name").alias("name")), ["segment", "name"])
     keys = duplicate_keys(table(spark, sf_dir, "orders"), ["o_custkey"])
@@ -431,7 +532,15 @@ def failing_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
     short = pages.withColumn("content", F.expr("CASE WHEN cast(companyId AS INT) % 5 = 0 THEN slice(content, 1, size(content) - 1) ELSE content END"))
     bad = incomplete_pages(short, ["companyId"])
     failed = pages.withColumn("error", F.expr("CASE WHEN companyId = '7' THEN 'denied' END")).withColumn("error_description", F.lit("no token"))
-    rows = [nulls.select(F.lit("V2").alias("check"), F.col("column").alias("what"), F.col("nulls").alias("n")),
+    told = []
+    for check, error, run in (("V1", ValidationError, lambda: require_columns(customer, ["c_name", "loan_id"])),
+                              ("V6", LookupError, lambda: latest_report_id(customer.select(F.col("c_name").alias("name"), F.col("c_custkey").cast("string").alias("id")), "no such report"))):
+        try:
+            run()
+        except error as failure:
+            told.append((check, str(failure), 1))
+    rows = [spark.createDataFrame(told, "check string, what string, n long"),
+            nulls.select(F.lit("V2").alias("check"), F.col("column").alias("what"), F.col("nulls").alias("n")),
             keys.select(F.lit("V3").alias("check"), F.col("o_custkey").cast("string").alias("what"), F.col("n")),
             bad.select(F.lit("V4").alias("check"), F.col("companyId").alias("what"), (F.col("want") - F.col("got") > 0).cast("long").alias("n")),
             error_documents(failed).groupBy(F.lit("V5").alias("check"), F.concat_ws(": ", "error", "error_description").alias("what")).agg(F.count("*").alias("n"))]
@@ -442,7 +551,9 @@ def failing_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _CHECKS_SQL = """
-SELECT 'V2' AS "check", 'segment' AS what, count(*) AS n FROM customer WHERE c_mktsegment = 'BUILDING'
+SELECT 'V1' AS "check", 'missing required columns: [''loan_id'']' AS what, 1::BIGINT AS n
+UNION ALL SELECT 'V6', 'no report named ''no such report'' in the catalogue', 1
+UNION ALL SELECT 'V2' AS "check", 'segment' AS what, count(*) AS n FROM customer WHERE c_mktsegment = 'BUILDING'
 UNION ALL SELECT 'V3', CAST(o_custkey AS VARCHAR), count(*) FROM orders GROUP BY o_custkey HAVING count(*) > 1
 UNION ALL SELECT 'V4', CAST(c_nationkey AS VARCHAR), 1 FROM customer WHERE c_nationkey % 5 = 0 GROUP BY c_nationkey
 UNION ALL SELECT 'V5', 'denied: no token', count(DISTINCT floor(c_custkey / 50)) FROM customer WHERE c_nationkey = 7 HAVING count(*) > 0"""
@@ -468,16 +579,21 @@ FROM lineitem WHERE l_linenumber < 6"""
 
 QUERIES = {
     "landed_cash_status": landed_cash_status,
+    "landed_unknown_report": landed_unknown_report,
+    "history_of_days": history_of_days,
+    "workers_of_companies": workers_of_companies,
     "portfolio_full_report": portfolio_full_report,
     "loan_id_list": loan_id_list,
     "landed_templates": landed_templates,
     "landed_transactions": landed_transactions,
+    "transactions_without_fields": transactions_without_fields,
     "landed_draw_report": landed_draw_report,
     "payroll_tables": payroll_tables,
     "append_table": append_table_twice,
     "upsert_table_twice": upsert_table_twice,
     "case_outbox": case_outbox,
     "csv_no_overwrite": csv_no_overwrite,
+    "dated_csv_file": dated_csv_file,
     "replaced_table": replaced_table,
     "landed_draw_stream": landed_draw_stream,
     "landed_case_messages": landed_case_messages,
@@ -491,20 +607,25 @@ QUERIES = {
 
 ORACLE_SQL = {
     "landed_cash_status": mart.ORACLE_SQL["cash_status_report"],
+    "landed_unknown_report": _UNKNOWN_SQL,
+    "history_of_days": _HISTORY_OF_DAYS_SQL,
+    "workers_of_companies": _WORKERS_OF_SQL,
     "portfolio_full_report": _PORTFOLIO_SQL,
     "loan_id_list": _LOAN_ID_SQL,
     "landed_templates": _TEMPLATE_SQL,
     "landed_transactions": _TRANSACTION_SQL,
+    "transactions_without_fields": _FEW_FIELDS_SQL,
     "landed_draw_report": mart.ORACLE_SQL["draw_report"],
     "payroll_tables": _PAYROLL_SQL,
     "append_table": _APPEND_SQL,
     "upsert_table_twice": _UPSERT_SQL,
     "case_outbox": _CASE_OUTBOX_SQL,
     "csv_no_overwrite": _CSV_SQL,
+    "dated_csv_file": _CSV_FILE_SQL,
     "replaced_table": _REPLACED_SQL,
     "landed_draw_stream": _DRAW_STREAM_SQL,
     "landed_case_messages": _MESSAGES_SQL,
-    "landed_all_case_messages": _ALL_MESSAGES_SQL,
+    "landed_all_case_messages": _MESSAGES_SQL,
     "history_stream": _HISTORY_SQL,
     "history_keys_stream": _HISTORY_KEYS_SQL,
     "failing_checks": _CHECKS_SQL,

@@ -116,15 +116,19 @@ REPORTS = {s.name: s for s in (CASH_STATUS, MATURITY_DATES, WATCHLIST, PORTFOLIO
 
 
 def report_extract(spark: SparkSession, catalogue: DataFrame, documents_root: str,
-                   spec: ReportSpec, as_of, lines: bool = False) -> DataFrame:
+                   spec: ReportSpec, as_of, lines: bool = False, listed_only: bool = False) -> DataFrame:
     """Newest report of ``spec.name`` (G1, V6) -> S1 scan -> spec.
 
     The catalogue is tiny (one row per published report); picking the id is
-    the only driver-side value, then one scan of that document.
+    the only driver-side value.  Columns beyond the report's own pass through,
+    for which the documents are read once more; with ``listed_only`` they are
+    left out, and one scan is all.
     """
-    report_id = latest_report_id(catalogue, spec.name)
-    raw = read_report_document(spark, f"{documents_root}/{report_id}", lines=lines)
-    return apply_spec(raw, spec, as_of)
+    path = f"{documents_root}/{latest_report_id(catalogue, spec.name)}"
+    if not listed_only:
+        return apply_spec(read_report_document(spark, path, lines=lines), spec, as_of)
+    renamed = {new: old for old, new in spec.pre_renames.items()}
+    return apply_spec(read_report_document(spark, path, [renamed.get(c, c) for c in spec.required()], lines), spec, as_of)
 
 
 def loan_id_report(loan_items: DataFrame, as_of=None) -> DataFrame:

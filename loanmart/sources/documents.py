@@ -99,6 +99,37 @@ def read_report_document(spark: SparkSession, path: str,
     return rows.select(*[F.col(f"`{c}`").cast("string").alias(c) for c in rows.columns])
 
 
+def report_rows(spark: SparkSession, path: str, lines: bool = False) -> DataFrame:
+    """S1 where the columns are not known: each row of a report as one VARIANT
+    ``row``.  The documents are read once and no schema is inferred.  A
+    document (a line, with ``lines``) must fit a VARIANT, 128 MB."""
+    doc = spark.read.option("multiLine", not lines).option("mode", "FAILFAST").option("singleVariantColumn", "doc").json(path)
+    rows = F.variant_get("doc", "$.data['Current Report'].data", "array<variant>")
+    return doc.select(F.explode(rows).alias("row"))
+
+
+def _variant_path(name: str) -> str:
+    """The path of a key, whatever characters it holds."""
+    quote = '"' if "'" in name else "'"
+    return f"$[{quote}{name}{quote}]"
+
+
+def named_columns(rows: DataFrame, columns: Sequence[str], rest: str | None = "other_columns") -> DataFrame:
+    """The named columns of VARIANT rows as text, null where a row lacks one;
+    ``rest`` (None: left out) holds the other keys and values as JSON text."""
+    out = [F.variant_get("row", _variant_path(c), "string").alias(c) for c in columns]
+    if rest is not None:
+        others = F.map_filter(F.variant_get("row", "$", "map<string,variant>"), lambda k, _: ~k.isin(list(columns)))
+        out.append(F.to_json(others).alias(rest))
+    return rows.select(*out)
+
+
+def column_cells(rows: DataFrame) -> DataFrame:
+    """VARIANT rows as ``(column, value)``, a row for each key of each; JSON null is null."""
+    cells = rows.lateralJoin(rows.sparkSession.tvf.variant_explode(F.col("row").outer()))
+    return cells.select(F.col("key").alias("column"), F.col("value").cast("string").alias("value"))
+
+
 def read_catalogue(spark: SparkSession, path: str, lines: bool = False) -> DataFrame:
     """Report catalogue, list of {id, name}."""
     return read_json(spark, path, CATALOGUE_SCHEMA, lines)
@@ -131,9 +162,12 @@ def read_transactions(spark: SparkSession, path: str, lines: bool = False) -> Da
             .select("account_id", F.explode("data.items").alias("t")).select("account_id", "t.*"))
 
 
-def read_runs(spark: SparkSession, path: str, lines: bool = False) -> DataFrame:
-    """Flow-run history with parameters flattened."""
-    return read_json(spark, path, RUN_SCHEMA, lines).select("id", "flow_id", "state_type", "start_time", "parameters.*")
+def read_runs(spark: SparkSession, path: str, lines: bool = False, by_day: bool = False) -> DataFrame:
+    """Flow-run history with parameters flattened.  ``by_day``: landed in
+    folders ``day=yyyy-MM-dd`` by the UTC day of the start time; the column
+    ``day`` then prunes the folders that are read."""
+    schema = T.StructType([*RUN_SCHEMA.fields, T.StructField("day", T.DateType())]) if by_day else RUN_SCHEMA
+    return read_json(spark, path, schema, lines).select("id", "flow_id", "state_type", "start_time", "parameters.*", *(["day"] if by_day else []))
 
 
 def read_loan_fields(spark: SparkSession, path: str, lines: bool = False) -> DataFrame:
@@ -156,9 +190,13 @@ def read_companies(spark: SparkSession, path: str, lines: bool = False) -> DataF
     return read_json(spark, path, COMPANY_SCHEMA, lines)
 
 
-def read_worker_pages(spark: SparkSession, path: str, lines: bool = False) -> DataFrame:
-    """S12 (raw pages, for V4/V5); ``companyId`` is the landing envelope."""
-    return read_json(spark, path, WORKER_SCHEMA, lines)
+def read_worker_pages(spark: SparkSession, path: str, lines: bool = False, company_ids: Sequence[str] | None = None) -> DataFrame:
+    """S12, O4 (raw pages, for V4/V5); ``companyId`` is the landing envelope, a
+    field of the pages or the folder ``companyId=...`` they landed in.
+    ``company_ids`` wants the pages of some companies only, which in the
+    second form leaves the folders of the others unread."""
+    pages = read_json(spark, path, WORKER_SCHEMA, lines)
+    return pages if company_ids is None else pages.where(F.col("companyId").isin(list(company_ids)))
 
 
 def read_communications(spark: SparkSession, path: str, lines: bool = False) -> DataFrame:
@@ -172,6 +210,24 @@ def read_open_cases(spark: SparkSession, path: str, lines: bool = False) -> Data
             .where(F.col("Status") == "New").select("Loan_Number__c", "Draw_ID__c"))
 
 
-def read_xml_messages(spark: SparkSession, path: str, whole_files: bool = True) -> DataFrame:
-    """One XML message per file, or else per line, as one string column ``xml``."""
+#: Fixed value: the tag that closes a case message.
+XML_END = "</soapenv:Envelope>"
+
+
+def split_messages(text: DataFrame, end_tag: str = XML_END, xml_col: str = "xml") -> DataFrame:
+    """Messages of text that was cut behind each ``end_tag``: one row each.  A
+    message that broke off has no end of its own; what was cut there holds it
+    and the whole one after it, and is cut again where the next one opens."""
+    opening = end_tag.replace("</", "<").rstrip(">")
+    pieces = F.split(F.concat(F.col(xml_col), F.lit(end_tag)), rf"(?=\Q{opening}\E[\s>])")
+    messages = text.select(F.explode(pieces).alias(xml_col)).where(F.col(xml_col).startswith(opening))
+    # the declaration of the next message is not part of the one that broke off
+    return messages.select(F.regexp_replace(F.rtrim(xml_col), r"\s*<\?xml[^>]*\?>\s*$", "").alias(xml_col))
+
+
+def read_xml_messages(spark: SparkSession, path: str, whole_files: bool = True, end_tag: str | None = None) -> DataFrame:
+    """XML messages as one string column ``xml``: one per file, or else
+    one per line; with ``end_tag`` any number per file, which many tasks read."""
+    if end_tag is not None:
+        return split_messages(spark.read.option("lineSep", end_tag).text(path).withColumnRenamed("value", "xml"), end_tag)
     return spark.read.text(path, wholetext=whole_files).withColumnRenamed("value", "xml")

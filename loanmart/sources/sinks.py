@@ -9,6 +9,7 @@ sender drains, so delivery is idempotent and restartable.
 from __future__ import annotations
 
 import datetime as _dt
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -35,13 +36,66 @@ def report_path(root: str, name: str, as_of: _dt.datetime, folder: str | None =
 
 def write_csv(df: DataFrame, path: str, overwrite: bool = True, single_file: bool = False) -> None:
     """K1/K2: header, no index, empty strings written empty.  ``overwrite``
-    False (K2) refuses an existing path.  ``single_file`` only for reports
-    known to be small (one output task)."""
-    out = df.coalesce(1) if single_file else df
-    (out.write.options(**CSV_OPTIONS).option("emptyValue", "")
+    False (K2) refuses an existing path.  The path becomes a folder of parts
+    with a header each, or with ``single_file`` one file with one header."""
+    if single_file:
+        _write_csv_file(df, path, overwrite)
+        return
+    (df.write.options(**CSV_OPTIONS).option("emptyValue", "")
         .mode("overwrite" if overwrite else "errorifexists").csv(path))
 
 
+def _write_csv_file(df: DataFrame, path: str, overwrite: bool) -> None:
+    """All tasks write parts beside the path, without header; they are joined
+    behind a header part, in order, and the whole takes the path's name at the
+    end, so that no reader sees a part of it."""
+    spark = df.sparkSession
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    fs_path = jvm.org.apache.hadoop.fs.Path
+    target = fs_path(path)
+    fs = target.getFileSystem(conf)
+    if not overwrite and fs.exists(target):
+        raise FileExistsError(path)
+    work = f"{path}.parts-{uuid.uuid4().hex}"
+    options = CSV_OPTIONS | {"header": False, "emptyValue": ""}
+    header = spark.createDataFrame([tuple(df.columns)], ", ".join(f"c{i} string" for i in range(len(df.columns))))
+    header.coalesce(1).write.options(**options).csv(f"{work}/header")
+    df.write.options(**options).csv(f"{work}/rows")
+    names = [sorted((str(f.getPath().toString()) for f in fs.listStatus(fs_path(f"{work}/{d}")) if f.getPath().getName().startswith("part-") and f.getLen() > 0)) for d in ("header", "rows")]
+    whole = fs_path(f"{work}/whole")
+    _join_files(spark, fs, [fs_path(n) for part in names for n in part], whole)
+    if fs.exists(target):
+        if not overwrite:
+            raise FileExistsError(path)
+        fs.delete(target, True)
+    if not fs.rename(whole, target):
+        raise OSError(f"cannot rename {whole.toString()} to {path}")
+    fs.delete(fs_path(work), True)
+
+
+def _join_files(spark: SparkSession, fs, parts: list, whole) -> None:
+    """One file of all parts: by the file system's own concat (HDFS moves
+    blocks, no bytes), else copied through a buffer, never held as a whole."""
+    jvm = spark._jvm
+    if len(parts) > 1 and fs.getScheme() == "hdfs":
+        fs.rename(parts[0], whole)
+        rest = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Path, len(parts) - 1)
+        for i, p in enumerate(parts[1:]):
+            rest[i] = p
+        fs.concat(whole, rest)
+        return
+    out = fs.create(whole)
+    try:
+        for p in parts:
+            source = fs.open(p)
+            try:
+                jvm.org.apache.hadoop.io.IOUtils.copyBytes(source, out, 1 << 20, False)
+            finally:
+                source.close()
+    finally:
+        out.close()
+
+
 def read_csv_report(spark: SparkSession, path: str, schema) -> DataFrame:
     """Read a K1 report back with its typed schema (the round trip of Q-24)."""
     return spark.read.options(**CSV_OPTIONS).option("multiLine", True).schema(schema).csv(path)

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from loanmart.sources.documents import split_messages
 from loanmart.streaming.outbox import write_batch
 
 # Fixed values: (output name, element path by local name, label in the mail).
@@ -52,17 +53,21 @@ def _parsed(messages: DataFrame, xml_col: str) -> DataFrame:
     return messages.select(F.col(xml_col).alias("xml"), F.from_xml(F.col(xml_col), MESSAGE_SCHEMA, options).alias("m"))
 
 
-def _sound() -> F.Column:
+def _sound() -> Column:
     return F.col("m._broken").isNull() & F.coalesce(F.size("m.Body.notifications.Notification") > 0, F.lit(False))
 
 
+def _fields(parsed: DataFrame) -> DataFrame:
+    rows = parsed.where(_sound()).select("m", F.posexplode("m.Body.notifications.Notification").alias("position", "n"))
+    return rows.select(*[F.nullif(F.col(_PATHS[name]), F.lit("")).alias(name) for name, _, _ in CASE_FIELDS], "position")
+
+
 def case_fields(messages: DataFrame, xml_col: str = "xml") -> DataFrame:
     """The ten fields (missing or empty -> null) of each notification of
     each message, with its ``position`` in the message from 0 (the source
     looks at the first).  Messages that are broken or hold no notification
     are left to ``broken_messages``."""
-    rows = _parsed(messages, xml_col).where(_sound()).select("m", F.posexplode("m.Body.notifications.Notification").alias("position", "n"))
-    return rows.select(*[F.nullif(F.col(_PATHS[name]), F.lit("")).alias(name) for name, _, _ in CASE_FIELDS], "position")
+    return _fields(_parsed(messages, xml_col))
 
 
 def broken_messages(messages: DataFrame, xml_col: str = "xml") -> DataFrame:
@@ -80,18 +85,23 @@ def case_mail(fields: DataFrame) -> DataFrame:
 
 
 def process_messages(batch: DataFrame, batch_id: int, mail_path: str, error_path: str) -> None:
-    """One micro-batch to the mail and the error outbox; a replay overwrites the batch's own folders."""
-    batch = batch.persist()
-    write_batch(case_mail(case_fields(batch)), mail_path, batch_id)
-    write_batch(broken_messages(batch), error_path, batch_id)
-    batch.unpersist()
+    """One micro-batch to the mail and the error outbox, each message parsed
+    once for both; a replay overwrites the batch's own folders."""
+    parsed = _parsed(batch, "xml").persist()
+    write_batch(case_mail(_fields(parsed)), mail_path, batch_id)
+    write_batch(parsed.where(~_sound()).select("xml"), error_path, batch_id)
+    parsed.unpersist()
 
 
 def start_case_message_stream(spark: SparkSession, path: str, mail_path: str, error_path: str, checkpoint: str,
-                              available_now: bool = True, whole_files: bool = True):
-    """Text stream of messages (one per file, or else one per line) -> mail
-    outbox; what cannot be read goes to the error outbox."""
-    msgs = spark.readStream.option("wholetext", whole_files).text(path).withColumnRenamed("value", "xml")
+                              available_now: bool = True, whole_files: bool = True, end_tag: str | None = None):
+    """Text stream of messages (one per file, or else one per line, or with
+    ``end_tag`` many per file) -> mail outbox; what cannot be read goes to the
+    error outbox."""
+    if end_tag is not None:
+        msgs = split_messages(spark.readStream.option("lineSep", end_tag).text(path).withColumnRenamed("value", "xml"), end_tag)
+    else:
+        msgs = spark.readStream.option("wholetext", whole_files).text(path).withColumnRenamed("value", "xml")
     writer = (msgs.writeStream.foreachBatch(lambda df, bid: process_messages(df, bid, mail_path, error_path))
               .option("checkpointLocation", checkpoint))
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="30 seconds")

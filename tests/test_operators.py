@@ -15,7 +15,7 @@ from loanmart.operators.nested import DRAW_ROW_COLUMNS, flatten_draws
 from loanmart.operators.ordering import sort_nulls_last, top_k
 from loanmart.operators.profile import duplicate_groups, extract_profile
 from loanmart.operators.surrogate import add_surrogate_key
-from loanmart.operators.upsert import DuplicateKeyError, rebucket, upsert, upsert_table
+from loanmart.operators.upsert import DuplicateKeyError, data_table, rebucket, upsert, upsert_table
 from loanmart.operators.validate import (
     ValidationError, assert_no_error_documents, assert_not_null, assert_pages_complete, require_columns,
 )
@@ -183,7 +183,7 @@ def test_local_scratch_is_refused_on_a_cluster(spark, monkeypatch):
 def _files(spark, table):
     """Data files of a table by bucket."""
     out = {}
-    for r in spark.table(table).select("_bucket", F.input_file_name().alias("f")).distinct().collect():
+    for r in spark.table(data_table(table)).select("_bucket", F.input_file_name().alias("f")).distinct().collect():
         out.setdefault(r["_bucket"], set()).add(r["f"])
     return out
 
@@ -196,8 +196,9 @@ def test_upsert_table_rewrites_touched_buckets_only(spark):
     change = spark.createDataFrame([(5, "new"), (5000, "more")], "id long, v string")
     upsert_table(spark, name, change, ["id"])
     after = _files(spark, name)
-    touched = {r["_bucket"] for r in spark.table(name).where("id IN (5, 5000)").collect()}
+    touched = {r["_bucket"] for r in spark.table(data_table(name)).where("id IN (5, 5000)").collect()}
     assert len(before) == 20 and {b for b in after if after[b] != before.get(b)} == touched
+    assert spark.table(name).columns == ["id", "v"]
     got = {r.id: r.v for r in warehouse_table(spark, name).collect()}
     assert got == {i: f"v{i}" for i in range(2000)} | {5: "new", 5000: "more"}
     # run again, as after a crash: nothing changes; no rows touch nothing
