@@ -11,8 +11,8 @@ anchors there, so the same paragraphs, wherever lines begin.
 2. Lines get a MinHash signature over their five-word shingles, cut into bands
    that are tuned to find pairs at the threshold with high recall.  Band keys
    travel in the same way; back come the buckets where different lines meet.
-   Passages need no bands: around an edited word the other passages of a copy
-   are still equal.
+   Passages need no bands: around an edited word other passages of a copy are
+   still equal, and step 5 finds the whole of it from any of them.
 3. Line classes that meet in a bucket are verified by the exact Jaccard
    similarity of their shingles; a spanning forest of the verified links
    leaves a bucket, and buckets of very many classes are split into pairs of
@@ -21,9 +21,11 @@ anchors there, so the same paragraphs, wherever lines begin.
    reaches over several documents stays in the one of the smallest id and is
    removed from the others.
 5. Touching removed paragraphs of one keeper are a run.  Its two ends are
-   extended word by word as long as they equal the keeper's text, so words
-   before the first and after the last anchor, and those of gaps between
-   anchors, go too.
+   aligned with the keeper's text word by word and extended as long as they
+   equal it but for edits: up to HOP words changed, added or left out, if at
+   least HOP_MATCH equal words follow.  So words before the first and after the
+   last anchor, those of gaps between anchors, and near-equal passages, whose
+   edit distance to the keeper's is at most a fifth of their words, go whole.
 
 What is shuffled for all paragraphs are compressed arrays, a row per block and
 shard; a passage that stands in every document is one entry per block.
@@ -57,6 +59,11 @@ RECALL, MOST_BANDS = 0.98, 4
 #: Classes of a bucket that one block holds.
 BUCKET_BLOCK = 1024
 NO_ID = -(2**63)
+#: Words that an edit changes, adds or leaves out at most, and equal words that must follow it.
+HOP, HOP_MATCH = 2, 8
+_HOPS = sorted(((i, j) for i in range(HOP + 1) for j in range(HOP + 1) if i or j), key=lambda h: (max(h), abs(h[0] - h[1]), h))
+#: Ends of one class that one task compares with the keeper's, and text bytes of a shard.
+END_BLOCK, SHARD_BYTES = 1024, 8 << 20
 #: Bytes beside the end of a run that are compared first, and their growth while all of them are equal.
 CONTEXT, GROWTH = 512, 16
 #: Rows of a block: "block" (its paragraphs), "class" (hashes and ids for a shard), "band" (band keys for a shard).
@@ -384,16 +391,39 @@ def class_texts(rows: DataFrame, wanted: DataFrame) -> DataFrame:
 
 def equal_words(mine: bytes, his: bytes, left: bool, mine_more: bool, his_more: bool) -> tuple[int, bool]:
     """How many bytes of ``mine`` beside a run hold the words that equal those of
-    ``his`` (A-Z lower-cased), counted from the run; and whether the texts that
-    ``more`` says go on may hold further ones."""
+    ``his`` (A-Z lower-cased), counted from the run, single edits included; and
+    whether the texts that ``more`` says go on may hold further ones."""
     a, b = ([(m.start(), m.end()) for m in re.finditer(rb"[^\t-\r ]+", t)] for t in (mine, his))
     if left:
         a, b = a[::-1], b[::-1]
     # the last word of a text that goes on may be a part of one
     a, b = a[: len(a) - mine_more], b[: len(b) - his_more]
-    n = next((k for k, ((p, q), (r, s)) in enumerate(zip(a, b)) if mine[p:q].lower() != his[r:s].lower()), min(len(a), len(b)))
-    far = (mine_more and n == len(a)) or (his_more and n == len(b))
-    return (0 if not n else len(mine) - a[n - 1][0] if left else a[n - 1][1]), bool(far)
+    x, y = [mine[p:q].lower() for p, q in a], [his[p:q].lower() for p, q in b]
+
+    def run(i: int, j: int, most: int) -> int:
+        """Equal words from the places i and j on, ``most`` of them at most."""
+        n = 0
+        while n < most and i + n < len(x) and j + n < len(y) and x[i + n] == y[j + n]:
+            n += 1
+        return n
+
+    i = j = 0
+    while True:
+        n = run(i, j, len(x))
+        i, j = i + n, j + n
+        far = (mine_more and i == len(x)) or (his_more and j == len(y))
+        hop = None
+        for di, dj in _HOPS if i < len(x) and j < len(y) else []:
+            n = run(i + di, j + dj, HOP_MATCH)
+            # words beyond what is seen of a text may still be equal
+            far = far or (n < HOP_MATCH and ((mine_more and i + di + n >= len(x)) or (his_more and j + dj + n >= len(y))))
+            if n == HOP_MATCH:
+                hop, far = (di, dj), False
+                break
+        if hop is None:
+            break
+        i, j = i + hop[0], j + hop[1]
+    return (0 if not i else len(mine) - a[i - 1][0] if left else a[i - 1][1]), bool(far)
 
 
 def contexts(rows: DataFrame, ends: DataFrame, size: int) -> DataFrame:
@@ -443,7 +473,12 @@ def extended(rows: DataFrame, equal: DataFrame) -> DataFrame:
         kept = kept.select("label", "at.*").withColumn("left", F.explode(F.array(F.lit(True), F.lit(False)))).withColumn("keeper", F.lit(True))
         both = written(contexts(rows, ends.unionByName(kept, allowMissingColumns=True), size), "paragraph-contexts")
         theirs = both.where("keeper").groupBy("label", "left").agg(F.first(F.struct("beside", "more")).alias("k")).select("label", "left", F.col("k.beside").alias("theirs"), F.col("k.more").alias("their_more"))
-        pairs = both.where("NOT keeper").drop("keeper").join(theirs, ["label", "left"])
+        # a class with very many ends is compared in parts, each with a copy of the keeper's text
+        hot = both.where("NOT keeper").groupBy("label", "left").agg(F.ceil(F.count("*") / END_BLOCK).cast("int").alias("parts")).where("parts > 1")
+        theirs = theirs.join(hot, ["label", "left"], "left").withColumn("part", F.explode(F.sequence(F.lit(0), F.coalesce("parts", F.lit(1)) - 1))).drop("parts")
+        mine = both.where("NOT keeper").drop("keeper").join(hot, ["label", "left"], "left")
+        mine = mine.withColumn("part", F.pmod(F.xxhash64("id", "version", "lo"), F.coalesce("parts", F.lit(1))).cast("int")).drop("parts")
+        pairs = mine.join(theirs, ["label", "left", "part"])
         got = written(pairs.mapInArrow(grown, "id long, version long, low long, label long, left boolean, lo long, hi long, n long, far boolean"), "paragraph-grown")
         new = got.where("n > 0 AND NOT far")
         out = new if out is None else out.unionByName(new)
@@ -457,13 +492,22 @@ def extended(rows: DataFrame, equal: DataFrame) -> DataFrame:
     return out.select("id", "version", *ends, "label", "low")
 
 
+def beyond(runs: DataFrame, lines: DataFrame) -> DataFrame:
+    """The ``runs`` that do not lie within one of ``lines (id, version, start, stop)``."""
+    both = runs.withColumn("line", F.lit(0)).unionByName(lines.withColumn("line", F.lit(1)), allowMissingColumns=True)
+    at = Window.partitionBy("id", "version").orderBy("start", F.col("line").desc()).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    covered = F.max(F.when(F.col("line") == 1, F.col("stop"))).over(at)
+    return both.withColumn("covered", covered).where("line = 0 AND (covered IS NULL OR covered < stop)").select(*runs.columns)
+
+
 def repeated_spans(docs: DataFrame, threshold: float = THRESHOLD, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The paragraphs that stand, alike, in several documents: ``(id, version,
     start, stop, cluster, keep_id, removed)``, bytes ``start .. stop`` of the
     text.  ``keep_id`` is the cluster's smallest id; its document keeps all of
     its paragraphs of the cluster, from the others they are ``removed``.
-    Where a run of removed paragraphs goes on in the keeper's words, the run as
-    far as they are equal is one more row, in the cluster of its end.
+    Where a run of removed paragraphs goes on in the keeper's words, beyond a
+    removed line, the run as far as they are equal but for edits is one more
+    row, in the cluster of its end.
 
     Paragraphs are alike when they are equal (A-Z lower-cased, white space
     aside) or linked by pairs with a Jaccard similarity of five-word shingles
@@ -476,7 +520,8 @@ def repeated_spans(docs: DataFrame, threshold: float = THRESHOLD, id_col: str =
     bound_batches(spark)
     bands, band_rows = tune_bands(threshold)
     rows = keyed(docs, id_col, text_col)
-    table = written(block_paragraphs(rows, shuffle_partitions(spark), bands, band_rows), "paragraphs")
+    shards = max(shuffle_partitions(spark), int(docs.agg(F.sum(F.octet_length(F.col(text_col).cast("string")))).first()[0] or 0) // SHARD_BYTES + 1)
+    table = written(block_paragraphs(rows, shards, bands, band_rows), "paragraphs")
     parts = table.select("block", "kind", "shard", "keys", "lows", "highs")
     answers = shared_classes(parts.where("kind = 'class'")).unionByName(shared_buckets(parts.where("kind = 'band'")))
     blocks = table.where("kind = 'block'").drop("kind", "shard", "keys", "lows", "highs")
@@ -492,9 +537,10 @@ def repeated_spans(docs: DataFrame, threshold: float = THRESHOLD, id_col: str =
     cluster = member.groupBy("cluster").agg(F.min("low").alias("low"), F.max("high").alias("high")).where("low < high")
     named = member.select("hash", "cluster").join(cluster, "cluster")
     near = meeting.drop("low", "high").join(named, "hash").withColumn("cluster", F.lower(F.hex("cluster")))
-    equal = equal.unionByName(extended(rows, spans.where("label > 0")), allowMissingColumns=True)
-    out = equal.withColumn("cluster", F.lower(F.hex("label"))).unionByName(near, allowMissingColumns=True)
     order = F.coalesce("id", F.lit(NO_ID))
+    runs = beyond(extended(rows, spans.where("label > 0")), near.where(order != F.col("low")).select("id", "version", "start", "stop"))
+    equal = equal.unionByName(runs, allowMissingColumns=True)
+    out = equal.withColumn("cluster", F.lower(F.hex("label"))).unionByName(near, allowMissingColumns=True)
     return out.select("id", "version", "start", "stop", "cluster", F.nullif(F.col("low"), F.lit(NO_ID)).alias("keep_id"), (order != F.col("low")).alias("removed"))
 
 
