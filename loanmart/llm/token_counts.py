@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Regex, Tokenizer, pre_tokenizers
 
-from .common import bound_batches, shuffle_partitions, text_blocks, written
+from .common import bound_batches, text_blocks, written
 from .segments import offsets_of, ragged, text_block, word_segments
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -51,6 +51,8 @@ COUNT = "doc_id long, n_bytes long, n_tokens long, over_limit boolean"
 _COUNT = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_tokens", pa.int64()), ("over_limit", pa.bool_())])
 #: Text bytes of a block; larger blocks repeat fewer dictionary entries.
 BLOCK_BYTES = 8 << 20
+#: Text bytes whose dictionaries make up a shard, on average: it is loaded whole.
+SHARD_BYTES = 8 << 20
 
 
 @lru_cache(maxsize=1)
@@ -161,7 +163,8 @@ def token_counts(docs: DataFrame, path: str = TOKENIZER, limit: int = 2048, id_c
     """
     spark = docs.sparkSession
     bound_batches(spark)
-    table = written(dictionaries(docs, shuffle_partitions(spark), path, id_col, text_col), "token-dictionaries")
+    shards = int(docs.agg(F.sum(F.octet_length(F.col(text_col).cast("string")))).first()[0] or 0) // SHARD_BYTES + 1
+    table = written(dictionaries(docs, shards, path, id_col, text_col), "token-dictionaries")
     pieces = count_pieces(table.where("shard IS NOT NULL").select("block", "shard", "dictionary"), path)
     blocks = table.where("shard IS NULL").select("block", "docs", "n_bytes", "per_doc", "words", "times")
 
