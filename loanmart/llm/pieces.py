@@ -9,7 +9,12 @@ of the edges that join two neighbouring symbols the best-scored, leftmost one
 is contracted, in all words at once, until none is left.  Characters that no
 piece covers become their bytes.  Ids of a text are those of its words; no
 piece holds a blank after another character, so words do not depend on their
-neighbours.
+neighbours.  Long words are cut where the words around the cut end a symbol;
+a cut holds if its two symbols, put together, stay two (a sequence of symbols
+is the one that contraction leaves just when that is so for all neighbours),
+else the parts are joined again.  Words are indexed a bounded number of
+characters at a time, so a text without blanks needs no more memory than any
+other.
 """
 
 from __future__ import annotations
@@ -35,8 +40,11 @@ SPACE = "▁"
 ENCODED = "doc_id long, n_tokens long, ids_crc32 long, decoded_crc32 long, round_trip boolean"
 _ENCODED = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("ids_crc32", pa.int64()), ("decoded_crc32", pa.int64()), ("round_trip", pa.bool_())])
 IDS = "doc_id long, ids array<int>"
-#: Words of more symbols are relaxed one by one with a queue.
-LONG_WORD = 256
+#: Words of more symbols are cut in parts of about half as many, and relaxed one
+#: by one with a queue where they cannot be; characters to either side of a cut.
+LONG_WORD, AROUND = 256, 32
+#: Characters that are indexed at once, unless one uncut word has more.
+INDEXED = 1 << 20
 _NONE = np.iinfo(np.int64).max
 
 
@@ -215,8 +223,73 @@ def word_cuts(block: Block) -> Segments:
     return cut(block, mark)
 
 
-def encode_words(words: list[str], vocab: Pieces) -> tuple[np.ndarray, np.ndarray]:
-    """Ids of all words one after the other, and their number per word."""
+def cut_long(words: list[str], vocab: Pieces) -> tuple[list[str], list[int]]:
+    """The words in parts, and the word of each part."""
+    parts, owner = [], []
+    for k, word in enumerate(words):
+        if len(word) <= LONG_WORD:
+            parts.append(word)
+            owner.append(k)
+            continue
+        targets = range(LONG_WORD // 2, len(word) - LONG_WORD // 4, LONG_WORD // 2)
+        around = [word[p - AROUND: p + AROUND] for p in targets]
+        distinct = list(dict.fromkeys(around))
+        at, _, owns = symbols(distinct, vocab)[:3]
+        starts = dict(zip(distinct, np.split(at, np.searchsorted(owns, np.arange(1, len(distinct))))))
+        cuts = [p - AROUND + int(near[np.abs(near - AROUND).argmin()]) for p, near in zip(targets, (starts[w] for w in around))]
+        own = [word[a:b] for a, b in zip([0, *cuts], [*cuts, len(word)]) if a < b]
+        parts += own
+        owner += [k] * len(own)
+    return parts, owner
+
+
+def chunks(words: list[str]) -> list[tuple[int, int]]:
+    """Runs of words of INDEXED characters or so."""
+    group = np.cumsum([len(w) + 1 for w in words]) // INDEXED
+    edge = [0, *(np.flatnonzero(np.diff(group)) + 1).tolist(), len(words)]
+    return list(zip(edge, edge[1:]))
+
+
+def encode_all(words: list[str], vocab: Pieces) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of any number of words of any length, one after the other, and their number per word."""
+    parts, owner = cut_long(words, vocab)
+    done: list[tuple[np.ndarray, int, int] | None] = [None] * len(parts)  # ids, characters of the first and last symbol
+    todo = list(range(len(parts)))
+    while todo:
+        for a, b in chunks([parts[i] for i in todo]):
+            some = todo[a:b]
+            for i, got in zip(some, encode_words([parts[i] for i in some], vocab)):
+                done[i] = got
+        # cuts within words whose symbols would have been joined
+        seams = [i for i in range(1, len(parts)) if owner[i] == owner[i - 1]]
+        pairs = [parts[i - 1][len(parts[i - 1]) - done[i - 1][2]:] + parts[i][: done[i][1]] for i in seams]
+        wrong = set()
+        distinct = list(dict.fromkeys(pairs))
+        if distinct:
+            size = symbols(distinct, vocab)[1:3]
+            count = dict(zip(distinct, np.bincount(size[1], minlength=len(distinct)).tolist()))
+            head = dict(zip(distinct, size[0][np.flatnonzero(np.diff(size[1], prepend=-1))].tolist()))
+            wrong = {i for i, p in zip(seams, pairs) if count[p] != 2 or head[p] != done[i - 1][2]}
+        todo = []
+        if wrong:
+            new_parts, new_owner, new_done = [], [], []
+            for i, part in enumerate(parts):
+                if i in wrong:
+                    new_parts[-1] += part
+                    new_done[-1] = None
+                else:
+                    new_parts.append(part)
+                    new_owner.append(owner[i])
+                    new_done.append(done[i])
+            parts, owner, done = new_parts, new_owner, new_done
+            todo = [i for i, d in enumerate(done) if d is None]
+    counts = np.bincount(owner, weights=[len(d[0]) for d in done], minlength=len(words)).astype(np.int64)
+    return np.concatenate([d[0] for d in done]), counts
+
+
+def symbols(words: list[str], vocab: Pieces) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Of the symbols of all words in order their place in the word, their size,
+    their word, the id of their piece (-1: none), and their first character."""
     sizes = np.array([len(w) for w in words], dtype=np.int64)
     points = np.frombuffer("\0".join(words).replace(" ", SPACE).encode("utf-32-le"), dtype=np.uint32)
     starts = offsets_of(sizes + 1)[:-1]
@@ -233,14 +306,24 @@ def encode_words(words: list[str], vocab: Pieces) -> tuple[np.ndarray, np.ndarra
     at, size = at[order], size[order]
     word = np.searchsorted(starts, at, "right") - 1
     found = np.where(size > 1, vocab.ids[np.maximum(edge[at, size], 1) - 1], vocab.single[text[at]])
-    ids, counts = found, np.ones(len(at), dtype=np.int64)
+    return at - starts[word], size, word, found, points[at]
+
+
+def encode_words(words: list[str], vocab: Pieces) -> Iterator[tuple[np.ndarray, int, int]]:
+    """Per word its ids and the characters of its first and last symbol."""
+    _, size, word, found, point = symbols(words, vocab)
+    ids, counts = found, np.ones(len(found), dtype=np.int64)
     lost = np.flatnonzero(found < 0)
     if len(lost):
-        raw = [chr(c).encode() for c in points[at[lost]].tolist()]
+        raw = [chr(c).encode() for c in point[lost].tolist()]
         counts[lost] = [len(b) for b in raw]
         ids = np.repeat(found, counts)
         ids[ids < 0] = vocab.byte[np.frombuffer(b"".join(raw), dtype=np.uint8)]
-    return ids, np.bincount(word, weights=counts, minlength=len(words)).astype(np.int64)
+    first = np.searchsorted(word, np.arange(len(words) + 1))
+    at = offsets_of(counts)[first].tolist()
+    head, tail = size[first[:-1]].tolist(), size[first[1:] - 1].tolist()
+    for a, b, x, y in zip(at, at[1:], head, tail):
+        yield ids[a:b], x, y
 
 
 def encode_block(column: pa.Array, path: str) -> tuple[np.ndarray, np.ndarray]:
@@ -255,7 +338,7 @@ def encode_block(column: pa.Array, path: str) -> tuple[np.ndarray, np.ndarray]:
     if not len(seg.start):
         return np.zeros(0, dtype="<u4"), np.zeros(block.rows, dtype=np.int64)
     words = [block.raw(a, b).decode() for a, b in zip(seg.start[seg.first].tolist(), seg.end[seg.first].tolist())]
-    ids, counts = encode_words(words, vocab)
+    ids, counts = encode_all(words, vocab)
     per = counts[seg.which]
     out = ids[ragged(per, offsets_of(counts)[:-1][seg.which])]
     return out.astype("<u4"), np.bincount(seg.doc, weights=per, minlength=block.rows).astype(np.int64)

@@ -289,3 +289,41 @@ def test_pieces_equal_the_library(spark, odd, docs):
     rows = encode_round_trip(docs).collect()
     assert all(r.round_trip for r in rows) and len(rows) == docs.count()
     assert encode_round_trip(empty(spark)).count() == 0
+
+
+# ------------------------------------------------------------- long words
+@pytest.mark.parametrize("long,around", [(24, 6), (40, 3), (64, 16)])
+def test_cuts_of_long_words_change_no_id(monkeypatch, long, around):
+    import pyarrow as pa
+    import sentencepiece
+    from loanmart.llm import pieces
+    monkeypatch.setattr(pieces, "LONG_WORD", long)
+    monkeypatch.setattr(pieces, "AROUND", around)
+    monkeypatch.setattr(pieces, "INDEXED", 5_000)
+    model, rng = sentencepiece.SentencePieceProcessor(model_file=MODEL), np.random.default_rng(long)
+    alphabets = ["ab", "abc", "etaoinshr", "the", "xX1", "0123456789", "aé日\U0001F600", "lorem ipsumdolor", "-=_", "ing", "x"]
+    texts = ["".join(rng.choice(list(alphabets[i % len(alphabets)]), rng.integers(1, 600))) for i in range(220)]
+    ids, counts = pieces.encode_block(pa.array(texts), MODEL)
+    for text, own in zip(texts, np.split(ids, np.cumsum(counts)[:-1])):
+        assert own.tolist() == model.encode(text)
+
+
+@pytest.mark.parametrize("made", ["''.join(chr(97 + i) for i in rng.integers(0, 26, n))", "''.join(rng.choice(['the', 'lorem', 'tion', 'Data', 'x'], n // 3))"])
+def test_a_text_without_blanks_needs_bounded_memory(made):
+    """10 MB in one word: at most 700 MB above the start."""
+    import subprocess
+    import sys
+    script = f"""
+import resource
+import numpy as np, pyarrow as pa
+from loanmart.llm.pieces import MODEL, decode_block, encode_block, pieces
+rng, n = np.random.default_rng(1), 10_000_000
+text = {made}
+pieces(MODEL)
+before = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss
+ids, counts = encode_block(pa.array([text]), MODEL)
+grown = (resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before) / 1024
+assert decode_block(ids, counts, MODEL)[0].decode() == text
+assert grown < 700, grown
+"""
+    subprocess.run([sys.executable, "-c", script], check=True, timeout=600)
