@@ -66,6 +66,8 @@ _HOPS = sorted(((i, j) for i in range(HOP + 1) for j in range(HOP + 1) if i or j
 END_BLOCK, SHARD_BYTES = 1024, 8 << 20
 #: Bytes beside the end of a run that are compared first, and their growth while all of them are equal.
 CONTEXT, GROWTH = 512, 16
+#: Bytes of the next run that are looked at too, for the words that follow an edit.
+LOOK = 192
 #: Rows of a block: "block" (its paragraphs), "class" (hashes and ids for a shard), "band" (band keys for a shard).
 BLOCK = ("block long, kind string, shard int, keys binary, lows binary, highs binary, ids array<long>, versions array<long>, per_doc binary, starts binary,"
          " stops binary, classes binary, class_shards binary, lines binary, hashes binary, band_shards binary")
@@ -428,19 +430,22 @@ def equal_words(mine: bytes, his: bytes, left: bool, mine_more: bool, his_more:
 
 def contexts(rows: DataFrame, ends: DataFrame, size: int) -> DataFrame:
     """See CONTEXT_ROW: ``ends (label, left, keeper, id, version, low, start, stop,
-    lo, hi)`` with the ``size`` bytes beside ``start .. stop`` in documents ``rows``."""
+    lo, hi, room)`` with the ``size`` bytes, or ``room`` if that is less, beside
+    ``start .. stop`` in documents ``rows``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for k, (body, parts) in enumerate(zip(batch.column("body").cast(pa.binary()), batch.column("parts"))):
                 raw, out = body.as_py(), []
                 for p in parts.as_py():
-                    a, b = (max(0, p["start"] - size), p["start"]) if p["left"] else (p["stop"], p["stop"] + size)
+                    reach = size if p["room"] is None else min(size, p["room"])
+                    a, b = (max(0, p["start"] - reach), p["start"]) if p["left"] else (p["stop"], p["stop"] + reach)
+                    more = reach == size and (a > 0 if p["left"] else b < len(raw))
                     out.append({**{c: p[c] for c in ("label", "left", "keeper", "low", "lo", "hi")}, "id": batch.column("id")[k].as_py(), "version": batch.column("version")[k].as_py(),
-                                "beside": raw[a:b], "more": a > 0 if p["left"] else b < len(raw)})
+                                "beside": raw[a:b], "more": more})
                 yield pa.RecordBatch.from_pylist(out, schema=_CONTEXT_ROW)
 
-    parts = ends.groupBy("id", "version").agg(F.collect_list(F.struct("label", "left", "keeper", "low", "start", "stop", "lo", "hi")).alias("parts"))
+    parts = ends.groupBy("id", "version").agg(F.collect_list(F.struct("label", "left", "keeper", "low", "start", "stop", "lo", "hi", "room")).alias("parts"))
     same = F.col("r.id").eqNullSafe(F.col("p.id")) & (F.col("r.version") == F.col("p.version"))
     found = rows.alias("r").join(parts.alias("p"), same).select("r.id", "r.version", "body", "parts")
     return found.mapInArrow(run, CONTEXT_ROW)
@@ -456,8 +461,11 @@ def extended(rows: DataFrame, equal: DataFrame) -> DataFrame:
     before = F.max("stop").over(one.rowsBetween(Window.unboundedPreceding, -1))
     spans = spans.withColumn("first", F.coalesce(before + 1 < F.col("start"), F.lit(True)).cast("int")).withColumn("run", F.sum("first").over(one.rowsBetween(Window.unboundedPreceding, 0)))
     runs = spans.groupBy("id", "version", "low", "run").agg(F.min(F.struct("start", "stop", "label")).alias("l"), F.max(F.struct("stop", "start", "label")).alias("r"))
+    # what lies beyond the next run of the keeper is that run's own
+    near = Window.partitionBy("id", "version", "low").orderBy("run")
+    runs = runs.withColumns({"lroom": F.col("l.start") - F.lag("r.stop").over(near) + LOOK, "rroom": F.lead("l.start").over(near) - F.col("r.stop") + LOOK})
     runs = runs.select("id", "version", "low", F.col("l.start").alias("lo"), F.col("r.stop").alias("hi"), F.explode(F.array(*[
-        F.struct(F.lit(side == "l").alias("left"), *[F.col(f"{side}.{c}").alias(c) for c in ("label", "start", "stop")]) for side in "lr"])).alias("end"))
+        F.struct(F.lit(side == "l").alias("left"), F.col(f"{side}room").alias("room"), *[F.col(f"{side}.{c}").alias(c) for c in ("label", "start", "stop")]) for side in "lr"])).alias("end"))
     ends = written(runs.select("id", "version", "low", "lo", "hi", "end.*").withColumn("keeper", F.lit(False)), "paragraph-ends")
     out, size = None, CONTEXT
 
