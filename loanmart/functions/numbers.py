@@ -20,10 +20,10 @@ def _exact(col) -> Column:
     """Exact decimal; text that is no number -> null, a number that does not
     fit ``EXACT_DECIMAL`` raises (it must not look like bad text)."""
     c = _c(col)
-    value = c.try_cast(EXACT_DECIMAL)
-    wide = value.isNull() & F.coalesce(F.trim(c.cast("string")).rlike(NUMBER), F.lit(False))
-    return F.when(wide, F.raise_error(F.concat(F.lit("number too wide for an exact decimal: "), c.cast("string")))
-                  .cast(EXACT_DECIMAL)).otherwise(value)
+    # looked at only where the one cast gave nothing
+    wide = F.when(F.trim(c.cast("string")).rlike(NUMBER),
+                  F.raise_error(F.concat(F.lit("number too wide for an exact decimal: "), c.cast("string"))).cast(EXACT_DECIMAL))
+    return F.coalesce(c.try_cast(EXACT_DECIMAL), wide)
 
 
 def to_decimal_exact(col) -> Column:

@@ -44,7 +44,9 @@ B_COLUMNS = (
 # CLEAR_TO_CLOSE stay as delivered, Q8).
 DATE_COLUMNS = ("CLOSING_DATE", "BP_DOC_REVIEW", "APPRAISAL_ORDERED", "APPRAISAL_DUE", "APPRAISAL_EXPIRATION",
                 "TITLE_ORDERED", "TITLE_RECEIVED", "DOCS_OUT", "SIGNING_APPOINTMENT")
+# Columns parsed as numbers.
 NUMERIC_COLUMNS = ("LOAN_AMOUNT", "POINTS", "WIRE_AMOUNT", "NOTE_RATE")
+# Output columns in their order; the date column of the funded report.
 OUTPUT_ORDER = (
     "LOAN_NUMBER", "TBD", "NOTES", "BORROWER_FIRST_NAME", "BORROWER_LAST_NAME", "STREET", "STATE",
     "CLOSING_DATE", "CLOSING_LIKELIHOOD", "LOCK_EXPIRATION", "LOAN_AMOUNT", "NOTE_RATE", "POINTS", "WIRE_AMOUNT",
@@ -53,6 +55,7 @@ OUTPUT_ORDER = (
     "FUND", "LOAN_TYPE", "OCCUPANCY", "LIEN_POSITION", "LOAN_TERM",
 )
 FUNDED = "FUNDED_DATE"
+# Recode and sort keys.
 LIEN_RECODE = {"First Lien": "First"}
 SORT_KEYS = ("CLOSING_DATE", "FUND")
 # Date texts accepted by the coercing parse (Q7: an explicit list).

@@ -14,6 +14,7 @@ from loanmart.operators.upsert import assert_unique, upsert_table
 from loanmart.operators.validate import ValidationError, observed_errors, observed_nulls
 from loanmart.session import scratch_path
 
+# Fixed value: the communication type that is loaded.
 EMAIL_TYPE = "EMAIL"
 COMPANY_KEY, WORKER_KEY, EMAIL_KEY = ["company_id"], ["id"], ["id"]
 

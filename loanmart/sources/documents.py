@@ -28,6 +28,7 @@ def _items(item: T.StructType) -> T.StructType:
         T.StructField("items", T.ArrayType(item))]))])
 
 
+# Field names of the landed documents, in the schemas below.
 CATALOGUE_SCHEMA = _struct("id", "name")
 LOAN_LIST_SCHEMA = _items(T.StructType([
     T.StructField("id", S), T.StructField("fileNumber", S), T.StructField("folder", S), T.StructField("status", S),
