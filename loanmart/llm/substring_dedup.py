@@ -482,7 +482,8 @@ def extended(rows: DataFrame, equal: DataFrame) -> DataFrame:
         both = written(contexts(rows, ends.unionByName(kept, allowMissingColumns=True), size), "paragraph-contexts")
         theirs = both.where("keeper").groupBy("label", "left").agg(F.first(F.struct("beside", "more")).alias("k")).select("label", "left", F.col("k.beside").alias("theirs"), F.col("k.more").alias("their_more"))
         # a class with very many ends is compared in parts, each with a copy of the keeper's text
-        hot = both.where("NOT keeper").groupBy("label", "left").agg(F.ceil(F.count("*") / END_BLOCK).cast("int").alias("parts")).where("parts > 1")
+        hot = both.where("NOT keeper").groupBy("label", "left").agg(F.ceil(F.count("*") / END_BLOCK).cast("int").alias("parts"))
+        hot = written(hot.where("parts > 1"), "paragraph-hot")
         theirs = theirs.join(hot, ["label", "left"], "left").withColumn("part", F.explode(F.sequence(F.lit(0), F.coalesce("parts", F.lit(1)) - 1))).drop("parts")
         mine = both.where("NOT keeper").drop("keeper").join(hot, ["label", "left"], "left")
         mine = mine.withColumn("part", F.pmod(F.xxhash64("id", "version", "lo"), F.coalesce("parts", F.lit(1))).cast("int")).drop("parts")
