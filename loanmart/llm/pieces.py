@@ -233,10 +233,14 @@ def cut_long(words: list[str], vocab: Pieces) -> tuple[list[str], list[int]]:
             continue
         targets = range(LONG_WORD // 2, len(word) - LONG_WORD // 4, LONG_WORD // 2)
         around = [word[p - AROUND: p + AROUND] for p in targets]
+        middle: dict[str, int] = {}  # of each distinct one the place of the symbol that begins next to its middle
         distinct = list(dict.fromkeys(around))
-        at, _, owns = symbols(distinct, vocab)[:3]
-        starts = dict(zip(distinct, np.split(at, np.searchsorted(owns, np.arange(1, len(distinct))))))
-        cuts = [p - AROUND + int(near[np.abs(near - AROUND).argmin()]) for p, near in zip(targets, (starts[w] for w in around))]
+        for a, b in chunks(distinct):
+            at, _, owns = symbols(distinct[a:b], vocab)[:3]
+            first = np.searchsorted(owns, np.arange(b - a))
+            best = np.minimum.reduceat(np.abs(at - AROUND) * 4 * AROUND + at, first) % (4 * AROUND)
+            middle.update(zip(distinct[a:b], best.tolist()))
+        cuts = [p - AROUND + middle[w] for p, w in zip(targets, around)]
         own = [word[a:b] for a, b in zip([0, *cuts], [*cuts, len(word)]) if a < b]
         parts += own
         owner += [k] * len(own)
