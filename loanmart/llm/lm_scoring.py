@@ -40,9 +40,9 @@ block, a byte's context one entry per shard.
 from __future__ import annotations
 
 import zlib
-from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -53,7 +53,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import bound_batches, release, text_blocks, written
-from .segments import offsets_of
+from .segments import Block, offsets_of, text_block
 
 #: Text bytes of a block, and of what a shard's units are drawn from on average.
 BLOCK_BYTES = 8 << 20
@@ -86,6 +86,12 @@ HIT = 128
 CONTEXT_BITS, TOKEN_BITS = 28, 24
 _PRIME = 0x9E3779B97F4A7C15
 _MASK = 0xFFFFFFFFFFFFFFFF
+_BYTE = np.random.default_rng(13).integers(1, 2**63, 256, dtype=np.uint64)
+#: White space [\x20\x09-\x0D], and bytes with A-Z lower-cased.
+_WHITE = np.zeros(256, dtype=bool)
+_WHITE[[9, 10, 11, 12, 13, 32]] = True
+_LOWER = np.arange(256, dtype=np.uint8)
+_LOWER[65:91] += 32
 
 BLOCK = "block long, shard int, words binary, word_of binary, kinds binary, train binary, docs array<long>, held array<boolean>, n_bytes array<long>, per_doc binary, tokens binary, hashes binary, heads binary"
 _BLOCK = pa.schema([("block", pa.int64()), ("shard", pa.int32()), *((c, pa.binary()) for c in ("words", "word_of", "kinds", "train")), ("docs", pa.list_(pa.int64())),
@@ -170,34 +176,51 @@ def _batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
 
 
 # ------------------------------------------------------ documents and units
-def _kind_after(word: bytes) -> int:
-    """What kind of a token a word is for the one after it."""
-    last = word[-1:]
-    return 0 if last in (b"", b".", b"!", b"?") else 1 if last in b",;:)-\"'" else 2
-
-
-def block_units(texts: list[bytes | None]) -> tuple[list[bytes], np.ndarray, np.ndarray, np.ndarray]:
-    """The distinct tokens of a block (the end is empty), per document its
-    number of tokens, the unit (token * KINDS + kind before) of each token in
-    order, and per document the bytes of its stream."""
-    places: dict[bytes, int] = defaultdict()
-    places.default_factory = places.__len__
-    flat: list[int] = []
-    counts = []
-    for text in texts:
-        words = (text or b"").lower().split()  # bytes: A-Z, and at [\x20\x09-\x0D] only
-        words.append(b"")
-        flat.extend(map(places.__getitem__, words))
-        counts.append(len(words))
-    tokens, ends = np.array(flat, dtype=np.int64), np.cumsum(counts, dtype=np.int64)
+@lru_cache(maxsize=1)
+def _powers(bits: int) -> np.ndarray:
+    out = np.full(1 << bits, _PRIME, dtype=np.uint64)
+    out[0] = 1
+    return np.cumprod(out)
+
+
+#: What kind of a token a word is for the one after it, by its last byte.
+_KIND_AFTER = np.full(256, 2, dtype=np.int64)
+_KIND_AFTER[list(b".!?")] = 0
+_KIND_AFTER[list(b",;:)-\"'")] = 1
+
+
+def block_units(block: Block) -> tuple[list[bytes], np.ndarray, np.ndarray, np.ndarray]:
+    """The distinct tokens of a block (the end, empty, comes first), per document
+    its number of tokens, the unit (token * KINDS + kind before) of each token
+    in order, and per document the bytes of its stream."""
+    solid = ~_WHITE[block.data]
+    edge = np.diff(solid.view(np.int8), prepend=0) != 0
+    edge[block.offsets[:-1][block.sizes > 0]] = True
+    edge = np.append(np.flatnonzero(edge), len(solid))
+    begin, size = edge[:-1], np.diff(edge)
+    word = solid.take(begin) if len(begin) else np.zeros(0, dtype=bool)
+    begin, size = begin[word], size[word]
+    data, at = _LOWER[block.data[solid]], np.cumsum(size) - size
+    # a word's hash: random numbers of its bytes times powers of their places
+    place = np.arange(len(data)) - np.repeat(at, size)
+    key = np.add.reduceat(_BYTE[data] * _powers(int(size.max()).bit_length()).take(place), at) if len(at) else np.zeros(0, np.uint64)
+    codes, own = pd.factorize(key + size.astype(np.uint64))
+    seen = np.empty(len(own), dtype=np.int64)
+    seen[codes[::-1]] = np.arange(len(codes))[::-1]
+    raw = data.tobytes()
+    words = [b"", *(raw[a: a + n] for a, n in zip(at.take(seen).tolist(), size.take(seen).tolist()))]
+    doc = np.searchsorted(block.offsets, begin, "right") - 1
+    counts = np.bincount(doc, minlength=block.rows) + 1
+    ends = np.cumsum(counts)
+    tokens = np.zeros(int(ends[-1]) if len(ends) else 0, dtype=np.int64)
+    tokens[np.arange(len(codes)) + doc] = codes + 1
     starts = ends - counts
-    kind = np.fromiter(map(_kind_after, places), dtype=np.int64, count=len(places))
+    kind = np.append(0, _KIND_AFTER[data.take((at + size - 1).take(seen))]) if len(own) else np.zeros(1, dtype=np.int64)
     before = np.zeros(len(tokens), dtype=np.int64)
-    before[1:] = kind[tokens[:-1]]
+    before[1:] = kind.take(tokens[:-1])
     before[starts] = 0
-    size = np.fromiter((len(w) + 1 for w in places), dtype=np.int64, count=len(places))
-    n_bytes = np.add.reduceat(size[tokens], starts) if len(starts) else starts
-    return list(places), np.array(counts, dtype=np.int64), tokens * KINDS + before, n_bytes
+    n_bytes = np.bincount(doc, size + 1, minlength=block.rows).astype(np.int64) + 1
+    return words, counts, tokens * KINDS + before, n_bytes
 
 
 def blocks(docs: DataFrame, shards: int) -> DataFrame:
@@ -207,7 +230,7 @@ def blocks(docs: DataFrame, shards: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for k, batch in enumerate(text_blocks(batches, "text", BLOCK_BYTES)):
             name = (TaskContext.get().partitionId() << 32) + k
-            words, per_doc, unit, n_bytes = block_units(batch.column("text").cast(pa.binary()).to_pylist())
+            words, per_doc, unit, n_bytes = block_units(text_block(batch.column("text")))
             held = batch.column("held").to_numpy(zero_copy_only=False)
             out = np.repeat(held, per_doc)
             times = np.bincount(unit, minlength=len(words) * KINDS)
@@ -215,12 +238,11 @@ def blocks(docs: DataFrame, shards: int) -> DataFrame:
             own = np.flatnonzero(times)
             # training occurrences, and whether there are others
             train = 2 * train[own] + (times > train)[own]
-            which = (np.cumsum(times > 0) - 1)[unit]
             hashes = np.fromiter(map(zlib.crc32, words), dtype=np.int64, count=len(words))[own // KINDS]
             shard = hashes % shards
             order = np.argsort(shard, kind="stable")
-            rank = np.empty(len(order), dtype=np.int64)
-            rank[order] = np.arange(len(order))
+            rank = np.zeros(len(times), dtype=np.uint32)
+            rank[own[order]] = np.arange(len(order))
             rows = []
             for s, part in _runs(shard, order):
                 tokens, word_of = np.unique(own[part] // KINDS, return_inverse=True)
@@ -229,7 +251,7 @@ def blocks(docs: DataFrame, shards: int) -> DataFrame:
             # units of one word stand together: its hash is written once, where they begin
             heads = np.diff(own[order] // KINDS, prepend=-1) != 0
             rows.append((name, None, None, None, None, None, batch.column("id").to_pylist(), held.tolist(), n_bytes.tolist(),
-                         _packed(per_doc, "<u4"), _planes(rank[which], "<u4"), _packed(hashes[order[heads]], "<u4"), _packed(heads, "u1")))
+                         _packed(per_doc, "<u4"), _planes(rank.take(unit), "<u4"), _packed(hashes[order[heads]], "<u4"), _packed(heads, "u1")))
             yield _batch(rows, _BLOCK)
 
     return docs.mapInArrow(run, BLOCK)
@@ -422,18 +444,22 @@ def context_edges(s: Stream) -> Iterator[np.ndarray]:
         yield _mixed(h + np.uint64((k + 1) * 0xA0761D6478BD642F & _MASK)) & np.uint64(_MASK ^ 255) | s.data
 
 
-def shard_edges(s: Stream) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
-    """Per predictor the number of every byte's edge, the distinct edges of all
-    predictors in order, and how often the training documents have them."""
+def shard_edges(s: Stream) -> tuple[list[np.ndarray], np.ndarray]:
+    """Per predictor the number of every byte's edge, and the distinct edges of
+    all predictors in order."""
     found = [_distinct(edges) for edges in context_edges(s)]
-    weight = s.train[s.unit].astype(np.float64)
     edges = np.concatenate([own for own, _ in found])
-    seen = np.concatenate([np.bincount(at, weight, minlength=len(own)) for own, at in found]).astype(np.int64)
     order = np.argsort(edges)
     rank = np.empty(len(order), dtype=np.int32)
     rank[order] = np.arange(len(order))
     bases = offsets_of(np.array([len(own) for own, _ in found]))
-    return [rank.take(at + base) for (_, at), base in zip(found, bases)], edges[order], seen[order]
+    return [rank[a:b].take(at) for (_, at), a, b in zip(found, bases[:-1], bases[1:])], edges[order]
+
+
+def edge_counts(s: Stream, which: list[np.ndarray], n: int) -> np.ndarray:
+    """How often the training documents have each of the ``n`` edges."""
+    weight = s.train.astype(np.float64).take(s.unit)
+    return sum(np.bincount(w, weight, minlength=n) for w in which).astype(np.int64)
 
 
 def dealt(edges: np.ndarray, places: int) -> Iterator[tuple[int, slice]]:
@@ -448,7 +474,9 @@ def send_edges(shards: DataFrame, places: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
-                _, edges, seen = shard_edges(stream_of(row))
+                s = stream_of(row)
+                which, edges = shard_edges(s)
+                seen = edge_counts(s, which, len(edges))
                 yield _batch([(p, row["shard"], _packed_keys(edges[part]), _planes(seen[part], "<u8")) for p, part in dealt(edges, places)], _SENT)
         release()
 
@@ -594,7 +622,7 @@ def unit_bits(s: Stream, which: list[np.ndarray], totals: np.ndarray, model: Mod
         dot = _mix(model.weights, gate, [v.odds.take(w.take(at), axis=0) for w in which])
         mapped = np.where(dot == 0, np.float32(0.5), went.take(_map_place(row, dot)))
         p = (1 - MAP_SHARE) / (1 + np.exp(-np.clip(dot, -40, 40))) + MAP_SHARE * mapped
-        cost[at] = -np.log2(p.astype(np.float64)).sum(axis=1)
+        cost[at] = -np.log2(p).sum(axis=1, dtype=np.float64)
     return np.bincount(s.unit, cost, minlength=len(s.kind))
 
 
@@ -605,7 +633,7 @@ def train_shards(shards: DataFrame, answers: DataFrame, places: int) -> DataFram
         row = own.to_pylist()[0]
         answers = got.select(["place", "sizes", "next", "n"]).to_pylist()
         s = stream_of(row)
-        which, edges, _ = shard_edges(s)
+        which, edges = shard_edges(s)
         weights, mass, refined = train(which, node_totals(edges, places, {a["place"]: a for a in answers}), s.train[s.unit].astype(np.float64))
         learned = np.concatenate([(weights * mass[:, None]).ravel(), mass, refined.ravel()])
         release()
@@ -651,7 +679,7 @@ def score_units(trained: DataFrame, model: Model, places: int) -> DataFrame:
         for batch in batches:
             for row in batch.to_pylist():
                 s = stream_of(row)
-                which, edges, _ = shard_edges(s)
+                which, edges = shard_edges(s)
                 totals = node_totals(edges, places, {a["place"]: a for a in row["answers"]})
                 bits, own = unit_bits(s, which, totals, model, 0, s.held), unit_bits(s, which, totals, model, 1, s.train > 0)
                 counts = np.bincount(s.word_of, s.train).astype(np.int64)[s.word_of]

@@ -100,7 +100,8 @@ def one_shard(units, texts_counts):
     row = {"words": lm._packed(b"\n".join(words)), "word_of": lm._packed(np.array([words.index(w) for w, _, _ in units]), "<u4"),
            "kinds": lm._packed(np.array([k for _, k, _ in units]), "u1"), "train": lm._planes(np.array([2 * c + 1 for _, _, c in units]), "<u8")}
     s = lm.stream_of(row)
-    which, edges, seen = lm.shard_edges(s)
+    which, edges = lm.shard_edges(s)
+    seen = lm.edge_counts(s, which, len(edges))
     answers = {}
     for p, part in lm.dealt(edges, texts_counts):
         sent = pa.table({"place": [p], "shard": [0], "edges": [lm._packed_keys(edges[part])], "n": [lm._planes(seen[part], "<u8")]})
