@@ -399,7 +399,7 @@ def dated_csv_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     back = read_csv_report(spark, path, report.schema)
     nulls = seen.nulls()
     told = spark.createDataFrame([("seen", seen.rows, nulls.get("pinned_note", 0)), ("/".join(path.split("/")[-2:]), 1, None)], "loan_number string, n long, nulls long")
-    file = back.select(F.input_file_name().alias("f")).distinct().agg(F.count("*").alias("n")).select(F.lit("files").alias("loan_number"), "n")
+    file = spark.read.text(path).select(F.input_file_name().alias("f")).distinct().agg(F.count("*").alias("n")).select(F.lit("files").alias("loan_number"), "n")
     return back.unionByName(told, allowMissingColumns=True).unionByName(file, allowMissingColumns=True)
 
 

@@ -14,6 +14,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from loanmart.sources.records import csv_records
 from loanmart.sources.tables import LOAD
 
 # Date patterns of report paths (K3).
@@ -97,8 +98,12 @@ def _join_files(spark: SparkSession, fs, parts: list, whole) -> None:
 
 
 def read_csv_report(spark: SparkSession, path: str, schema) -> DataFrame:
-    """Read a K1 report back with its typed schema (the round trip of Q-24)."""
-    return spark.read.options(**CSV_OPTIONS).option("multiLine", True).schema(schema).csv(path)
+    """Read a K1 report back with its typed schema (the round trip of Q-24).
+    Many tasks share a file, whatever line breaks its fields hold."""
+    columns = ", ".join(f"`{f.name.replace('`', '``')}` {f.dataType.simpleString()}" for f in schema.fields)
+    options = {k: str(v).lower() if isinstance(v, bool) else v for k, v in (CSV_OPTIONS | {"header": False, "multiLine": True, "lineSep": "\n"}).items()}
+    records = csv_records(spark, path).where(F.col("record") != "")
+    return records.select(F.from_csv("record", columns, options).alias("r")).select("r.*")
 
 
 def without_blank_keys(df: DataFrame, key: str = "loan_number") -> DataFrame:

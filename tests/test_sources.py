@@ -14,7 +14,7 @@ from loanmart.plans.payroll import load_payroll
 from loanmart.plans.reports import CASH_STATUS, report_extract
 from loanmart.plans.transactions import transaction_report
 from loanmart.sources import documents as docs
-from loanmart.sources.sinks import read_csv_report, report_path, write_csv
+from loanmart.sources.sinks import CSV_OPTIONS, read_csv_report, report_path, write_csv
 
 
 def write(path, text):
@@ -124,6 +124,32 @@ def test_one_dated_csv_file(spark, tmpdir_path):
     assert open(path).read() == "id,pinned note\n"
 
 
+def test_records_with_line_breaks_are_read_by_many_tasks(spark, tmpdir_path):
+    path = f"{tmpdir_path}/notes.csv"
+    long = "\n".join('a "long", note\r' for _ in range(600))  # longer than some splits
+    notes = F.when(F.col("id") % 200 == 7, F.lit(long)).when(F.col("id") % 5 == 0, F.lit(None)).otherwise(F.concat(F.lit(' "q",\n\nline "" \\" \t'), "id", F.lit(" ")))
+    df = spark.range(4000).repartition(3).select(notes.alias("note, `pinned`"), F.col("id").cast("double").alias("n"), F.timestamp_seconds("id").cast("timestamp_ntz").alias("at"),
+                                                 F.when(F.col("id") % 3 == 0, F.concat(F.lit("x\r"), "id")).when(F.col("id") % 3 == 1, F.lit("end\r")).alias("last"))
+    write_csv(df, path, single_file=True)
+    want = sorted(df.collect(), key=lambda r: r.n)
+    whole = spark.read.options(**CSV_OPTIONS).option("multiLine", True).schema(df.schema).csv(path)
+    assert sorted(whole.collect(), key=lambda r: r.n) == want
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        for split in (3001, 50_000, 1 << 27):
+            spark.conf.set("spark.sql.files.maxPartitionBytes", str(split))
+            back = read_csv_report(spark, path, df.schema)
+            assert sorted(back.collect(), key=lambda r: r.n) == want and back.schema == whole.schema
+            tasks = back.select(F.spark_partition_id().alias("p")).distinct().count()
+            assert tasks > 5 or split > 3001
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    write_csv(df, f"{tmpdir_path}/parts")  # a folder of files, a header each
+    assert sorted(read_csv_report(spark, f"{tmpdir_path}/parts", df.schema).collect(), key=lambda r: r.n) == want
+    write_csv(df.limit(0), path, single_file=True)
+    assert read_csv_report(spark, path, df.schema).count() == 0
+
+
 # ------------------------------------------------- checks of the writing pass
 def test_checks_ride_on_the_write(spark, tmpdir_path):
     df = spark.createDataFrame([(1, None), (2, "b"), (None, None)], "a int, b string")
