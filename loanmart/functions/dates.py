@@ -7,6 +7,7 @@ reports carry), so results never depend on the session time zone.
 from __future__ import annotations
 
 import datetime as _dt
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column
@@ -55,14 +56,28 @@ def parse_date(col, fmt: str = DEFAULT_DATE_FORMAT) -> Column:
     return F.to_date(parse_timestamp(col, fmt))
 
 
+def _shape(fmt: str) -> str | None:
+    """A pattern that every text of a format of digits matches; None for others."""
+    parts = re.findall(r"y+|M{1,2}|d+|H+|m+|s+|[-/:. ]", fmt)
+    if "".join(parts) != fmt or "MMM" in fmt:
+        return None
+    return "^" + "".join("[+-]?[0-9]+" if p[0].isalpha() else re.escape(p) for p in parts) + "$"
+
+
 def try_parse_timestamp(col, formats: Sequence[str] = (DEFAULT_DATE_FORMAT,)) -> Column:
     """First format that parses wins; bad text -> null.
 
     ``try_to_timestamp`` decides whether the text parses; the value is then
-    parsed as wall-clock ``timestamp_ntz`` (no session-zone round trip)."""
+    parsed as wall-clock ``timestamp_ntz`` (no session-zone round trip).  A
+    failed parse costs an exception, so only text of the format's shape is tried."""
     c = _c(col)
-    return F.coalesce(*[F.when(F.try_to_timestamp(c, F.lit(f)).isNotNull(), F.to_timestamp_ntz(c, F.lit(f)))
-                        for f in formats])
+
+    def parsed(f: str) -> Column:
+        parses, shape = F.try_to_timestamp(c, F.lit(f)).isNotNull(), _shape(f)
+        shaped = F.lit(True) if shape is None else (F.typeof(c) != "string") | c.cast("string").rlike(shape)
+        return F.when(shaped & parses, F.to_timestamp_ntz(c, F.lit(f)))
+
+    return F.coalesce(*[parsed(f) for f in formats])
 
 
 def days_until(col, as_of) -> Column:

@@ -76,8 +76,8 @@ def combine_lip(system_a: DataFrame, system_b: DataFrame, as_of=None, funded: bo
     prune A (P5) | rename + prune B (P3, P5) -> union by name, B's missing
     columns null (U1) -> [R9: strip quotes, C15] -> dates coerced (D3) ->
     lien recode (C12) -> upper loan number (C13) -> order (P6) -> stamp (P12)
-    -> 'null' text to null (C11) -> numbers coerced (C7) -> sort (O1).
-    Every step is a Project over a narrow union; only the final sort shuffles.
+    -> 'null' text to null (C11) -> numbers coerced (C7), in the order of O1.
+    Every step is a Project over a narrow union; only the sort shuffles.
     """
     a_cols = list(A_COLUMNS) + ([FUNDED] if funded else [])
     b_cols = list(B_COLUMNS) + ([FUNDED] if funded else [])
@@ -105,8 +105,13 @@ def combine_lip(system_a: DataFrame, system_b: DataFrame, as_of=None, funded: bo
             x = to_number(x)
         return x.alias(c)
 
-    cols = [step(c) for c in order]
+    parsed = {}
+    if sort:
+        # Rows are sorted as delivered, by their two parsed keys: the sampling of
+        # the sort reads its input once more, and behind it all tasks share the rest.
+        parsed = {c: F.col(f"_{c}").alias(c) for c in SORT_KEYS}
+        u = sort_nulls_last(u.select("*", *[step(c).alias(f"_{c}") for c in SORT_KEYS]), [f"_{c}" for c in SORT_KEYS])
+    cols = [parsed[c] if c in parsed else step(c) for c in order]
     if as_of is not None:
         cols.append(pacific_stamp(as_of).alias("timestamp"))
-    out = u.select(*cols)
-    return sort_nulls_last(out, SORT_KEYS) if sort else out
+    return u.select(*cols)

@@ -155,3 +155,17 @@ def test_utc_instant_in_any_session_zone(spark):
             assert [r[0] for r in rows.select(F.unix_micros(utc_instant(F.col("t")))).collect()] == [1710037800000001, -289089000000000, None]
     finally:
         spark.conf.set("spark.sql.session.timeZone", before)
+
+
+def test_only_text_of_a_formats_shape_is_parsed(spark):
+    from loanmart.functions.dates import _shape
+    from loanmart.plans.lip import DATE_FORMATS
+    assert all(_shape(f) for f in DATE_FORMATS) and _shape("MMM d") is None and _shape("yyyy-MM-dd'T'HH") is None
+    texts = ["2024-01-02", "2024-01-02 03:04:05", "1/2/2024", "01/02/2024", "1/2/2024 3:04", "2/30/2024", "+12024-01-02", "-2024-01-02", "12024-01-02", "001/2/2024", "1/2/24",
+             "", " ", "2024-01-02\n", " 2024-01-02", "2024-01-02T03:04:05", "-1/2/2024", "n/a", "\u0661/2/2024", "1/2/2024 3:04 ", "2024-1-2", "24:00", None]
+    df = spark.createDataFrame([(t,) for t in texts], "s string")
+    raw = F.coalesce(*[F.when(F.try_to_timestamp("s", F.lit(f)).isNotNull(), F.to_timestamp_ntz("s", F.lit(f))) for f in DATE_FORMATS])
+    got = df.select(try_parse_timestamp("s", DATE_FORMATS).cast("string").alias("guarded"), raw.cast("string").alias("raw")).collect()
+    assert [r.guarded for r in got] == [r.raw for r in got] and sum(r.raw is not None for r in got) >= 5
+    days = df.limit(1).select(F.lit("2024-01-02").cast("date").alias("d"))  # a date has no shape
+    assert days.select(try_parse_timestamp("d", ("M/d/yyyy",))).first()[0] == dt.datetime(2024, 1, 2)
