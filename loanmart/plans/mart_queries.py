@@ -636,16 +636,23 @@ def nested_draws(orders: DataFrame, lineitem: DataFrame, supplier: DataFrame) ->
         e("CAST(CAST(l_extendedprice AS DECIMAL(18,2)) * CAST(l_discount AS DECIMAL(4,2)) AS STRING)").alias("retainage"),
         e("CAST(CAST(l_extendedprice AS DECIMAL(18,2)) * (1 - CAST(l_discount AS DECIMAL(4,2))) AS STRING)")
         .alias("totalLessRetainage"))
-    # One aggregation per draw (one shuffle); payees and their item lists
-    # are shaped inside each document with higher-order functions.
+    # One shuffle per draw, of the plain columns; the text is made behind it, in
+    # all the session's partitions, as it is several times as long.  Payees and
+    # their item lists are shaped inside each document with higher-order
+    # functions, without a search where no payee comes twice.
+    plain = ["l_orderkey", "l_linenumber", "l_partkey", "l_returnflag", "l_linestatus", "l_extendedprice", "l_discount", "s_name"]
+    partitions = int(lineitem.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     lines = (lineitem.join(supplier.select("s_suppkey", "s_name"), F.col("l_suppkey") == F.col("s_suppkey"))
+             .select(*plain).repartition(partitions, "l_orderkey")
              .select("l_orderkey", F.struct(F.col("s_name").alias("p"), F.col("l_linestatus").alias("st"),
                                             item.alias("it")).alias("x")))
     by_draw = lines.groupBy("l_orderkey").agg(F.collect_list("x").alias("xs")).select(
         "l_orderkey",
-        F.expr("""map_from_entries(transform(array_distinct(transform(xs, x -> x.p)), n -> struct(n,
+        F.expr("""map_from_entries(IF(size(array_distinct(xs.p)) = size(xs),
+                    transform(xs, x -> named_struct('n', x.p, 'v', named_struct('items', array(IF(x.st IS NULL, slice(array(x.it), 1, 0), array(x.it)))))),
+                    transform(array_distinct(xs.p), n -> named_struct('n', n, 'v',
                     named_struct('items', transform(array_distinct(transform(filter(xs, x -> x.p = n), x -> x.st)),
-                      s -> transform(filter(xs, x -> x.p = n AND x.st = s), x -> x.it))))))""").alias("payee"))
+                      s -> transform(filter(xs, x -> x.p = n AND x.st = s), x -> x.it)))))))""").alias("payee"))
     return (orders.join(by_draw, F.col("o_orderkey") == F.col("l_orderkey"), "left")
             .select(
                 e("CAST(o_orderkey AS STRING)").alias("id"),
