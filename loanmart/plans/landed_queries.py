@@ -40,10 +40,18 @@ from loanmart.streaming.outbox import read_outbox
 PART_ITEMS = 500
 
 
+def land(df: DataFrame, path: str, *folders: str) -> None:
+    """One JSON document per row, nulls included.  Headings come with every
+    item, so the text is many times its table: files are compressed, and since
+    one task reads each, of a bounded number of documents."""
+    options = {"ignoreNullFields": "false", "compression": "lz4", "maxRecordsPerFile": "100000"}
+    df.write.partitionBy(*folders).options(**options).json(path)
+
+
 def landed(df: DataFrame, name: str) -> str:
-    """One JSON document per row, nulls included, in the shared scratch folder."""
+    """The rows as documents in the shared scratch folder."""
     path = scratch_path(df.sparkSession, f"landed-{name}")
-    df.write.option("ignoreNullFields", False).json(path)
+    land(df, path)
     return path
 
 
@@ -62,7 +70,7 @@ def _landed_report(rows: DataFrame, key_expr: str, name: str, report: str) -> tu
     numbered = rows.withColumn("_k", F.expr(key_expr))
     inner = parts(numbered, "_k", "data")
     doc = inner.select(F.struct(F.struct(F.col("data")).alias("Current Report")).alias("data"))
-    doc.write.option("ignoreNullFields", False).json(f"{path}/10")
+    land(doc, f"{path}/10")
     catalogue = landed(spark.createDataFrame([("9", report), ("10", report), ("11", "another report")], "id string, name string"), "catalogue")
     return docs.read_catalogue(spark, catalogue, lines=True), path
 
@@ -229,7 +237,7 @@ def _landed_runs(runs: DataFrame) -> str:
     path = scratch_path(runs.sparkSession, "landed-runs")
     docs_of_day = runs.select("id", "flow_id", "state_type", F.date_format(F.col("start_time"), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'").alias("start_time"),
                               F.struct("draw_id", "loan_id", "updated_status").alias("parameters"), F.to_date("start_time").alias("day"))
-    docs_of_day.write.partitionBy("day").option("ignoreNullFields", False).json(path)
+    land(docs_of_day, path, "day")
     return path
 
 
@@ -259,7 +267,7 @@ def workers_of_companies(spark: SparkSession, sf_dir: str) -> DataFrame:
     two companies are read, complete, and no others."""
     _, pages, _ = mart.payroll_documents(table(spark, sf_dir, "nation"), table(spark, sf_dir, "customer"), table(spark, sf_dir, "orders"))
     path = scratch_path(spark, "landed-pages")
-    pages.write.partitionBy("companyId").option("ignoreNullFields", False).json(path)
+    land(pages, path, "companyId")
     some = docs.read_worker_pages(spark, path, lines=True, company_ids=["3", "14"])
     assert_pages_complete(some, ["companyId"])
     return workers(some).select("id", "employee_id", "last_name", "company_id")

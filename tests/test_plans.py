@@ -245,3 +245,49 @@ def test_loan_id_report_and_template_and_mail(spark, tmpdir_path):
     assert path == "/reports/01-24/lip_combined_011524.csv"
     assert report_path("/r", "draws", AS_OF, folder="f", with_time=True) == "/r/f/01-24/draws_011524_120000.csv"
     assert report_mail(spark, "s", "b", path).first().attachment_path == path
+
+
+def test_a_combined_report_is_sorted_before_it_is_parsed(spark):
+    from loanmart.plans import mart_queries as mart
+    customer = spark.createDataFrame([(i, f"C{i}", i % 25, 1.5, "BUILDING") for i in range(40)], "c_custkey long, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string")
+    supplier = spark.createDataFrame([(1, "S1", 3, 2.5)], "s_suppkey long, s_name string, s_nationkey int, s_acctbal double")
+    got = mart.combine_lip(mart._system_a(customer, True), mart._system_b(supplier, True), mart.AS_OF, funded=True)
+    before = spark.conf.get("spark.sql.debug.maxToStringFields")
+    try:
+        spark.conf.set("spark.sql.debug.maxToStringFields", "10000")
+        above, below = got._jdf.queryExecution().optimizedPlan().toString().lower().split("sort [")
+    finally:
+        spark.conf.set("spark.sql.debug.maxToStringFields", before)
+    dates = [c.lower() for c in ("APPRAISAL_ORDERED", "APPRAISAL_DUE", "TITLE_ORDERED", "SIGNING_APPOINTMENT")]
+    assert all(f" as {c}#" in above and f"gettimestamp({c}#" not in below for c in dates) and "gettimestamp" in above and "gettimestamp" in below
+    keys = [(r.CLOSING_DATE, r.FUND) for r in got.collect()]
+    assert len(keys) == 41 and keys == sorted(keys, key=lambda k: (k[0] is None, k[0], k[1] is None, k[1] or ""))
+
+
+def test_landed_documents_are_small_files_read_back_whole(spark):
+    import glob
+    import os
+    from loanmart.plans.landed_queries import landed, parts
+    rows = spark.range(3000).select("id", *[F.concat(F.lit("$ "), F.col("id")).alias(f"a long heading {i}") for i in range(20)], F.lit(None).cast("string").alias("none"))
+    docs = parts(rows, "id", "data")
+    path = landed(docs, "test")
+    size = sum(os.path.getsize(f) for f in glob.glob(f"{path.removeprefix('file:')}/part-*"))
+    text = docs.select(F.sum(F.length(F.to_json(F.struct("data"), {"ignoreNullFields": "false"})))).first()[0]
+    assert 0 < size < text / 3
+    back = spark.read.schema(docs.schema).json(path).select(F.explode("data").alias("r")).select("r.*")
+    assert sorted(back.collect()) == sorted(rows.drop("id").collect())
+
+
+def test_draws_are_shuffled_as_plain_columns(spark):
+    from loanmart.operators.nested import flatten_draws
+    from loanmart.plans.mart_queries import nested_draws
+    orders = spark.createDataFrame([(i, 7, "O", None, "5-LOW") for i in range(3)], "o_orderkey long, o_custkey long, o_orderstatus string, o_orderdate timestamp, o_orderpriority string")
+    line = [(0, 1, 0, 1, 10.0, 0.1, "N", "O"), (0, 2, 1, 2, 20.0, 0.0, "N", None), (1, 3, 0, 1, 30.0, None, "A", "O"), (1, 4, 0, 2, 40.0, 0.05, "A", "F"), (1, 5, 1, 3, 50.0, 0.1, None, "F"), (1, 6, 0, 4, 60.0, 0.1, "R", None)]
+    lineitem = spark.createDataFrame(line, "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_extendedprice double, l_discount double, l_returnflag string, l_linestatus string")
+    supplier = spark.createDataFrame([(0, "Zero"), (1, "One")], "s_suppkey long, s_name string")
+    draws = nested_draws(orders, lineitem, supplier)
+    below = draws._jdf.queryExecution().optimizedPlan().toString().split("RepartitionByExpression [")[1]
+    assert "Part " not in below
+    got = sorted((r["draw_id"], r["payee.name"], r["lineItems.number"], r["lineItems.amount"], r["lineItems.retainage"], r["lineItems.totalLessRetainage"]) for r in flatten_draws(draws).collect())
+    # a line without a status is in no list
+    assert got == [("0", "Zero", "1", "10.00", "1.0000", "9.0000"), ("1", "One", "3", "50.00", "5.0000", "45.0000"), ("1", "Zero", "1", "30.00", None, None), ("1", "Zero", "2", "40.00", "2.0000", "38.0000")]
